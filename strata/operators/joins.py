@@ -67,16 +67,20 @@ def skew_join(
     other: DataFrame,
     keys: str | Sequence[str],
     how: str = "inner",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``fact.join(other, keys, how)`` with hot keys of ``fact`` salted.
 
     ``how`` is one that keeps the fact side's rows as the driving side:
-    inner, left, left_semi or left_anti.
+    inner, left, left_semi or left_anti. ``hot`` is the output of
+    :func:`hot_keys`; pass one computed from the *raw* source of ``fact``
+    (a sampled scan of one column) when ``fact`` is an expensive derived
+    plan, so that detection does not recompute it.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"skew_join does not support how={how!r}")
-    hot = F.broadcast(hot_keys(fact, keys))
+    hot = F.broadcast(hot if hot is not None else hot_keys(fact, keys))
     row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
     salted_fact = (
         fact.join(hot, keys, "left")

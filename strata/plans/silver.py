@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.ids import DEFAULT_BATCH_ID
 from strata.operators.dedup import dedup_dataset
+from strata.operators.joins import hot_keys
 from strata.operators.quality import split_by_quality
 from strata.sources.adapter import raw_table
 
@@ -38,3 +39,11 @@ class Silver:
         if dataset.startswith("_"):
             raise AttributeError(dataset)
         return silver_table(self.spark, self.sf_dir, dataset, self.batch_id)
+
+    def hot(self, dataset: str, key: str) -> DataFrame:
+        """Hot values of ``key`` from a sampled scan of the raw column only."""
+        return hot_keys(raw_table(self.spark, self.sf_dir, dataset, self.batch_id).select(key), [key])
+
+    def mart_hot_keys(self) -> dict[str, DataFrame]:
+        """Hot customers (in orders) and hot orders (in order lines) for the marts."""
+        return {"customer_id": self.hot("orders", "customer_id"), "order_id": self.hot("order_items", "order_id")}

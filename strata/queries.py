@@ -79,17 +79,17 @@ def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("eligible_orders")
 def eligible_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Silver(spark, sf_dir)
-    return finalize(gold.eligible_orders(s.orders, s.customers))
+    return finalize(gold.eligible_orders(s.orders, s.customers, s.mart_hot_keys()))
 
 
 def _order_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Silver(spark, sf_dir)
-    return gold.order_revenue(s.orders, s.order_items, s.customers)
+    return gold.order_revenue(s.orders, s.order_items, s.customers, s.mart_hot_keys())
 
 
 def _product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Silver(spark, sf_dir)
-    return gold.product_revenue(s.orders, s.order_items, s.products, s.customers)
+    return gold.product_revenue(s.orders, s.order_items, s.products, s.customers, s.mart_hot_keys())
 
 
 @query("order_revenue")

@@ -48,7 +48,9 @@ def with_lineage(df: DataFrame, source: Column, batch_id: str) -> DataFrame:
 
 
 def _file(df: DataFrame) -> Column:
-    return df["_metadata.file_path"]
+    # input_file_name() is pruned from the scan when a plan does not use the
+    # column; a `_metadata` reference makes Spark read every metadata field.
+    return F.input_file_name()
 
 
 def customers(spark: SparkSession, sf_dir: str, batch_id: str = DEFAULT_BATCH_ID) -> DataFrame:
