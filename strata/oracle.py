@@ -429,3 +429,94 @@ LEFT JOIN (SELECT o.order_id, o.customer_id, o.order_timestamp, o.order_status,
            LEFT JOIN states st ON st.state = c.state) o ON o.order_id = i.order_id
 LEFT JOIN silver_products p ON p.product_id = i.product_id""",
 )
+
+# ingestion, sinks, upsert, history
+sql(
+    "bronze_roundtrip_customers",
+    # an empty text field reads back from CSV as NULL; spaces are kept
+    "SELECT customer_id, full_name, NULLIF(email, '') AS email, state, created_at, _batch_id FROM raw_customers",
+)
+sql("bronze_roundtrip_items", "SELECT * REPLACE (CAST(line_amount AS DOUBLE) AS line_amount) FROM raw_order_items")
+sql(
+    "strict_ingest_quarantine",
+    """SELECT 'loaded' AS outcome, COUNT(*) FILTER (WHERE NOT COALESCE(quantity <= 0, FALSE)) AS "rows" FROM raw_order_items
+UNION ALL
+SELECT 'quarantined', COUNT(*) FILTER (WHERE quantity <= 0) FROM raw_order_items""",
+)
+sql(
+    "schema_evolution_read",
+    """SELECT o.order_id, o.customer_id, o.order_timestamp, o.order_status,
+       CASE WHEN o.order_timestamp >= TIMESTAMP '1998-01-01' THEN d.o_orderpriority END AS order_priority,
+       CASE WHEN o.order_timestamp >= TIMESTAMP '1998-01-01' THEN 2 ELSE 1 END AS load
+FROM raw_orders o JOIN orders d ON d.o_orderkey = o.order_id""",
+)
+sql(
+    "upsert_customers",
+    """SELECT customer_id, full_name, email, state, version FROM all_versions
+QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY version DESC NULLS LAST, src DESC) = 1
+    AND NOT COALESCE(deleted, FALSE)""",
+    """base_customers AS (SELECT customer_id, full_name, email, state, 1 AS version FROM silver_customers),
+changes AS (
+  SELECT customer_id, full_name, 'c' || CAST(customer_id AS VARCHAR) || '@fixed.example.com' AS email, state,
+         2 AS version, FALSE AS deleted
+  FROM rejected_customers
+  UNION ALL
+  SELECT customer_id, full_name, email, state, 2, TRUE FROM base_customers b
+  WHERE NOT EXISTS (SELECT 1 FROM order_revenue o WHERE o.customer_id = b.customer_id)
+),
+all_versions AS (
+  SELECT *, FALSE AS deleted, 0 AS src FROM base_customers
+  UNION ALL
+  SELECT *, 1 AS src FROM changes
+)""",
+)
+sql(
+    "history_append",
+    """SELECT 'batch-0001' AS batch_id, COUNT(*) AS "rows" FROM raw_orders
+UNION ALL SELECT 'batch-0002', COUNT(*) FROM raw_orders""",
+)
+sql("catalog_roundtrip", "SELECT * FROM raw_customers")
+
+# quality gates and the on-disk run
+_METRICS = "\nUNION ALL\n".join(_METRIC_PARTS)
+sql("quality_gate", f"SELECT *, quality_rate >= 0.95 AS passed FROM ({_METRICS})")
+sql("run_log", _METRICS)
+
+_RULES = {
+    "customers": [
+        ("customer_id_missing", "customer_id IS NULL"),
+        ("email_missing", "email IS NULL OR trim(email) = ''"),
+    ],
+    "order_items": [
+        ("order_item_id_missing", "order_item_id IS NULL OR trim(order_item_id) = ''"),
+        ("order_id_missing", "order_id IS NULL"),
+        ("product_id_missing", "product_id IS NULL"),
+        ("quantity_not_positive", "quantity IS NULL OR quantity <= 0"),
+        ("unit_price_negative", "unit_price IS NULL OR unit_price < 0"),
+    ],
+}
+sql(
+    "rule_failures",
+    "\nUNION ALL\n".join(
+        f"""SELECT '{ds}' AS dataset, '{rule}' AS rule, COUNT(*) FILTER (WHERE COALESCE({cond}, TRUE)) AS failures,
+       COALESCE(CAST(COUNT(*) FILTER (WHERE COALESCE({cond}, TRUE)) AS DOUBLE) / NULLIF(COUNT(*), 0), 0.0) AS rate
+FROM raw_{ds}"""
+        for ds, rules in _RULES.items()
+        for rule, cond in rules
+    ),
+)
+_COUNTS = (
+    [("raw", n, f"raw_{n}") for n in ("customers", "products", "orders", "order_items", "payments", "shipments")]
+    + [("silver", n, f"silver_{n}") for n in ("customers", "products", "orders", "order_items", "payments", "shipments")]
+    + [("rejected", n, f"rejected_{n}") for n in ("customers", "order_items")]
+    + [
+        ("gold", n, n)
+        for n in ("order_revenue", "product_revenue", "category_revenue", "customer_revenue", "business_kpis")
+    ]
+)
+sql(
+    "layer_run_counts",
+    "\nUNION ALL\n".join(
+        f"""SELECT '{layer}' AS layer, '{name}' AS dataset, COUNT(*) AS "rows" FROM {cte}""" for layer, name, cte in _COUNTS
+    ),
+)

@@ -8,6 +8,7 @@ whose values depend on the run (load time, file path).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,13 @@ from pyspark.sql.types import DecimalType
 
 from strata.functions.ids import DEFAULT_BATCH_ID
 from strata.operators import quality
-from strata.plans import checks, gold, metrics
+from strata.operators.dedup import upsert
+from strata.plans import checks, gold, layers, metrics
 from strata.plans.silver import Silver, validate
 from strata.schemas import DATASETS
-from strata.sources import adapter
+from strata.session import scratch_path
+from strata.sources import adapter, catalog, csv_files, evolution
+from strata.sources.sinks import append_partition, write_table
 from strata.sources.adapter import raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,3 +255,143 @@ def fact_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finalize(
         metrics.fact_order_items(s.order_items, s.orders, s.customers, s.products, adapter.states(spark, sf_dir), hot)
     )
+
+
+# ---------------------------------------------------------------- ingestion, sinks, upsert, history
+
+LINEAGE_COLS = ("_ingestion_timestamp", "_source_file", "_batch_id")
+
+
+def _source_rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A raw table without lineage, as a source system would export it."""
+    return raw_table(spark, sf_dir, name).drop(*LINEAGE_COLS)
+
+
+def _csv_roundtrip(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_path(spark, f"csv-{name}")
+        csv_files.write_csv(_source_rows(spark, sf_dir, name), f"{root}/source/{name}.csv")
+        csv_files.ingest_dataset(spark, name, f"{root}/source", f"{root}/raw", DEFAULT_BATCH_ID)
+        return finalize(spark.read.parquet(f"{root}/raw/{name}"))
+
+    return run
+
+
+query("bronze_roundtrip_customers")(_csv_roundtrip("customers"))
+query("bronze_roundtrip_items")(_csv_roundtrip("order_items"))
+
+
+@query("strict_ingest_quarantine")
+def strict_ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose quantity is not a number are quarantined, the rest loaded."""
+    root = scratch_path(spark, "strict")
+    items = _source_rows(spark, sf_dir, "order_items")
+    text = items.withColumn(
+        "quantity", F.when(F.col("quantity") <= 0, F.lit("n/a")).otherwise(F.col("quantity").cast("string"))
+    )
+    csv_files.write_csv(text, f"{root}/source/order_items.csv")
+    good, bad = csv_files.read_strict_csv(spark, f"{root}/source/order_items.csv", DATASETS["order_items"].schema)
+    write_table(good, f"{root}/raw/order_items")
+    write_table(bad, f"{root}/quarantine/order_items")
+    loaded = spark.read.parquet(f"{root}/raw/order_items").agg(F.count(F.lit(1)).alias("rows"))
+    quarantined = spark.read.parquet(f"{root}/quarantine/order_items").agg(F.count(F.lit(1)).alias("rows"))
+    return loaded.select(F.lit("loaded").alias("outcome"), "rows").unionByName(
+        quarantined.select(F.lit("quarantined").alias("outcome"), "rows")
+    )
+
+
+SCHEMA_CHANGE_AT = "1998-01-01"  # orders from this date on arrive with one more column
+
+
+@query("schema_evolution_read")
+def schema_evolution_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of orders, the second with an added column, read as one table."""
+    from strata.sources.driver import read_table
+
+    root = scratch_path(spark, "evolution")
+    o = read_table(spark, sf_dir, "orders")
+    orders = o.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").alias("order_timestamp"),
+        adapter.order_status(F.col("o_orderstatus"), F.col("o_orderpriority")).alias("order_status"),
+        F.col("o_orderpriority").alias("order_priority"),
+    )
+    newer = F.col("order_timestamp") >= F.lit(SCHEMA_CHANGE_AT).cast("timestamp_ntz")
+    write_table(orders.where(~newer).drop("order_priority"), f"{root}/orders/load=1")
+    write_table(orders.where(newer), f"{root}/orders/load=2")
+    return evolution.read_evolving(spark, f"{root}/orders")
+
+
+@query("upsert_customers")
+def upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version 2 of the customers: repaired e-mails of rejected rows are
+    upserted, customers without any eligible order are deleted."""
+    root = scratch_path(spark, "upsert")
+    raw = raw_table(spark, sf_dir, "customers")
+    valid, rejected = validate(raw, "customers")
+    cols = ["customer_id", "full_name", "email", "state"]
+    base = valid.select(*cols, F.lit(1).alias("version"))
+    repaired = rejected.select(
+        "customer_id",
+        "full_name",
+        F.concat(F.lit("c"), F.col("customer_id").cast("string"), F.lit("@fixed.example.com")).alias("email"),
+        "state",
+        F.lit(2).alias("version"),
+        F.lit(False).alias("deleted"),
+    )
+    orders_mart = _order_revenue(spark, sf_dir)
+    inactive = base.join(orders_mart.select("customer_id"), "customer_id", "left_anti").select(
+        *cols, F.lit(2).alias("version"), F.lit(True).alias("deleted")
+    )
+    merged = upsert(base, repaired.unionByName(inactive), "customer_id", "version", "deleted")
+    write_table(merged, f"{root}/customers/v2")
+    return spark.read.parquet(f"{root}/customers/v2")
+
+
+@query("history_append")
+def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of the orders appended by batch; the second one is re-run
+    and replaces only its own partition."""
+    root = scratch_path(spark, "history")
+    orders = _source_rows(spark, sf_dir, "orders")
+    for batch in ("batch-0001", "batch-0002", "batch-0002"):
+        append_partition(orders.withColumn("batch_id", F.lit(batch)), f"{root}/orders", "batch_id")
+    return spark.read.parquet(f"{root}/orders").groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("catalog_roundtrip")
+def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    catalog.create_schema(spark, "strata_catalog")
+    table = f"strata_catalog.customers_{uuid.uuid4().hex[:12]}"
+    catalog.save_as_table(raw_table(spark, sf_dir, "customers").drop(*UNSTABLE), table)
+    return finalize(catalog.read_table(spark, table))
+
+
+# ---------------------------------------------------------------- quality gates and the on-disk run
+
+MIN_QUALITY_RATE = 0.95  # fixed gate: at least 95% of a batch must survive validation
+
+
+@query("quality_gate")
+def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_gate(quality_metrics(spark, sf_dir), MIN_QUALITY_RATE)
+
+
+@query("rule_failures")
+def rule_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [quality.rule_failures(raw_table(spark, sf_dir, n), n) for n in quality.REASONS]
+    return parts[0].unionByName(parts[1])
+
+
+@query("layer_run_counts")
+def layer_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = layers.run_all(spark, sf_dir, scratch_path(spark, "layers"))
+    return layers.written_counts(spark, paths)
+
+
+@query("run_log")
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = layers.LayerPaths(scratch_path(spark, "runlog"))
+    layers.run_raw(spark, sf_dir, paths)
+    return layers.run_silver(spark, paths).drop("processed_at")
