@@ -520,3 +520,15 @@ sql(
         f"""SELECT '{layer}' AS layer, '{name}' AS dataset, COUNT(*) AS "rows" FROM {cte}""" for layer, name, cte in _COUNTS
     ),
 )
+
+# streaming
+sql(
+    "stream_ingest_events",
+    f"""SELECT *, {BATCH} AS _batch_id FROM events
+WHERE NOT COALESCE(event_id IS NULL OR ts IS NULL OR user_id IS NULL OR event_type IS NULL OR trim(event_type) = '', TRUE)""",
+)
+sql("stream_dedup_events", "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1")
+sql(
+    "stream_daily_counts",
+    "SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2",
+)

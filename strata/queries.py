@@ -24,6 +24,7 @@ from strata.schemas import DATASETS
 from strata.session import scratch_path
 from strata.sources import adapter, catalog, csv_files, evolution
 from strata.sources.sinks import append_partition, write_table
+from strata.streaming import events
 from strata.sources.adapter import raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -395,3 +396,41 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = layers.LayerPaths(scratch_path(spark, "runlog"))
     layers.run_raw(spark, sf_dir, paths)
     return layers.run_silver(spark, paths).drop("processed_at")
+
+
+# ---------------------------------------------------------------- streaming
+
+
+def _event_source(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
+    """A landing folder with the events table (``copies`` identical files, to feed duplicates)."""
+    from strata.sources.driver import read_table
+
+    land = scratch_path(spark, "events-landing")
+    events = read_table(spark, sf_dir, "events")
+    for i in range(copies):
+        events.write.mode("overwrite").parquet(f"{land}/part={i}")
+    return land
+
+
+@query("stream_ingest_events")
+def stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "stream-ingest")
+    source = _event_source(spark, sf_dir)
+    events.ingest(spark, source, f"{root}/out", f"{root}/checkpoint", DEFAULT_BATCH_ID)
+    return finalize(spark.read.parquet(f"{root}/out/valid").drop("epoch", "part"))
+
+
+@query("stream_dedup_events")
+def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "stream-dedup")
+    source = _event_source(spark, sf_dir, copies=2)
+    events.dedup(spark, source, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out").drop("part")
+
+
+@query("stream_daily_counts")
+def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "stream-daily")
+    source = _event_source(spark, sf_dir)
+    events.daily_counts(spark, source, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out")
