@@ -47,6 +47,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         SparkSession.builder.master(f"local[{cores}]")
         .appName("strata")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
