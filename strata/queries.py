@@ -291,13 +291,12 @@ def strict_ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         "quantity", F.when(F.col("quantity") <= 0, F.lit("n/a")).otherwise(F.col("quantity").cast("string"))
     )
     csv_files.write_csv(text, f"{root}/source/order_items.csv")
-    good, bad = csv_files.read_strict_csv(spark, f"{root}/source/order_items.csv", DATASETS["order_items"].schema)
-    write_table(good, f"{root}/raw/order_items")
-    write_table(bad, f"{root}/quarantine/order_items")
-    loaded = spark.read.parquet(f"{root}/raw/order_items").agg(F.count(F.lit(1)).alias("rows"))
-    quarantined = spark.read.parquet(f"{root}/quarantine/order_items").agg(F.count(F.lit(1)).alias("rows"))
-    return loaded.select(F.lit("loaded").alias("outcome"), "rows").unionByName(
-        quarantined.select(F.lit("quarantined").alias("outcome"), "rows")
+    out = f"{root}/raw/order_items"
+    csv_files.strict_ingest(spark, f"{root}/source/order_items.csv", DATASETS["order_items"].schema, out)
+    return (
+        spark.read.parquet(out)
+        .groupBy(F.col("load_status").alias("outcome"))
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
 
 

@@ -161,3 +161,8 @@ def dataset(name: str) -> Dataset:
         return DATASETS[name]
     except KeyError:
         raise ValueError(f"Unsupported dataset: {name}") from None
+
+
+def nullable(schema: StructType) -> StructType:
+    """The same schema with every field nullable (file sources read it so anyway)."""
+    return StructType([StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])

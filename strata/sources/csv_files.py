@@ -91,14 +91,9 @@ def ingest_all_datasets(
     return {n: ingest_dataset(spark, n, source_dir, raw_dir, batch_id, fmt) for n in DATASETS}
 
 
-def read_strict_csv(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantined rows with the raw line in ``_corrupt_record``).
-
-    ``enforceSchema=false`` checks the header against the schema, so a file
-    whose columns moved fails instead of loading shifted values.
-    """
+def _strict_reader(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     with_corrupt = StructType(schema.fields + [StructField(CORRUPT, StringType())])
-    df = (
+    return (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
@@ -106,6 +101,37 @@ def read_strict_csv(spark: SparkSession, path: str, schema: StructType) -> tuple
         .schema(with_corrupt)
         .csv(path)
     )
+
+
+def read_strict_csv(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantined rows with the raw line in ``_corrupt_record``).
+
+    ``enforceSchema=false`` checks the header against the schema, so a file
+    whose columns moved fails instead of loading shifted values. Spark refuses
+    queries that read *only* ``_corrupt_record`` from a raw file (e.g. a bare
+    ``count()`` of the quarantined side); :func:`strict_ingest` writes both
+    sides in one pass instead.
+    """
+    df = _strict_reader(spark, path, schema)
     good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     quarantined = df.where(F.col(CORRUPT).isNotNull())
     return good, quarantined
+
+
+def strict_ingest(spark: SparkSession, source_path: str, schema: StructType, out_path: str) -> dict[str, int]:
+    """Parse once, write loaded and quarantined rows in one pass.
+
+    Output: ``<out_path>/load_status=loaded`` and
+    ``<out_path>/load_status=quarantined`` (the latter keeps the raw line in
+    ``_corrupt_record``). Returns both row counts, observed during the write.
+    """
+    df = _strict_reader(spark, source_path, schema)
+    status = F.when(F.col(CORRUPT).isNull(), F.lit("loaded")).otherwise(F.lit("quarantined"))
+    counts = write_observed(
+        df.withColumn("load_status", status),
+        out_path,
+        "strict_ingest",
+        partition_by=["load_status"],
+        extra={"quarantined": F.count_if(F.col(CORRUPT).isNotNull())},
+    )
+    return {"loaded": counts["rows"] - counts["quarantined"], "quarantined": counts["quarantined"]}

@@ -1,0 +1,24 @@
+from pyspark.sql import functions as F
+
+from strata.plans import checks
+
+
+def test_orphans_include_null_keys(spark):
+    child = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    parent = spark.createDataFrame([(1,)], "k int")
+    got = checks.orphan_rows(child, parent, "k").agg(F.sum("_rows")).first()[0]
+    assert got == 2
+
+
+def test_reconcile_folds_without_join(spark):
+    a = spark.createDataFrame([(1.0,), (2.0,)], "x double")
+    b = spark.createDataFrame([(3.0,)], "y double")
+    out = checks.reconcile([("sum", a, F.sum("x"), b, F.sum("y")), ("bad", a, F.count("x"), b, F.count("y"))]).collect()
+    got = {r.check_name: (r.left_value, r.right_value, r.ok) for r in out}
+    assert got == {"sum": (3.0, 3.0, True), "bad": (2.0, 1.0, False)}
+
+
+def test_cancelled_with_items(spark):
+    orders = spark.createDataFrame([(1, "cancelled"), (2, "cancelled"), (3, "completed")], "order_id long, order_status string")
+    items = spark.createDataFrame([(1,), (1,), (3,)], "order_id long")
+    assert [r.order_id for r in checks.cancelled_with_items(orders, items).collect()] == [1]
