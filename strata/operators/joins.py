@@ -18,6 +18,11 @@ task. ``skew_join`` splits such hot keys over many tasks:
    second line of defence.
 
 Rows with a NULL key never match, so they are never hot.
+
+Salting is skipped when Catalyst's size estimate of the fact side (known at
+planning time, an upper bound for joins and aggregates) is below
+``strata.skew.minFactBytes`` (default 256 MB, AQE's own threshold for a
+skewed partition): no task of such an input can be skewed.
 """
 
 from __future__ import annotations
@@ -30,6 +35,7 @@ from pyspark.sql import functions as F
 
 HOT_KEY_ROWS = "strata.skew.hotKeyRows"
 MAX_HOT_KEYS = "strata.skew.maxHotKeys"
+MIN_FACT_BYTES = "strata.skew.minFactBytes"
 SAMPLE_ROWS_PER_HOT_KEY = 200  # expected sample hits of a key of exactly hotKeyRows rows
 
 
@@ -38,6 +44,11 @@ def _conf_int(df: DataFrame, name: str, default: int) -> int:
     return int(value) if value else default
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's planning-time size estimate of ``df`` (nothing is executed)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Bounded table ``keys..., _salts`` of the hot keys of ``df``."""
     threshold = _conf_int(df, HOT_KEY_ROWS, 1_000_000)
@@ -80,6 +91,8 @@ def skew_join(
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"skew_join does not support how={how!r}")
+    if estimated_bytes(fact) < _conf_int(fact, MIN_FACT_BYTES, 256 * 1024 * 1024):
+        return fact.join(other, keys, how)
     hot = F.broadcast(hot if hot is not None else hot_keys(fact, keys))
     row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
     salted_fact = (

@@ -8,8 +8,10 @@ from strata.operators.joins import hot_keys, skew_join
 @pytest.fixture()
 def tiny_hot(spark):
     spark.conf.set("strata.skew.hotKeyRows", "10")
+    spark.conf.set("strata.skew.minFactBytes", "0")
     yield
     spark.conf.unset("strata.skew.hotKeyRows")
+    spark.conf.unset("strata.skew.minFactBytes")
 
 
 def rows(df):
@@ -45,9 +47,19 @@ def test_skew_join_rejects_right_side_joins(spark):
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5)), min_size=0, max_size=60))
 def test_skew_join_property(spark, data):
     spark.conf.set("strata.skew.hotKeyRows", "4")
+    spark.conf.set("strata.skew.minFactBytes", "0")
     try:
         fact = spark.createDataFrame(data, "k int, v int")
         other = spark.createDataFrame([(0, "a"), (1, "b"), (1, "b2")], "k int, name string")
         assert rows(skew_join(fact, other, "k", "inner")) == rows(fact.join(other, "k", "inner"))
     finally:
         spark.conf.unset("strata.skew.hotKeyRows")
+        spark.conf.unset("strata.skew.minFactBytes")
+
+
+def test_salted_plan_is_used_and_small_inputs_skip_it(spark, tiny_hot):
+    fact = spark.range(50).selectExpr("1 AS k", "id AS v")  # Range has exact size statistics
+    other = spark.createDataFrame([(1, "one")], "k int, name string")
+    assert "_salt" in skew_join(fact, other, "k")._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set("strata.skew.minFactBytes", str(1 << 40))
+    assert "_salt" not in skew_join(fact, other, "k")._jdf.queryExecution().optimizedPlan().toString()
