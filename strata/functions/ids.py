@@ -16,3 +16,8 @@ def batch_id_from_time(ts: Column | None = None) -> Column:
 def composed_key(*parts: str) -> Column:
     """Text key ``a-b`` from several key columns."""
     return F.concat_ws("-", *[F.col(p).cast("string") for p in parts])
+
+
+def display_id(prefix: str, key: str, width: int) -> Column:
+    """Zero-padded text id, e.g. ``display_id("CUST-", "customer_id", 6)`` -> ``CUST-000042``."""
+    return F.format_string(f"{prefix}%0{width}d", F.col(key))

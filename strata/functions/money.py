@@ -25,6 +25,5 @@ def money_to_double(c: Column) -> Column:
 
 def safe_ratio(numerator: Column, denominator: Column, default: float | None = None) -> Column:
     """numerator / denominator as double; ``default`` (or NULL) when the denominator is 0."""
-    ratio = F.try_divide(numerator.cast("double"), denominator.cast("double"))
-    ratio = F.when(denominator == 0, F.lit(None).cast("double")).otherwise(ratio)
+    ratio = F.try_divide(numerator.cast("double"), denominator.cast("double"))  # NULL on a zero divisor
     return F.coalesce(ratio, F.lit(default).cast("double")) if default is not None else ratio

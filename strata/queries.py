@@ -21,7 +21,7 @@ from strata.operators.dedup import upsert
 from strata.plans import checks, gold, layers, metrics
 from strata.plans.silver import Silver, validate
 from strata.schemas import DATASETS
-from strata.session import scratch_path
+from strata.session import scratch_path, scratch_root
 from strata.sources import adapter, catalog, csv_files, evolution
 from strata.sources.sinks import append_partition, write_table
 from strata.streaming import events
@@ -362,7 +362,7 @@ def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("catalog_roundtrip")
 def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    catalog.create_schema(spark, "strata_catalog")
+    catalog.create_schema(spark, "strata_catalog", f"{scratch_root(spark)}/strata/catalog")
     table = f"strata_catalog.customers_{uuid.uuid4().hex[:12]}"
     catalog.save_as_table(raw_table(spark, sf_dir, "customers").drop(*UNSTABLE), table)
     return finalize(catalog.read_table(spark, table))

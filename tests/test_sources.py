@@ -78,3 +78,18 @@ def test_observed_write_and_history(spark, scratch):
 def test_session_info(spark):
     r = catalog.session_info(spark).first()
     assert r.catalog == "spark_catalog" and r.schemas >= 1
+
+
+def test_ingest_all_in_schema_order(spark, scratch):
+    from strata.queries import _source_rows
+    from strata.schemas import DATASETS
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver test data not present")
+    for name in DATASETS:
+        csv_files.write_csv(_source_rows(spark, sf, name), f"{scratch}/src/{name}.csv")
+    counts = csv_files.ingest_all_datasets(spark, f"{scratch}/src", f"{scratch}/raw", "b1")
+    assert list(counts) == list(DATASETS)
+    for name, n in counts.items():
+        assert n == _source_rows(spark, sf, name).count()
