@@ -21,8 +21,19 @@ from strata.schemas import DATASETS
 TEXT = StringType()
 
 
+def measures(df: DataFrame, named: dict[str, Column], value_type: str = "bigint") -> DataFrame:
+    """All measures of one frame in a single aggregate (one scan), stacked as
+    (check_name, value) rows."""
+    names = list(named)
+    row = df.agg(*[named[n].cast(value_type).alias(f"_m{i}") for i, n in enumerate(names)])
+    stacked = F.explode(
+        F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"_m{i}").alias("value")) for i, n in enumerate(names)])
+    )
+    return row.select(stacked.alias("_s")).select("_s.check_name", "_s.value")
+
+
 def _one(df: DataFrame, name: str, value: Column) -> DataFrame:
-    return df.agg(value.cast("bigint").alias("value")).select(F.lit(name).alias("check_name"), "value")
+    return measures(df, {name: value})
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -36,9 +47,29 @@ def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 
 def integrity_report(raw: dict[str, DataFrame]) -> DataFrame:
-    """Row counts, referential orphans and injected-fault counts of the raw tables."""
+    """Row counts, referential orphans and injected-fault counts of the raw tables.
+
+    Each table is scanned once for its own measures; each orphan check is one
+    pre-aggregated anti join.
+    """
     c, p, o, i, pay, s = (raw[n] for n in ("customers", "products", "orders", "order_items", "payments", "shipments"))
-    parts = [_one(raw[n], f"{n}_rows", F.count(F.lit(1))) for n in DATASETS]
+    rows = F.count(F.lit(1))
+    parts = [
+        measures(c, {"customers_rows": rows, "blank_customer_emails": F.count_if(is_missing("email", TEXT))}),
+        measures(p, {"products_rows": rows}),
+        measures(
+            o, {"orders_rows": rows, "cancelled_orders": F.count_if(F.col("order_status") == "cancelled")}
+        ),
+        measures(
+            i,
+            {
+                "order_items_rows": rows,
+                "items_non_positive_quantity": F.count_if(F.coalesce(F.col("quantity") <= 0, F.lit(True))),
+            },
+        ),
+        measures(pay, {"payments_rows": rows}),
+        measures(s, {"shipments_rows": rows}),
+    ]
     for name, child, parent, key in (
         ("orders_without_customer", o, c, "customer_id"),
         ("items_without_order", i, o, "order_id"),
@@ -47,16 +78,11 @@ def integrity_report(raw: dict[str, DataFrame]) -> DataFrame:
         ("shipments_without_order", s, o, "order_id"),
     ):
         parts.append(_one(orphan_rows(child, parent, key), name, F.coalesce(F.sum("_rows"), F.lit(0))))
-    parts.append(
-        _one(c, "blank_customer_emails", F.count_if(is_missing("email", TEXT)))
-    )
-    parts.append(_one(i, "items_non_positive_quantity", F.count_if(F.coalesce(F.col("quantity") <= 0, F.lit(True)))))
     cancelled = o.where(F.col("order_status") == "cancelled")
-    parts.append(_one(cancelled, "cancelled_orders", F.count(F.lit(1))))
     parts.append(
-        _one(cancelled.join(s.select("order_id"), "order_id", "left_semi"), "cancelled_with_shipment", F.count(F.lit(1)))
+        _one(cancelled.join(s.select("order_id"), "order_id", "left_semi"), "cancelled_with_shipment", rows)
     )
-    parts.append(_one(o.join(i.select("order_id"), "order_id", "left_anti"), "orders_without_items", F.count(F.lit(1))))
+    parts.append(_one(o.join(i.select("order_id"), "order_id", "left_anti"), "orders_without_items", rows))
     return _union(parts)
 
 
@@ -66,23 +92,43 @@ def cancelled_with_items(orders: DataFrame, order_items: DataFrame) -> DataFrame
     return cancelled.intersect(order_items.select("order_id"))
 
 
-def reconcile(pairs: list[tuple[str, DataFrame, Column, DataFrame, Column]], tolerance: float = 0.0) -> DataFrame:
-    """Each pair (name, left frame, left aggregate, right frame, right aggregate)
-    becomes one row: check_name, left_value, right_value, ok.
+def reconcile(
+    frames: dict[str, tuple[DataFrame, dict[str, Column]]],
+    pairs: list[tuple[str, str, str]],
+    tolerance: float = 0.0,
+) -> DataFrame:
+    """Compare measures that should agree: one row per (check_name, left, right).
 
-    Both sides are one-row aggregates stacked as (name, side, value) rows and
-    folded with a group-by, so no join is needed to put them side by side.
+    ``frames`` maps a frame label to (frame, {measure: aggregate}); each frame
+    is aggregated once. ``pairs`` are (check_name, left measure, right
+    measure). The measure rows are folded into one row by a global aggregate,
+    so no join is needed to put the two sides next to each other.
     """
-    sides = []
-    for name, ldf, lagg, rdf, ragg in pairs:
-        sides.append(ldf.agg(lagg.cast("double").alias("v")).select(F.lit(name).alias("check_name"), F.lit(0).alias("side"), "v"))
-        sides.append(rdf.agg(ragg.cast("double").alias("v")).select(F.lit(name).alias("check_name"), F.lit(1).alias("side"), "v"))
-    folded = _union(sides).groupBy("check_name").agg(
-        F.max(F.when(F.col("side") == 0, F.col("v"))).alias("left_value"),
-        F.max(F.when(F.col("side") == 1, F.col("v"))).alias("right_value"),
+    values = _union([measures(df, named, "double") for df, named in frames.values()])
+    names = sorted({m for _, named in frames.values() for m in named})
+    # one row, one column per measure (a handful of rows folded by a global aggregate)
+    wide = values.agg(*[F.max(F.when(F.col("check_name") == n, F.col("value"))).alias(n) for n in names])
+    stacked = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(check).alias("check_name"), F.col(l).alias("left_value"), F.col(r).alias("right_value"))
+                for check, l, r in pairs
+            ]
+        )
     )
+    out = wide.select(stacked.alias("_p")).select("_p.*")
     ok = F.coalesce(F.abs(F.col("left_value") - F.col("right_value")) <= F.lit(tolerance), F.lit(False))
-    return folded.withColumn("ok", ok)
+    return out.withColumn("ok", ok)
+
+
+def fold(values: DataFrame, names: list[str], outputs: dict[str, Column]) -> DataFrame:
+    """(check_name, value) rows named ``names`` -> one row with a column per
+    name -> the ``outputs`` expressions over those columns, stacked as rows."""
+    wide = values.agg(*[F.max(F.when(F.col("check_name") == n, F.col("value"))).alias(n) for n in names])
+    stacked = F.explode(
+        F.array(*[F.struct(F.lit(k).alias("check_name"), v.cast("bigint").alias("value")) for k, v in outputs.items()])
+    )
+    return wide.select(stacked.alias("_s")).select("_s.check_name", "_s.value")
 
 
 def layer_checks(
@@ -94,33 +140,62 @@ def layer_checks(
     customer_revenue: DataFrame,
     category_revenue: DataFrame,
 ) -> DataFrame:
-    """Postconditions of each layer; every value is a violation count (0 = pass)."""
+    """Postconditions of each layer; every value is a violation count (0 = pass).
+
+    Every frame is aggregated once for all of its checks.
+    """
+    rows = F.count(F.lit(1))
     parts = []
+    conserved = []
+    for name, df in raw.items():
+        named = {
+            f"{name}_extra_batch_ids": F.greatest(F.count_distinct("_batch_id") - 1, F.lit(0)),
+            f"{name}_missing_source_file": F.count_if(is_missing("_source_file", TEXT)),
+        }
+        if name in source_counts:
+            named[f"{name}_raw_rows"] = rows
+        stacked = measures(df, named)
+        if name in source_counts:
+            conserved.append(stacked.where(F.col("check_name") == f"{name}_raw_rows"))
+            stacked = stacked.where(F.col("check_name") != f"{name}_raw_rows")
+        parts.append(stacked)
     for name, src in source_counts.items():
-        n_raw = raw[name].agg(F.count(F.lit(1)).alias("n"))
-        n_src = src.agg(F.count(F.lit(1)).alias("n"))
-        parts.append(
-            _union([n_raw.select("n"), n_src.select((-F.col("n")).alias("n"))])
-            .agg(F.abs(F.sum("n")).alias("value"))
-            .select(F.lit(f"{name}_rows_lost_or_added").alias("check_name"), F.col("value").cast("bigint"))
+        conserved.append(measures(src, {f"{name}_source_rows": rows}))
+    parts.append(
+        fold(
+            _union(conserved),
+            [f"{n}_{k}_rows" for n in source_counts for k in ("raw", "source")],
+            {
+                f"{n}_rows_lost_or_added": F.abs(F.col(f"{n}_raw_rows") - F.col(f"{n}_source_rows"))
+                for n in source_counts
+            },
         )
-    for name, df in raw.items():
-        parts.append(_one(df, f"{name}_extra_batch_ids", F.greatest(F.count_distinct("_batch_id") - 1, F.lit(0))))
-        parts.append(_one(df, f"{name}_missing_source_file", F.count_if(is_missing("_source_file", TEXT))))
-    c = silver["customers"]
-    parts.append(_one(c, "silver_blank_emails", F.count_if(is_missing("email", TEXT))))
-    parts.append(_one(silver["order_items"], "silver_bad_quantity", F.count_if(F.coalesce(F.col("quantity") <= 0, F.lit(True)))))
+    )
+    parts.append(measures(silver["customers"], {"silver_blank_emails": F.count_if(is_missing("email", TEXT))}))
+    parts.append(
+        measures(
+            silver["order_items"],
+            {"silver_bad_quantity": F.count_if(F.coalesce(F.col("quantity") <= 0, F.lit(True)))},
+        )
+    )
     for name, df in rejected.items():
-        parts.append(_one(df, f"rejected_{name}_without_reason", F.count_if(is_missing("_dq_reason", TEXT))))
-    overlap = c.select("customer_id").intersect(rejected["customers"].select("customer_id"))
-    parts.append(_one(overlap, "customers_valid_and_rejected", F.count(F.lit(1))))
+        parts.append(measures(df, {f"rejected_{name}_without_reason": F.count_if(is_missing("_dq_reason", TEXT))}))
+    overlap = silver["customers"].select("customer_id").intersect(rejected["customers"].select("customer_id"))
+    parts.append(_one(overlap, "customers_valid_and_rejected", rows))
     parts.append(
-        _one(order_revenue, "gold_status_outside_set", F.count_if(~F.coalesce(F.col("order_status").isin(*VALID_ORDER_STATUSES), F.lit(False))))
+        measures(
+            order_revenue,
+            {
+                "gold_status_outside_set": F.count_if(
+                    ~F.coalesce(F.col("order_status").isin(*VALID_ORDER_STATUSES), F.lit(False))
+                ),
+                "gold_non_positive_revenue": F.count_if(F.coalesce(F.col("order_revenue") <= 0, F.lit(True))),
+            },
+        )
     )
-    parts.append(_one(order_revenue, "gold_non_positive_revenue", F.count_if(F.coalesce(F.col("order_revenue") <= 0, F.lit(True)))))
-    parts.append(_one(customer_revenue, "gold_blank_emails", F.count_if(is_missing("email", TEXT))))
+    parts.append(measures(customer_revenue, {"gold_blank_emails": F.count_if(is_missing("email", TEXT))}))
     cats = silver["products"].select("category").distinct()
     mart_cats = category_revenue.select("category")
-    parts.append(_one(cats.exceptAll(mart_cats), "categories_missing_in_mart", F.count(F.lit(1))))
-    parts.append(_one(mart_cats.exceptAll(cats), "categories_unknown_in_mart", F.count(F.lit(1))))
+    parts.append(_one(cats.exceptAll(mart_cats), "categories_missing_in_mart", rows))
+    parts.append(_one(mart_cats.exceptAll(cats), "categories_unknown_in_mart", rows))
     return _union(parts)

@@ -11,9 +11,11 @@ def test_orphans_include_null_keys(spark):
 
 
 def test_reconcile_folds_without_join(spark):
+    # sums that agree, counts that do not
     a = spark.createDataFrame([(1.0,), (2.0,)], "x double")
     b = spark.createDataFrame([(3.0,)], "y double")
-    out = checks.reconcile([("sum", a, F.sum("x"), b, F.sum("y")), ("bad", a, F.count("x"), b, F.count("y"))]).collect()
+    frames = {"a": (a, {"sx": F.sum("x"), "nx": F.count("x")}), "b": (b, {"sy": F.sum("y"), "ny": F.count("y")})}
+    out = checks.reconcile(frames, [("sum", "sx", "sy"), ("bad", "nx", "ny")]).collect()
     got = {r.check_name: (r.left_value, r.right_value, r.ok) for r in out}
     assert got == {"sum": (3.0, 3.0, True), "bad": (2.0, 1.0, False)}
 
