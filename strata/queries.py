@@ -412,8 +412,8 @@ def layer_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("run_log")
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = layers.LayerPaths(scratch_path(spark, "runlog"))
-    layers.run_raw(spark, sf_dir, paths)
-    return layers.run_silver(spark, paths).drop("processed_at")
+    raw_counts = layers.run_raw(spark, sf_dir, paths)
+    return layers.run_silver(spark, paths, raw_counts=raw_counts).drop("processed_at")
 
 
 # ---------------------------------------------------------------- streaming

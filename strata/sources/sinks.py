@@ -32,7 +32,11 @@ def write_observed(
     partition_by: list[str] | None = None,
     extra: dict[str, Column] | None = None,
 ) -> dict[str, int]:
-    """Overwrite ``path`` and return ``rows`` (+ ``extra`` aggregates) from the same job."""
+    """Overwrite ``path`` and return ``rows`` (+ ``extra`` aggregates) from the same job.
+
+    The observation sits directly under the write, i.e. in the job's result
+    stage, where Spark counts each task exactly once even if tasks re-run.
+    """
     obs = Observation(f"{label}_{uuid.uuid4().hex[:8]}")
     metrics = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in (extra or {}).items()]
     write_table(df.observe(obs, *metrics), path, fmt, partition_by)
