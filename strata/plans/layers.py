@@ -11,10 +11,17 @@ counts come from ``Observation`` during the writes (no extra scans).
 * marts: the order mart and the product mart are written first and read
   back, so the customer mart, the KPIs and the category mart reuse them
   instead of recomputing them.
+
+With ``buckets`` > 0 the validated customers, orders and order lines are
+written as catalog tables bucketed on the key the marts join or group on
+(``BUCKET_KEYS``); the per-order totals, the orders-to-totals join and the
+order check of the product mart then read them without shuffling the two
+largest tables again. The catalog schema lives in the run's folder.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +35,31 @@ from strata.operators.quality import split_by_quality
 from strata.plans import gold
 from strata.schemas import DATASETS, QUALITY_METRICS
 from strata.sources.adapter import raw_table
-from strata.sources.sinks import write_observed, write_table
+from strata.sources.catalog import create_schema
+from strata.sources.sinks import write_bucketed_observed, write_observed, write_table
 
 MARTS = ("order_revenue", "product_revenue", "category_revenue", "customer_revenue", "business_kpis")
 
+# validated tables the marts join or group on, and that key
+BUCKET_KEYS = {"customers": "customer_id", "orders": "order_id", "order_items": "order_id"}
+
 
 @dataclass(frozen=True)
 class LayerPaths:
     root: str
+    buckets: int = 0
+
+    @property
+    def database(self) -> str:
+        return "strata_run_" + hashlib.sha1(self.root.encode()).hexdigest()[:12]
+
+    def silver_table(self, name: str) -> str:
+        return f"{self.database}.silver_{name}"
+
+    def read_silver(self, spark: SparkSession, name: str, fmt: str = "parquet") -> DataFrame:
+        if self.buckets and name in BUCKET_KEYS:
+            return spark.table(self.silver_table(name))
+        return spark.read.format(fmt).load(self.silver(name))
 
     def raw(self, name: str) -> str:
         return f"{self.root}/raw/{name}"
@@ -78,10 +102,19 @@ def run_silver(
     count of the raw files.
     """
     rows = []
+    if paths.buckets:
+        create_schema(spark, paths.database, f"{paths.root}/catalog")
     for name in DATASETS:
         raw = spark.read.format(fmt).load(paths.raw(name))
         valid, rejected = split_by_quality(raw, name)
-        valid_rows = write_observed(dedup_dataset(valid, name), paths.silver(name), f"silver_{name}", fmt)["rows"]
+        deduped = dedup_dataset(valid, name)
+        if paths.buckets and name in BUCKET_KEYS:
+            valid_rows = write_bucketed_observed(
+                deduped, paths.silver(name), paths.silver_table(name), BUCKET_KEYS[name], paths.buckets,
+                f"silver_{name}", fmt,
+            )["rows"]
+        else:
+            valid_rows = write_observed(deduped, paths.silver(name), f"silver_{name}", fmt)["rows"]
         rejected_rows = 0
         if quality.rules_for(name):
             rejected_rows = write_observed(rejected, paths.rejected(name), f"rejected_{name}", fmt)["rows"]
@@ -112,7 +145,7 @@ def _input_rows(spark: SparkSession, raw: DataFrame, name: str, raw_counts: dict
 def run_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet") -> dict[str, int]:
     """The five marts from the validated tables; returns name -> rows in mart order."""
     read = lambda p: spark.read.format(fmt).load(p)
-    s = {n: read(paths.silver(n)) for n in ("customers", "products", "orders", "order_items")}
+    s = {n: paths.read_silver(spark, n, fmt) for n in ("customers", "products", "orders", "order_items")}
     hot = {
         "customer_id": hot_keys(s["orders"].select("customer_id"), ["customer_id"]),
         "order_id": hot_keys(s["order_items"].select("order_id"), ["order_id"]),
@@ -140,8 +173,13 @@ def run_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet") -> di
     return counts
 
 
-def run_all(spark: SparkSession, sf_dir: str, root: str, batch_id: str = DEFAULT_BATCH_ID) -> LayerPaths:
-    paths = LayerPaths(root)
+def run_all(
+    spark: SparkSession, sf_dir: str, root: str, batch_id: str = DEFAULT_BATCH_ID, buckets: int | None = None
+) -> LayerPaths:
+    """All three layers. ``buckets`` defaults to ``spark.sql.shuffle.partitions``; 0 writes plain files."""
+    if buckets is None:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    paths = LayerPaths(root, buckets)
     raw_counts = run_raw(spark, sf_dir, paths, batch_id)
     run_silver(spark, paths, batch_id, raw_counts=raw_counts)
     run_gold(spark, paths)

@@ -93,3 +93,25 @@ def test_ingest_all_in_schema_order(spark, scratch):
     assert list(counts) == list(DATASETS)
     for name, n in counts.items():
         assert n == _source_rows(spark, sf, name).count()
+
+
+def test_bucketed_layer_avoids_item_shuffles(spark, scratch):
+    from strata.plans import gold, layers
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver test data not present")
+    paths = layers.LayerPaths(f"{scratch}/run", buckets=4)
+    counts = layers.run_raw(spark, sf, paths)
+    layers.run_silver(spark, paths, raw_counts=counts)
+    s = {n: paths.read_silver(spark, n) for n in ("customers", "orders", "order_items")}
+    df = gold.order_revenue(s["orders"], s["order_items"], s["customers"])
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(order_id" not in plan
+    plain = layers.LayerPaths(f"{scratch}/plain")
+    layers.run_raw(spark, sf, plain)
+    layers.run_silver(spark, plain)
+    p = {n: plain.read_silver(spark, n) for n in ("customers", "orders", "order_items")}
+    expected = gold.order_revenue(p["orders"], p["order_items"], p["customers"])
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, expected.collect()))
