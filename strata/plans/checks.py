@@ -40,10 +40,19 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def keys_of(df: DataFrame, key: str) -> DataFrame:
+    """Distinct keys: the right side of a semi/anti join with one row per key.
+
+    The partial aggregation collapses a key repeated many times before the
+    shuffle, and the join reuses the aggregate's partitioning.
+    """
+    return df.select(key).distinct()
+
+
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows (counted) whose ``key`` has no parent row; NULL keys are orphans."""
     per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return per_key.join(parent.select(key), key, "left_anti")
+    return per_key.join(keys_of(parent, key), key, "left_anti")
 
 
 def integrity_report(raw: dict[str, DataFrame]) -> DataFrame:
@@ -80,16 +89,16 @@ def integrity_report(raw: dict[str, DataFrame]) -> DataFrame:
         parts.append(_one(orphan_rows(child, parent, key), name, F.coalesce(F.sum("_rows"), F.lit(0))))
     cancelled = o.where(F.col("order_status") == "cancelled")
     parts.append(
-        _one(cancelled.join(s.select("order_id"), "order_id", "left_semi"), "cancelled_with_shipment", rows)
+        _one(cancelled.join(keys_of(s, "order_id"), "order_id", "left_semi"), "cancelled_with_shipment", rows)
     )
-    parts.append(_one(o.join(i.select("order_id"), "order_id", "left_anti"), "orders_without_items", rows))
+    parts.append(_one(o.join(keys_of(i, "order_id"), "order_id", "left_anti"), "orders_without_items", rows))
     return _union(parts)
 
 
 def cancelled_with_items(orders: DataFrame, order_items: DataFrame) -> DataFrame:
     """Order ids that are cancelled yet have lines (set intersection)."""
     cancelled = orders.where(F.col("order_status") == "cancelled").select("order_id")
-    return cancelled.intersect(order_items.select("order_id"))
+    return cancelled.intersect(keys_of(order_items, "order_id"))
 
 
 def reconcile(

@@ -360,7 +360,7 @@ def upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(False).alias("deleted"),
     )
     orders_mart = _order_revenue(spark, sf_dir)
-    inactive = base.join(orders_mart.select("customer_id"), "customer_id", "left_anti").select(
+    inactive = base.join(checks.keys_of(orders_mart, "customer_id"), "customer_id", "left_anti").select(
         *cols, F.lit(2).alias("version"), F.lit(True).alias("deleted")
     )
     merged = upsert(base, repaired.unionByName(inactive), "customer_id", "version", "deleted")
@@ -419,8 +419,8 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- streaming
 
 
-def _event_source(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
-    """A landing folder with the events table (``copies`` identical files, to feed duplicates)."""
+def _event_source(spark: SparkSession, sf_dir: str, copies: int) -> str:
+    """A landing folder with ``copies`` identical copies of the events table (feeds duplicates)."""
     from strata.sources.driver import read_table
 
     land = scratch_path(spark, "events-landing")
@@ -433,9 +433,8 @@ def _event_source(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
 @query("stream_ingest_events")
 def stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-ingest")
-    source = _event_source(spark, sf_dir)
-    events.ingest(spark, source, f"{root}/out", f"{root}/checkpoint", DEFAULT_BATCH_ID)
-    return finalize(spark.read.parquet(f"{root}/out/valid").drop("epoch", "part"))
+    events.ingest(spark, sf_dir, f"{root}/out", f"{root}/checkpoint", DEFAULT_BATCH_ID, file_glob="events.parquet")
+    return finalize(spark.read.parquet(f"{root}/out/valid").drop("epoch"))
 
 
 @query("stream_dedup_events")
@@ -449,6 +448,5 @@ def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_daily_counts")
 def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-daily")
-    source = _event_source(spark, sf_dir)
-    events.daily_counts(spark, source, f"{root}/out", f"{root}/checkpoint")
+    events.daily_counts(spark, sf_dir, f"{root}/out", f"{root}/checkpoint", file_glob="events.parquet")
     return spark.read.parquet(f"{root}/out")
