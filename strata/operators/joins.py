@@ -28,7 +28,7 @@ skewed partition): no task of such an input can be skewed.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,8 +45,12 @@ def _conf_int(df: DataFrame, name: str, default: int) -> int:
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's planning-time size estimate of ``df`` (nothing is executed)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's planning-time size estimate of ``df`` (nothing is executed).
+
+    Taken from the analyzed plan: before column pruning it can only be larger
+    than the optimized estimate, so it errs towards salting.
+    """
+    return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -78,21 +82,24 @@ def skew_join(
     other: DataFrame,
     keys: str | Sequence[str],
     how: str = "inner",
-    hot: DataFrame | None = None,
+    hot: DataFrame | Callable[[], DataFrame] | None = None,
 ) -> DataFrame:
     """``fact.join(other, keys, how)`` with hot keys of ``fact`` salted.
 
     ``how`` is one that keeps the fact side's rows as the driving side:
     inner, left, left_semi or left_anti. ``hot`` is the output of
-    :func:`hot_keys`; pass one computed from the *raw* source of ``fact``
-    (a sampled scan of one column) when ``fact`` is an expensive derived
-    plan, so that detection does not recompute it.
+    :func:`hot_keys` (or a function building it, called only when salting
+    is needed); pass one computed from the *raw* source of ``fact`` (a
+    sampled scan of one column) when ``fact`` is an expensive derived plan,
+    so that detection does not recompute it.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"skew_join does not support how={how!r}")
     if estimated_bytes(fact) < _conf_int(fact, MIN_FACT_BYTES, 256 * 1024 * 1024):
         return fact.join(other, keys, how)
+    if callable(hot):
+        hot = hot()
     hot = F.broadcast(hot if hot is not None else hot_keys(fact, keys))
     row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
     salted_fact = (

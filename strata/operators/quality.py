@@ -82,13 +82,9 @@ def flag(df: DataFrame, dataset: str) -> DataFrame:
 
 def split_by_quality(df: DataFrame, dataset: str) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected); rejected rows get ``_dq_reason``."""
-    flagged = flag(df, dataset)
-    valid = flagged.where(~F.col(REJECTED_FLAG)).drop(REJECTED_FLAG)
-    rejected = (
-        flagged.where(F.col(REJECTED_FLAG))
-        .drop(REJECTED_FLAG)
-        .withColumn(REASON, F.lit(REASONS.get(dataset, "rejected")))
-    )
+    bad = rejected_flag(rules_for(dataset))
+    valid = df.where(~bad)
+    rejected = df.where(bad).withColumn(REASON, F.lit(REASONS.get(dataset, "rejected")))
     return valid, rejected
 
 

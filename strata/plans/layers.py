@@ -147,8 +147,8 @@ def run_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet") -> di
     read = lambda p: spark.read.format(fmt).load(p)
     s = {n: paths.read_silver(spark, n, fmt) for n in ("customers", "products", "orders", "order_items")}
     hot = {
-        "customer_id": hot_keys(s["orders"].select("customer_id"), ["customer_id"]),
-        "order_id": hot_keys(s["order_items"].select("order_id"), ["order_id"]),
+        "customer_id": lambda: hot_keys(s["orders"].select("customer_id"), ["customer_id"]),
+        "order_id": lambda: hot_keys(s["order_items"].select("order_id"), ["order_id"]),
     }
     counts = {}
     counts["order_revenue"] = write_observed(

@@ -129,7 +129,7 @@ def fact_order_items(
     customers: DataFrame,
     products: DataFrame,
     states: DataFrame,
-    hot: dict[str, DataFrame] | None = None,
+    hot: dict | None = None,
 ) -> DataFrame:
     """Item-grain fact with order, customer, region and product columns.
 

@@ -6,6 +6,8 @@ go through dedup. Lineage columns pass through unchanged.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.ids import DEFAULT_BATCH_ID
@@ -40,10 +42,10 @@ class Silver:
             raise AttributeError(dataset)
         return silver_table(self.spark, self.sf_dir, dataset, self.batch_id)
 
-    def hot(self, dataset: str, key: str) -> DataFrame:
-        """Hot values of ``key`` from a sampled scan of the raw column only."""
-        return hot_keys(raw_table(self.spark, self.sf_dir, dataset, self.batch_id).select(key), [key])
+    def hot(self, dataset: str, key: str) -> Callable[[], DataFrame]:
+        """Builds, when called, the hot values of ``key`` from a sampled scan of the raw column only."""
+        return lambda: hot_keys(raw_table(self.spark, self.sf_dir, dataset, self.batch_id).select(key), [key])
 
-    def mart_hot_keys(self) -> dict[str, DataFrame]:
+    def mart_hot_keys(self) -> dict[str, Callable[[], DataFrame]]:
         """Hot customers (in orders) and hot orders (in order lines) for the marts."""
         return {"customer_id": self.hot("orders", "customer_id"), "order_id": self.hot("order_items", "order_id")}
