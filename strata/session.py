@@ -7,6 +7,7 @@ Nothing here creates a session for library code; the caller passes one in.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -36,9 +37,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/strata/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def use_utc(spark: SparkSession) -> None:
-    """The layers define day and month boundaries in UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+@contextmanager
+def utc(spark: SparkSession):
+    """Run a block with the session time zone set to UTC, then restore it.
+
+    Day windows over event time are defined in UTC; the time zone is bound
+    when a plan is analyzed and when a stream starts (streams clone the
+    session), so the block must cover both.
+    """
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "UTC")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:

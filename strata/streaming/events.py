@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from strata.functions.predicates import is_missing, total
-from strata.session import use_utc
+from strata.session import utc
 
 EVENTS_SCHEMA = StructType(
     [
@@ -56,8 +56,7 @@ def rejected_event() -> Column:
 
 
 def read_event_stream(spark: SparkSession, source_dir: str, file_glob: str = "*.parquet", max_files: int = 1) -> DataFrame:
-    """File stream of event Parquet files; ``ts`` as an event-time timestamp."""
-    use_utc(spark)
+    """File stream of event Parquet files; ``ts`` as an event-time timestamp (read as UTC)."""
     return (
         spark.readStream.schema(EVENTS_SCHEMA)
         .option("pathGlobFilter", file_glob)
@@ -75,6 +74,11 @@ def _run(writer) -> None:
 
 
 def ingest(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, batch_id: str, file_glob: str = "*.parquet") -> None:
+    with utc(spark):
+        _ingest(spark, source_dir, out_dir, checkpoint, batch_id, file_glob)
+
+
+def _ingest(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, batch_id: str, file_glob: str) -> None:
     stream = read_event_stream(spark, source_dir, file_glob).drop("event_time").withColumns(
         {
             "_ingestion_timestamp": F.current_timestamp(),
@@ -94,6 +98,11 @@ def ingest(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str,
 
 
 def dedup(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, file_glob: str = "*.parquet") -> None:
+    with utc(spark):
+        _dedup(spark, source_dir, out_dir, checkpoint, file_glob)
+
+
+def _dedup(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, file_glob: str) -> None:
     stream = (
         read_event_stream(spark, source_dir, file_glob)
         .withWatermark("event_time", WATERMARK)
@@ -104,6 +113,11 @@ def dedup(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, f
 
 
 def daily_counts(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, file_glob: str = "*.parquet") -> None:
+    with utc(spark):
+        _daily_counts(spark, source_dir, out_dir, checkpoint, file_glob)
+
+
+def _daily_counts(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, file_glob: str) -> None:
     counts = (
         read_event_stream(spark, source_dir, file_glob)
         .withWatermark("event_time", WATERMARK)

@@ -38,3 +38,17 @@ def test_daily_counts(spark, scratch):
     events.daily_counts(spark, src, f"{scratch}/out", f"{scratch}/ckpt")
     got = sorted((str(r.day), r.event_type, r.n) for r in spark.read.parquet(f"{scratch}/out").collect())
     assert got == [("2024-01-01", "click", 1), ("2024-01-01", "view", 1), ("2024-01-02", "click", 1)]
+
+
+def test_session_time_zone_is_restored(spark, scratch):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        src = f"{scratch}/landing"
+        land(spark, f"{src}/f=1", [ev(1, 0), ev(2, 60 * 23 + 30)])
+        events.daily_counts(spark, src, f"{scratch}/out", f"{scratch}/ckpt")
+        got = sorted((str(r.day), r.n) for r in spark.read.parquet(f"{scratch}/out").collect())
+        assert got == [("2024-01-01", 2)]  # days are UTC days of the event time
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/Sao_Paulo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
