@@ -19,6 +19,18 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
+def list_catalogs(spark: SparkSession) -> DataFrame:
+    return spark.sql("SHOW CATALOGS")
+
+
+def list_schemas(spark: SparkSession, catalog: str | None = None) -> DataFrame:
+    return spark.sql(f"SHOW SCHEMAS IN {catalog}" if catalog else "SHOW SCHEMAS")
+
+
+def current_location(spark: SparkSession) -> DataFrame:
+    return spark.sql("SELECT current_catalog() AS current_catalog, current_schema() AS current_schema")
+
+
 def session_info(spark: SparkSession) -> DataFrame:
     """One row: current user, catalog and schema, and the number of visible schemas."""
     n_schemas = len(spark.catalog.listDatabases())

@@ -115,3 +115,27 @@ def test_bucketed_layer_avoids_item_shuffles(spark, scratch):
     p = {n: plain.read_silver(spark, n) for n in ("customers", "orders", "order_items")}
     expected = gold.order_revenue(p["orders"], p["order_items"], p["customers"])
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_local_rows_range_and_catalog_listing(spark, scratch):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    from strata.sources import local_rows
+
+    assert local_rows.stamped_range(spark, 1, 6).count() == 5
+    schema = StructType(
+        [
+            StructField("customer_id", IntegerType(), False),
+            StructField("full_name", StringType(), False),
+            StructField("email", StringType(), True),
+        ]
+    )
+    catalog.create_schema(spark, "strata_local_test", f"{scratch}/db")
+    rows = [(1, "A", "a@x"), (2, "B", None)]
+    got = local_rows.load_rows_to_table(spark, rows, schema, "strata_local_test.customers")
+    assert sorted(r.customer_id for r in got.collect()) == [1, 2] and "_ingestion_timestamp" in got.columns
+    with pytest.raises(Exception):
+        local_rows.rows_with_schema(spark, [(None, "x", None)], schema).collect()
+    assert "spark_catalog" in [r[0] for r in catalog.list_catalogs(spark).collect()]
+    assert "strata_local_test" in [r[0] for r in catalog.list_schemas(spark).collect()]
+    assert catalog.current_location(spark).first().current_catalog == "spark_catalog"
