@@ -52,7 +52,8 @@ def test_salted_queries_match_oracle(spark, force_salting, name):
     """With a tiny hot-key threshold the join-heavy queries take the salted path on real data."""
     from compare import compare
 
-    df = queries()[name](spark, SF)
-    assert "_salt" in df._jdf.queryExecution().optimizedPlan().toString()
+    if name != "upsert_customers":  # that one returns a read-back of files it wrote
+        df = queries()[name](spark, SF)
+        assert "_salt" in df._jdf.queryExecution().optimizedPlan().toString()
     res = compare(spark, SF, [name])[name]
     assert res["values_ok"], res
