@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from strata.schemas import DATASETS
 
@@ -45,7 +46,8 @@ def upsert(
     """MERGE semantics without a transactional table format.
 
     The latest row per key (highest ``version``; a change wins over the base
-    on ties) replaces the older ones; a latest row whose ``delete_flag`` is
+    on ties, and equal changes are ordered by their other columns) replaces
+    the older ones; a latest row whose ``delete_flag`` is
     true removes the key. The caller writes the result to a *new* location.
     """
     tagged_base = base.withColumn("_src_rank", F.lit(0))
@@ -53,10 +55,16 @@ def upsert(
     if delete_flag is not None and delete_flag not in base.columns:
         tagged_base = tagged_base.withColumn(delete_flag, F.lit(False))
     both = tagged_base.unionByName(tagged_changes, allowMissingColumns=True)
+    # remaining (orderable) columns make ties between equal versions deterministic
+    rest = [
+        F.col(f.name).asc_nulls_first()
+        for f in both.schema.fields
+        if f.name not in (key, version, "_src_rank") and not isinstance(f.dataType, MapType)
+    ]
     latest = dedup_by_key(
         both,
         key,
-        [F.col(version).desc_nulls_last(), F.col("_src_rank").desc()],
+        [F.col(version).desc_nulls_last(), F.col("_src_rank").desc(), *rest],
     ).drop("_src_rank")
     if delete_flag is not None:
         latest = latest.where(~F.coalesce(F.col(delete_flag), F.lit(False))).drop(delete_flag)

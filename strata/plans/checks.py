@@ -16,7 +16,6 @@ from pyspark.sql.types import StringType
 
 from strata.functions.predicates import is_missing
 from strata.plans.gold import VALID_ORDER_STATUSES
-from strata.schemas import DATASETS
 
 TEXT = StringType()
 

@@ -30,3 +30,9 @@ def test_upsert_change_wins_tie(spark):
     base = spark.createDataFrame([(1, "a", 1)], "id int, name string, version int")
     changes = spark.createDataFrame([(1, "a-new", 1)], "id int, name string, version int")
     assert upsert(base, changes, "id", "version").first().name == "a-new"
+
+
+def test_upsert_equal_versions_are_deterministic(spark):
+    base = spark.createDataFrame([(1, "a", 1)], "id int, name string, version int")
+    changes = spark.createDataFrame([(1, "z", 2), (1, "b", 2)], "id int, name string, version int")
+    assert upsert(base, changes, "id", "version").first().name == "b"
