@@ -19,10 +19,10 @@ task. ``skew_join`` splits such hot keys over many tasks:
 
 Rows with a NULL key never match, so they are never hot.
 
-Salting is skipped when Catalyst's size estimate of the fact side (known at
-planning time, an upper bound for joins and aggregates) is below
-``strata.skew.minFactBytes`` (default 256 MB, AQE's own threshold for a
-skewed partition): no task of such an input can be skewed.
+Salting is skipped when the fact side's inputs (the planning-time size
+estimates of the relations it reads) are below ``strata.skew.minFactBytes``
+(default 256 MB, AQE's own threshold for a skewed partition): no task of
+such an input can be skewed.
 """
 
 from __future__ import annotations
@@ -45,12 +45,19 @@ def _conf_int(df: DataFrame, name: str, default: int) -> int:
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's planning-time size estimate of ``df`` (nothing is executed).
+    """Planning-time bound on the input of ``df``: the summed size estimates of
+    the relations it reads (nothing is executed).
 
-    Taken from the analyzed plan: before column pruning it can only be larger
-    than the optimized estimate, so it errs towards salting.
+    File relations report their file bytes; inputs of unknown size (local
+    rows, RDDs) report Spark's default, which is huge, so they always count
+    as large. Catalyst's own estimate of a join is the product of its sides,
+    far above any real output, so the leaves are summed instead.
     """
-    return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves().iterator()
+    total = 0
+    while leaves.hasNext():
+        total += int(str(leaves.next().stats().sizeInBytes()))
+    return total
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
