@@ -11,8 +11,9 @@ shared scratch root.
   replayed epoch rewrites its own output instead of duplicating it.
 * ``dedup``: ``dropDuplicatesWithinWatermark`` on ``event_id``; state is
   bounded by the watermark.
-* ``daily_counts``: tumbling one-day windows per event type; the complete
-  result is rewritten each epoch (complete mode through ``foreachBatch``).
+* ``daily_counts``: tumbling one-day windows per event type; either the
+  complete result is rewritten each epoch (complete mode through
+  ``foreachBatch``), or closed days are appended and late rows dropped.
 """
 
 from __future__ import annotations
@@ -112,12 +113,29 @@ def _dedup(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str,
     _run(stream.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint).outputMode("append"))
 
 
-def daily_counts(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, file_glob: str = "*.parquet") -> None:
+def daily_counts(
+    spark: SparkSession,
+    source_dir: str,
+    out_dir: str,
+    checkpoint: str,
+    file_glob: str = "*.parquet",
+    mode: str = "complete",
+) -> None:
+    """Events per (UTC day, event type).
+
+    ``complete``: the whole result is rewritten each epoch and equals the
+    batch answer (late rows are kept, and no state is freed). ``append``: a
+    day is written once the watermark passes its end, rows older than the
+    previous micro-batch's watermark are dropped as late, and the state of
+    closed days is freed.
+    """
+    if mode not in ("complete", "append"):
+        raise ValueError(f"unsupported mode {mode!r}")
     with utc(spark):
-        _daily_counts(spark, source_dir, out_dir, checkpoint, file_glob)
+        _daily_counts(spark, source_dir, out_dir, checkpoint, file_glob, mode)
 
 
-def _daily_counts(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, file_glob: str) -> None:
+def _daily_counts(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, file_glob: str, mode: str) -> None:
     counts = (
         read_event_stream(spark, source_dir, file_glob)
         .withWatermark("event_time", WATERMARK)
@@ -125,6 +143,14 @@ def _daily_counts(spark: SparkSession, source_dir: str, out_dir: str, checkpoint
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.to_date(F.col("w.start")).alias("day"), "event_type", "n")
     )
+    if mode == "append":
+        _run(
+            counts.writeStream.outputMode("append")
+            .format("parquet")
+            .option("path", out_dir)
+            .option("checkpointLocation", checkpoint)
+        )
+        return
 
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out_dir)

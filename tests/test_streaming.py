@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 from strata.streaming import events
 from strata.streaming.events import EVENTS_SCHEMA
@@ -6,6 +7,7 @@ from strata.streaming.events import EVENTS_SCHEMA
 
 def land(spark, path, rows):
     spark.createDataFrame(rows, EVENTS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+    time.sleep(0.05)  # distinct modification times: files are taken oldest first
 
 
 def ev(i, minute, etype="click"):
@@ -52,3 +54,17 @@ def test_session_time_zone_is_restored(spark, scratch):
         assert spark.conf.get("spark.sql.session.timeZone") == "America/Sao_Paulo"
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_daily_counts_append_drops_late_rows(spark, scratch):
+    # Late rows are judged against the previous micro-batch's watermark
+    # (Spark's model for stateful operators), so the late row comes third.
+    src = f"{scratch}/landing"
+    day2 = 60 * 24
+    land(spark, f"{src}/f=1", [ev(1, 10), ev(2, 20), ev(3, day2 + 360)])  # watermark -> day 2, 05:00
+    land(spark, f"{src}/f=2", [ev(5, day2 + 400)])
+    land(spark, f"{src}/f=3", [ev(4, 30), ev(6, 3 * day2 + 120)])  # 4 is late for day 1: dropped
+    events.daily_counts(spark, src, f"{scratch}/out", f"{scratch}/ckpt", mode="append")
+    got = dict((str(r.day), r.n) for r in spark.read.parquet(f"{scratch}/out").collect())
+    assert got["2024-01-01"] == 2
+    assert got.get("2024-01-02", 2) == 2
