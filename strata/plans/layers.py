@@ -173,14 +173,33 @@ def run_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet") -> di
     return counts
 
 
+def bytes_on_disk(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
+def bucket_count(spark: SparkSession, largest_table_bytes: int) -> int:
+    """About one bucket per ``spark.sql.files.maxPartitionBytes`` of the largest
+    bucketed table, at least the default parallelism, at most the shuffle
+    partitions (so bucketed scans and shuffled sides line up)."""
+    target = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    by_size = -(-largest_table_bytes // max(1, int(target)))
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(shuffle, max(spark.sparkContext.defaultParallelism, by_size)))
+
+
 def run_all(
     spark: SparkSession, sf_dir: str, root: str, batch_id: str = DEFAULT_BATCH_ID, buckets: int | None = None
 ) -> LayerPaths:
-    """All three layers. ``buckets`` defaults to ``spark.sql.shuffle.partitions``; 0 writes plain files."""
+    """All three layers. ``buckets`` defaults to :func:`bucket_count` of the raw
+    order lines; 0 writes the validated tables as plain files."""
+    raw_paths = LayerPaths(root)
+    raw_counts = run_raw(spark, sf_dir, raw_paths, batch_id)
     if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = bucket_count(spark, bytes_on_disk(spark, raw_paths.raw("order_items")))
     paths = LayerPaths(root, buckets)
-    raw_counts = run_raw(spark, sf_dir, paths, batch_id)
     run_silver(spark, paths, batch_id, raw_counts=raw_counts)
     run_gold(spark, paths)
     return paths

@@ -139,3 +139,11 @@ def test_local_rows_range_and_catalog_listing(spark, scratch):
     assert "spark_catalog" in [r[0] for r in catalog.list_catalogs(spark).collect()]
     assert "strata_local_test" in [r[0] for r in catalog.list_schemas(spark).collect()]
     assert catalog.current_location(spark).first().current_catalog == "spark_catalog"
+
+
+def test_overwrite_replaces_table_schema(spark, scratch):
+    catalog.create_schema(spark, "strata_schema_test", f"{scratch}/db2")
+    catalog.save_as_table(spark.range(3).selectExpr("id", "'x' AS a"), "strata_schema_test.t")
+    catalog.save_as_table(spark.range(2).selectExpr("id", "1.5 AS b", "true AS c"), "strata_schema_test.t")
+    t = catalog.read_table(spark, "strata_schema_test.t")
+    assert t.columns == ["id", "b", "c"] and t.count() == 2
