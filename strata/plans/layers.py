@@ -22,7 +22,10 @@ largest tables again. The catalog schema lives in the run's folder.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +41,8 @@ from strata.sources.adapter import raw_table
 from strata.sources.catalog import create_schema
 from strata.sources.sinks import write_bucketed_observed, write_observed, write_table
 
+T = TypeVar("T")
+
 MARTS = ("order_revenue", "product_revenue", "category_revenue", "customer_revenue", "business_kpis")
 
 # validated tables the marts join or group on, and that key
@@ -78,11 +83,25 @@ class LayerPaths:
         return f"{self.root}/quality"
 
 
+def concurrently(jobs: dict[str, Callable[[], T]], max_parallel: int = 6) -> dict[str, T]:
+    """Run independent Spark jobs from driver threads; results keep the key order.
+
+    The scheduler interleaves their tasks, so small tables finish next to
+    large ones instead of after them. The first failure is raised.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(jobs)))) as pool:
+        futures = {k: pool.submit(fn) for k, fn in jobs.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def run_raw(spark: SparkSession, sf_dir: str, paths: LayerPaths, batch_id: str = DEFAULT_BATCH_ID) -> dict[str, int]:
-    """Raw layer from the driver tables, in schema-map order."""
-    return {
-        n: write_observed(raw_table(spark, sf_dir, n, batch_id), paths.raw(n), f"raw_{n}")["rows"] for n in DATASETS
-    }
+    """Raw layer from the driver tables (independent writes, run concurrently)."""
+    return concurrently(
+        {
+            n: (lambda n=n: write_observed(raw_table(spark, sf_dir, n, batch_id), paths.raw(n), f"raw_{n}")["rows"])
+            for n in DATASETS
+        }
+    )
 
 
 def run_silver(
@@ -99,43 +118,49 @@ def run_silver(
     exactly once even if executors are lost and tasks re-run: the valid
     count on the valid write, the rejected count on the rejected write. The
     input count is the raw layer's own write count, or else a column-free
-    count of the raw files.
+    count of the raw files. The six datasets are processed concurrently.
     """
-    rows = []
     if paths.buckets:
         create_schema(spark, paths.database, f"{paths.root}/catalog")
-    for name in DATASETS:
-        raw = spark.read.format(fmt).load(paths.raw(name))
-        valid, rejected = split_by_quality(raw, name)
-        deduped = dedup_dataset(valid, name)
-        if paths.buckets and name in BUCKET_KEYS:
-            valid_rows = write_bucketed_observed(
-                deduped, paths.silver(name), paths.silver_table(name), BUCKET_KEYS[name], paths.buckets,
-                f"silver_{name}", fmt,
-            )["rows"]
-        else:
-            valid_rows = write_observed(deduped, paths.silver(name), f"silver_{name}", fmt)["rows"]
-        rejected_rows = 0
-        if quality.rules_for(name):
-            rejected_rows = write_observed(rejected, paths.rejected(name), f"rejected_{name}", fmt)["rows"]
-        input_rows = _input_rows(spark, raw, name, raw_counts)
-        rows.append(
-            (
-                name,
-                input_rows,
-                valid_rows,
-                rejected_rows,
-                input_rows - valid_rows - rejected_rows,
-                valid_rows / input_rows if input_rows else 0.0,
-                batch_id,
-            )
+    counted = concurrently({n: (lambda n=n: _validate_one(spark, paths, n, fmt, raw_counts)) for n in DATASETS})
+    rows = [
+        (
+            name,
+            input_rows,
+            valid_rows,
+            rejected_rows,
+            input_rows - valid_rows - rejected_rows,
+            valid_rows / input_rows if input_rows else 0.0,
+            batch_id,
         )
+        for name, (input_rows, valid_rows, rejected_rows) in counted.items()
+    ]
     # six rows, one per dataset: a bounded local table
     metrics = spark.createDataFrame(rows, QUALITY_METRICS).withColumn("processed_at", F.current_timestamp())
     write_table(metrics, paths.quality, fmt)
     return spark.read.format(fmt).load(paths.quality)
 
 
+def _validate_one(
+    spark: SparkSession, paths: LayerPaths, name: str, fmt: str, raw_counts: dict[str, int] | None
+) -> tuple[int, int, int]:
+    """(input, valid, rejected) rows of one dataset, after writing its validated tables."""
+    raw = spark.read.format(fmt).load(paths.raw(name))
+    valid, rejected = split_by_quality(raw, name)
+    deduped = dedup_dataset(valid, name)
+    if paths.buckets and name in BUCKET_KEYS:
+        valid_rows = write_bucketed_observed(
+            deduped, paths.silver(name), paths.silver_table(name), BUCKET_KEYS[name], paths.buckets,
+            f"silver_{name}", fmt,
+        )["rows"]
+    else:
+        valid_rows = write_observed(deduped, paths.silver(name), f"silver_{name}", fmt)["rows"]
+    rejected_rows = 0
+    if quality.rules_for(name):
+        rejected_rows = write_observed(rejected, paths.rejected(name), f"rejected_{name}", fmt)["rows"]
+    return _input_rows(spark, raw, name, raw_counts), valid_rows, rejected_rows
+
+
 def _input_rows(spark: SparkSession, raw: DataFrame, name: str, raw_counts: dict[str, int] | None) -> int:
     if raw_counts and name in raw_counts:
         return raw_counts[name]
@@ -143,34 +168,41 @@ def _input_rows(spark: SparkSession, raw: DataFrame, name: str, raw_counts: dict
 
 
 def run_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet") -> dict[str, int]:
-    """The five marts from the validated tables; returns name -> rows in mart order."""
+    """The five marts from the validated tables; returns name -> rows in mart order.
+
+    The order and product marts are written first (concurrently) and read
+    back; the three marts built on them are then written concurrently.
+    """
     read = lambda p: spark.read.format(fmt).load(p)
     s = {n: paths.read_silver(spark, n, fmt) for n in ("customers", "products", "orders", "order_items")}
     hot = {
         "customer_id": lambda: hot_keys(s["orders"].select("customer_id"), ["customer_id"]),
         "order_id": lambda: hot_keys(s["order_items"].select("order_id"), ["order_id"]),
     }
-    counts = {}
-    counts["order_revenue"] = write_observed(
-        gold.order_revenue(s["orders"], s["order_items"], s["customers"], hot), paths.gold("order_revenue"), "gold_orders", fmt
-    )["rows"]
-    counts["product_revenue"] = write_observed(
-        gold.product_revenue(s["orders"], s["order_items"], s["products"], s["customers"], hot),
-        paths.gold("product_revenue"),
-        "gold_products",
-        fmt,
-    )["rows"]
+
+    def write(name: str, df: DataFrame) -> int:
+        return write_observed(df, paths.gold(name), f"gold_{name}", fmt)["rows"]
+
+    counts = concurrently(
+        {
+            "order_revenue": lambda: write(
+                "order_revenue", gold.order_revenue(s["orders"], s["order_items"], s["customers"], hot)
+            ),
+            "product_revenue": lambda: write(
+                "product_revenue",
+                gold.product_revenue(s["orders"], s["order_items"], s["products"], s["customers"], hot),
+            ),
+        }
+    )
     orders_mart, products_mart = read(paths.gold("order_revenue")), read(paths.gold("product_revenue"))
-    counts["category_revenue"] = write_observed(
-        gold.category_revenue(products_mart), paths.gold("category_revenue"), "gold_categories", fmt
-    )["rows"]
-    counts["customer_revenue"] = write_observed(
-        gold.customer_revenue(s["customers"], orders_mart), paths.gold("customer_revenue"), "gold_customers", fmt
-    )["rows"]
-    counts["business_kpis"] = write_observed(
-        gold.business_kpis(orders_mart), paths.gold("business_kpis"), "gold_kpis", fmt
-    )["rows"]
-    return counts
+    counts |= concurrently(
+        {
+            "category_revenue": lambda: write("category_revenue", gold.category_revenue(products_mart)),
+            "customer_revenue": lambda: write("customer_revenue", gold.customer_revenue(s["customers"], orders_mart)),
+            "business_kpis": lambda: write("business_kpis", gold.business_kpis(orders_mart)),
+        }
+    )
+    return {m: counts[m] for m in MARTS}
 
 
 def bytes_on_disk(spark: SparkSession, path: str) -> int:
