@@ -9,8 +9,10 @@ DEFAULT_BATCH_ID = "batch-0001"
 
 
 def batch_id_from_time(ts: Column | None = None) -> Column:
-    """``yyyyMMdd'T'HHmmss'Z'`` of the (UTC) load time."""
-    return F.date_format(ts if ts is not None else F.current_timestamp(), "yyyyMMdd'T'HHmmss'Z'")
+    """``yyyyMMdd'T'HHmmss'Z'`` of the load time in UTC, whatever the session time zone."""
+    instant = ts if ts is not None else F.current_timestamp()
+    # local wall-clock (session zone) -> UTC wall-clock
+    return F.date_format(F.convert_timezone(None, F.lit("UTC"), instant), "yyyyMMdd'T'HHmmss'Z'")
 
 
 def composed_key(*parts: str) -> Column:

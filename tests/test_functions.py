@@ -20,3 +20,23 @@ def test_money_is_exact(spark):
     assert got == [Decimal("90.0090"), Decimal("10.0000")]
     r = spark.range(1).select(safe_ratio(F.lit(1), F.lit(0)).alias("x"), safe_ratio(F.lit(1), F.lit(0), 0.0).alias("y")).first()
     assert r.x is None and r.y == 0.0
+
+
+def test_batch_id_is_utc_in_any_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        # 2024-01-01 09:30 in Tokyo is 00:30 UTC
+        ts = F.to_timestamp(F.lit("2024-01-01 09:30:00"))
+        assert spark.range(1).select(batch_id_from_time(ts).alias("b")).first().b == "20240101T003000Z"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_align_fills_missing_columns(spark):
+    from strata.sources.evolution import align
+
+    a = spark.createDataFrame([(1, "x")], "id int, a string")
+    b = spark.createDataFrame([(2, 2.5)], "id int, b double")
+    rows = sorted(align([a, b]).collect(), key=lambda r: r.id)
+    assert (rows[0].b, rows[1].a) == (None, None) and rows[1].b == 2.5
