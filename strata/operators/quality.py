@@ -80,11 +80,18 @@ def flag(df: DataFrame, dataset: str) -> DataFrame:
     return df.withColumn(REJECTED_FLAG, rejected_flag(rules_for(dataset)))
 
 
-def split_by_quality(df: DataFrame, dataset: str) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected); rejected rows get ``_dq_reason``."""
-    bad = rejected_flag(rules_for(dataset))
+def split_by_quality(
+    df: DataFrame, dataset: str, with_failed_rules: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected); rejected rows get ``_dq_reason`` and, on request,
+    ``_dq_failed_rules`` (every rule the row breaks)."""
+    rules = rules_for(dataset)
+    bad = rejected_flag(rules)
     valid = df.where(~bad)
-    rejected = df.where(bad).withColumn(REASON, F.lit(REASONS.get(dataset, "rejected")))
+    extra = {REASON: F.lit(REASONS.get(dataset, "rejected"))}
+    if with_failed_rules:
+        extra[FAILED_RULES] = failed_rules(rules)
+    rejected = df.where(bad).withColumns(extra)
     return valid, rejected
 
 

@@ -146,7 +146,7 @@ def _validate_one(
 ) -> tuple[int, int, int]:
     """(input, valid, rejected) rows of one dataset, after writing its validated tables."""
     raw = spark.read.format(fmt).load(paths.raw(name))
-    valid, rejected = split_by_quality(raw, name)
+    valid, rejected = split_by_quality(raw, name, with_failed_rules=True)
     deduped = dedup_dataset(valid, name)
     if paths.buckets and name in BUCKET_KEYS:
         valid_rows = write_bucketed_observed(

@@ -93,3 +93,11 @@ def test_total_predicate_never_null(spark):
 
     df = spark.createDataFrame([(1,), (0,), (None,)], "q int")
     assert df.where(total(F.col("q") <= 0)).count() + df.where(~total(F.col("q") <= 0)).count() == 3
+
+
+def test_rejected_rows_can_list_failed_rules(spark):
+    df = items(spark, [("a", 1, 1, 0, -1.0, None), ("b", 1, 1, 1, 1.0, None)])
+    _, rejected = quality.split_by_quality(df, "order_items", with_failed_rules=True)
+    r = rejected.collect()
+    assert len(r) == 1 and r[0]._dq_failed_rules == ["quantity_not_positive", "unit_price_negative"]
+    assert r[0]._dq_reason == "invalid_order_item"
