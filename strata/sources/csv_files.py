@@ -6,6 +6,10 @@ a value that does not parse becomes NULL and the row is kept, so the raw
 layer preserves every source row for the quality rules to judge.
 ``read_strict_csv`` is the enforcing variant: unparsable rows go to a
 quarantine side and a header that does not match the schema fails the read.
+
+Event times in the sources are ISO texts, with or without an offset
+(``+00:00``); they are parsed as instants (texts without an offset as UTC)
+and stored as UTC wall-clock ``timestamp_ntz``, whatever the session zone.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from strata.schemas import dataset as dataset_spec
 from strata.sources.sinks import write_observed
@@ -21,13 +25,37 @@ from strata.sources.sinks import write_observed
 CORRUPT = "_corrupt_record"
 
 
-def read_source_csv(spark: SparkSession, source_path: str, schema: StructType, batch_id: str) -> DataFrame:
-    df = (
-        spark.read.option("header", True)
-        .option("mode", "PERMISSIVE")
-        .schema(schema)
-        .csv(source_path)
+def _reading_schema(schema: StructType) -> StructType:
+    """Event times are read as instants, so ISO texts with an offset parse."""
+    return StructType(
+        [
+            StructField(f.name, TimestampType(), f.nullable, f.metadata)
+            if isinstance(f.dataType, TimestampNTZType)
+            else f
+            for f in schema.fields
+        ]
     )
+
+
+def _as_utc_wall_clock(df: DataFrame, schema: StructType) -> DataFrame:
+    """Instants back to the schema's ``timestamp_ntz`` columns, as UTC wall-clock
+    time (independent of the session time zone)."""
+    cols = [
+        F.convert_timezone(None, F.lit("UTC"), F.col(c)).alias(c)
+        if c in {f.name for f in schema.fields if isinstance(f.dataType, TimestampNTZType)}
+        else F.col(c)
+        for c in df.columns
+    ]
+    return df.select(*cols)
+
+
+def _reader(spark: SparkSession):
+    # texts without an offset are UTC times, as in the sources
+    return spark.read.option("header", True).option("mode", "PERMISSIVE").option("timeZone", "UTC")
+
+
+def read_source_csv(spark: SparkSession, source_path: str, schema: StructType, batch_id: str) -> DataFrame:
+    df = _as_utc_wall_clock(_reader(spark).schema(_reading_schema(schema)).csv(source_path), schema)
     return df.withColumns(
         {
             "_ingestion_timestamp": F.current_timestamp(),
@@ -92,15 +120,15 @@ def ingest_all_datasets(
 
 
 def _strict_reader(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    with_corrupt = StructType(schema.fields + [StructField(CORRUPT, StringType())])
-    return (
-        spark.read.option("header", True)
+    with_corrupt = StructType(_reading_schema(schema).fields + [StructField(CORRUPT, StringType())])
+    df = (
+        _reader(spark)
         .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .schema(with_corrupt)
         .csv(path)
     )
+    return _as_utc_wall_clock(df, schema)
 
 
 def read_strict_csv(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:

@@ -93,6 +93,9 @@ def test_ingest_all_in_schema_order(spark, scratch):
     assert list(counts) == list(DATASETS)
     for name, n in counts.items():
         assert n == _source_rows(spark, sf, name).count()
+    back = spark.read.parquet(f"{scratch}/raw/orders").select("order_id", "order_timestamp")
+    src = _source_rows(spark, sf, "orders").select("order_id", "order_timestamp")
+    assert back.exceptAll(src).count() == 0 and src.exceptAll(back).count() == 0
 
 
 def test_bucketed_layer_avoids_item_shuffles(spark, scratch):
@@ -147,3 +150,30 @@ def test_overwrite_replaces_table_schema(spark, scratch):
     catalog.save_as_table(spark.range(2).selectExpr("id", "1.5 AS b", "true AS c"), "strata_schema_test.t")
     t = catalog.read_table(spark, "strata_schema_test.t")
     assert t.columns == ["id", "b", "c"] and t.count() == 2
+
+
+def test_csv_timestamps_with_offsets(spark, scratch):
+    from strata.schemas import ORDERS
+
+    p = f"{scratch}/orders.csv"
+    write(
+        p,
+        "order_id,customer_id,order_timestamp,order_status\n"
+        "1,1,2024-01-01T02:00:00+02:00,completed\n"
+        "2,1,2024-01-01T00:00:00,completed\n"
+        "3,1,2024-01-01T00:00:00+00:00,completed\n"
+        "4,1,not a time,completed\n",
+    )
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        got = {r.order_id: r.order_timestamp for r in csv_files.read_source_csv(spark, p, ORDERS, "b").collect()}
+        good, _ = csv_files.read_strict_csv(spark, p, ORDERS)
+        strict_ids = sorted(r.order_id for r in good.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    import datetime as dt
+
+    midnight = dt.datetime(2024, 1, 1)
+    assert got == {1: midnight, 2: midnight, 3: midnight, 4: None}
+    assert strict_ids == [1, 2, 3]
