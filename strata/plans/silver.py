@@ -7,6 +7,7 @@ go through dedup. Lineage columns pass through unchanged.
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,8 @@ from strata.operators.joins import hot_keys
 from strata.operators.quality import split_by_quality
 from strata.sources.adapter import raw_table
 
+T = TypeVar("T")
+
 
 def validate(raw: DataFrame, dataset: str) -> tuple[DataFrame, DataFrame]:
     """(valid and deduplicated, rejected with reason)."""
@@ -32,19 +35,41 @@ def rejected_table(spark: SparkSession, sf_dir: str, dataset: str, batch_id: str
 
 
 class Silver:
-    """Lazily built validated tables of one driver directory."""
+    """Lazily built validated tables of one driver directory.
+
+    Each table (and anything registered with :meth:`cached`) is built once
+    per instance, so a query that uses a table twice hands Spark the same
+    plan object both times.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, batch_id: str = DEFAULT_BATCH_ID):
         self.spark, self.sf_dir, self.batch_id = spark, sf_dir, batch_id
+        self._memo: dict[str, object] = {}
+
+    def cached(self, key: str, build: Callable[[], T]) -> T:
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]  # type: ignore[return-value]
+
+    def raw(self, dataset: str) -> DataFrame:
+        return self.cached(f"raw:{dataset}", lambda: raw_table(self.spark, self.sf_dir, dataset, self.batch_id))
+
+    def split(self, dataset: str) -> tuple[DataFrame, DataFrame]:
+        return self.cached(f"split:{dataset}", lambda: validate(self.raw(dataset), dataset))
+
+    def rejected(self, dataset: str) -> DataFrame:
+        return self.split(dataset)[1]
 
     def __getattr__(self, dataset: str) -> DataFrame:
         if dataset.startswith("_"):
             raise AttributeError(dataset)
-        return silver_table(self.spark, self.sf_dir, dataset, self.batch_id)
+        return self.split(dataset)[0]
 
     def hot(self, dataset: str, key: str) -> Callable[[], DataFrame]:
         """Builds, when called, the hot values of ``key`` from a sampled scan of the raw column only."""
-        return lambda: hot_keys(raw_table(self.spark, self.sf_dir, dataset, self.batch_id).select(key), [key])
+        return lambda: self.cached(
+            f"hot:{dataset}:{key}", lambda: hot_keys(self.raw(dataset).select(key), [key])
+        )
 
     def mart_hot_keys(self) -> dict[str, Callable[[], DataFrame]]:
         """Hot customers (in orders) and hot orders (in order lines) for the marts."""

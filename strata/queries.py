@@ -89,40 +89,41 @@ def eligible_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finalize(gold.eligible_orders(s.orders, s.customers, s.mart_hot_keys()))
 
 
-def _order_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Silver(spark, sf_dir)
-    return gold.order_revenue(s.orders, s.order_items, s.customers, s.mart_hot_keys())
+def _order_revenue(s: Silver) -> DataFrame:
+    return s.cached("order_revenue", lambda: gold.order_revenue(s.orders, s.order_items, s.customers, s.mart_hot_keys()))
 
 
-def _product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Silver(spark, sf_dir)
-    return gold.product_revenue(s.orders, s.order_items, s.products, s.customers, s.mart_hot_keys())
+def _product_revenue(s: Silver) -> DataFrame:
+    return s.cached(
+        "product_revenue",
+        lambda: gold.product_revenue(s.orders, s.order_items, s.products, s.customers, s.mart_hot_keys()),
+    )
 
 
 @query("order_revenue")
 def order_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finalize(_order_revenue(spark, sf_dir))
+    return finalize(_order_revenue(Silver(spark, sf_dir)))
 
 
 @query("product_revenue")
 def product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finalize(_product_revenue(spark, sf_dir))
+    return finalize(_product_revenue(Silver(spark, sf_dir)))
 
 
 @query("category_revenue")
 def category_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finalize(gold.category_revenue(_product_revenue(spark, sf_dir)))
+    return finalize(gold.category_revenue(_product_revenue(Silver(spark, sf_dir))))
 
 
 @query("customer_revenue")
 def customer_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Silver(spark, sf_dir)
-    return finalize(gold.customer_revenue(s.customers, _order_revenue(spark, sf_dir)))
+    return finalize(gold.customer_revenue(s.customers, _order_revenue(s)))
 
 
 @query("business_kpis")
 def business_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finalize(gold.business_kpis(_order_revenue(spark, sf_dir)))
+    return finalize(gold.business_kpis(_order_revenue(Silver(spark, sf_dir))))
 
 
 @query("status_counts")
@@ -151,8 +152,8 @@ def cancelled_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("reconcile_gold")
 def reconcile_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Silver(spark, sf_dir)
-    orders_mart = _order_revenue(spark, sf_dir)
-    products_mart = _product_revenue(spark, sf_dir)
+    orders_mart = _order_revenue(s)
+    products_mart = _product_revenue(s)
     categories = gold.category_revenue(products_mart)
     customers_mart = gold.customer_revenue(s.customers, orders_mart)
     frames = {
@@ -187,7 +188,7 @@ def reconcile_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("layer_checks")
 def layer_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Silver(spark, sf_dir)
-    raw = _raw_all(spark, sf_dir)
+    raw = {n: s.raw(n) for n in DATASETS}
     sources = {
         "customers": read_table(spark, sf_dir, "customer"),
         "products": read_table(spark, sf_dir, "part"),
@@ -195,8 +196,8 @@ def layer_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_items": read_table(spark, sf_dir, "lineitem"),
     }
     silver = {n: getattr(s, n) for n in ("customers", "order_items", "products")}
-    rejected = {n: validate(raw[n], n)[1] for n in quality.REASONS}
-    orders_mart = _order_revenue(spark, sf_dir)
+    rejected = {n: s.rejected(n) for n in quality.REASONS}
+    orders_mart = _order_revenue(s)
     return checks.layer_checks(
         raw,
         sources,
@@ -204,7 +205,7 @@ def layer_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         rejected,
         orders_mart,
         gold.customer_revenue(s.customers, orders_mart),
-        gold.category_revenue(_product_revenue(spark, sf_dir)),
+        gold.category_revenue(_product_revenue(s)),
     )
 
 
@@ -238,29 +239,29 @@ def cancellation_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("customer_recurrence")
 def customer_recurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.customer_recurrence(_order_revenue(spark, sf_dir))
+    return metrics.customer_recurrence(_order_revenue(Silver(spark, sf_dir)))
 
 
 @query("customer_lifetime")
 def customer_lifetime(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finalize(metrics.customer_lifetime(_order_revenue(spark, sf_dir)))
+    return finalize(metrics.customer_lifetime(_order_revenue(Silver(spark, sf_dir))))
 
 
 @query("customer_running_revenue")
 def customer_running_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finalize(metrics.customer_running_revenue(_order_revenue(spark, sf_dir)))
+    return finalize(metrics.customer_running_revenue(_order_revenue(Silver(spark, sf_dir))))
 
 
 @query("revenue_by_region")
 def revenue_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Silver(spark, sf_dir)
-    customers_mart = gold.customer_revenue(s.customers, _order_revenue(spark, sf_dir))
+    customers_mart = gold.customer_revenue(s.customers, _order_revenue(s))
     return finalize(metrics.revenue_by_region(customers_mart, adapter.states(spark, sf_dir)))
 
 
 @query("top_products_by_category")
 def top_products_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finalize(metrics.top_products_by_category(_product_revenue(spark, sf_dir), 3))
+    return finalize(metrics.top_products_by_category(_product_revenue(Silver(spark, sf_dir)), 3))
 
 
 @query("fact_order_items")
@@ -344,8 +345,8 @@ def upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Version 2 of the customers: repaired e-mails of rejected rows are
     upserted, customers without any eligible order are deleted."""
     root = scratch_path(spark, "upsert")
-    raw = raw_table(spark, sf_dir, "customers")
-    valid, rejected = validate(raw, "customers")
+    s = Silver(spark, sf_dir)
+    valid, rejected = s.split("customers")
     cols = ["customer_id", "full_name", "email", "state"]
     base = valid.select(*cols, F.lit(1).alias("version"))
     repaired = rejected.select(
@@ -356,7 +357,7 @@ def upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(2).alias("version"),
         F.lit(False).alias("deleted"),
     )
-    orders_mart = _order_revenue(spark, sf_dir)
+    orders_mart = _order_revenue(s)
     inactive = base.join(checks.keys_of(orders_mart, "customer_id"), "customer_id", "left_anti").select(
         *cols, F.lit(2).alias("version"), F.lit(True).alias("deleted")
     )
