@@ -56,7 +56,12 @@ def rejected_event() -> Column:
     return total(any_failed)
 
 
-def read_event_stream(spark: SparkSession, source_dir: str, file_glob: str = "*.parquet", max_files: int = 1) -> DataFrame:
+MAX_FILES_PER_TRIGGER = 1000  # bounded micro-batches; tests use 1 to see one file per batch
+
+
+def read_event_stream(
+    spark: SparkSession, source_dir: str, file_glob: str = "*.parquet", max_files: int = MAX_FILES_PER_TRIGGER
+) -> DataFrame:
     """File stream of event Parquet files; ``ts`` as an event-time timestamp (read as UTC)."""
     return (
         spark.readStream.schema(EVENTS_SCHEMA)
@@ -74,13 +79,23 @@ def _run(writer) -> None:
         raise q.exception()
 
 
-def ingest(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, batch_id: str, file_glob: str = "*.parquet") -> None:
+def ingest(
+    spark: SparkSession,
+    source_dir: str,
+    out_dir: str,
+    checkpoint: str,
+    batch_id: str,
+    file_glob: str = "*.parquet",
+    max_files: int = MAX_FILES_PER_TRIGGER,
+) -> None:
     with utc(spark):
-        _ingest(spark, source_dir, out_dir, checkpoint, batch_id, file_glob)
+        _ingest(spark, source_dir, out_dir, checkpoint, batch_id, file_glob, max_files)
 
 
-def _ingest(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, batch_id: str, file_glob: str) -> None:
-    stream = read_event_stream(spark, source_dir, file_glob).drop("event_time").withColumns(
+def _ingest(
+    spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, batch_id: str, file_glob: str, max_files: int
+) -> None:
+    stream = read_event_stream(spark, source_dir, file_glob, max_files).drop("event_time").withColumns(
         {
             "_ingestion_timestamp": F.current_timestamp(),
             "_source_file": F.col("_metadata.file_path"),
@@ -98,14 +113,21 @@ def _ingest(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str,
     _run(stream.writeStream.foreachBatch(write_epoch).option("checkpointLocation", checkpoint))
 
 
-def dedup(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, file_glob: str = "*.parquet") -> None:
+def dedup(
+    spark: SparkSession,
+    source_dir: str,
+    out_dir: str,
+    checkpoint: str,
+    file_glob: str = "*.parquet",
+    max_files: int = MAX_FILES_PER_TRIGGER,
+) -> None:
     with utc(spark):
-        _dedup(spark, source_dir, out_dir, checkpoint, file_glob)
+        _dedup(spark, source_dir, out_dir, checkpoint, file_glob, max_files)
 
 
-def _dedup(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, file_glob: str) -> None:
+def _dedup(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, file_glob: str, max_files: int) -> None:
     stream = (
-        read_event_stream(spark, source_dir, file_glob)
+        read_event_stream(spark, source_dir, file_glob, max_files)
         .withWatermark("event_time", WATERMARK)
         .dropDuplicatesWithinWatermark(["event_id"])
         .drop("event_time")
@@ -120,6 +142,7 @@ def daily_counts(
     checkpoint: str,
     file_glob: str = "*.parquet",
     mode: str = "complete",
+    max_files: int = MAX_FILES_PER_TRIGGER,
 ) -> None:
     """Events per (UTC day, event type).
 
@@ -132,12 +155,14 @@ def daily_counts(
     if mode not in ("complete", "append"):
         raise ValueError(f"unsupported mode {mode!r}")
     with utc(spark):
-        _daily_counts(spark, source_dir, out_dir, checkpoint, file_glob, mode)
+        _daily_counts(spark, source_dir, out_dir, checkpoint, file_glob, mode, max_files)
 
 
-def _daily_counts(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, file_glob: str, mode: str) -> None:
+def _daily_counts(
+    spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, file_glob: str, mode: str, max_files: int
+) -> None:
     counts = (
-        read_event_stream(spark, source_dir, file_glob)
+        read_event_stream(spark, source_dir, file_glob, max_files)
         .withWatermark("event_time", WATERMARK)
         .groupBy(F.window("event_time", "1 day").alias("w"), "event_type")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -18,7 +18,7 @@ def test_dedup_across_files_and_late_rows(spark, scratch):
     src = f"{scratch}/landing"
     land(spark, f"{src}/f=1", [ev(1, 0), ev(2, 1), ev(3, 300)])
     land(spark, f"{src}/f=2", [ev(2, 1), ev(4, 299)])  # duplicate of 2 (late, too); 4 within watermark
-    events.dedup(spark, src, f"{scratch}/out", f"{scratch}/ckpt")
+    events.dedup(spark, src, f"{scratch}/out", f"{scratch}/ckpt", max_files=1)
     ids = sorted(r.event_id for r in spark.read.parquet(f"{scratch}/out").collect())
     assert ids == [1, 2, 3, 4]
 
@@ -64,7 +64,7 @@ def test_daily_counts_append_drops_late_rows(spark, scratch):
     land(spark, f"{src}/f=1", [ev(1, 10), ev(2, 20), ev(3, day2 + 360)])  # watermark -> day 2, 05:00
     land(spark, f"{src}/f=2", [ev(5, day2 + 400)])
     land(spark, f"{src}/f=3", [ev(4, 30), ev(6, 3 * day2 + 120)])  # 4 is late for day 1: dropped
-    events.daily_counts(spark, src, f"{scratch}/out", f"{scratch}/ckpt", mode="append")
+    events.daily_counts(spark, src, f"{scratch}/out", f"{scratch}/ckpt", mode="append", max_files=1)
     got = dict((str(r.day), r.n) for r in spark.read.parquet(f"{scratch}/out").collect())
     assert got["2024-01-01"] == 2
     assert got.get("2024-01-02", 2) == 2
