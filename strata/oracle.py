@@ -46,6 +46,7 @@ raw_order_items AS (
          CASE WHEN fault THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS quantity,
          CASE WHEN l_quantity = 0 THEN NULL ELSE l_extendedprice / l_quantity END AS unit_price,
          CASE WHEN fault THEN CAST(0 AS DECIMAL(18,4)) ELSE amount END AS line_amount,
+         l_suppkey AS supplier_id, l_shipdate AS ship_date,
          {BATCH} AS _batch_id
   FROM raw_lines
 ),
@@ -103,9 +104,9 @@ silver_orders AS (
 ),
 silver_order_items AS (
   SELECT * EXCLUDE (bad) FROM flag_order_items WHERE NOT bad
-  QUALIFY row_number() OVER (PARTITION BY order_item_id ORDER BY order_id NULLS FIRST,
-          product_id NULLS FIRST, quantity NULLS FIRST, line_amount NULLS FIRST,
-          unit_price NULLS FIRST) = 1
+  QUALIFY row_number() OVER (PARTITION BY order_item_id ORDER BY product_id NULLS FIRST,
+          supplier_id NULLS FIRST, ship_date NULLS FIRST, quantity NULLS FIRST,
+          line_amount NULLS FIRST, unit_price NULLS FIRST) = 1
 ),
 silver_payments AS (
   SELECT * EXCLUDE (bad) FROM flag_payments WHERE NOT bad

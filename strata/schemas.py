@@ -63,6 +63,9 @@ ORDER_ITEMS = StructType(
         StructField("quantity", IntegerType()),
         StructField("unit_price", DoubleType()),
         StructField("line_amount", MONEY),
+        # source attributes of the line; they make the dedup survivor order total
+        StructField("supplier_id", LongType()),
+        StructField("ship_date", TimestampNTZType()),
     ]
 )
 
@@ -138,7 +141,7 @@ DATASETS: dict[str, Dataset] = {
             "order_items",
             ORDER_ITEMS,
             "order_item_id",
-            ("order_id", "product_id", "quantity", "line_amount", "unit_price"),
+            ("product_id", "supplier_id", "ship_date", "quantity", "line_amount", "unit_price"),
         ),
         Dataset(
             "payments",

@@ -11,8 +11,9 @@ The mapping is fixed so that an independent SQL engine can repeat it:
 * orders: status F -> completed, O -> shipped, P -> cancelled when the
   priority is ``5-LOW`` else processing.
 * order_items: one per lineitem, key ``<orderkey>-<linenumber>`` (not unique
-  in the driver data, which exercises dedup). An injected fault (key
-  predicate below) zeroes quantity and amount.
+  in the driver data, which exercises dedup), with the line's supplier and
+  ship date. An injected fault (key predicate below) zeroes quantity and
+  amount.
 * payments: one per order that has lines; amount = exact sum of the lines
   before faults; method and time offsets from the order key.
 * shipments: one per non-cancelled order; shipped 4..72 h after the order,
@@ -137,6 +138,8 @@ def order_items(spark: SparkSession, sf_dir: str, batch_id: str = DEFAULT_BATCH_
         F.when(fault, F.lit(0).cast(DATASETS["order_items"].schema["line_amount"].dataType))
         .otherwise(line_amount("l_extendedprice", "l_discount"))
         .alias("line_amount"),
+        F.col("l_suppkey").alias("supplier_id"),
+        F.col("l_shipdate").alias("ship_date"),
     )
     return with_lineage(out, _file(li), batch_id)
 

@@ -37,7 +37,8 @@ def test_permissive_read_keeps_rows(spark, scratch):
 
 def test_strict_read_quarantines_and_checks_header(spark, scratch):
     p = f"{scratch}/strict/order_items.csv"
-    write(p, HEADER + "a,1,1,x,1.0,1.0\nb,1,1,2,1.0,1.0\n")
+    full = HEADER.strip() + ",supplier_id,ship_date\n"
+    write(p, full + "a,1,1,x,1.0,1.0,7,2024-01-01T00:00:00\nb,1,1,2,1.0,1.0,7,2024-01-01T00:00:00\n")
     good, _ = csv_files.read_strict_csv(spark, p, ORDER_ITEMS)
     assert [r.order_item_id for r in good.collect()] == ["b"]
     counts = csv_files.strict_ingest(spark, p, ORDER_ITEMS, f"{scratch}/strict_out")
@@ -45,7 +46,7 @@ def test_strict_read_quarantines_and_checks_header(spark, scratch):
     bad = spark.read.parquet(f"{scratch}/strict_out/load_status=quarantined").collect()
     assert len(bad) == 1 and bad[0]._corrupt_record.startswith("a,1,1,x")
     q = f"{scratch}/wrong/order_items.csv"
-    write(q, "order_id,order_item_id,product_id,quantity,unit_price,line_amount\n1,a,1,1,1.0,1.0\n")
+    write(q, "order_id,order_item_id,product_id,quantity,unit_price,line_amount,supplier_id,ship_date\n1,a,1,1,1.0,1.0,7,\n")
     with pytest.raises(Exception):
         csv_files.read_strict_csv(spark, q, ORDER_ITEMS)[0].collect()
 
