@@ -32,6 +32,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 HOT_KEY_ROWS = "strata.skew.hotKeyRows"
 MAX_HOT_KEYS = "strata.skew.maxHotKeys"
@@ -108,7 +109,8 @@ def skew_join(
     if callable(hot):
         hot = hot()
     hot = F.broadcast(hot if hot is not None else hot_keys(fact, keys))
-    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    # any deterministic spread works; maps cannot be hashed, so they are left out
+    row_hash = F.xxhash64(*[F.col(f.name) for f in fact.schema.fields if not isinstance(f.dataType, MapType)])
     salted_fact = (
         fact.join(hot, keys, "left")
         .withColumn(

@@ -34,6 +34,9 @@ def summary(plan: str) -> dict[str, int]:
     }
 
 
+DETAILED = ("order_revenue", "product_revenue")
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session("8", 16)
@@ -49,6 +52,12 @@ def main() -> None:
             print("| query | " + " | ".join(cols) + " |")
             print("| --- |" + " --- |" * len(cols))
         print(f"| {name} | " + " | ".join(str(s[c]) for c in cols) + " |", flush=True)
+    for name in DETAILED:
+        df = queries()[name](spark, sf)
+        plan = df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+        print(f"\n## `{name}`: formatted plan (before adaptive re-planning)\n\n```\n{plan.strip()}\n```")
 
 
 if __name__ == "__main__":
