@@ -30,30 +30,31 @@ def running_total(
 ) -> DataFrame:
     """Running sum per ``partition`` by ``order``; ``block`` must be
     non-decreasing along ``order`` within a partition (e.g. the day of the
-    event time), and ties in ``order`` must not cross a block."""
+    event time), and ties in ``order`` must not cross a block.
+
+    One struct key ``(partition..., block)`` drives the in-block window, the
+    block totals and the join back, so the large side stays partitioned
+    from the window through the join (no second exchange). Struct equality
+    treats NULL fields as equal, which keeps NULL partitions whole.
+    """
     partition, order = list(partition), list(order)
-    b = df.withColumn("_block", block)
-    keys = partition + ["_block"]
+    key = F.struct(*[F.col(c) for c in partition], block.alias("_block"))
+    b = df.withColumn("_gk", key)
     inner_w = (
-        Window.partitionBy(*keys)
+        Window.partitionBy("_gk")
         .orderBy(*[F.col(c).asc_nulls_first() for c in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     inner = b.withColumn("_inner", F.sum(value).over(inner_w))
-    totals = b.groupBy(*keys).agg(F.sum(value).alias("_block_total"))
+    totals = b.groupBy("_gk").agg(F.sum(value).alias("_block_total"))
     before_w = (
-        Window.partitionBy(*partition)
-        .orderBy(F.col("_block").asc_nulls_first())
+        Window.partitionBy(*[F.col(f"_gk.{c}") for c in partition])
+        .orderBy(F.col("_gk._block").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = totals.select(*keys, F.sum("_block_total").over(before_w).alias("_offset"))
-    cond = [F.col(f"i.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
-    total = F.coalesce(F.col("o._offset"), F.lit(0)) + F.col("i._inner")
-    return (
-        inner.alias("i")
-        .join(offsets.alias("o"), cond, "inner")
-        .select(*[F.col(f"i.{c}") for c in df.columns], total.alias(out))
-    )
+    offsets = totals.select("_gk", F.sum("_block_total").over(before_w).alias("_offset"))
+    total = F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_inner")
+    return inner.join(offsets, "_gk", "inner").select(*[F.col(c) for c in df.columns], total.alias(out))
 
 
 def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, rank_col: str = "rank") -> DataFrame:
