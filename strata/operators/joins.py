@@ -42,7 +42,14 @@ SAMPLE_ROWS_PER_HOT_KEY = 200  # expected sample hits of a key of exactly hotKey
 
 def _conf_int(df: DataFrame, name: str, default: int) -> int:
     value = df.sparkSession.conf.get(name, None)
-    return int(value) if value else default
+    if not value:
+        return default
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    v = value.strip().lower()
+    for suffix in sorted(units, key=len, reverse=True):
+        if v.endswith(suffix) and v[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(v[: -len(suffix)]) * units[suffix]
+    return int(v)
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -132,3 +139,17 @@ def skew_join(
         .drop("_salts")
     )
     return salted_fact.join(salted_other, keys + ["_salt"], how).drop("_salt")
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast hint for ``df`` only behind a size check; otherwise ``df`` unchanged.
+
+    The check is the planning-time input estimate (:func:`estimated_bytes`)
+    against ``max_bytes`` (default: ``spark.sql.autoBroadcastJoinThreshold``,
+    or 10 MB when that is disabled). Above the bound the join stays an
+    ordinary shuffle join.
+    """
+    if max_bytes is None:
+        threshold = _conf_int(df, "spark.sql.autoBroadcastJoinThreshold", 10 * 1024 * 1024)
+        max_bytes = threshold if threshold > 0 else 10 * 1024 * 1024
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.ids import DEFAULT_BATCH_ID, composed_key
 from strata.functions.money import line_amount
+from strata.operators.joins import broadcast_if_small
 from strata.schemas import DATASETS
 from strata.sources.driver import read_table
 
@@ -65,7 +66,9 @@ def customers(spark: SparkSession, sf_dir: str, batch_id: str = DEFAULT_BATCH_ID
         .otherwise(F.concat(F.lit("c"), key.cast("string"), F.lit("@example.com")))
     )
     base = c.select("c_custkey", "c_name", "c_nationkey", _file(c).alias("_src"))
-    # nation is a fixed-size dimension; Spark broadcasts it by its size estimate.
+    # nation has one row per country: broadcast behind a size check, never a
+    # shuffle of all customers onto a few nation keys
+    n = broadcast_if_small(n)
     out = base.join(n, base.c_nationkey == n.n_nationkey, "left").select(
         key.alias("customer_id"),
         F.col("c_name").alias("full_name"),
@@ -80,7 +83,7 @@ def customers(spark: SparkSession, sf_dir: str, batch_id: str = DEFAULT_BATCH_ID
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """state (nation name) -> region name lookup."""
     n = read_table(spark, sf_dir, "nation")
-    r = read_table(spark, sf_dir, "region")
+    r = broadcast_if_small(read_table(spark, sf_dir, "region"))
     return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
         F.col("n_name").alias("state"), F.col("r_name").alias("region")
     )

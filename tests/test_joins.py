@@ -63,3 +63,13 @@ def test_salted_plan_is_used_and_small_inputs_skip_it(spark, tiny_hot):
     assert "_salt" in skew_join(fact, other, "k")._jdf.queryExecution().optimizedPlan().toString()
     spark.conf.set("strata.skew.minFactBytes", str(1 << 40))
     assert "_salt" not in skew_join(fact, other, "k")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_broadcast_only_behind_size_check(spark):
+    from strata.operators.joins import broadcast_if_small
+
+    small = spark.range(10)
+    assert "broadcast" in broadcast_if_small(small)._jdf.queryExecution().analyzed().toString().lower()
+    unknown = spark.createDataFrame([(1,)], "k int")  # unknown size counts as large
+    assert "broadcast" not in broadcast_if_small(unknown)._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in broadcast_if_small(small, max_bytes=1)._jdf.queryExecution().analyzed().toString().lower()
