@@ -22,6 +22,7 @@ largest tables again. The catalog schema lives in the run's folder.
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -176,8 +177,8 @@ def run_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet") -> di
     read = lambda p: spark.read.format(fmt).load(p)
     s = {n: paths.read_silver(spark, n, fmt) for n in ("customers", "products", "orders", "order_items")}
     hot = {
-        "customer_id": lambda: hot_keys(s["orders"].select("customer_id"), ["customer_id"]),
-        "order_id": lambda: hot_keys(s["order_items"].select("order_id"), ["order_id"]),
+        "customer_id": _written_once(spark, f"{paths.root}/hot/customer_id", lambda: hot_keys(s["orders"].select("customer_id"), ["customer_id"])),
+        "order_id": _written_once(spark, f"{paths.root}/hot/order_id", lambda: hot_keys(s["order_items"].select("order_id"), ["order_id"])),
     }
 
     def write(name: str, df: DataFrame) -> int:
@@ -205,6 +206,23 @@ def run_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet") -> di
     return {m: counts[m] for m in MARTS}
 
 
+def _written_once(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+    """A hot-key table built on first use, written to ``path`` (it is small:
+    at most ``strata.skew.maxHotKeys`` rows) and read back by every later
+    use, so concurrent marts share one detection pass."""
+    lock = threading.Lock()
+    done: list[DataFrame] = []
+
+    def get() -> DataFrame:
+        with lock:
+            if not done:
+                write_table(build(), path)
+                done.append(spark.read.parquet(path))
+        return done[0]
+
+    return get
+
+
 def bytes_on_disk(spark: SparkSession, path: str) -> int:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
