@@ -533,3 +533,15 @@ sql(
     "stream_daily_counts",
     "SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2",
 )
+
+sql(
+    "rejected_order_items_rules",
+    """SELECT order_item_id, _dq_reason,
+       concat_ws(',',
+         CASE WHEN order_item_id IS NULL OR trim(order_item_id) = '' THEN 'order_item_id_missing' END,
+         CASE WHEN order_id IS NULL THEN 'order_id_missing' END,
+         CASE WHEN product_id IS NULL THEN 'product_id_missing' END,
+         CASE WHEN quantity IS NULL OR quantity <= 0 THEN 'quantity_not_positive' END,
+         CASE WHEN unit_price IS NULL OR unit_price < 0 THEN 'unit_price_negative' END) AS failed_rules
+FROM rejected_order_items""",
+)

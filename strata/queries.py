@@ -401,6 +401,18 @@ def rule_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+@query("rejected_order_items_rules")
+def rejected_order_items_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected order lines with every rule they break (comma-separated, rule order)."""
+    raw = Silver(spark, sf_dir).raw("order_items")
+    _, rejected = quality.split_by_quality(raw, "order_items", with_failed_rules=True)
+    return rejected.select(
+        "order_item_id",
+        quality.REASON,
+        F.array_join(F.col(quality.FAILED_RULES), ",").alias("failed_rules"),
+    )
+
+
 @query("layer_run_counts")
 def layer_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = layers.run_all(spark, sf_dir, scratch_path(spark, "layers"))
