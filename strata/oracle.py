@@ -355,6 +355,8 @@ _LAYER += [
     "(SELECT DISTINCT category FROM silver_products EXCEPT ALL SELECT category FROM category_revenue)",
     "SELECT 'categories_unknown_in_mart', COUNT(*) FROM "
     "(SELECT category FROM category_revenue EXCEPT ALL SELECT DISTINCT category FROM silver_products)",
+    "SELECT 'products_missing_in_mart', COUNT(*) FROM silver_products p "
+    "WHERE NOT EXISTS (SELECT 1 FROM product_revenue m WHERE m.product_id = p.product_id)",
 ]
 sql("layer_checks", "\nUNION ALL\n".join(_LAYER))
 sql("payments_derived", "SELECT * REPLACE (CAST(payment_amount AS DOUBLE) AS payment_amount) FROM raw_payments")

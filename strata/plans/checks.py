@@ -147,6 +147,7 @@ def layer_checks(
     order_revenue: DataFrame,
     customer_revenue: DataFrame,
     category_revenue: DataFrame,
+    product_revenue: DataFrame | None = None,
 ) -> DataFrame:
     """Postconditions of each layer; every value is a violation count (0 = pass).
 
@@ -206,4 +207,7 @@ def layer_checks(
     mart_cats = category_revenue.select("category")
     parts.append(_one(cats.exceptAll(mart_cats), "categories_missing_in_mart", rows))
     parts.append(_one(mart_cats.exceptAll(cats), "categories_unknown_in_mart", rows))
+    if product_revenue is not None:
+        missing = silver["products"].select("product_id").join(keys_of(product_revenue, "product_id"), "product_id", "left_anti")
+        parts.append(_one(missing, "products_missing_in_mart", rows))
     return _union(parts)

@@ -206,6 +206,7 @@ def layer_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders_mart,
         gold.customer_revenue(s.customers, orders_mart),
         gold.category_revenue(_product_revenue(s)),
+        _product_revenue(s),
     )
 
 
