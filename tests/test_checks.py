@@ -24,3 +24,47 @@ def test_cancelled_with_items(spark):
     orders = spark.createDataFrame([(1, "cancelled"), (2, "cancelled"), (3, "completed")], "order_id long, order_status string")
     items = spark.createDataFrame([(1,), (1,), (3,)], "order_id long")
     assert [r.order_id for r in checks.cancelled_with_items(orders, items).collect()] == [1]
+
+
+def raw_tables(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from strata.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS, PAYMENTS, PRODUCTS, SHIPMENTS, nullable
+
+    lineage = lambda df: df.withColumns(
+        {"_ingestion_timestamp": F.current_timestamp(), "_source_file": F.lit("f"), "_batch_id": F.lit("b")}
+    )
+    t = dt.datetime(2024, 1, 1)
+    return {
+        "customers": lineage(spark.createDataFrame([(1, "A", "a@x", "S", None), (2, "B", " ", "S", None)], nullable(CUSTOMERS))),
+        "products": lineage(spark.createDataFrame([(10, "P", "c", 1.0, True)], nullable(PRODUCTS))),
+        "orders": lineage(
+            spark.createDataFrame(
+                [(100, 1, t, "completed"), (101, 9, t, "cancelled"), (102, None, t, "shipped")], nullable(ORDERS)
+            )
+        ),
+        "order_items": lineage(
+            spark.createDataFrame(
+                [
+                    ("a", 100, 10, 1, 1.0, Decimal("1"), None, None),
+                    ("b", 100, 99, 0, 1.0, Decimal("0"), None, None),  # unknown product, zero quantity
+                    ("c", 555, 10, 1, 1.0, Decimal("1"), None, None),  # unknown order
+                    ("d", 101, 10, 1, 1.0, Decimal("1"), None, None),  # line of a cancelled order
+                ],
+                nullable(ORDER_ITEMS),
+            )
+        ),
+        "payments": lineage(spark.createDataFrame([(1, 100, "pix", Decimal("1"), t), (2, 777, "pix", Decimal("1"), t)], nullable(PAYMENTS))),
+        "shipments": lineage(spark.createDataFrame([(1, 101, t, t, "delivered")], nullable(SHIPMENTS))),
+    }
+
+
+def test_integrity_report_counts(spark):
+    got = {r.check_name: r.value for r in checks.integrity_report(raw_tables(spark)).collect()}
+    assert got["orders_without_customer"] == 2  # unknown customer 9 and the NULL customer
+    assert got["items_without_order"] == 1 and got["items_without_product"] == 1
+    assert got["payments_without_order"] == 1 and got["shipments_without_order"] == 0
+    assert got["blank_customer_emails"] == 1 and got["items_non_positive_quantity"] == 1
+    assert got["cancelled_orders"] == 1 and got["cancelled_with_shipment"] == 1
+    assert got["orders_without_items"] == 1 and got["order_items_rows"] == 4

@@ -178,3 +178,32 @@ def test_csv_timestamps_with_offsets(spark, scratch):
     midnight = dt.datetime(2024, 1, 1)
     assert got == {1: midnight, 2: midnight, 3: midnight, 4: None}
     assert strict_ids == [1, 2, 3]
+
+
+def test_validated_layer_metrics_with_duplicates(spark, scratch):
+    from strata.plans import layers
+    from strata.schemas import DATASETS
+
+    paths = layers.LayerPaths(f"{scratch}/run")
+    rows = {
+        "customers": [(1, "A", "a@x", "S", None), (1, "B", "b@x", "S", None), (2, "C", "", "S", None)],
+        "order_items": [("x", 1, 1, 1, 1.0, None, None, None), ("x", 1, 2, 1, 1.0, None, None, None), ("y", 1, 1, 0, 1.0, None, None, None)],
+    }
+    from pyspark.sql import functions as F
+
+    from strata.schemas import nullable
+
+    for name, ds in DATASETS.items():
+        df = spark.createDataFrame(rows.get(name, []), nullable(ds.schema)).withColumns(
+            {"_ingestion_timestamp": F.current_timestamp(), "_source_file": F.lit("f"), "_batch_id": F.lit("b")}
+        )
+        df.write.mode("overwrite").parquet(paths.raw(name))
+    m = {r.dataset: r for r in layers.run_silver(spark, paths, "b").collect()}
+    c, i = m["customers"], m["order_items"]
+    assert (c.input_records, c.valid_records, c.rejected_records, c.duplicate_records) == (3, 1, 1, 1)
+    assert (i.input_records, i.valid_records, i.rejected_records, i.duplicate_records) == (3, 1, 1, 1)
+    assert m["products"].quality_rate == 0.0  # empty input
+    kept = spark.read.parquet(paths.silver("order_items")).first()
+    assert kept.product_id == 1  # fixed survivor: the smaller product id
+    rejected = spark.read.parquet(paths.rejected("order_items")).first()
+    assert list(rejected._dq_failed_rules) == ["quantity_not_positive"]
