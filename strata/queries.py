@@ -443,7 +443,7 @@ def _event_source(spark: SparkSession, sf_dir: str, copies: int) -> str:
 def stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-ingest")
     events.ingest(spark, sf_dir, f"{root}/out", f"{root}/checkpoint", DEFAULT_BATCH_ID, file_glob="events.parquet")
-    return finalize(spark.read.parquet(f"{root}/out/valid").drop("epoch"))
+    return finalize(events.read_ingested(spark, f"{root}/out", "valid"))
 
 
 @query("stream_dedup_events")

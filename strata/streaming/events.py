@@ -6,9 +6,10 @@ micro-batches, then the query stops; a second run with the same checkpoint
 picks up only new files. Checkpoints and outputs live below the session's
 shared scratch root.
 
-* ``ingest``: lineage columns, then ``foreachBatch`` splits each micro-batch
-  into valid / rejected rows and overwrites one directory per epoch, so a
-  replayed epoch rewrites its own output instead of duplicating it.
+* ``ingest``: lineage columns, then ``foreachBatch`` writes each micro-batch
+  once, partitioned into valid / rejected rows, overwriting one directory
+  per epoch, so a replayed epoch rewrites its own output instead of
+  duplicating it.
 * ``dedup``: ``dropDuplicatesWithinWatermark`` on ``event_id``; state is
   bounded by the watermark.
 * ``daily_counts``: tumbling one-day windows per event type; either the
@@ -104,15 +105,25 @@ def _ingest(
     )
 
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        flagged = batch.withColumn("_rejected", rejected_event())
-        valid = flagged.where(~F.col("_rejected")).drop("_rejected")
-        rejected = flagged.where(F.col("_rejected")).drop("_rejected").withColumn("_dq_reason", F.lit("invalid_event"))
-        valid.write.mode("overwrite").parquet(f"{out_dir}/valid/epoch={epoch_id}")
-        rejected.write.mode("overwrite").parquet(f"{out_dir}/rejected/epoch={epoch_id}")
+        # one pass over the micro-batch; a replayed epoch overwrites its own directory
+        bad = rejected_event()
+        split = batch.withColumns(
+            {
+                "_dq_reason": F.when(bad, F.lit("invalid_event")),
+                "dq_status": F.when(bad, F.lit("rejected")).otherwise(F.lit("valid")),
+            }
+        )
+        split.write.mode("overwrite").partitionBy("dq_status").parquet(f"{out_dir}/epoch={epoch_id}")
 
     _run(stream.writeStream.foreachBatch(write_epoch).option("checkpointLocation", checkpoint))
 
 
+def read_ingested(spark: SparkSession, out_dir: str, status: str = "valid") -> DataFrame:
+    """Rows of all epochs written by :func:`ingest` with the given status."""
+    df = spark.read.parquet(out_dir).where(F.col("dq_status") == status).drop("dq_status", "epoch")
+    return df.drop("_dq_reason") if status == "valid" else df
+
+
 def dedup(
     spark: SparkSession,
     source_dir: str,

@@ -27,11 +27,15 @@ def test_ingest_split_and_rerun_takes_only_new_files(spark, scratch):
     src = f"{scratch}/landing"
     land(spark, f"{src}/f=1", [ev(1, 0), (2, None, 1, "click", 1.0, "{}")])
     events.ingest(spark, src, f"{scratch}/out", f"{scratch}/ckpt", "b1")
-    assert spark.read.parquet(f"{scratch}/out/valid").count() == 1
-    assert spark.read.parquet(f"{scratch}/out/rejected").count() == 1
+    assert events.read_ingested(spark, f"{scratch}/out", "valid").count() == 1
+    rejected = events.read_ingested(spark, f"{scratch}/out", "rejected").collect()
+    assert len(rejected) == 1 and rejected[0]._dq_reason == "invalid_event"
     land(spark, f"{src}/f=2", [ev(3, 5)])
     events.ingest(spark, src, f"{scratch}/out", f"{scratch}/ckpt", "b1")
-    assert sorted(r.event_id for r in spark.read.parquet(f"{scratch}/out/valid").collect()) == [1, 3]
+    assert sorted(r.event_id for r in events.read_ingested(spark, f"{scratch}/out").collect()) == [1, 3]
+    # a run without new files writes nothing and changes nothing
+    events.ingest(spark, src, f"{scratch}/out", f"{scratch}/ckpt", "b1")
+    assert events.read_ingested(spark, f"{scratch}/out").count() == 2
 
 
 def test_daily_counts(spark, scratch):
