@@ -6,8 +6,8 @@ counts come from ``Observation`` during the writes (no extra scans).
 
 * raw: the adapter tables, stamped with lineage, one table per dataset;
 * validated: valid rows deduplicated (``row_number`` with a partial
-  ``WindowGroupLimit``, skew-safe) and rejected rows with their reason,
-  written by two jobs over the raw table (the rejected job has no shuffle);
+  ``WindowGroupLimit``, skew-safe) and rejected rows with their reasons,
+  written by ONE job over the raw table, partitioned by ``dq_status``;
 * marts: the order mart and the product mart are written first and read
   back, so the customer mart, the KPIs and the category mart reuse them
   instead of recomputing them.
@@ -35,7 +35,7 @@ from strata.functions.ids import DEFAULT_BATCH_ID
 from strata.operators import quality
 from strata.operators.dedup import dedup_dataset
 from strata.operators.joins import hot_keys
-from strata.operators.quality import split_by_quality
+from strata.plans.silver import STATUS, validated_with_status
 from strata.plans import gold
 from strata.schemas import DATASETS, QUALITY_METRICS
 from strata.sources.adapter import raw_table
@@ -59,22 +59,29 @@ class LayerPaths:
     def database(self) -> str:
         return "strata_run_" + hashlib.sha1(self.root.encode()).hexdigest()[:12]
 
-    def silver_table(self, name: str) -> str:
-        return f"{self.database}.silver_{name}"
+    def validated_table(self, name: str) -> str:
+        return f"{self.database}.validated_{name}"
 
-    def read_silver(self, spark: SparkSession, name: str, fmt: str = "parquet") -> DataFrame:
+    def _read_validated(self, spark: SparkSession, name: str, status: str, fmt: str) -> DataFrame:
         if self.buckets and name in BUCKET_KEYS:
-            return spark.table(self.silver_table(name))
-        return spark.read.format(fmt).load(self.silver(name))
+            df = spark.table(self.validated_table(name))
+        else:
+            df = spark.read.format(fmt).load(self.validated(name))
+        return df.where(F.col(STATUS) == status).drop(STATUS)  # partition pruning
+
+    def read_silver(self, spark: SparkSession, name: str, fmt: str = "parquet") -> DataFrame:
+        """Valid, deduplicated rows (bucketed on ``BUCKET_KEYS[name]`` when written so)."""
+        return self._read_validated(spark, name, "valid", fmt).drop(quality.REASON, quality.FAILED_RULES)
+
+    def read_rejected(self, spark: SparkSession, name: str, fmt: str = "parquet") -> DataFrame:
+        return self._read_validated(spark, name, "rejected", fmt)
 
     def raw(self, name: str) -> str:
         return f"{self.root}/raw/{name}"
 
-    def silver(self, name: str) -> str:
-        return f"{self.root}/silver/{name}"
-
-    def rejected(self, name: str) -> str:
-        return f"{self.root}/rejected/{name}"
+    def validated(self, name: str) -> str:
+        """Valid and rejected rows of a dataset, partitioned by ``dq_status``."""
+        return f"{self.root}/validated/{name}"
 
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
@@ -114,12 +121,11 @@ def run_silver(
 ) -> DataFrame:
     """Validated + rejected tables of all six datasets; returns the metrics table (also written).
 
-    Counts are observed only in jobs without a shuffle after the observation
-    point (the final, result stage), where Spark applies each task's metrics
-    exactly once even if executors are lost and tasks re-run: the valid
-    count on the valid write, the rejected count on the rejected write. The
-    input count is the raw layer's own write count, or else a column-free
-    count of the raw files. The six datasets are processed concurrently.
+    Counts are observed directly under each write (its result stage), where
+    Spark applies each task's metrics exactly once even if executors are
+    lost and tasks re-run. The input count is the raw layer's own write
+    count, or else a column-free count of the raw files. The six datasets
+    are processed concurrently.
     """
     if paths.buckets:
         create_schema(spark, paths.database, f"{paths.root}/catalog")
@@ -145,21 +151,24 @@ def run_silver(
 def _validate_one(
     spark: SparkSession, paths: LayerPaths, name: str, fmt: str, raw_counts: dict[str, int] | None
 ) -> tuple[int, int, int]:
-    """(input, valid, rejected) rows of one dataset, after writing its validated tables."""
+    """(input, valid, rejected) rows of one dataset, after writing its validated table.
+
+    One scan of the raw table and one job: valid rows deduplicated and
+    rejected rows, written together partitioned by ``dq_status`` (and
+    bucketed on the marts' key for ``BUCKET_KEYS``).
+    """
     raw = spark.read.format(fmt).load(paths.raw(name))
-    valid, rejected = split_by_quality(raw, name, with_failed_rules=True)
-    deduped = dedup_dataset(valid, name)
+    both = validated_with_status(raw, name)
+    counts = {"rejected": F.count_if(F.col(STATUS) == "rejected")}
     if paths.buckets and name in BUCKET_KEYS:
-        valid_rows = write_bucketed_observed(
-            deduped, paths.silver(name), paths.silver_table(name), BUCKET_KEYS[name], paths.buckets,
-            f"silver_{name}", fmt,
-        )["rows"]
+        seen = write_bucketed_observed(
+            both, paths.validated(name), paths.validated_table(name), BUCKET_KEYS[name], paths.buckets,
+            f"validated_{name}", fmt, partition_by=[STATUS], extra=counts,
+        )
     else:
-        valid_rows = write_observed(deduped, paths.silver(name), f"silver_{name}", fmt)["rows"]
-    rejected_rows = 0
-    if quality.rules_for(name):
-        rejected_rows = write_observed(rejected, paths.rejected(name), f"rejected_{name}", fmt)["rows"]
-    return _input_rows(spark, raw, name, raw_counts), valid_rows, rejected_rows
+        seen = write_observed(both, paths.validated(name), f"validated_{name}", fmt, partition_by=[STATUS], extra=counts)
+    rejected_rows = seen["rejected"]
+    return _input_rows(spark, raw, name, raw_counts), seen["rows"] - rejected_rows, rejected_rows
 
 
 def _input_rows(spark: SparkSession, raw: DataFrame, name: str, raw_counts: dict[str, int] | None) -> int:
@@ -257,16 +266,14 @@ def run_all(
 
 def written_counts(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet") -> DataFrame:
     """(layer, dataset, rows) counted by Spark from the written tables."""
-    tables = [("raw", n, paths.raw(n)) for n in DATASETS]
-    tables += [("silver", n, paths.silver(n)) for n in DATASETS]
-    tables += [("rejected", n, paths.rejected(n)) for n in DATASETS if quality.rules_for(n)]
-    tables += [("gold", n, paths.gold(n)) for n in MARTS]
+    read = lambda p: spark.read.format(fmt).load(p)
+    tables = [("raw", n, read(paths.raw(n))) for n in DATASETS]
+    tables += [("silver", n, paths.read_silver(spark, n, fmt)) for n in DATASETS]
+    tables += [("rejected", n, paths.read_rejected(spark, n, fmt)) for n in DATASETS if quality.rules_for(n)]
+    tables += [("gold", n, read(paths.gold(n))) for n in MARTS]
     parts = [
-        spark.read.format(fmt)
-        .load(p)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit(layer).alias("layer"), F.lit(n).alias("dataset"), "rows")
-        for layer, n, p in tables
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(layer).alias("layer"), F.lit(n).alias("dataset"), "rows")
+        for layer, n, df in tables
     ]
     out = parts[0]
     for part in parts[1:]:

@@ -66,6 +66,8 @@ def write_bucketed_observed(
     buckets: int,
     label: str,
     fmt: str = "parquet",
+    partition_by: list[str] | None = None,
+    extra: dict[str, Column] | None = None,
 ) -> dict[str, int]:
     """Overwrite a catalog table at ``path``, hash-bucketed and sorted on ``key``.
 
@@ -75,14 +77,9 @@ def write_bucketed_observed(
     write's result stage.
     """
     obs = Observation(f"{label}_{uuid.uuid4().hex[:8]}")
-    (
-        df.repartition(buckets, key)
-        .observe(obs, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .format(fmt)
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .option("path", path)
-        .saveAsTable(table)
-    )
-    return {k: int(v) for k, v in obs.get.items()}
+    metrics = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in (extra or {}).items()]
+    writer = df.repartition(buckets, key).observe(obs, *metrics).write.mode("overwrite").format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return {k: int(v) if v is not None else 0 for k, v in obs.get.items()}

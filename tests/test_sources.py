@@ -203,7 +203,7 @@ def test_validated_layer_metrics_with_duplicates(spark, scratch):
     assert (c.input_records, c.valid_records, c.rejected_records, c.duplicate_records) == (3, 1, 1, 1)
     assert (i.input_records, i.valid_records, i.rejected_records, i.duplicate_records) == (3, 1, 1, 1)
     assert m["products"].quality_rate == 0.0  # empty input
-    kept = spark.read.parquet(paths.silver("order_items")).first()
+    kept = paths.read_silver(spark, "order_items").first()
     assert kept.product_id == 1  # fixed survivor: the smaller product id
-    rejected = spark.read.parquet(paths.rejected("order_items")).first()
+    rejected = paths.read_rejected(spark, "order_items").first()
     assert list(rejected._dq_failed_rules) == ["quantity_not_positive"]
