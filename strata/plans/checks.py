@@ -208,6 +208,10 @@ def layer_checks(
     parts.append(_one(cats.exceptAll(mart_cats), "categories_missing_in_mart", rows))
     parts.append(_one(mart_cats.exceptAll(cats), "categories_unknown_in_mart", rows))
     if product_revenue is not None:
-        missing = silver["products"].select("product_id").join(keys_of(product_revenue, "product_id"), "product_id", "left_anti")
+        missing = (
+            silver["products"]
+            .select("product_id")
+            .join(keys_of(product_revenue, "product_id"), "product_id", "left_anti")
+        )
         parts.append(_one(missing, "products_missing_in_mart", rows))
     return _union(parts)

@@ -166,7 +166,9 @@ def _validate_one(
             f"validated_{name}", fmt, partition_by=[STATUS], extra=counts,
         )
     else:
-        seen = write_observed(both, paths.validated(name), f"validated_{name}", fmt, partition_by=[STATUS], extra=counts)
+        seen = write_observed(
+            both, paths.validated(name), f"validated_{name}", fmt, partition_by=[STATUS], extra=counts
+        )
     rejected_rows = seen["rejected"]
     return _input_rows(spark, raw, name, raw_counts), seen["rows"] - rejected_rows, rejected_rows
 
@@ -186,8 +188,12 @@ def run_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet") -> di
     read = lambda p: spark.read.format(fmt).load(p)
     s = {n: paths.read_silver(spark, n, fmt) for n in ("customers", "products", "orders", "order_items")}
     hot = {
-        "customer_id": _written_once(spark, f"{paths.root}/hot/customer_id", lambda: hot_keys(s["orders"].select("customer_id"), ["customer_id"])),
-        "order_id": _written_once(spark, f"{paths.root}/hot/order_id", lambda: hot_keys(s["order_items"].select("order_id"), ["order_id"])),
+        "customer_id": _written_once(
+            spark, f"{paths.root}/hot/customer_id", lambda: hot_keys(s["orders"].select("customer_id"), ["customer_id"])
+        ),
+        "order_id": _written_once(
+            spark, f"{paths.root}/hot/order_id", lambda: hot_keys(s["order_items"].select("order_id"), ["order_id"])
+        ),
     }
 
     def write(name: str, df: DataFrame) -> int:

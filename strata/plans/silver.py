@@ -17,7 +17,15 @@ from strata.operators.joins import hot_keys
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strata.operators.quality import FAILED_RULES, REASON, REASONS, failed_rules, rejected_flag, rules_for, split_by_quality
+from strata.operators.quality import (
+    FAILED_RULES,
+    REASON,
+    REASONS,
+    failed_rules,
+    rejected_flag,
+    rules_for,
+    split_by_quality,
+)
 from strata.schemas import DATASETS
 from strata.sources.adapter import raw_table
 

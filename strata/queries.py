@@ -90,7 +90,9 @@ def eligible_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_revenue(s: Silver) -> DataFrame:
-    return s.cached("order_revenue", lambda: gold.order_revenue(s.orders, s.order_items, s.customers, s.mart_hot_keys()))
+    return s.cached(
+        "order_revenue", lambda: gold.order_revenue(s.orders, s.order_items, s.customers, s.mart_hot_keys())
+    )
 
 
 def _product_revenue(s: Silver) -> DataFrame:

@@ -143,7 +143,12 @@ def _dedup(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str,
         .dropDuplicatesWithinWatermark(["event_id"])
         .drop("event_time")
     )
-    _run(stream.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint).outputMode("append"))
+    _run(
+        stream.writeStream.format("parquet")
+        .option("path", out_dir)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+    )
 
 
 def daily_counts(
