@@ -255,17 +255,43 @@ def bucket_count(spark: SparkSession, largest_table_bytes: int) -> int:
     return max(1, min(shuffle, max(spark.sparkContext.defaultParallelism, by_size)))
 
 
+class QualityGateError(RuntimeError):
+    """The validated layer of a batch is below the required quality rate."""
+
+
+def check_gate(metrics: DataFrame, min_quality_rate: float) -> None:
+    """Raise :class:`QualityGateError` naming every dataset below the bar.
+
+    ``metrics`` is the six-row metrics table; only the failing rows come back
+    to the driver.
+    """
+    failing = quality.quality_gate(metrics, min_quality_rate).where(~F.col("passed"))
+    bad = [(r.dataset, r.quality_rate) for r in failing.select("dataset", "quality_rate").collect()]
+    if bad:
+        detail = ", ".join(f"{d}={q:.4f}" for d, q in bad)
+        raise QualityGateError(f"quality gate {min_quality_rate} failed: {detail}")
+
+
 def run_all(
-    spark: SparkSession, sf_dir: str, root: str, batch_id: str = DEFAULT_BATCH_ID, buckets: int | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    root: str,
+    batch_id: str = DEFAULT_BATCH_ID,
+    buckets: int | None = None,
+    min_quality_rate: float | None = None,
 ) -> LayerPaths:
     """All three layers. ``buckets`` defaults to :func:`bucket_count` of the raw
-    order lines; 0 writes the validated tables as plain files."""
+    order lines; 0 writes the validated tables as plain files. With
+    ``min_quality_rate`` the run stops after the validated layer (no marts)
+    when any dataset's quality rate is below it."""
     raw_paths = LayerPaths(root)
     raw_counts = run_raw(spark, sf_dir, raw_paths, batch_id)
     if buckets is None:
         buckets = bucket_count(spark, bytes_on_disk(spark, raw_paths.raw("order_items")))
     paths = LayerPaths(root, buckets)
-    run_silver(spark, paths, batch_id, raw_counts=raw_counts)
+    metrics = run_silver(spark, paths, batch_id, raw_counts=raw_counts)
+    if min_quality_rate is not None:
+        check_gate(metrics, min_quality_rate)
     run_gold(spark, paths)
     return paths
 

@@ -207,3 +207,16 @@ def test_validated_layer_metrics_with_duplicates(spark, scratch):
     assert kept.product_id == 1  # fixed survivor: the smaller product id
     rejected = paths.read_rejected(spark, "order_items").first()
     assert list(rejected._dq_failed_rules) == ["quantity_not_positive"]
+
+
+def test_layer_run_quality_gate(spark, scratch):
+    from strata.plans import layers
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver test data not present")
+    with pytest.raises(layers.QualityGateError, match="order_items"):
+        layers.run_all(spark, sf, f"{scratch}/gated", min_quality_rate=0.95)
+    assert not os.path.exists(f"{scratch}/gated/gold")  # no marts after a failed gate
+    paths = layers.run_all(spark, sf, f"{scratch}/passed", min_quality_rate=0.5)
+    assert spark.read.parquet(paths.gold("business_kpis")).count() == 1
