@@ -40,6 +40,7 @@ from strata.plans import gold
 from strata.schemas import DATASETS, QUALITY_METRICS
 from strata.sources.adapter import raw_table
 from strata.sources.catalog import create_schema
+from strata.sources.csv_files import ingest_all_datasets
 from strata.sources.sinks import write_bucketed_observed, write_observed, write_table
 
 T = TypeVar("T")
@@ -274,18 +275,26 @@ def check_gate(metrics: DataFrame, min_quality_rate: float) -> None:
 
 def run_all(
     spark: SparkSession,
-    sf_dir: str,
+    sf_dir: str | None,
     root: str,
     batch_id: str = DEFAULT_BATCH_ID,
     buckets: int | None = None,
     min_quality_rate: float | None = None,
+    source_csv_dir: str | None = None,
 ) -> LayerPaths:
-    """All three layers. ``buckets`` defaults to :func:`bucket_count` of the raw
-    order lines; 0 writes the validated tables as plain files. With
+    """All three layers, from the driver tables in ``sf_dir`` or, with
+    ``source_csv_dir``, from ``<dataset>.csv`` sources ingested as the raw
+    layer. ``buckets`` defaults to :func:`bucket_count` of the raw order
+    lines; 0 writes the validated tables as plain files. With
     ``min_quality_rate`` the run stops after the validated layer (no marts)
     when any dataset's quality rate is below it."""
     raw_paths = LayerPaths(root)
-    raw_counts = run_raw(spark, sf_dir, raw_paths, batch_id)
+    if source_csv_dir is not None:
+        raw_counts = ingest_all_datasets(spark, source_csv_dir, f"{root}/raw", batch_id)
+    elif sf_dir is not None:
+        raw_counts = run_raw(spark, sf_dir, raw_paths, batch_id)
+    else:
+        raise ValueError("give the driver tables (sf_dir) or a CSV source folder (source_csv_dir)")
     if buckets is None:
         buckets = bucket_count(spark, bytes_on_disk(spark, raw_paths.raw("order_items")))
     paths = LayerPaths(root, buckets)
