@@ -57,3 +57,22 @@ def test_running_total_exchanges_large_side_once(spark, static):
     # their aggregation and the join back. No null-safe-join re-partitioning of the rows.
     assert ex.count("_gk") == 3 and ex.count("_w1") == 1
     assert not [e for e in ex if "coalesce(" in e]
+
+
+def test_product_mart_distinct_count_reuses_order_partitioning(spark, static):
+    ex, _ = exchanges(spark, "product_revenue")
+    # lines: dedup, order check, per-product partials (the (product, order) level needs no
+    # exchange: the data is already partitioned by order); orders: dedup, customer, ids by
+    # order; customers: dedup; products: dedup
+    assert ex == [
+        "customer_id", "customer_id", "order_id", "order_id", "order_id", "order_item_id", "product_id", "product_id",
+    ]
+
+
+def test_item_fact_joins_customers_at_order_grain(spark, static):
+    ex, _ = exchanges(spark, "fact_order_items")
+    # customer attributes are attached to orders (customer_id exchanges of orders and
+    # customers), never to the line items
+    assert ex == [
+        "customer_id", "customer_id", "order_id", "order_id", "order_id", "order_item_id", "product_id", "product_id",
+    ]
