@@ -441,10 +441,24 @@ def _event_source(spark: SparkSession, sf_dir: str, copies: int) -> str:
     return land
 
 
+def _events_stream_source(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """(folder, file glob) to stream the events table from, whether it is stored
+    as one file or as a folder of files."""
+    from strata.sources.driver import table_path
+
+    path = table_path(sf_dir, "events")
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    if hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hpath).isDirectory():
+        return path, "*.parquet"
+    return sf_dir, "events.parquet"
+
+
 @query("stream_ingest_events")
 def stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-ingest")
-    events.ingest(spark, sf_dir, f"{root}/out", f"{root}/checkpoint", DEFAULT_BATCH_ID, file_glob="events.parquet")
+    folder, glob = _events_stream_source(spark, sf_dir)
+    events.ingest(spark, folder, f"{root}/out", f"{root}/checkpoint", DEFAULT_BATCH_ID, file_glob=glob)
     return finalize(events.read_ingested(spark, f"{root}/out", "valid"))
 
 
@@ -459,5 +473,6 @@ def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_daily_counts")
 def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-daily")
-    events.daily_counts(spark, sf_dir, f"{root}/out", f"{root}/checkpoint", file_glob="events.parquet")
+    folder, glob = _events_stream_source(spark, sf_dir)
+    events.daily_counts(spark, folder, f"{root}/out", f"{root}/checkpoint", file_glob=glob)
     return spark.read.parquet(f"{root}/out")

@@ -72,3 +72,18 @@ def test_daily_counts_append_drops_late_rows(spark, scratch):
     got = dict((str(r.day), r.n) for r in spark.read.parquet(f"{scratch}/out").collect())
     assert got["2024-01-01"] == 2
     assert got.get("2024-01-02", 2) == 2
+
+
+def test_stream_queries_read_folder_form_tables(spark, scratch):
+    from __spark_entry__ import queries
+
+    sf = "/root/testdata/sf0.001"
+    import os
+
+    if not os.path.isdir(sf):
+        return
+    # the events table stored as a folder of files instead of one file
+    spark.read.parquet(f"{sf}/events.parquet").repartition(3).write.parquet(f"{scratch}/sf/events.parquet")
+    n = spark.read.parquet(f"{sf}/events.parquet").count()
+    assert queries()["stream_ingest_events"](spark, f"{scratch}/sf").count() == n
+    assert queries()["stream_daily_counts"](spark, f"{scratch}/sf").agg({"n": "sum"}).first()[0] == n
