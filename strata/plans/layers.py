@@ -30,13 +30,13 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from strata.functions.ids import DEFAULT_BATCH_ID
 from strata.operators import quality
-from strata.operators.dedup import dedup_dataset
 from strata.operators.joins import hot_keys
-from strata.plans.silver import STATUS, validated_with_status
 from strata.plans import gold
+from strata.plans.silver import STATUS, validated_with_status
 from strata.schemas import DATASETS, QUALITY_METRICS
 from strata.sources.adapter import raw_table
 from strata.sources.catalog import create_schema
@@ -67,7 +67,17 @@ class LayerPaths:
         if self.buckets and name in BUCKET_KEYS:
             df = spark.table(self.validated_table(name))
         else:
-            df = spark.read.format(fmt).load(self.validated(name))
+            # explicit schema: an empty dataset leaves no partition folders to infer it from
+            raw_schema = spark.read.format(fmt).load(self.raw(name)).schema
+            schema = StructType(
+                raw_schema.fields
+                + [
+                    StructField(quality.REASON, StringType()),
+                    StructField(quality.FAILED_RULES, ArrayType(StringType())),
+                    StructField(STATUS, StringType()),
+                ]
+            )
+            df = spark.read.schema(schema).format(fmt).load(self.validated(name))
         return df.where(F.col(STATUS) == status).drop(STATUS)  # partition pruning
 
     def read_silver(self, spark: SparkSession, name: str, fmt: str = "parquet") -> DataFrame:

@@ -207,6 +207,11 @@ def test_validated_layer_metrics_with_duplicates(spark, scratch):
     assert kept.product_id == 1  # fixed survivor: the smaller product id
     rejected = paths.read_rejected(spark, "order_items").first()
     assert list(rejected._dq_failed_rules) == ["quantity_not_positive"]
+    # empty datasets read back as empty tables with their schema
+    assert paths.read_silver(spark, "products").count() == 0
+    assert "product_id" in paths.read_rejected(spark, "products").columns
+    assert paths.read_silver(spark, "shipments").count() == 0
+    assert paths.read_rejected(spark, "customers").count() == 1
 
 
 def test_layer_run_quality_gate(spark, scratch):
