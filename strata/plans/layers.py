@@ -41,6 +41,7 @@ from strata.schemas import DATASETS, QUALITY_METRICS
 from strata.sources.adapter import raw_table
 from strata.sources.catalog import create_schema
 from strata.sources.csv_files import ingest_all_datasets
+from strata.sources.files import bytes_on_disk
 from strata.sources.sinks import write_bucketed_observed, write_observed, write_table
 
 T = TypeVar("T")
@@ -249,13 +250,6 @@ def _written_once(spark: SparkSession, path: str, build: Callable[[], DataFrame]
     return get
 
 
-def bytes_on_disk(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
-
-
 def bucket_count(spark: SparkSession, largest_table_bytes: int) -> int:
     """About one bucket per ``spark.sql.files.maxPartitionBytes`` of the largest
     bucketed table, at least the default parallelism, at most the shuffle

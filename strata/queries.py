@@ -24,7 +24,8 @@ from strata.schemas import DATASETS
 from strata.session import scratch_path, scratch_root
 from strata.sources import adapter, catalog, csv_files, evolution
 from strata.sources.adapter import raw_table
-from strata.sources.driver import read_table
+from strata.sources.driver import read_table, table_path
+from strata.sources.files import is_directory
 from strata.sources.sinks import append_partition, write_table
 from strata.streaming import events
 
@@ -444,12 +445,8 @@ def _event_source(spark: SparkSession, sf_dir: str, copies: int) -> str:
 def _events_stream_source(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """(folder, file glob) to stream the events table from, whether it is stored
     as one file or as a folder of files."""
-    from strata.sources.driver import table_path
-
     path = table_path(sf_dir, "events")
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    if hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hpath).isDirectory():
+    if is_directory(spark, path):
         return path, "*.parquet"
     return sf_dir, "events.parquet"
 

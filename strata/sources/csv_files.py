@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from strata.schemas import dataset as dataset_spec
+from strata.sources.files import exists
 from strata.sources.sinks import write_observed
 
 CORRUPT = "_corrupt_record"
@@ -78,13 +79,6 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
 def ingest_dataset(
     spark: SparkSession,
     dataset_name: str,
@@ -100,7 +94,7 @@ def ingest_dataset(
     """
     spec = dataset_spec(dataset_name)  # ValueError for an unknown name
     source_path = f"{source_dir.rstrip('/')}/{dataset_name}.csv"
-    if not _exists(spark, source_path):
+    if not exists(spark, source_path):
         raise FileNotFoundError(f"Source file not found: {source_path}")
     try:
         df = read_source_csv(spark, source_path, spec.schema, batch_id)

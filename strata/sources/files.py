@@ -1,0 +1,27 @@
+"""Path checks through the session's Hadoop file system (any scheme Spark can read)."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _fs_path(spark, path)
+    return bool(fs.exists(hpath))
+
+
+def is_directory(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _fs_path(spark, path)
+    return bool(fs.getFileStatus(hpath).isDirectory())
+
+
+def bytes_on_disk(spark: SparkSession, path: str) -> int:
+    """Total size of the files below ``path`` (metadata only)."""
+    fs, hpath = _fs_path(spark, path)
+    return int(fs.getContentSummary(hpath).getLength())
