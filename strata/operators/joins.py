@@ -5,8 +5,9 @@ share of all rows; a plain shuffle join sends all of those rows to a single
 task. ``skew_join`` splits such hot keys over many tasks:
 
 1. ``hot_keys`` finds keys whose row count is at least
-   ``strata.skew.hotKeyRows`` from a Bernoulli sample of the key columns
-   (sampling only *detects* keys; every row still takes part in the join).
+   ``strata.skew.hotKeyRows`` from a Bernoulli sample of the key columns,
+   or from every row of a sample of the table's files (sampling only
+   *detects* keys; every row still takes part in the join).
    At most ``strata.skew.maxHotKeys`` keys are kept, the heaviest first, so
    the broadcast below has a proven size bound. A hot key that misses the
    cut simply takes the ordinary shuffle path: the result stays exact.
@@ -68,13 +69,18 @@ def estimated_bytes(df: DataFrame) -> int:
     return total
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bounded table ``keys..., _salts`` of the hot keys of ``df``."""
+def hot_keys(df: DataFrame, keys: Sequence[str], read_fraction: float = 1.0) -> DataFrame:
+    """Bounded table ``keys..., _salts`` of the hot keys of ``df``.
+
+    ``read_fraction`` is the share of the table that ``df`` covers when it
+    reads only a sample of the table's files; counts are scaled up by it.
+    """
     threshold = _conf_int(df, HOT_KEY_ROWS, 1_000_000)
     limit = _conf_int(df, MAX_HOT_KEYS, 10_000)
     partitions = _conf_int(df, "spark.sql.shuffle.partitions", 200)
-    fraction = min(1.0, SAMPLE_ROWS_PER_HOT_KEY / threshold)
-    min_hits = max(1, math.floor(fraction * threshold / 2))
+    expected = threshold * read_fraction  # rows of a just-hot key inside what df reads
+    fraction = min(1.0, SAMPLE_ROWS_PER_HOT_KEY / max(expected, 1.0))
+    min_hits = max(1, math.floor(fraction * expected / 2))
     not_null = F.lit(True)
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
@@ -82,7 +88,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     if fraction < 1.0:
         sampled = sampled.sample(fraction=fraction, seed=7)
     counts = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hits"))
-    est_rows = F.col("_hits") / F.lit(fraction)
+    est_rows = F.col("_hits") / F.lit(fraction * read_fraction)
     salts = F.least(F.lit(partitions), F.greatest(F.lit(2), F.ceil(est_rows / F.lit(threshold))))
     return (
         counts.where(F.col("_hits") >= min_hits)

@@ -27,7 +27,8 @@ from strata.operators.quality import (
     split_by_quality,
 )
 from strata.schemas import DATASETS
-from strata.sources.adapter import raw_table
+from strata.sources.adapter import KEY_SOURCES, raw_table
+from strata.sources.driver import read_file_sample
 
 T = TypeVar("T")
 
@@ -106,10 +107,19 @@ class Silver:
         return self.split(dataset)[0]
 
     def hot(self, dataset: str, key: str) -> Callable[[], DataFrame]:
-        """Builds, when called, the hot values of ``key`` from a sampled scan of the raw column only."""
-        return lambda: self.cached(
-            f"hot:{dataset}:{key}", lambda: hot_keys(self.raw(dataset).select(key), [key])
-        )
+        """Builds, when called, the hot values of ``key``: from a sample of the
+        driver table's files when the key is a plain copy of a driver column
+        and the table has many files, else from a row sample of the raw column."""
+
+        def build() -> DataFrame:
+            source = KEY_SOURCES.get((dataset, key))
+            sample = read_file_sample(self.spark, self.sf_dir, source[0]) if source else None
+            if sample is not None:
+                files, share = sample
+                return hot_keys(files.select(F.col(source[1]).alias(key)), [key], read_fraction=share)
+            return hot_keys(self.raw(dataset).select(key), [key])
+
+        return lambda: self.cached(f"hot:{dataset}:{key}", build)
 
     def mart_hot_keys(self) -> dict[str, Callable[[], DataFrame]]:
         """Hot customers (in orders) and hot orders (in order lines) for the marts."""

@@ -187,6 +187,15 @@ def shipments(spark: SparkSession, sf_dir: str, batch_id: str = DEFAULT_BATCH_ID
     return with_lineage(out, _file(o), batch_id)
 
 
+# raw join keys that are plain copies of a driver column: (dataset, key) -> (table, column);
+# hot-key detection can read them from a sample of the driver table's files
+KEY_SOURCES = {
+    ("orders", "customer_id"): ("orders", "o_custkey"),
+    ("order_items", "order_id"): ("lineitem", "l_orderkey"),
+    ("order_items", "product_id"): ("lineitem", "l_partkey"),
+}
+
+
 READERS = {
     "customers": customers,
     "products": products,

@@ -73,3 +73,34 @@ def test_broadcast_only_behind_size_check(spark):
     unknown = spark.createDataFrame([(1,)], "k int")  # unknown size counts as large
     assert "broadcast" not in broadcast_if_small(unknown)._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in broadcast_if_small(small, max_bytes=1)._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_hot_keys_from_a_file_sample(spark, scratch):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from strata.plans.silver import Silver
+
+    n = 4000
+    orders = spark.range(n).select(
+        F.col("id").alias("o_orderkey"),
+        F.when(F.col("id") % 2 == 0, F.lit(42)).otherwise(F.col("id")).alias("o_custkey"),  # customer 42: half
+        F.lit("F").alias("o_orderstatus"),
+        F.lit(1.0).alias("o_totalprice"),
+        F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("o_orderdate"),
+        F.lit("1-URGENT").alias("o_orderpriority"),
+    )
+    orders.repartition(40, "o_orderkey").write.parquet(f"{scratch}/orders.parquet")
+    conf = {"strata.skew.hotKeyRows": "100", "strata.skew.fileSampleEvery": "4", "strata.skew.fileSampleMinFiles": "10"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        hot = Silver(spark, scratch).hot("orders", "customer_id")()
+        assert len(hot.inputFiles()) == 10  # every 4th of 40 files
+        rows = hot.collect()
+        assert [r.customer_id for r in rows] == [42]
+        assert 2 <= rows[0]._salts <= 4  # ~2000 rows / 100 per salt, capped at 4 shuffle partitions
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
