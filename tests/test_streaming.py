@@ -87,3 +87,25 @@ def test_stream_queries_read_folder_form_tables(spark, scratch):
     n = spark.read.parquet(f"{sf}/events.parquet").count()
     assert queries()["stream_ingest_events"](spark, f"{scratch}/sf").count() == n
     assert queries()["stream_daily_counts"](spark, f"{scratch}/sf").agg({"n": "sum"}).first()[0] == n
+
+
+def test_replayed_epoch_overwrites_its_output(spark, scratch):
+    import os
+
+    src = f"{scratch}/landing"
+    land(spark, f"{src}/f=1", [ev(1, 0), ev(2, 1), (3, None, 1, "click", 1.0, "{}")])
+    events.ingest(spark, src, f"{scratch}/out", f"{scratch}/ckpt", "b1")
+    before = sorted(r.event_id for r in events.read_ingested(spark, f"{scratch}/out").collect())
+    files = lambda: sorted(
+        f for _, _, fs in os.walk(f"{scratch}/out") for f in fs if f.endswith(".parquet")
+    )
+    first_files = files()
+    # crash after the epoch's output was written, before its commit was recorded
+    commits = f"{scratch}/ckpt/commits"
+    for name in os.listdir(commits):
+        os.remove(os.path.join(commits, name))
+    events.ingest(spark, src, f"{scratch}/out", f"{scratch}/ckpt", "b1")  # Spark replays the epoch
+    after = sorted(r.event_id for r in events.read_ingested(spark, f"{scratch}/out").collect())
+    assert before == after == [1, 2]
+    assert files() != first_files  # the epoch really ran again and rewrote its folder
+    assert events.read_ingested(spark, f"{scratch}/out", "rejected").count() == 1
