@@ -104,3 +104,34 @@ def test_hot_keys_from_a_file_sample(spark, scratch):
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+def test_salting_spreads_a_key_with_a_third_of_the_rows(spark):
+    from pyspark.sql import functions as F
+
+    conf = {
+        "strata.skew.hotKeyRows": "100",
+        "strata.skew.minFactBytes": "0",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(3000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+        )  # key 7 holds a third of the rows
+        other = spark.range(3000).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+
+        def partitions_of_hot_key(df):
+            return df.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
+
+        assert partitions_of_hot_key(fact.join(other, "k")) == 1  # a plain shuffle join: one task
+        salted = skew_join(fact, other, "k")
+        assert partitions_of_hot_key(salted) >= 4  # salted: spread over many tasks
+        assert salted.count() == fact.join(other, "k").count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
