@@ -36,3 +36,32 @@ def test_upsert_equal_versions_are_deterministic(spark):
     base = spark.createDataFrame([(1, "a", 1)], "id int, name string, version int")
     changes = spark.createDataFrame([(1, "z", 2), (1, "b", 2)], "id int, name string, version int")
     assert upsert(base, changes, "id", "version").first().name == "b"
+
+
+def _shuffle_records(node, acc):
+    if "Exchange" in node.nodeName() and node.metrics().contains("shuffleRecordsWritten"):
+        acc.append(node.metrics().apply("shuffleRecordsWritten").value())
+    children = node.children()
+    for i in range(children.size()):
+        _shuffle_records(children.apply(i), acc)
+    return acc
+
+
+def test_hot_key_crosses_the_shuffle_as_one_row_per_map_task(spark):
+    from pyspark.sql import functions as F
+
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        src = spark.range(3000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+        )  # key 7 holds a third of the rows (plus id 7 itself); 1999 other keys
+        out = dedup_by_key(src, "k", ["v"])
+        keys = out.count()
+        assert keys == 2000
+        out.collect()
+        records = _shuffle_records(out._jdf.queryExecution().executedPlan(), [])
+        tasks = src.rdd.getNumPartitions()
+        assert records and records[0] <= keys + tasks  # not 3000: the hot key is cut map-side
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
