@@ -23,3 +23,24 @@ def test_top_k_ties_by_order(spark):
     df = spark.createDataFrame([("a", 1, 5.0), ("a", 2, 5.0), ("a", 3, 1.0), ("b", 4, 2.0)], "g string, id int, r double")
     out = top_k(df, ["g"], [F.col("r").desc(), F.col("id")], 1)
     assert sorted((r.g, r.id) for r in out.collect()) == [("a", 1), ("b", 4)]
+
+
+def test_running_total_spreads_one_huge_partition(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # customer 7 has every third of 3000 events, spread over 30 days
+        df = spark.range(3000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("p"),
+            (F.col("id") % 30).alias("t"),
+            F.col("id").alias("o"),
+            F.lit(1).alias("v"),
+        )
+        out = running_total(df, ["p"], ["t", "o"], "v", F.col("t"))
+        hot = out.where("p = 7")
+        assert hot.select(F.spark_partition_id()).distinct().count() > 1  # not one task
+        assert hot.agg(F.max("running_total")).first()[0] == 1000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
