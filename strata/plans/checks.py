@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from strata.functions.predicates import is_missing
-from strata.plans.gold import VALID_ORDER_STATUSES
+from strata.plans.gold import COMMERCIAL_STATUSES
 
 TEXT = StringType()
 
@@ -196,7 +196,7 @@ def layer_checks(
             order_revenue,
             {
                 "gold_status_outside_set": F.count_if(
-                    ~F.coalesce(F.col("order_status").isin(*VALID_ORDER_STATUSES), F.lit(False))
+                    ~F.coalesce(F.col("order_status").isin(*COMMERCIAL_STATUSES), F.lit(False))
                 ),
                 "gold_non_positive_revenue": F.count_if(F.coalesce(F.col("order_revenue") <= 0, F.lit(True))),
             },
