@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import hashlib
 import threading
+from contextlib import contextmanager
+from datetime import datetime, timezone
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -102,6 +104,11 @@ class LayerPaths:
     def quality(self) -> str:
         return f"{self.root}/quality"
 
+    @property
+    def run_log(self) -> str:
+        """Rows written per layer and dataset, with step times (UTC)."""
+        return f"{self.root}/run_log"
+
 
 def concurrently(jobs: dict[str, Callable[[], T]], max_parallel: int = 6) -> dict[str, T]:
     """Run independent Spark jobs from driver threads; results keep the key order.
@@ -292,23 +299,67 @@ def run_all(
     lines; 0 writes the validated tables as plain files. With
     ``min_quality_rate`` the run stops after the validated layer (no marts)
     when any dataset's quality rate is below it."""
-    raw_paths = LayerPaths(root)
-    if source_csv_dir is not None:
-        raw_counts = ingest_all_datasets(spark, source_csv_dir, f"{root}/raw", batch_id)
-    elif sf_dir is not None:
-        raw_counts = run_raw(spark, sf_dir, raw_paths, batch_id)
-    else:
+    if sf_dir is None and source_csv_dir is None:
         raise ValueError("give the driver tables (sf_dir) or a CSV source folder (source_csv_dir)")
+    raw_paths = LayerPaths(root)
+    log = RunLog(batch_id)
+    with log.step("raw") as counts:
+        if source_csv_dir is not None:
+            counts |= ingest_all_datasets(spark, source_csv_dir, f"{root}/raw", batch_id)
+        else:
+            counts |= run_raw(spark, sf_dir, raw_paths, batch_id)
+    raw_counts = log.counts("raw")
     if buckets is None:
         buckets = bucket_count(spark, bytes_on_disk(spark, raw_paths.raw("order_items")))
     paths = LayerPaths(root, buckets)
-    metrics = run_silver(spark, paths, batch_id, raw_counts=raw_counts)
-    if min_quality_rate is not None:
-        check_gate(metrics, min_quality_rate)
-    run_gold(spark, paths)
+    try:
+        with log.step("validated") as counts:
+            metrics = run_silver(spark, paths, batch_id, raw_counts=raw_counts)
+            for r in metrics.select("dataset", "valid_records", "rejected_records").collect():  # six rows
+                counts[r.dataset] = r.valid_records
+                counts[f"{r.dataset}:rejected"] = r.rejected_records
+        if min_quality_rate is not None:
+            check_gate(metrics, min_quality_rate)
+        with log.step("gold") as counts:
+            counts |= run_gold(spark, paths)
+    finally:
+        log.write(spark, paths.run_log)
     return paths
 
 
+class RunLog:
+    """Operational metadata of one run: per layer and dataset the rows written
+    (taken from the writes' Observations, no second scan) and the step's
+    start and end time. A bounded local table (one row per written table)."""
+
+    def __init__(self, batch_id: str):
+        self.batch_id = batch_id
+        self.rows: list[tuple] = []
+        self._counts: dict[str, dict[str, int]] = {}
+
+    @contextmanager
+    def step(self, layer: str):
+        counts: dict[str, int] = {}
+        started = datetime.now(timezone.utc).replace(tzinfo=None)
+        try:
+            yield counts
+        finally:
+            finished = datetime.now(timezone.utc).replace(tzinfo=None)
+            self._counts[layer] = dict(counts)
+            for dataset, n in counts.items():
+                self.rows.append((layer, dataset, self.batch_id, int(n), started, finished))
+
+    def counts(self, layer: str) -> dict[str, int]:
+        return self._counts.get(layer, {})
+
+    def write(self, spark: SparkSession, path: str) -> None:
+        schema = (
+            "layer string, dataset string, batch_id string, rows bigint, "
+            "started_at timestamp_ntz, finished_at timestamp_ntz"
+        )
+        write_table(spark.createDataFrame(self.rows, schema), path)
+
+
 def written_counts(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet") -> DataFrame:
     """(layer, dataset, rows) counted by Spark from the written tables."""
     read = lambda p: spark.read.format(fmt).load(p)

@@ -246,3 +246,28 @@ def test_layer_run_from_csv_sources(spark, scratch):
     kpi_csv = spark.read.parquet(from_csv.gold("business_kpis")).first()
     kpi_tab = spark.read.parquet(from_tables.gold("business_kpis")).first()
     assert kpi_csv == kpi_tab
+
+
+def test_run_log_of_the_on_disk_run(spark, scratch):
+    from strata.plans import layers
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver test data not present")
+    paths = layers.run_all(spark, sf, f"{scratch}/logged")
+    log = {(r.layer, r.dataset): r for r in spark.read.parquet(paths.run_log).collect()}
+    counts = {(r.layer, r.dataset): r.rows for r in layers.written_counts(spark, paths).collect()}
+    def log_key(layer, dataset):  # the log names the validated layer's two sides
+        if layer == "silver":
+            return ("validated", dataset)
+        if layer == "rejected":
+            return ("validated", f"{dataset}:rejected")
+        return (layer, dataset)
+
+    for (layer, dataset), n in counts.items():
+        assert log[log_key(layer, dataset)].rows == n, (layer, dataset)
+    assert all(r.started_at <= r.finished_at for r in log.values())
+    with pytest.raises(layers.QualityGateError):
+        layers.run_all(spark, sf, f"{scratch}/gated_log", min_quality_rate=0.99)
+    layers_logged = {r.layer for r in spark.read.parquet(f"{scratch}/gated_log/run_log").collect()}
+    assert layers_logged == {"raw", "validated"}  # the log is written even when the gate stops the run
