@@ -74,6 +74,7 @@ for _name in quality.REASONS:
 
 @query("quality_metrics")
 def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per raw table: input, valid (after dedup), rejected and duplicate rows, quality rate."""
     parts = [quality.quality_metrics(raw_table(spark, sf_dir, n), n, DEFAULT_BATCH_ID) for n in DATASETS]
     out = parts[0]
     for p in parts[1:]:
@@ -86,6 +87,7 @@ def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("eligible_orders")
 def eligible_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commercial (completed / shipped) orders of validated customers."""
     s = Silver(spark, sf_dir)
     return finalize(gold.eligible_orders(s.orders, s.customers, s.mart_hot_keys()))
 
@@ -105,32 +107,38 @@ def _product_revenue(s: Silver) -> DataFrame:
 
 @query("order_revenue")
 def order_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order mart: revenue, items and distinct products per eligible order (the flagship query)."""
     return finalize(_order_revenue(Silver(spark, sf_dir)))
 
 
 @query("product_revenue")
 def product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product mart: units, revenue and orders per product over eligible orders."""
     return finalize(_product_revenue(Silver(spark, sf_dir)))
 
 
 @query("category_revenue")
 def category_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category mart, aggregated from the product mart."""
     return finalize(gold.category_revenue(_product_revenue(Silver(spark, sf_dir))))
 
 
 @query("customer_revenue")
 def customer_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer mart: orders, revenue, average order value and items per customer."""
     s = Silver(spark, sf_dir)
     return finalize(gold.customer_revenue(s.customers, _order_revenue(s)))
 
 
 @query("business_kpis")
 def business_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-row KPI table over the order mart."""
     return finalize(gold.business_kpis(_order_revenue(Silver(spark, sf_dir))))
 
 
 @query("status_counts")
 def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validated orders per status."""
     orders = Silver(spark, sf_dir).orders
     return orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("n")).orderBy("order_status")
 
@@ -144,16 +152,19 @@ def _raw_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @query("integrity_report")
 def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts, referential orphans and fault counts of the raw tables."""
     return checks.integrity_report(_raw_all(spark, sf_dir))
 
 
 @query("cancelled_with_items")
 def cancelled_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cancelled orders that have lines (set intersection)."""
     return checks.cancelled_with_items(raw_table(spark, sf_dir, "orders"), raw_table(spark, sf_dir, "order_items"))
 
 
 @query("reconcile_gold")
 def reconcile_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals that must agree across the marts, side by side."""
     s = Silver(spark, sf_dir)
     orders_mart = _order_revenue(s)
     products_mart = _product_revenue(s)
@@ -190,6 +201,7 @@ def reconcile_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("layer_checks")
 def layer_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postconditions of every layer as violation counts (0 = pass)."""
     s = Silver(spark, sf_dir)
     raw = {n: s.raw(n) for n in DATASETS}
     sources = {
@@ -215,11 +227,13 @@ def layer_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("payments_derived")
 def payments_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments derived per order from the lines (before fault injection)."""
     return finalize(raw_table(spark, sf_dir, "payments"))
 
 
 @query("shipments_derived")
 def shipments_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipments derived per non-cancelled order."""
     return finalize(raw_table(spark, sf_dir, "shipments"))
 
 
@@ -228,36 +242,43 @@ def shipments_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("delivery_performance")
 def delivery_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transit days and on-time rate by delivery status and ship month."""
     return metrics.delivery_performance(Silver(spark, sf_dir).shipments)
 
 
 @query("cancellation_rate")
 def cancellation_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of cancelled orders (one row)."""
     return metrics.cancellation_rate(Silver(spark, sf_dir).orders)
 
 
 @query("cancellation_by_month")
 def cancellation_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of cancelled orders per order month."""
     return metrics.cancellation_by_month(Silver(spark, sf_dir).orders)
 
 
 @query("customer_recurrence")
 def customer_recurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of active customers with at least two eligible orders (one row)."""
     return metrics.customer_recurrence(_order_revenue(Silver(spark, sf_dir)))
 
 
 @query("customer_lifetime")
 def customer_lifetime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First/last order, tenure, orders and revenue per active customer."""
     return finalize(metrics.customer_lifetime(_order_revenue(Silver(spark, sf_dir))))
 
 
 @query("customer_running_revenue")
 def customer_running_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue to date after each eligible order of a customer."""
     return finalize(metrics.customer_running_revenue(_order_revenue(Silver(spark, sf_dir))))
 
 
 @query("revenue_by_region")
 def revenue_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer revenue rolled up by region and state with subtotals."""
     s = Silver(spark, sf_dir)
     customers_mart = gold.customer_revenue(s.customers, _order_revenue(s))
     return finalize(metrics.revenue_by_region(customers_mart, adapter.states(spark, sf_dir)))
@@ -265,11 +286,13 @@ def revenue_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("top_products_by_category")
 def top_products_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top three products by revenue in each category."""
     return finalize(metrics.top_products_by_category(_product_revenue(Silver(spark, sf_dir)), 3))
 
 
 @query("fact_order_items")
 def fact_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item-grain fact with order, customer, region and product columns."""
     s = Silver(spark, sf_dir)
     hot = {
         "customer_id": s.hot("orders", "customer_id"),
@@ -383,6 +406,7 @@ def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("catalog_roundtrip")
 def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw customers written to a catalog table and read back."""
     catalog.create_schema(spark, "strata_catalog", f"{scratch_root(spark)}/strata/catalog")
     table = f"strata_catalog.customers_{uuid.uuid4().hex[:12]}"
     catalog.save_as_table(raw_table(spark, sf_dir, "customers").drop(*UNSTABLE), table)
@@ -396,11 +420,13 @@ MIN_QUALITY_RATE = 0.95  # fixed gate: at least 95% of a batch must survive vali
 
 @query("quality_gate")
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality metrics with a pass/fail flag against the fixed minimum rate."""
     return quality.quality_gate(quality_metrics(spark, sf_dir), MIN_QUALITY_RATE)
 
 
 @query("rule_failures")
 def rule_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failures and failure rate per quality rule."""
     parts = [quality.rule_failures(raw_table(spark, sf_dir, n), n) for n in quality.REASONS]
     return parts[0].unionByName(parts[1])
 
@@ -419,12 +445,14 @@ def rejected_order_items_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("layer_run_counts")
 def layer_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per layer and dataset after a full on-disk run, counted from the files."""
     paths = layers.run_all(spark, sf_dir, scratch_path(spark, "layers"))
     return layers.written_counts(spark, paths)
 
 
 @query("run_log")
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics table written by the validated layer of an on-disk run."""
     paths = layers.LayerPaths(scratch_path(spark, "runlog"))
     raw_counts = layers.run_raw(spark, sf_dir, paths)
     return layers.run_silver(spark, paths, raw_counts=raw_counts).drop("processed_at")
@@ -453,6 +481,7 @@ def _events_stream_source(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 @query("stream_ingest_events")
 def stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid events after a file-stream ingestion with a per-epoch split."""
     root = scratch_path(spark, "stream-ingest")
     folder, glob = _events_stream_source(spark, sf_dir)
     events.ingest(spark, folder, f"{root}/out", f"{root}/checkpoint", DEFAULT_BATCH_ID, file_glob=glob)
@@ -461,6 +490,7 @@ def stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_dedup_events")
 def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events fed twice through a stream, deduplicated within the watermark."""
     root = scratch_path(spark, "stream-dedup")
     source = _event_source(spark, sf_dir, copies=2)
     events.dedup(spark, source, f"{root}/out", f"{root}/checkpoint")
@@ -469,6 +499,7 @@ def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_daily_counts")
 def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per UTC day and type from a stream (complete mode)."""
     root = scratch_path(spark, "stream-daily")
     folder, glob = _events_stream_source(spark, sf_dir)
     events.daily_counts(spark, folder, f"{root}/out", f"{root}/checkpoint", file_glob=glob)
