@@ -271,3 +271,29 @@ def test_run_log_of_the_on_disk_run(spark, scratch):
         layers.run_all(spark, sf, f"{scratch}/gated_log", min_quality_rate=0.99)
     layers_logged = {r.layer for r in spark.read.parquet(f"{scratch}/gated_log/run_log").collect()}
     assert layers_logged == {"raw", "validated"}  # the log is written even when the gate stops the run
+
+
+def test_command_line_steps(scratch):
+    import json
+    import subprocess
+    import sys
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver test data not present")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = f"{scratch}/cli"
+
+    def run(*args):
+        proc = subprocess.run(
+            [sys.executable, "-m", "strata", *args], capture_output=True, text=True, timeout=600, cwd=repo
+        )
+        assert proc.returncode == 0, proc.stderr[-2000:]
+        return json.loads(proc.stdout.strip().splitlines()[-1])
+
+    raw = run("raw", "--root", root, "--sf-dir", sf)
+    assert raw["order_items"] > 0
+    validated = run("validated", "--root", root)
+    assert validated["order_items"]["input_records"] == raw["order_items"]
+    marts = run("marts", "--root", root)
+    assert marts["business_kpis"] == 1
