@@ -60,9 +60,22 @@ def estimated_bytes(df: DataFrame) -> int:
     File relations report their file bytes; inputs of unknown size (local
     rows, RDDs) report Spark's default, which is huge, so they always count
     as large. Catalyst's own estimate of a join is the product of its sides,
-    far above any real output, so the leaves are summed instead.
+    far above any real output, so the leaves are summed instead. Catalog
+    tables with partitions only know their size after partition pruning, so
+    when the analyzed plan has an unknown leaf the optimized plan is used.
     """
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves().iterator()
+    qe = df._jdf.queryExecution()
+    total = _leaf_bytes(qe.analyzed())
+    if total >= _UNKNOWN:
+        total = _leaf_bytes(qe.optimizedPlan())
+    return total
+
+
+_UNKNOWN = 1 << 62  # Spark's default size of a relation it cannot measure is Long.MaxValue
+
+
+def _leaf_bytes(plan) -> int:
+    leaves = plan.collectLeaves().iterator()
     total = 0
     while leaves.hasNext():
         total += int(str(leaves.next().stats().sizeInBytes()))
