@@ -52,6 +52,25 @@ def main() -> None:
             print("| query | " + " | ".join(cols) + " |")
             print("| --- |" + " --- |" * len(cols))
         print(f"| {name} | " + " | ".join(str(s[c]) for c in cols) + " |", flush=True)
+    print(
+        "\n## At-scale shape: hash exchanges per query\n\n"
+        "Automatic broadcasts and AQE off, as when every table is large: the keys each query "
+        "shuffles on (`tests/test_plans.py` pins the main ones). Fixed-size dimensions are still "
+        "broadcast behind their size check.\n"
+    )
+    print("| query | hash exchanges | keys |")
+    print("| --- | --- | --- |")
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name, fn in queries().items():
+            plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
+            keys = sorted(re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan))
+            print(f"| {name} | {len(keys)} | " + "; ".join(f"`{k}`" for k in keys) + " |", flush=True)
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
     for name in DETAILED:
         df = queries()[name](spark, sf)
         plan = df._jdf.queryExecution().explainString(
