@@ -297,3 +297,6 @@ def test_command_line_steps(scratch):
     assert validated["order_items"]["input_records"] == raw["order_items"]
     marts = run("marts", "--root", root)
     assert marts["business_kpis"] == 1
+    everything = run("all", "--root", f"{scratch}/cli_all", "--sf-dir", sf, "--min-quality-rate", "0.5")
+    assert everything["gold/business_kpis"] == 1
+    assert everything["raw/order_items"] == raw["order_items"]
