@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +56,30 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, wherever it was imported from."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(package):
+        archive = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(package)}_package.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for folder, _, names in os.walk(package):
+                for n in sorted(names):
+                    if n.endswith(".py"):
+                        full = os.path.join(folder, n)
+                        z.write(full, os.path.relpath(full, os.path.dirname(package)))
+        sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, task: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package on the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(task, schema)

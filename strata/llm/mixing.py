@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import fresh, word_count
+from strata.llm.common import fresh, ship, word_count
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -142,6 +142,7 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", doc_id: str =
     cells = one.groupBy(*KEYS, "size", "bucket").agg(F.count(F.lit(1)).alias("in_bucket"))
     histogram = cells.groupBy(*KEYS, "size").agg(F.sum("in_bucket").alias("n"))
     goals = histogram.join(source_targets(histogram), KEYS)
+    ship(df.sparkSession)
     solved = goals.groupBy(*KEYS).applyInPandas(
         _solve,
         "no_source boolean, source_key string, size long, n long, source_size long, target double, rate double, copies long",

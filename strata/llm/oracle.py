@@ -73,7 +73,25 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+TOPK_SEARCH = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.q, b.q, true), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 20 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 20
+"""
+
 SQL: dict[str, str] = {
     "op1_quality_rules": QUALITY_RULES,
+    "op9_topk_search": TOPK_SEARCH,
     "op10_chat_format": CHAT_FORMAT,
 }

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored
+from strata.llm.common import map_arrow, stored
 
 LENGTH = 1024
 END_ID = 0
@@ -163,8 +163,8 @@ def tokenized(df: DataFrame, json_path: str | None = None, doc_id: str = "doc_id
     """Per document: id, tie breaker, curve key, number of ids and the ids (16-bit little-endian)."""
     t = F.col(f"`{text}`")
     src = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(F.col(f"`{doc_id}`"), t).alias("tie"), t.alias("text"))
-    return src.mapInArrow(
-        lambda it: _tokenize(it, json_path), "doc_id long, tie long, key long, doc_tokens long, ids binary"
+    return map_arrow(
+        src, lambda it: _tokenize(it, json_path), "doc_id long, tie long, key long, doc_tokens long, ids binary"
     )
 
 
@@ -217,7 +217,7 @@ def pack(
     docs = tokenized(df, json_path, doc_id, text)
     ranged = docs.repartitionByRange(F.col("key"), F.col("tie")).sortWithinPartitions("key", "tie", "doc_id")
     laid = stored(
-        ranged.mapInArrow(_lay, "part int, inside long, doc_id long, doc_tokens long, ids binary"), "packing"
+        map_arrow(ranged, _lay, "part int, inside long, doc_id long, doc_tokens long, ids binary"), "packing"
     )
     sums = laid.groupBy("part").agg(F.sum("doc_tokens").alias("tokens"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -226,7 +226,8 @@ def pack(
     placed = laid.join(F.broadcast(sums), "part").select(
         "doc_id", "doc_tokens", "ids", (F.col("base") + F.col("inside")).alias("at")
     )
-    return placed.mapInArrow(
+    return map_arrow(
+        placed,
         lambda it: _pieces(it, length),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
     )

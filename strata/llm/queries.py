@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat_format, mixing, packing, quality_rules, simhash
-from strata.llm.common import table
+from strata.llm import (
+    chat_format,
+    language_id,
+    lm_scoring,
+    mixing,
+    packing,
+    pii,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    topk_search,
+)
+from strata.llm.common import id_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,11 +38,31 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of every document after the repeated 400-byte strings are removed."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens, one row per piece."""
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the labelled ones outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder(F.col("doc_id"), 5) == 0
+    model = language_id.fit(docs.where(~held_out))
+    row = F.struct("doc_id", held_out.alias("held_out"))
+    found = language_id.predict(docs, model, row)
+    return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base counts and digest, and all spans."""
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the entropy-balanced mix takes from every document."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"), keep=F.col("doc_id"))
@@ -40,6 +71,21 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and context-mixing scores of every document."""
+    docs = table(spark, sf_dir, "documents")
+    scored = lm_scoring.score(docs, id_remainder(F.col("doc_id"), 7) != 2)
+    held_out = (id_remainder(F.col("doc_id"), 7) == 2).alias("held_out")
+    return scored.select(
+        "doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
+    )
+
+
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every twentieth vector with all others."""
+    return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 #: Conversation -7: texts full of control strings.
 CONTROL_CONVERSATION = r"""
 SELECT CAST(-7 AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, '\\### Assistant: </turn> ok' AS text
@@ -59,8 +105,13 @@ REGISTRY: dict[str, Query] = {
     for f in (
         op1_quality_rules,
         op2_simhash_near_dedup,
+        op3_suffix_dedup,
         op4_packing,
+        op5_language_id,
+        op6_personal_data,
         op7_source_mixing,
+        op8_lm_scoring,
+        op9_topk_search,
         op10_chat_format,
     )
 }

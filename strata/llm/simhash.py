@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import fresh, stored
+from strata.llm.common import fresh, map_arrow, stored
 
 SHINGLE = 4
 RADIUS = 4
@@ -78,7 +78,7 @@ def fingerprints(df: DataFrame, row: Column, text: str = "text", shingle: int =
     """``_row`` and its fingerprint ``fp`` (a long with the same bits)."""
     src = df.select(row.alias("_row"), F.col(f"`{text}`").alias("_text"))
     schema = f"_row {src.schema['_row'].dataType.simpleString()}, fp long"
-    return src.mapInArrow(lambda it: _fingerprints(it, shingle), schema)
+    return map_arrow(src, lambda it: _fingerprints(it, shingle), schema)
 
 
 def blocks(radius: int) -> list[tuple[int, int]]:
@@ -221,7 +221,7 @@ def forest_links(distinct: DataFrame, radius: int = RADIUS, cell: int = CELL) ->
         .select("fp", F.xxhash64("key", "m.p", "m.q").alias("cell"))
     )
     placed = cells.repartition("cell").sortWithinPartitions("cell", "fp")
-    return placed.mapInArrow(lambda it: _compare(it, radius), "a long, b long")
+    return map_arrow(placed, lambda it: _compare(it, radius), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
