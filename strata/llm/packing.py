@@ -6,9 +6,10 @@ curve is its sort key. The documents are range-sorted by it and laid end to
 end, cut at every ``length`` tokens, so neighbours on the curve share
 sequences and only the last sequence of all is padded.
 
-Ids travel once, two bytes each, in the range sort; a range that many copies
-fill is split further by a hash of the id and text. The sums of tokens per
-range (one row per partition) give each range its first position.
+Only keys and token counts are range-sorted; a range that many copies fill is
+split further by a hash of the id and text. The sums of tokens per range (one
+row per partition) give each range its first position. Ids, two bytes each,
+travel once, to meet their positions.
 
 Defined cases: a null text is an empty document, which still has its end id;
 repeated rows are documents of their own; an empty table gives an empty
@@ -179,11 +180,10 @@ def _lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 pa.array(np.full(len(n), part, np.int32)),
                 pa.array(inside),
-                b.column("doc_id"),
+                b.column("row"),
                 b.column("doc_tokens"),
-                b.column("ids"),
             ],
-            names=["part", "inside", "doc_id", "doc_tokens", "ids"],
+            names=["part", "inside", "row", "doc_tokens"],
         )
 
 
@@ -211,21 +211,23 @@ def pack(
 ) -> DataFrame:
     """One row per piece: its document, place in it, checksum, and place in a sequence.
 
-    The sorted ranges are stored, because two passes (sums, then pieces) must see the
-    same ranges even if an executor is lost between them.
+    Token ids are stored once; only keys and counts are sorted, and every document's
+    position comes back to its ids by row number. The sorted positions are stored too,
+    because two passes (sums, then pieces) must see the same ranges even if an executor
+    is lost between them.
     """
-    docs = tokenized(df, json_path, doc_id, text)
-    ranged = docs.repartitionByRange(F.col("key"), F.col("tie")).sortWithinPartitions("key", "tie", "doc_id")
-    laid = stored(
-        map_arrow(ranged, _lay, "part int, inside long, doc_id long, doc_tokens long, ids binary"), "packing"
+    docs = stored(
+        tokenized(df, json_path, doc_id, text).withColumn("row", F.monotonically_increasing_id()), "tokens"
     )
+    order = ["key", "tie", "doc_id", "row"]
+    ranged = docs.select(*order, "doc_tokens").repartitionByRange("key", "tie").sortWithinPartitions(*order)
+    laid = stored(map_arrow(ranged, _lay, "part int, inside long, row long, doc_tokens long"), "packing")
     sums = laid.groupBy("part").agg(F.sum("doc_tokens").alias("tokens"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("part", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
     # one row per shuffle partition: that count bounds the broadcast
-    placed = laid.join(F.broadcast(sums), "part").select(
-        "doc_id", "doc_tokens", "ids", (F.col("base") + F.col("inside")).alias("at")
-    )
+    at = laid.join(F.broadcast(sums), "part").select("row", (F.col("base") + F.col("inside")).alias("at"))
+    placed = docs.select("row", "doc_id", "doc_tokens", "ids").join(at, "row").drop("row")
     return map_arrow(
         placed,
         lambda it: _pieces(it, length),
