@@ -23,3 +23,8 @@ def composed_key(*parts: str) -> Column:
 def display_id(prefix: str, key: str, width: int) -> Column:
     """Zero-padded text id, e.g. ``display_id("CUST-", "customer_id", 6)`` -> ``CUST-000042``."""
     return F.format_string(f"{prefix}%0{width}d", F.col(key))
+
+
+def batch_id_of(wall_clock: str) -> Column:
+    """The batch id of a UTC wall-clock time column, whatever the session time zone."""
+    return F.date_format(F.col(wall_clock), "yyyyMMdd'T'HHmmss'Z'")

@@ -19,10 +19,6 @@ def line_amount(extended_price: str, discount: str) -> Column:
     return (price * (F.lit(1) - disc)).cast(MONEY)
 
 
-def money_to_double(c: Column) -> Column:
-    return c.cast("double")
-
-
 def safe_ratio(numerator: Column, denominator: Column, default: float | None = None) -> Column:
     """numerator / denominator as double; ``default`` (or NULL) when the denominator is 0."""
     ratio = F.try_divide(numerator.cast("double"), denominator.cast("double"))  # NULL on a zero divisor

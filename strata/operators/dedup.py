@@ -33,7 +33,7 @@ def dedup_by_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str |
 
 def dedup_dataset(df: DataFrame, dataset: str) -> DataFrame:
     ds = DATASETS[dataset]
-    return dedup_by_key(df, ds.key, ds.survivor_order)
+    return dedup_by_key(df, ds.key, [c for c in ds.survivor_order if c in df.columns])
 
 
 def upsert(

@@ -2,98 +2,42 @@
 
 A fact table may have one key (a customer, a product) that holds a large
 share of all rows; a plain shuffle join sends all of those rows to a single
-task. ``skew_join`` splits such hot keys over many tasks:
-
-1. ``hot_keys`` finds keys whose row count is at least
-   ``strata.skew.hotKeyRows`` from a Bernoulli sample of the key columns,
-   or from every row of a sample of the table's files (sampling only
-   *detects* keys; every row still takes part in the join).
-   At most ``strata.skew.maxHotKeys`` keys are kept, the heaviest first, so
-   the broadcast below has a proven size bound. A hot key that misses the
-   cut simply takes the ordinary shuffle path: the result stays exact.
+task. ``skew_join`` splits such hot keys over many tasks, with one plan for
+every size of input:
+
+1. ``hot_keys`` finds the keys that hold at least a fair partition's share of
+   the rows (rows / shuffle partitions), from a Bernoulli sample of the rows'
+   key columns over all files. By that threshold there are at most as many hot
+   keys as shuffle partitions, which bounds the broadcast below. Sampling only
+   *detects* keys; every row takes part in the join, and a key that is missed
+   takes the ordinary path, so the result is exact.
 2. Each fact row of a hot key gets a salt in ``[0, n)`` from a hash of the
-   row, with ``n`` growing with the key's estimated size (at most the
+   row, with ``n`` twice the fair partitions the key fills (at most the
    number of shuffle partitions); the other side's rows of that key are
    repeated once per salt. Other keys get salt 0 on both sides.
 3. The join runs on ``(key, salt)``; AQE's skew-join split stays on as a
    second line of defence.
 
 Rows with a NULL key never match, so they are never hot.
-
-Salting is skipped when the fact side's inputs (the planning-time size
-estimates of the relations it reads) are below ``strata.skew.minFactBytes``
-(default 256 MB, AQE's own threshold for a skewed partition): no task of
-such an input can be skewed.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-HOT_KEY_ROWS = "strata.skew.hotKeyRows"
-MAX_HOT_KEYS = "strata.skew.maxHotKeys"
-MIN_FACT_BYTES = "strata.skew.minFactBytes"
-SAMPLE_ROWS_PER_HOT_KEY = 200  # expected sample hits of a key of exactly hotKeyRows rows
-
-
-def _conf_int(df: DataFrame, name: str, default: int) -> int:
-    value = df.sparkSession.conf.get(name, None)
-    if not value:
-        return default
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    v = value.strip().lower()
-    for suffix in sorted(units, key=len, reverse=True):
-        if v.endswith(suffix) and v[: -len(suffix)].strip().lstrip("-").isdigit():
-            return int(v[: -len(suffix)]) * units[suffix]
-    return int(v)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Planning-time bound on the input of ``df``: the summed size estimates of
-    the relations it reads (nothing is executed).
-
-    File relations report their file bytes; inputs of unknown size (local
-    rows, RDDs) report Spark's default, which is huge, so they always count
-    as large. Catalyst's own estimate of a join is the product of its sides,
-    far above any real output, so the leaves are summed instead. Catalog
-    tables with partitions only know their size after partition pruning, so
-    when the analyzed plan has an unknown leaf the optimized plan is used.
-    """
-    qe = df._jdf.queryExecution()
-    total = _leaf_bytes(qe.analyzed())
-    if total >= _UNKNOWN:
-        total = _leaf_bytes(qe.optimizedPlan())
-    return total
-
-
-_UNKNOWN = 1 << 62  # Spark's default size of a relation it cannot measure is Long.MaxValue
+SAMPLE_FRACTION = "strata.skew.sampleFraction"  # share of rows read to detect hot keys (default 0.01)
+MIN_HITS = 20  # sampled rows below which a key is never called hot
 
 
-def _leaf_bytes(plan) -> int:
-    leaves = plan.collectLeaves().iterator()
-    total = 0
-    while leaves.hasNext():
-        total += int(str(leaves.next().stats().sizeInBytes()))
-    return total
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], read_fraction: float = 1.0) -> DataFrame:
-    """Bounded table ``keys..., _salts`` of the hot keys of ``df``.
-
-    ``read_fraction`` is the share of the table that ``df`` covers when it
-    reads only a sample of the table's files; counts are scaled up by it.
-    """
-    threshold = _conf_int(df, HOT_KEY_ROWS, 1_000_000)
-    limit = _conf_int(df, MAX_HOT_KEYS, 10_000)
-    partitions = _conf_int(df, "spark.sql.shuffle.partitions", 200)
-    expected = threshold * read_fraction  # rows of a just-hot key inside what df reads
-    fraction = min(1.0, SAMPLE_ROWS_PER_HOT_KEY / max(expected, 1.0))
-    min_hits = max(1, math.floor(fraction * expected / 2))
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Table ``keys..., _salts`` of the hot keys of ``df``: at most one row per shuffle partition."""
+    conf = df.sparkSession.conf
+    partitions = int(conf.get("spark.sql.shuffle.partitions"))
+    fraction = float(conf.get(SAMPLE_FRACTION, None) or 0.01)
     not_null = F.lit(True)
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
@@ -101,14 +45,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], read_fraction: float = 1.0) ->
     if fraction < 1.0:
         sampled = sampled.sample(fraction=fraction, seed=7)
     counts = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hits"))
-    est_rows = F.col("_hits") / F.lit(fraction * read_fraction)
-    salts = F.least(F.lit(partitions), F.greatest(F.lit(2), F.ceil(est_rows / F.lit(threshold))))
-    return (
-        counts.where(F.col("_hits") >= min_hits)
-        .orderBy(F.col("_hits").desc())
-        .limit(limit)
-        .select(*keys, salts.cast("int").alias("_salts"))
-    )
+    total = sampled.agg(F.count(F.lit(1))).scalar()
+    shares = counts.withColumn("_share", F.col("_hits") * F.lit(partitions) / total)
+    salts = F.least(F.lit(partitions), F.greatest(F.lit(2), F.ceil(F.col("_share") * 2)))
+    hot = shares.where((F.col("_hits") >= MIN_HITS) & (F.col("_share") >= 1))
+    return hot.select(*keys, salts.cast("int").alias("_salts"))
 
 
 def skew_join(
@@ -122,19 +63,16 @@ def skew_join(
 
     ``how`` is one that keeps the fact side's rows as the driving side:
     inner, left, left_semi or left_anti. ``hot`` is the output of
-    :func:`hot_keys` (or a function building it, called only when salting
-    is needed); pass one computed from the *raw* source of ``fact`` (a
-    sampled scan of one column) when ``fact`` is an expensive derived plan,
-    so that detection does not recompute it.
+    :func:`hot_keys` (or a function building it); pass one computed from the
+    *raw* source of ``fact`` (a sampled scan of one column) when ``fact`` is an
+    expensive derived plan, so that detection does not recompute it.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"skew_join does not support how={how!r}")
-    if estimated_bytes(fact) < _conf_int(fact, MIN_FACT_BYTES, 256 * 1024 * 1024):
-        return fact.join(other, keys, how)
     if callable(hot):
         hot = hot()
-    hot = F.broadcast(hot if hot is not None else hot_keys(fact, keys))
+    hot = F.broadcast(hot if hot is not None else hot_keys(fact, keys))  # at most one row per shuffle partition
     # any deterministic spread works; maps cannot be hashed, so they are left out
     row_hash = F.xxhash64(*[F.col(f.name) for f in fact.schema.fields if not isinstance(f.dataType, MapType)])
     salted_fact = (
@@ -158,17 +96,3 @@ def skew_join(
         .drop("_salts")
     )
     return salted_fact.join(salted_other, keys + ["_salt"], how).drop("_salt")
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Broadcast hint for ``df`` only behind a size check; otherwise ``df`` unchanged.
-
-    The check is the planning-time input estimate (:func:`estimated_bytes`)
-    against ``max_bytes`` (default: ``spark.sql.autoBroadcastJoinThreshold``,
-    or 10 MB when that is disabled). Above the bound the join stays an
-    ordinary shuffle join.
-    """
-    if max_bytes is None:
-        threshold = _conf_int(df, "spark.sql.autoBroadcastJoinThreshold", 10 * 1024 * 1024)
-        max_bytes = threshold if threshold > 0 else 10 * 1024 * 1024
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.functions.predicates import is_missing, total
 from strata.schemas import DATASETS
@@ -27,21 +28,25 @@ class Rule:
     fails: Column
 
 
-def _missing(dataset: str, column: str) -> Rule:
-    dtype = DATASETS[dataset].schema[column].dataType
-    return Rule(f"{column}_missing", is_missing(column, dtype))
+def rules_for(dataset: str, schema: StructType | None = None) -> list[Rule]:
+    """The declared rules per table; tables without rules pass everything.
 
+    ``schema`` is that of the rows to judge: text ids (as in CSV sources) must
+    not be blank, integer ids only not NULL.
+    """
+    schema = schema if schema is not None else DATASETS[dataset].schema
+
+    def missing(column: str) -> Rule:
+        return Rule(f"{column}_missing", is_missing(column, schema[column].dataType))
 
-def rules_for(dataset: str) -> list[Rule]:
-    """The declared rules per table; tables without rules pass everything."""
     if dataset == "customers":
-        return [_missing("customers", "customer_id"), _missing("customers", "email")]
+        return [missing("customer_id"), missing("email")]
     if dataset == "order_items":
         q, p = F.col("quantity"), F.col("unit_price")
         return [
-            _missing("order_items", "order_item_id"),
-            _missing("order_items", "order_id"),
-            _missing("order_items", "product_id"),
+            missing("order_item_id"),
+            missing("order_id"),
+            missing("product_id"),
             Rule("quantity_not_positive", q.isNull() | (q <= 0)),
             # NaN < 0 is false in Spark, so a NaN price passes, as 0 does.
             Rule("unit_price_negative", p.isNull() | (p < 0)),
@@ -77,7 +82,7 @@ def failed_rules(rules: list[Rule]) -> Column:
 
 def flag(df: DataFrame, dataset: str) -> DataFrame:
     """Adds the boolean ``_dq_rejected`` column."""
-    return df.withColumn(REJECTED_FLAG, rejected_flag(rules_for(dataset)))
+    return df.withColumn(REJECTED_FLAG, rejected_flag(rules_for(dataset, df.schema)))
 
 
 def split_by_quality(
@@ -85,7 +90,7 @@ def split_by_quality(
 ) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected); rejected rows get ``_dq_reason`` and, on request,
     ``_dq_failed_rules`` (every rule the row breaks)."""
-    rules = rules_for(dataset)
+    rules = rules_for(dataset, df.schema)
     bad = rejected_flag(rules)
     valid = df.where(~bad)
     extra = {REASON: F.lit(REASONS.get(dataset, "rejected"))}
@@ -95,14 +100,6 @@ def split_by_quality(
     return valid, rejected
 
 
-def split_customers_by_quality(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return split_by_quality(df, "customers")
-
-
-def split_order_items_by_quality(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return split_by_quality(df, "order_items")
-
-
 def quality_metrics(df: DataFrame, dataset: str, batch_id: str) -> DataFrame:
     """One metrics row for a raw table, in a single aggregation pass.
 
@@ -111,7 +108,7 @@ def quality_metrics(df: DataFrame, dataset: str, batch_id: str) -> DataFrame:
     ``input = valid + rejected + duplicates``.
     """
     key = F.col(DATASETS[dataset].key)
-    bad = rejected_flag(rules_for(dataset))
+    bad = rejected_flag(rules_for(dataset, df.schema))
     agg = df.select(key.alias("_k"), bad.alias("_bad")).agg(
         F.count(F.lit(1)).alias("input_records"),
         F.count_if(F.col("_bad")).alias("rejected_records"),
@@ -134,7 +131,7 @@ def quality_metrics(df: DataFrame, dataset: str, batch_id: str) -> DataFrame:
 
 def rule_failures(df: DataFrame, dataset: str) -> DataFrame:
     """Per rule: rows failing it, and its failure rate (one pass, one row per rule)."""
-    rules = rules_for(dataset)
+    rules = rules_for(dataset, df.schema)
     if not rules:
         return df.sparkSession.createDataFrame([], "dataset string, rule string, failures bigint, rate double")
     counts = df.agg(

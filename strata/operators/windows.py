@@ -32,29 +32,32 @@ def running_total(
     non-decreasing along ``order`` within a partition (e.g. the day of the
     event time), and ties in ``order`` must not cross a block.
 
-    One struct key ``(partition..., block)`` drives the in-block window, the
-    block totals and the join back, so the large side stays partitioned
-    from the window through the join (no second exchange). Struct equality
-    treats NULL fields as equal, which keeps NULL partitions whole.
+    One struct key ``(partition..., block)`` drives the in-block window and the
+    join back, and a block's total is its last running sum, so ``df`` is planned
+    once: both branches read the same exchange. Struct equality treats NULL
+    fields as equal, which keeps NULL partitions whole.
     """
     partition, order = list(partition), list(order)
+    rest = [c for c in df.columns if c not in partition]
     key = F.struct(*[F.col(c) for c in partition], block.alias("_block"))
-    b = df.withColumn("_gk", key)
-    inner_w = (
-        Window.partitionBy("_gk")
-        .orderBy(*[F.col(c).asc_nulls_first() for c in order])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_block = Window.partitionBy("_gk").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    running = F.sum(value).over(in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inner = (
+        df.select(key.alias("_gk"), *rest)
+        .withColumn("_inner", running)
+        .withColumn("_last", F.lead(F.lit(True), 1, False).over(in_block) == F.lit(False))
     )
-    inner = b.withColumn("_inner", F.sum(value).over(inner_w))
-    totals = b.groupBy("_gk").agg(F.sum(value).alias("_block_total"))
+    totals = inner.where("_last").select("_gk", F.col("_inner").alias("_block_total"))
     before_w = (
         Window.partitionBy(*[F.col(f"_gk.{c}") for c in partition])
         .orderBy(F.col("_gk._block").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = totals.select("_gk", F.sum("_block_total").over(before_w).alias("_offset"))
-    total = F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_inner")
-    return inner.join(offsets, "_gk", "inner").select(*[F.col(c) for c in df.columns], total.alias(out))
+    total = F.coalesce(F.col("_offset"), F.lit(0)) + F.coalesce(F.col("_inner"), F.lit(0))
+    total = F.when(F.col("_offset").isNotNull() | F.col("_inner").isNotNull(), total)
+    columns = [F.col(f"_gk.{c}").alias(c) if c in partition else F.col(c) for c in df.columns]
+    return inner.join(offsets, "_gk", "inner").select(*columns, total.alias(out))
 
 
 def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, rank_col: str = "rank") -> DataFrame:

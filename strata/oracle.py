@@ -67,7 +67,7 @@ raw_shipments AS (
          order_timestamp + to_hours(CAST(order_id % 69 + 4 AS INTEGER))
                          + to_days(CAST(order_id % 10 + 1 AS INTEGER)) AS delivered_at,
          'delivered' AS delivery_status, {BATCH} AS _batch_id
-  FROM raw_orders WHERE order_status <> 'cancelled'
+  FROM raw_orders WHERE order_status IS DISTINCT FROM 'cancelled'
 )"""
 
 FLAGS = """
@@ -257,11 +257,28 @@ _ROWS = "\nUNION ALL\n".join(
 
 def _orphans(name: str, child: str, parent: str, key: str) -> str:
     return (
-        f"SELECT '{name}', CAST(COUNT(*) AS BIGINT) FROM raw_{child} x "
-        f"WHERE NOT EXISTS (SELECT 1 FROM raw_{parent} y WHERE y.{key} = x.{key})"
+        f"SELECT '{name}', CAST(COUNT(*) AS BIGINT) FROM {_BROKEN.get(child, 'raw_' + child)} x "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {_BROKEN.get(parent, 'raw_' + parent)} y WHERE y.{key} = x.{key})"
     )
 
 
+def _lost(key: str, by: str) -> str:
+    return f"CASE WHEN {by} % 100 = 3 THEN {key} + 1000000000000000 ELSE {key} END AS {key}"
+
+
+_BROKEN = {n: f"broken_{n}" for n in ("orders", "order_items", "payments", "shipments")}
+_BROKEN_CTES = f"""broken_orders AS (
+  SELECT order_id, {_lost('customer_id', 'customer_id')},
+         CASE WHEN order_id % 100 = 9 THEN 'cancelled' ELSE order_status END AS order_status
+  FROM raw_orders
+),
+broken_order_items AS (
+  SELECT {_lost('order_id', 'order_id')}, {_lost('product_id', 'product_id')}, quantity FROM raw_order_items
+),
+broken_payments AS (SELECT {_lost('order_id', 'payment_id')} FROM raw_payments),
+broken_shipments AS (SELECT {_lost('order_id', 'shipment_id')} FROM raw_shipments)"""
+
+
 sql(
     "integrity_report",
     "\nUNION ALL\n".join(
@@ -274,13 +291,14 @@ sql(
             _orphans("shipments_without_order", "shipments", "orders", "order_id"),
             "SELECT 'blank_customer_emails', COUNT(*) FILTER (WHERE email IS NULL OR trim(email) = '') FROM raw_customers",
             "SELECT 'items_non_positive_quantity', COUNT(*) FILTER (WHERE quantity IS NULL OR quantity <= 0) FROM raw_order_items",
-            "SELECT 'cancelled_orders', COUNT(*) FROM raw_orders WHERE order_status = 'cancelled'",
-            "SELECT 'cancelled_with_shipment', COUNT(*) FROM raw_orders o WHERE order_status = 'cancelled' "
-            "AND EXISTS (SELECT 1 FROM raw_shipments s WHERE s.order_id = o.order_id)",
-            "SELECT 'orders_without_items', COUNT(*) FROM raw_orders o "
-            "WHERE NOT EXISTS (SELECT 1 FROM raw_order_items i WHERE i.order_id = o.order_id)",
+            "SELECT 'cancelled_orders', COUNT(*) FROM broken_orders WHERE order_status = 'cancelled'",
+            "SELECT 'cancelled_with_shipment', COUNT(*) FROM broken_orders o WHERE order_status = 'cancelled' "
+            "AND EXISTS (SELECT 1 FROM broken_shipments s WHERE s.order_id = o.order_id)",
+            "SELECT 'orders_without_items', COUNT(*) FROM broken_orders o "
+            "WHERE NOT EXISTS (SELECT 1 FROM broken_order_items i WHERE i.order_id = o.order_id)",
         ]
     ),
+    _BROKEN_CTES,
 )
 sql(
     "cancelled_with_items",
@@ -336,8 +354,13 @@ _LAYER = [
 ]
 for _n in ("customers", "products", "orders", "order_items", "payments", "shipments"):
     _LAYER.append(f"SELECT '{_n}_extra_batch_ids', CAST(greatest(COUNT(DISTINCT _batch_id) - 1, 0) AS BIGINT) FROM raw_{_n}")
-    # every raw row is stamped with its (non-empty) source file path
+    # every written raw row names its source file
     _LAYER.append(f"SELECT '{_n}_missing_source_file', CAST(0 AS BIGINT)")
+    _rejects = f" - (SELECT COUNT(*) FROM rejected_{_n})" if _n in ("customers", "order_items") else ""
+    _LAYER.append(
+        f"SELECT '{_n}_duplicates_dropped', "
+        f"CAST((SELECT COUNT(*) FROM raw_{_n}) - (SELECT COUNT(*) FROM silver_{_n}){_rejects} AS BIGINT)"
+    )
 _LAYER += [
     "SELECT 'silver_blank_emails', COUNT(*) FILTER (WHERE email IS NULL OR trim(email) = '') FROM silver_customers",
     "SELECT 'silver_bad_quantity', COUNT(*) FILTER (WHERE quantity IS NULL OR quantity <= 0) FROM silver_order_items",
@@ -408,7 +431,7 @@ FROM order_revenue""",
 )
 sql(
     "revenue_by_region",
-    """SELECT s.region, c.state, CAST(SUM(c.customer_revenue) AS DOUBLE) AS revenue,
+    """SELECT s.region, c.state, CAST(GROUPING_ID(s.region, c.state) AS BIGINT) AS level, CAST(SUM(c.customer_revenue) AS DOUBLE) AS revenue,
        CAST(SUM(c.order_count) AS BIGINT) AS orders, COUNT(*) AS customers
 FROM customer_revenue c LEFT JOIN states s ON s.state = c.state
 GROUP BY ROLLUP (s.region, c.state)""",
@@ -421,6 +444,11 @@ FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY product_revenu
              product_id ASC) AS product_rank FROM product_revenue)
 WHERE product_rank <= 3""",
 )
+sql(
+    "top_customers",
+    """SELECT customer_id, full_name, CAST(customer_revenue AS DOUBLE) AS customer_revenue, order_count
+FROM customer_revenue ORDER BY customer_revenue DESC NULLS LAST, customer_id LIMIT 10""",
+)
 sql(
     "fact_order_items",
     """SELECT i.order_item_id, i.order_id, i.product_id, i.quantity, CAST(i.line_amount AS DOUBLE) AS line_amount,
@@ -434,17 +462,69 @@ LEFT JOIN silver_products p ON p.product_id = i.product_id""",
 )
 
 # ingestion, sinks, upsert, history
+_IDS = {"customer_id": "CUST-", "product_id": "PROD-", "order_id": "ORD-", "payment_id": "PAY-", "shipment_id": "SHIP-"}
+
+
+def _text(key: str, blank: str | None = None) -> str:
+    """The text id of a CSV source; ``blank`` replaces it where the injected fault says so."""
+    text = f"printf('{_IDS[key]}%06d', {key})"
+    return f"CASE WHEN {key} % 100 = 37 THEN {blank} ELSE {text} END" if blank else text
+
+
 sql(
     "bronze_roundtrip_customers",
     # an empty text field reads back from CSV as NULL; spaces are kept
-    "SELECT customer_id, full_name, NULLIF(email, '') AS email, state, created_at, _batch_id FROM raw_customers",
+    f"SELECT {_text('customer_id')} AS customer_id, full_name, NULLIF(email, '') AS email, state, created_at, _batch_id "
+    "FROM raw_customers",
 )
-sql("bronze_roundtrip_items", "SELECT * REPLACE (CAST(line_amount AS DOUBLE) AS line_amount) FROM raw_order_items")
 sql(
-    "strict_ingest_quarantine",
-    """SELECT 'loaded' AS outcome, COUNT(*) FILTER (WHERE NOT COALESCE(quantity <= 0, FALSE)) AS "rows" FROM raw_order_items
+    "bronze_roundtrip_items",
+    f"""SELECT order_item_id, {_text('order_id')} AS order_id, {_text('product_id')} AS product_id, quantity, unit_price,
+       CAST(line_amount AS DOUBLE) AS line_amount, _batch_id
+FROM raw_order_items""",
+)
+sql(
+    "bronze_ingest_all",
+    "\nUNION ALL\n".join(
+        f"SELECT '{ds}' AS dataset, {own} AS record_id, {parent} AS parent_id, {detail} AS detail FROM raw_{ds}"
+        for ds, own, parent, detail in (
+            ("customers", _text("customer_id"), "CAST(NULL AS VARCHAR)", "NULLIF(email, '')"),
+            ("products", _text("product_id"), "CAST(NULL AS VARCHAR)", "product_name"),
+            ("orders", _text("order_id"), _text("customer_id"), "order_status"),
+            ("order_items", "order_item_id", _text("order_id"), _text("product_id")),
+            ("payments", _text("payment_id"), _text("order_id"), "payment_method"),
+            ("shipments", _text("shipment_id"), _text("order_id"), "delivery_status"),
+        )
+    ),
+)
+sql(
+    "rejected_blank_ids",
+    f"""SELECT 'customers' AS dataset, full_name AS record,
+       concat_ws(',', CASE WHEN trim({_text('customer_id', "'   '")}) = '' THEN 'customer_id_missing' END,
+                      CASE WHEN email IS NULL OR trim(email) = '' THEN 'email_missing' END) AS failed_rules
+FROM raw_customers WHERE trim({_text('customer_id', "'   '")}) = '' OR email IS NULL OR trim(email) = ''
 UNION ALL
-SELECT 'quarantined', COUNT(*) FILTER (WHERE quantity <= 0) FROM raw_order_items""",
+SELECT 'order_items', order_item_id,
+       concat_ws(',', CASE WHEN {_text('order_id', "''")} = '' THEN 'order_id_missing' END,
+                      CASE WHEN quantity IS NULL OR quantity <= 0 THEN 'quantity_not_positive' END,
+                      CASE WHEN unit_price IS NULL OR unit_price < 0 THEN 'unit_price_negative' END)
+FROM raw_order_items
+WHERE {_text('order_id', "''")} = '' OR quantity IS NULL OR quantity <= 0 OR unit_price IS NULL OR unit_price < 0""",
+)
+SQL["display_ids"] = "SELECT p_partkey, printf('PROD-%06d', p_partkey) AS display_id FROM part"
+SQL["batch_ids"] = "SELECT strftime(ts, '%Y%m%dT%H%M%SZ') AS batch_id, COUNT(*) AS n FROM events GROUP BY 1"
+sql(
+    "parsed_quantities",
+    """SELECT order_item_id, quantity_text, TRY_CAST(quantity_text AS INTEGER) AS quantity
+FROM (SELECT order_item_id, CASE WHEN quantity <= 0 THEN 'n/a' ELSE CAST(quantity AS VARCHAR) END AS quantity_text
+      FROM raw_order_items)""",
+)
+sql(
+    "strict_ingest_quarantine",
+    f"""SELECT CASE WHEN quantity <= 0 THEN 'quarantined' ELSE 'loaded' END AS outcome, order_item_id,
+       {_text('order_id')} AS order_id, {_text('product_id')} AS product_id,
+       CASE WHEN quantity <= 0 THEN NULL ELSE quantity END AS quantity
+FROM raw_order_items""",
 )
 sql(
     "schema_evolution_read",
@@ -475,15 +555,21 @@ all_versions AS (
 )
 sql(
     "history_append",
-    """SELECT 'batch-0001' AS batch_id, COUNT(*) AS "rows" FROM raw_orders
-UNION ALL SELECT 'batch-0002', COUNT(*) FROM raw_orders""",
+    """SELECT 'batch-0001' AS batch_id, order_id, order_status FROM raw_orders
+UNION ALL
+SELECT 'batch-0002', order_id, CASE WHEN order_status = 'processing' THEN 'shipped' ELSE order_status END FROM raw_orders""",
 )
 sql("catalog_roundtrip", "SELECT * FROM raw_customers")
+sql("catalog_replace_schema", "SELECT * FROM raw_products")
+sql(
+    "written_order_revenue",
+    "SELECT * REPLACE (CAST(order_revenue AS DOUBLE) AS order_revenue) FROM order_revenue",
+)
+sql("written_business_kpis", "SELECT * REPLACE (CAST(total_revenue AS DOUBLE) AS total_revenue) FROM business_kpis")
 
 # quality gates and the on-disk run
 _METRICS = "\nUNION ALL\n".join(_METRIC_PARTS)
 sql("quality_gate", f"SELECT *, quality_rate >= 0.95 AS passed FROM ({_METRICS})")
-sql("run_log", _METRICS)
 
 _RULES = {
     "customers": [
@@ -524,6 +610,30 @@ sql(
     ),
 )
 
+
+_NAMES = ("customers", "products", "orders", "order_items", "payments", "shipments")
+_LOG = [("raw", n, f"raw_{n}", f"raw_{n}") for n in _NAMES]
+_LOG += [("validated", n, f"raw_{n}", f"silver_{n}") for n in _NAMES]
+_LOG += [
+    ("validated", f"{n}:rejected", f"raw_{n}", f"rejected_{n}" if n in _RULES else f"(SELECT 1 FROM raw_{n} WHERE FALSE)")
+    for n in _NAMES
+]
+_LOG += [
+    ("gold", "order_revenue", "silver_order_items", "order_revenue"),
+    ("gold", "product_revenue", "silver_order_items", "product_revenue"),
+    ("gold", "category_revenue", "product_revenue", "category_revenue"),
+    ("gold", "customer_revenue", "order_revenue", "customer_revenue"),
+    ("gold", "business_kpis", "order_revenue", "business_kpis"),
+]
+sql(
+    "run_log",
+    "\nUNION ALL\n".join(
+        f"""SELECT '{layer}' AS layer, '{name}' AS dataset, {BATCH} AS batch_id,
+       (SELECT COUNT(*) FROM {source}) AS rows_in, (SELECT COUNT(*) FROM {target} AS t) AS "rows\""""
+        for layer, name, source, target in _LOG
+    ),
+)
+
 # streaming
 sql(
     "stream_ingest_events",
@@ -536,6 +646,10 @@ sql(
     "SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2",
 )
 
+# the newest event closes the days that ended an hour before it
+SQL["stream_closed_days"] = """SELECT day, event_type, n
+FROM (SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2)
+WHERE day + INTERVAL 1 DAY <= (SELECT MAX(ts) - INTERVAL 1 HOUR FROM events)"""
 sql(
     "rejected_order_items_rules",
     """SELECT order_item_id, _dq_reason,

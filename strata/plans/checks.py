@@ -1,8 +1,7 @@
 """Integrity, reconciliation and layer checks, as DataFrames of (check_name, value).
 
-Orphan checks count child rows whose key is missing in the parent. The
-child is aggregated per key first (map-side partial counts), so a key that
-holds many rows becomes one row before the anti join.
+Checks read each table once and are sums over keys or rows; a key that holds
+many rows becomes one row per task before any shuffle.
 """
 
 from __future__ import annotations
@@ -48,50 +47,81 @@ def keys_of(df: DataFrame, key: str) -> DataFrame:
     return df.select(key).distinct()
 
 
-def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Child rows (counted) whose ``key`` has no parent row; NULL keys are orphans."""
-    per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return per_key.join(keys_of(parent, key), key, "left_anti")
+# (dataset, the keys its rows link by); the first key counts the table's rows
+_LINKS = (
+    ("customers", ("customer_id",)),
+    ("products", ("product_id",)),
+    ("orders", ("order_id", "customer_id")),
+    ("order_items", ("order_id", "product_id")),
+    ("payments", ("order_id",)),
+    ("shipments", ("order_id",)),
+)
 
 
 def integrity_report(raw: dict[str, DataFrame]) -> DataFrame:
     """Row counts, referential orphans and injected-fault counts of the raw tables.
 
-    Each table is scanned once for its own measures; each orphan check is one
-    pre-aggregated anti join.
+    Every table is read once: each row becomes one entry per key it links by,
+    the entries of all tables are summed per key (partial sums first, so a hot
+    key crosses the shuffle as one row per task), and the checks follow from the
+    sums of each key. A NULL key is an orphan: it has no parent row.
     """
-    c, p, o, i, pay, s = (raw[n] for n in ("customers", "products", "orders", "order_items", "payments", "shipments"))
-    rows = F.count(F.lit(1))
-    parts = [
-        measures(c, {"customers_rows": rows, "blank_customer_emails": F.count_if(is_missing("email", TEXT))}),
-        measures(p, {"products_rows": rows}),
-        measures(
-            o, {"orders_rows": rows, "cancelled_orders": F.count_if(F.col("order_status") == "cancelled")}
-        ),
-        measures(
-            i,
-            {
-                "order_items_rows": rows,
-                "items_non_positive_quantity": F.count_if(F.coalesce(F.col("quantity") <= 0, F.lit(True))),
-            },
-        ),
-        measures(pay, {"payments_rows": rows}),
-        measures(s, {"shipments_rows": rows}),
-    ]
-    for name, child, parent, key in (
-        ("orders_without_customer", o, c, "customer_id"),
-        ("items_without_order", i, o, "order_id"),
-        ("items_without_product", i, p, "product_id"),
-        ("payments_without_order", pay, o, "order_id"),
-        ("shipments_without_order", s, o, "order_id"),
-    ):
-        parts.append(_one(orphan_rows(child, parent, key), name, F.coalesce(F.sum("_rows"), F.lit(0))))
-    cancelled = o.where(F.col("order_status") == "cancelled")
-    parts.append(
-        _one(cancelled.join(keys_of(s, "order_id"), "order_id", "left_semi"), "cancelled_with_shipment", rows)
+    flags = {
+        "customers": is_missing("email", TEXT),
+        "orders": F.coalesce(F.col("order_status") == "cancelled", F.lit(False)),
+        "order_items": F.coalesce(F.col("quantity") <= 0, F.lit(True)),
+    }
+    entries = []
+    for name, keys in _LINKS:
+        links = [
+            F.struct(
+                F.lit(k).alias("kind"), F.col(k).cast("string").alias("key"), F.lit(i == 0).alias("counts_row")
+            )
+            for i, k in enumerate(keys)
+        ]
+        entries.append(
+            raw[name]
+            .select(flags.get(name, F.lit(False)).alias("flag"), F.explode(F.array(*links)).alias("link"))
+            .select("link.*", F.lit(name).alias("tag"), "flag")
+        )
+    names = [n for n, _ in _LINKS]
+    per_key = _union(entries).groupBy("kind", "key").agg(
+        *[F.count_if(F.col("tag") == n).alias(n) for n in names],
+        *[F.count_if((F.col("tag") == n) & F.col("counts_row")).alias(f"{n}_rows") for n in names],
+        *[
+            F.count_if((F.col("tag") == n) & F.col("counts_row") & F.col("flag")).alias(f"{n}_flagged")
+            for n in flags
+        ],
+    )
+
+    def sum_where(kind: str, condition: Column, value: str) -> Column:
+        found = (F.col("kind") == kind) & condition
+        return F.coalesce(F.sum(F.when(found, F.col(value))), F.lit(0))
+
+    def without(parent: str) -> Column:
+        return F.col("key").isNull() | (F.col(parent) == 0)
+
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return measures(
+        per_key,
+        {f"{n}_rows": total(f"{n}_rows") for n in names}
+        | {
+            "blank_customer_emails": total("customers_flagged"),
+            "cancelled_orders": total("orders_flagged"),
+            "items_non_positive_quantity": total("order_items_flagged"),
+            "orders_without_customer": sum_where("customer_id", without("customers"), "orders"),
+            "items_without_order": sum_where("order_id", without("orders"), "order_items"),
+            "items_without_product": sum_where("product_id", without("products"), "order_items"),
+            "payments_without_order": sum_where("order_id", without("orders"), "payments"),
+            "shipments_without_order": sum_where("order_id", without("orders"), "shipments"),
+            "cancelled_with_shipment": sum_where(
+                "order_id", F.col("key").isNotNull() & (F.col("shipments") > 0), "orders_flagged"
+            ),
+            "orders_without_items": sum_where(
+                "order_id", F.col("key").isNull() | (F.col("order_items") == 0), "orders"
+            ),
+        },
     )
-    parts.append(_one(o.join(keys_of(i, "order_id"), "order_id", "left_anti"), "orders_without_items", rows))
-    return _union(parts)
 
 
 def cancelled_with_items(orders: DataFrame, order_items: DataFrame) -> DataFrame:
@@ -141,45 +171,46 @@ def fold(values: DataFrame, names: list[str], outputs: dict[str, Column]) -> Dat
 
 def layer_checks(
     raw: dict[str, DataFrame],
-    source_counts: dict[str, DataFrame],
+    source_rows: dict[str, DataFrame],
     silver: dict[str, DataFrame],
     rejected: dict[str, DataFrame],
     order_revenue: DataFrame,
     customer_revenue: DataFrame,
     category_revenue: DataFrame,
-    product_revenue: DataFrame | None = None,
+    product_revenue: DataFrame,
 ) -> DataFrame:
-    """Postconditions of each layer; every value is a violation count (0 = pass).
+    """Postconditions of each written layer; every value is a violation count (0 = pass).
 
-    Every frame is aggregated once for all of its checks.
+    ``raw``, ``silver``, ``rejected`` and the marts are tables read back from
+    storage, ``source_rows`` the sources they came from. Every table is
+    aggregated once for all of its checks.
     """
     rows = F.count(F.lit(1))
-    parts = []
-    conserved = []
+    parts, conserved, outputs = [], [], {}
     for name, df in raw.items():
-        named = {
-            f"{name}_extra_batch_ids": F.greatest(F.count_distinct("_batch_id") - 1, F.lit(0)),
-            f"{name}_missing_source_file": F.count_if(is_missing("_source_file", TEXT)),
-        }
-        if name in source_counts:
-            named[f"{name}_raw_rows"] = rows
-        stacked = measures(df, named)
-        if name in source_counts:
-            conserved.append(stacked.where(F.col("check_name") == f"{name}_raw_rows"))
-            stacked = stacked.where(F.col("check_name") != f"{name}_raw_rows")
-        parts.append(stacked)
-    for name, src in source_counts.items():
-        conserved.append(measures(src, {f"{name}_source_rows": rows}))
-    parts.append(
-        fold(
-            _union(conserved),
-            [f"{n}_{k}_rows" for n in source_counts for k in ("raw", "source")],
-            {
-                f"{n}_rows_lost_or_added": F.abs(F.col(f"{n}_raw_rows") - F.col(f"{n}_source_rows"))
-                for n in source_counts
-            },
+        kept = {f"{name}_silver": silver[name]} | ({f"{name}_rejected": rejected[name]} if name in rejected else {})
+        conserved.append(
+            measures(
+                df,
+                {
+                    f"{name}_raw": rows,
+                    f"{name}_batches": (F.min("_batch_id") != F.max("_batch_id")).cast("int"),
+                    f"{name}_nowhere": F.count_if(is_missing("_source_file", TEXT)),
+                },
+            )
         )
-    )
+        conserved += [measures(t, {n: rows}) for n, t in kept.items()]
+        outputs[f"{name}_extra_batch_ids"] = F.coalesce(F.col(f"{name}_batches"), F.lit(0))
+        outputs[f"{name}_missing_source_file"] = F.col(f"{name}_nowhere")
+        if name in source_rows:
+            conserved.append(measures(source_rows[name], {f"{name}_source": rows}))
+            outputs[f"{name}_rows_lost_or_added"] = F.abs(F.col(f"{name}_raw") - F.col(f"{name}_source"))
+        outputs[f"{name}_duplicates_dropped"] = F.col(f"{name}_raw") - sum(
+            (F.col(n) for n in list(kept)[1:]), F.col(list(kept)[0])
+        )
+    names = [f"{n}_{k}" for n in raw for k in ("raw", "batches", "nowhere", "silver")]
+    names += [f"{n}_rejected" for n in rejected] + [f"{n}_source" for n in source_rows]
+    parts.append(fold(_union(conserved), names, outputs))
     parts.append(measures(silver["customers"], {"silver_blank_emails": F.count_if(is_missing("email", TEXT))}))
     parts.append(
         measures(
@@ -207,11 +238,10 @@ def layer_checks(
     mart_cats = category_revenue.select("category")
     parts.append(_one(cats.exceptAll(mart_cats), "categories_missing_in_mart", rows))
     parts.append(_one(mart_cats.exceptAll(cats), "categories_unknown_in_mart", rows))
-    if product_revenue is not None:
-        missing = (
-            silver["products"]
-            .select("product_id")
-            .join(keys_of(product_revenue, "product_id"), "product_id", "left_anti")
-        )
-        parts.append(_one(missing, "products_missing_in_mart", rows))
+    missing = (
+        silver["products"]
+        .select("product_id")
+        .join(keys_of(product_revenue, "product_id"), "product_id", "left_anti")
+    )
+    parts.append(_one(missing, "products_missing_in_mart", rows))
     return _union(parts)

@@ -6,8 +6,8 @@ counts come from ``Observation`` during the writes (no extra scans).
 
 * raw: the adapter tables, stamped with lineage, one table per dataset;
 * validated: valid rows deduplicated (``row_number`` with a partial
-  ``WindowGroupLimit``, skew-safe) and rejected rows with their reasons,
-  written by ONE job over the raw table, partitioned by ``dq_status``;
+  ``WindowGroupLimit``, skew-safe), and beside them the rejected rows with
+  their reasons, written as they are scanned, without a shuffle;
 * marts: the order mart and the product mart are written first and read
   back, so the customer mart, the KPIs and the category mart reuse them
   instead of recomputing them.
@@ -16,7 +16,9 @@ With ``buckets`` > 0 the validated customers, orders and order lines are
 written as catalog tables bucketed on the key the marts join or group on
 (``BUCKET_KEYS``); the per-order totals, the orders-to-totals join and the
 order check of the product mart then read them without shuffling the two
-largest tables again. The catalog schema lives in the run's folder.
+largest tables again. Rows of a hot key are written by the tasks that
+deduplicated them, so no task writes a whole hot bucket. The catalog schema
+lives in the run's folder. The storage format is a parameter of every step.
 """
 
 from __future__ import annotations
@@ -32,18 +34,16 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from strata.functions.ids import DEFAULT_BATCH_ID
 from strata.operators import quality
+from strata.operators.dedup import dedup_dataset
 from strata.operators.joins import hot_keys
 from strata.plans import gold
-from strata.plans.silver import STATUS, validated_with_status
 from strata.schemas import DATASETS, QUALITY_METRICS
 from strata.sources.adapter import raw_table
 from strata.sources.catalog import create_schema
 from strata.sources.csv_files import ingest_all_datasets
-from strata.sources.files import bytes_on_disk
 from strata.sources.sinks import write_bucketed_observed, write_observed, write_table
 
 T = TypeVar("T")
@@ -66,37 +66,24 @@ class LayerPaths:
     def validated_table(self, name: str) -> str:
         return f"{self.database}.validated_{name}"
 
-    def _read_validated(self, spark: SparkSession, name: str, status: str, fmt: str) -> DataFrame:
-        if self.buckets and name in BUCKET_KEYS:
-            df = spark.table(self.validated_table(name))
-        else:
-            # explicit schema: an empty dataset leaves no partition folders to infer it from
-            raw_schema = spark.read.format(fmt).load(self.raw(name)).schema
-            schema = StructType(
-                raw_schema.fields
-                + [
-                    StructField(quality.REASON, StringType()),
-                    StructField(quality.FAILED_RULES, ArrayType(StringType())),
-                    StructField(STATUS, StringType()),
-                ]
-            )
-            df = spark.read.schema(schema).format(fmt).load(self.validated(name))
-        return df.where(F.col(STATUS) == status).drop(STATUS)  # partition pruning
-
     def read_silver(self, spark: SparkSession, name: str, fmt: str = "parquet") -> DataFrame:
         """Valid, deduplicated rows (bucketed on ``BUCKET_KEYS[name]`` when written so)."""
-        return self._read_validated(spark, name, "valid", fmt).drop(quality.REASON, quality.FAILED_RULES)
+        if self.buckets and name in BUCKET_KEYS:
+            return spark.table(self.validated_table(name))
+        return spark.read.format(fmt).load(self.validated(name))
 
     def read_rejected(self, spark: SparkSession, name: str, fmt: str = "parquet") -> DataFrame:
-        return self._read_validated(spark, name, "rejected", fmt)
+        return spark.read.format(fmt).load(self.rejected(name))
 
     def raw(self, name: str) -> str:
         return f"{self.root}/raw/{name}"
 
     def validated(self, name: str) -> str:
-        """Valid and rejected rows of a dataset, partitioned by ``dq_status``."""
         return f"{self.root}/validated/{name}"
 
+    def rejected(self, name: str) -> str:
+        return f"{self.root}/rejected/{name}"
+
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
@@ -121,14 +108,15 @@ def concurrently(jobs: dict[str, Callable[[], T]], max_parallel: int = 6) -> dic
         return {k: f.result() for k, f in futures.items()}
 
 
-def run_raw(spark: SparkSession, sf_dir: str, paths: LayerPaths, batch_id: str = DEFAULT_BATCH_ID) -> dict[str, int]:
+def run_raw(
+    spark: SparkSession, sf_dir: str, paths: LayerPaths, batch_id: str = DEFAULT_BATCH_ID, fmt: str = "parquet"
+) -> dict[str, int]:
     """Raw layer from the driver tables (independent writes, run concurrently)."""
-    return concurrently(
-        {
-            n: (lambda n=n: write_observed(raw_table(spark, sf_dir, n, batch_id), paths.raw(n), f"raw_{n}")["rows"])
-            for n in DATASETS
-        }
-    )
+
+    def write(n: str) -> int:
+        return write_observed(raw_table(spark, sf_dir, n, batch_id), paths.raw(n), f"raw_{n}", fmt)["rows"]
+
+    return concurrently({n: (lambda n=n: write(n)) for n in DATASETS})
 
 
 def run_silver(
@@ -170,26 +158,24 @@ def run_silver(
 def _validate_one(
     spark: SparkSession, paths: LayerPaths, name: str, fmt: str, raw_counts: dict[str, int] | None
 ) -> tuple[int, int, int]:
-    """(input, valid, rejected) rows of one dataset, after writing its validated table.
+    """(input, valid, rejected) rows of one dataset, after writing its validated and rejected tables.
 
-    One scan of the raw table and one job: valid rows deduplicated and
-    rejected rows, written together partitioned by ``dq_status`` (and
-    bucketed on the marts' key for ``BUCKET_KEYS``).
+    Rejected rows go straight from the scan to their table; valid rows are
+    deduplicated and, for ``BUCKET_KEYS``, bucketed on the marts' key.
     """
     raw = spark.read.format(fmt).load(paths.raw(name))
-    both = validated_with_status(raw, name)
-    counts = {"rejected": F.count_if(F.col(STATUS) == "rejected")}
+    valid, rejected = quality.split_by_quality(raw, name, with_failed_rules=True)
+    valid = dedup_dataset(valid, name)
+    rejected_rows = write_observed(rejected, paths.rejected(name), f"rejected_{name}", fmt)["rows"]
     if paths.buckets and name in BUCKET_KEYS:
-        seen = write_bucketed_observed(
-            both, paths.validated(name), paths.validated_table(name), BUCKET_KEYS[name], paths.buckets,
-            f"validated_{name}", fmt, partition_by=[STATUS], extra=counts,
-        )
+        key = BUCKET_KEYS[name]
+        hot = hot_keys(raw.select(key), [key]) if key != DATASETS[name].key else None  # a business key is unique
+        valid_rows = write_bucketed_observed(
+            valid, paths.validated(name), paths.validated_table(name), key, paths.buckets, f"validated_{name}", fmt, hot=hot
+        )["rows"]
     else:
-        seen = write_observed(
-            both, paths.validated(name), f"validated_{name}", fmt, partition_by=[STATUS], extra=counts
-        )
-    rejected_rows = seen["rejected"]
-    return _input_rows(spark, raw, name, raw_counts), seen["rows"] - rejected_rows, rejected_rows
+        valid_rows = write_observed(valid, paths.validated(name), f"validated_{name}", fmt)["rows"]
+    return _input_rows(spark, raw, name, raw_counts), valid_rows, rejected_rows
 
 
 def _input_rows(spark: SparkSession, raw: DataFrame, name: str, raw_counts: dict[str, int] | None) -> int:
@@ -242,7 +228,7 @@ def run_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet") -> di
 
 def _written_once(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
     """A hot-key table built on first use, written to ``path`` (it is small:
-    at most ``strata.skew.maxHotKeys`` rows) and read back by every later
+    at most one row per shuffle partition) and read back by every later
     use, so concurrent marts share one detection pass."""
     lock = threading.Lock()
     done: list[DataFrame] = []
@@ -257,14 +243,14 @@ def _written_once(spark: SparkSession, path: str, build: Callable[[], DataFrame]
     return get
 
 
-def bucket_count(spark: SparkSession, largest_table_bytes: int) -> int:
-    """About one bucket per ``spark.sql.files.maxPartitionBytes`` of the largest
-    bucketed table, at least the default parallelism, at most the shuffle
-    partitions (so bucketed scans and shuffled sides line up)."""
-    target = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    by_size = -(-largest_table_bytes // max(1, int(target)))
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(shuffle, max(spark.sparkContext.defaultParallelism, by_size)))
+ROW_BYTES = 100  # of a stored order line, about
+BUCKET_BYTES = 128 << 20
+
+
+def bucket_count(spark: SparkSession, rows: int) -> int:
+    """About one bucket per ``BUCKET_BYTES`` of the largest bucketed table's rows, at least
+    the default parallelism."""
+    return max(1, spark.sparkContext.defaultParallelism, -(-rows * ROW_BYTES // BUCKET_BYTES))
 
 
 class QualityGateError(RuntimeError):
@@ -292,72 +278,80 @@ def run_all(
     buckets: int | None = None,
     min_quality_rate: float | None = None,
     source_csv_dir: str | None = None,
+    fmt: str = "parquet",
 ) -> LayerPaths:
     """All three layers, from the driver tables in ``sf_dir`` or, with
     ``source_csv_dir``, from ``<dataset>.csv`` sources ingested as the raw
     layer. ``buckets`` defaults to :func:`bucket_count` of the raw order
-    lines; 0 writes the validated tables as plain files. With
-    ``min_quality_rate`` the run stops after the validated layer (no marts)
-    when any dataset's quality rate is below it."""
+    lines; 0 writes the validated tables as plain files, and formats other
+    than Spark's own file formats need that. With ``min_quality_rate`` the run
+    stops after the validated layer (no marts) when any dataset's quality rate
+    is below it."""
     if sf_dir is None and source_csv_dir is None:
         raise ValueError("give the driver tables (sf_dir) or a CSV source folder (source_csv_dir)")
     raw_paths = LayerPaths(root)
     log = RunLog(batch_id)
-    with log.step("raw") as counts:
-        if source_csv_dir is not None:
-            counts |= ingest_all_datasets(spark, source_csv_dir, f"{root}/raw", batch_id)
-        else:
-            counts |= run_raw(spark, sf_dir, raw_paths, batch_id)
-    raw_counts = log.counts("raw")
-    if buckets is None:
-        buckets = bucket_count(spark, bytes_on_disk(spark, raw_paths.raw("order_items")))
-    paths = LayerPaths(root, buckets)
     try:
-        with log.step("validated") as counts:
-            metrics = run_silver(spark, paths, batch_id, raw_counts=raw_counts)
+        with log.step("raw") as step:
+            if source_csv_dir is not None:
+                raw_counts = ingest_all_datasets(spark, source_csv_dir, f"{root}/raw", batch_id, fmt)
+            else:
+                raw_counts = run_raw(spark, sf_dir, raw_paths, batch_id, fmt)
+            step |= {n: (rows, rows) for n, rows in raw_counts.items()}
+        if buckets is None:
+            buckets = bucket_count(spark, raw_counts["order_items"])
+        paths = LayerPaths(root, buckets)
+        with log.step("validated") as step:
+            metrics = run_silver(spark, paths, batch_id, fmt, raw_counts=raw_counts)
+            valid = {}
             for r in metrics.select("dataset", "valid_records", "rejected_records").collect():  # six rows
-                counts[r.dataset] = r.valid_records
-                counts[f"{r.dataset}:rejected"] = r.rejected_records
+                valid[r.dataset] = r.valid_records
+                step[r.dataset] = (raw_counts[r.dataset], r.valid_records)
+                step[f"{r.dataset}:rejected"] = (raw_counts[r.dataset], r.rejected_records)
         if min_quality_rate is not None:
             check_gate(metrics, min_quality_rate)
-        with log.step("gold") as counts:
-            counts |= run_gold(spark, paths)
+        with log.step("gold") as step:
+            counts = run_gold(spark, paths, fmt)
+            read = {
+                "order_revenue": valid["order_items"],
+                "product_revenue": valid["order_items"],
+                "category_revenue": counts["product_revenue"],
+                "customer_revenue": counts["order_revenue"],
+                "business_kpis": counts["order_revenue"],
+            }
+            step |= {m: (read[m], counts[m]) for m in MARTS}
     finally:
-        log.write(spark, paths.run_log)
+        log.write(spark, raw_paths.run_log, fmt)
     return paths
 
 
 class RunLog:
-    """Operational metadata of one run: per layer and dataset the rows written
-    (taken from the writes' Observations, no second scan) and the step's
-    start and end time. A bounded local table (one row per written table)."""
+    """Operational metadata of one run: per layer and dataset the rows read from
+    the layer before (of a mart: its largest input) and the rows written, both
+    from the writes' Observations, and the step's start and end time. A bounded
+    local table (one row per written table)."""
 
     def __init__(self, batch_id: str):
         self.batch_id = batch_id
         self.rows: list[tuple] = []
-        self._counts: dict[str, dict[str, int]] = {}
 
     @contextmanager
     def step(self, layer: str):
-        counts: dict[str, int] = {}
+        counts: dict[str, tuple[int, int]] = {}
         started = datetime.now(timezone.utc).replace(tzinfo=None)
         try:
             yield counts
         finally:
             finished = datetime.now(timezone.utc).replace(tzinfo=None)
-            self._counts[layer] = dict(counts)
-            for dataset, n in counts.items():
-                self.rows.append((layer, dataset, self.batch_id, int(n), started, finished))
-
-    def counts(self, layer: str) -> dict[str, int]:
-        return self._counts.get(layer, {})
+            for dataset, (read, written) in counts.items():
+                self.rows.append((layer, dataset, self.batch_id, int(read), int(written), started, finished))
 
-    def write(self, spark: SparkSession, path: str) -> None:
+    def write(self, spark: SparkSession, path: str, fmt: str = "parquet") -> None:
         schema = (
-            "layer string, dataset string, batch_id string, rows bigint, "
+            "layer string, dataset string, batch_id string, rows_in bigint, rows bigint, "
             "started_at timestamp_ntz, finished_at timestamp_ntz"
         )
-        write_table(spark.createDataFrame(self.rows, schema), path)
+        write_table(spark.createDataFrame(self.rows, schema), path, fmt)
 
 
 def written_counts(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.money import safe_ratio
-from strata.operators.joins import broadcast_if_small, skew_join
+from strata.operators.joins import skew_join
 from strata.operators.windows import running_total, top_k
 
 ON_TIME_DAYS = 5  # fixed: a delivery within 5 days of shipping is on time
@@ -97,13 +97,17 @@ def customer_running_revenue(order_revenue: DataFrame) -> DataFrame:
 def revenue_by_region(customer_revenue: DataFrame, states: DataFrame) -> DataFrame:
     """Customer revenue by region and state, with region subtotals and a grand total.
 
-    ``states`` has one row per state (nation); it is broadcast behind a size
-    check, so customers are never shuffled onto a handful of state keys.
+    ``level`` is 0 for a state, 1 for a region and 3 for the grand total, which tells
+    totals from unknown states and regions.
+
+    ``states`` has one row per state (nation), which Spark broadcasts by its own
+    size check, so customers are not shuffled onto a handful of state keys.
     """
     return (
-        customer_revenue.join(broadcast_if_small(states), "state", "left")
+        customer_revenue.join(states, "state", "left")
         .rollup("region", "state")
         .agg(
+            F.grouping_id().alias("level"),
             F.sum("customer_revenue").alias("revenue"),
             F.sum("order_count").alias("orders"),
             F.count(F.lit(1)).alias("customers"),
@@ -140,7 +144,7 @@ def fact_order_items(
     hot = hot or {}
     order_dims = skew_join(
         orders.select("order_id", "customer_id", "order_timestamp", "order_status"),
-        customers.select("customer_id", "state").join(broadcast_if_small(states), "state", "left"),
+        customers.select("customer_id", "state").join(states, "state", "left"),
         "customer_id",
         "left",
         hot.get("customer_id"),

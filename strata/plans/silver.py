@@ -14,21 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.functions.ids import DEFAULT_BATCH_ID
 from strata.operators.dedup import dedup_dataset
 from strata.operators.joins import hot_keys
-from pyspark.sql import Window
-from pyspark.sql import functions as F
-
-from strata.operators.quality import (
-    FAILED_RULES,
-    REASON,
-    REASONS,
-    failed_rules,
-    rejected_flag,
-    rules_for,
-    split_by_quality,
-)
+from strata.operators.quality import split_by_quality
 from strata.schemas import DATASETS
-from strata.sources.adapter import KEY_SOURCES, raw_table
-from strata.sources.driver import read_file_sample
+from strata.sources.adapter import raw_table
 
 T = TypeVar("T")
 
@@ -39,42 +27,6 @@ def validate(raw: DataFrame, dataset: str) -> tuple[DataFrame, DataFrame]:
     return dedup_dataset(valid, dataset), rejected
 
 
-STATUS = "dq_status"  # "valid" or "rejected" (a partition column of the written table)
-
-
-def validated_with_status(raw: DataFrame, dataset: str) -> DataFrame:
-    """Valid rows deduplicated and rejected rows kept whole, in ONE pass.
-
-    Every rejected row forms its own dedup group (a per-row id), so
-    ``row_number() = 1`` keeps all of them while deduplicating the valid
-    rows; the filter still plans as a partial ``WindowGroupLimit`` before the
-    shuffle, so a hot key stays cheap. Adds ``dq_status``, and for rejected
-    rows ``_dq_reason`` and ``_dq_failed_rules``.
-    """
-    ds = DATASETS[dataset]
-    rules = rules_for(dataset)
-    flagged = raw.withColumn("_bad", rejected_flag(rules)).withColumn(
-        "_grp", F.when(F.col("_bad"), F.monotonically_increasing_id())
-    )
-    w = Window.partitionBy(ds.key, "_bad", "_grp").orderBy(*[F.col(c).asc_nulls_first() for c in ds.survivor_order])
-    kept = flagged.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-    bad = F.col("_bad")
-    return kept.select(
-        *raw.columns,
-        F.when(bad, F.lit(REASONS.get(dataset, "rejected"))).alias(REASON),
-        F.when(bad, failed_rules(rules)).alias(FAILED_RULES),
-        F.when(bad, F.lit("rejected")).otherwise(F.lit("valid")).alias(STATUS),
-    )
-
-
-def silver_table(spark: SparkSession, sf_dir: str, dataset: str, batch_id: str = DEFAULT_BATCH_ID) -> DataFrame:
-    return validate(raw_table(spark, sf_dir, dataset, batch_id), dataset)[0]
-
-
-def rejected_table(spark: SparkSession, sf_dir: str, dataset: str, batch_id: str = DEFAULT_BATCH_ID) -> DataFrame:
-    return validate(raw_table(spark, sf_dir, dataset, batch_id), dataset)[1]
-
-
 class Silver:
     """Lazily built validated tables of one driver directory.
 
@@ -107,16 +59,9 @@ class Silver:
         return self.split(dataset)[0]
 
     def hot(self, dataset: str, key: str) -> Callable[[], DataFrame]:
-        """Builds, when called, the hot values of ``key``: from a sample of the
-        driver table's files when the key is a plain copy of a driver column
-        and the table has many files, else from a row sample of the raw column."""
+        """Builds, when called, the hot values of ``key`` from a row sample of the raw column."""
 
         def build() -> DataFrame:
-            source = KEY_SOURCES.get((dataset, key))
-            sample = read_file_sample(self.spark, self.sf_dir, source[0]) if source else None
-            if sample is not None:
-                files, share = sample
-                return hot_keys(files.select(F.col(source[1]).alias(key)), [key], read_fraction=share)
             return hot_keys(self.raw(dataset).select(key), [key])
 
         return lambda: self.cached(f"hot:{dataset}:{key}", build)

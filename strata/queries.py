@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from strata.functions.ids import DEFAULT_BATCH_ID
+from strata.functions.ids import DEFAULT_BATCH_ID, batch_id_of, display_id
 from strata.operators import quality
 from strata.operators.dedup import upsert
 from strata.plans import checks, gold, layers, metrics
@@ -25,7 +25,6 @@ from strata.session import scratch_path, scratch_root
 from strata.sources import adapter, catalog, csv_files, evolution
 from strata.sources.adapter import raw_table
 from strata.sources.driver import read_table, table_path
-from strata.sources.files import is_directory
 from strata.sources.sinks import append_partition, write_table
 from strata.streaming import events
 
@@ -152,8 +151,8 @@ def _raw_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @query("integrity_report")
 def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts, referential orphans and fault counts of the raw tables."""
-    return checks.integrity_report(_raw_all(spark, sf_dir))
+    """Row counts, referential orphans and fault counts of the raw tables, with injected broken links."""
+    return checks.integrity_report(adapter.with_broken_links(_raw_all(spark, sf_dir)))
 
 
 @query("cancelled_with_items")
@@ -162,14 +161,39 @@ def cancelled_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.cancelled_with_items(raw_table(spark, sf_dir, "orders"), raw_table(spark, sf_dir, "order_items"))
 
 
+_RUNS: dict[tuple[str, str], layers.LayerPaths] = {}
+
+
+def _on_disk_run(spark: SparkSession, sf_dir: str) -> layers.LayerPaths:
+    """The tables of a full on-disk run; the queries that read written layers share one per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        _RUNS[key] = layers.run_all(spark, sf_dir, scratch_path(spark, "layers"))
+    return _RUNS[key]
+
+
+def _written_mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(_on_disk_run(spark, sf_dir).gold(name))
+
+
+@query("written_order_revenue")
+def written_order_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order mart as an on-disk run has written it."""
+    return finalize(_written_mart(spark, sf_dir, "order_revenue"))
+
+
+@query("written_business_kpis")
+def written_business_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPI table as an on-disk run has written it."""
+    return finalize(_written_mart(spark, sf_dir, "business_kpis"))
+
+
 @query("reconcile_gold")
 def reconcile_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals that must agree across the marts, side by side."""
-    s = Silver(spark, sf_dir)
-    orders_mart = _order_revenue(s)
-    products_mart = _product_revenue(s)
-    categories = gold.category_revenue(products_mart)
-    customers_mart = gold.customer_revenue(s.customers, orders_mart)
+    """Totals that must agree across the written marts, side by side."""
+    marts = {m: _written_mart(spark, sf_dir, m) for m in layers.MARTS}
+    orders_mart, products_mart = marts["order_revenue"], marts["product_revenue"]
+    categories, customers_mart = marts["category_revenue"], marts["customer_revenue"]
     frames = {
         "orders": (
             orders_mart,
@@ -201,27 +225,18 @@ def reconcile_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("layer_checks")
 def layer_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Postconditions of every layer as violation counts (0 = pass)."""
-    s = Silver(spark, sf_dir)
-    raw = {n: s.raw(n) for n in DATASETS}
-    sources = {
-        "customers": read_table(spark, sf_dir, "customer"),
-        "products": read_table(spark, sf_dir, "part"),
-        "orders": read_table(spark, sf_dir, "orders"),
-        "order_items": read_table(spark, sf_dir, "lineitem"),
-    }
-    silver = {n: getattr(s, n) for n in ("customers", "order_items", "products")}
-    rejected = {n: s.rejected(n) for n in quality.REASONS}
-    orders_mart = _order_revenue(s)
+    """Postconditions of every written layer as violation counts (0 = pass), and duplicates dropped."""
+    paths = _on_disk_run(spark, sf_dir)
+    sources = {"customers": "customer", "products": "part", "orders": "orders", "order_items": "lineitem"}
     return checks.layer_checks(
-        raw,
-        sources,
-        silver,
-        rejected,
-        orders_mart,
-        gold.customer_revenue(s.customers, orders_mart),
-        gold.category_revenue(_product_revenue(s)),
-        _product_revenue(s),
+        {n: spark.read.parquet(paths.raw(n)) for n in DATASETS},
+        {n: read_table(spark, sf_dir, t) for n, t in sources.items()},
+        {n: paths.read_silver(spark, n) for n in DATASETS},
+        {n: paths.read_rejected(spark, n) for n in quality.REASONS},
+        *[
+            _written_mart(spark, sf_dir, m)
+            for m in ("order_revenue", "customer_revenue", "category_revenue", "product_revenue")
+        ],
     )
 
 
@@ -233,7 +248,7 @@ def payments_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("shipments_derived")
 def shipments_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shipments derived per non-cancelled order."""
+    """Shipments derived per order not known to be cancelled."""
     return finalize(raw_table(spark, sf_dir, "shipments"))
 
 
@@ -290,6 +305,14 @@ def top_products_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finalize(metrics.top_products_by_category(_product_revenue(Silver(spark, sf_dir)), 3))
 
 
+@query("top_customers")
+def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten customers with the most revenue (ties by id)."""
+    s = Silver(spark, sf_dir)
+    best = gold.customer_revenue(s.customers, _order_revenue(s)).orderBy(F.desc("customer_revenue"), "customer_id")
+    return finalize(best.limit(10).select("customer_id", "full_name", "customer_revenue", "order_count"))
+
+
 @query("fact_order_items")
 def fact_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item-grain fact with order, customer, region and product columns."""
@@ -306,20 +329,22 @@ def fact_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- ingestion, sinks, upsert, history
 
-LINEAGE_COLS = ("_ingestion_timestamp", "_source_file", "_batch_id")
-
-
-def _source_rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A raw table without lineage, as a source system would export it."""
-    return raw_table(spark, sf_dir, name).drop(*LINEAGE_COLS)
+def _ingest_csv(spark: SparkSession, sf_dir: str, names: list[str], blank_ids: bool = False) -> str:
+    """Export tables as CSV sources with text ids, ingest them; returns the raw layer's folder."""
+    root = scratch_path(spark, "csv")
+    for n in names:
+        csv_files.write_csv(adapter.source_rows(spark, sf_dir, n, blank_ids), f"{root}/source/{n}.csv")
+    if set(names) == set(DATASETS):
+        csv_files.ingest_all_datasets(spark, f"{root}/source", f"{root}/raw", DEFAULT_BATCH_ID)
+    else:
+        for n in names:
+            csv_files.ingest_dataset(spark, n, f"{root}/source", f"{root}/raw", DEFAULT_BATCH_ID)
+    return f"{root}/raw"
 
 
 def _csv_roundtrip(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root = scratch_path(spark, f"csv-{name}")
-        csv_files.write_csv(_source_rows(spark, sf_dir, name), f"{root}/source/{name}.csv")
-        csv_files.ingest_dataset(spark, name, f"{root}/source", f"{root}/raw", DEFAULT_BATCH_ID)
-        return finalize(spark.read.parquet(f"{root}/raw/{name}"))
+        return finalize(spark.read.parquet(f"{_ingest_csv(spark, sf_dir, [name])}/{name}"))
 
     return run
 
@@ -327,22 +352,90 @@ def _csv_roundtrip(name: str) -> Query:
 query("bronze_roundtrip_customers")(_csv_roundtrip("customers"))
 query("bronze_roundtrip_items")(_csv_roundtrip("order_items"))
 
+# (dataset, parent id, a text of the row) shown by bronze_ingest_all beside the row's own id
+_INGESTED = (
+    ("customers", None, "email"),
+    ("products", None, "product_name"),
+    ("orders", "customer_id", "order_status"),
+    ("order_items", "order_id", "product_id"),
+    ("payments", "order_id", "payment_method"),
+    ("shipments", "order_id", "delivery_status"),
+)
+
+
+@query("bronze_ingest_all")
+def bronze_ingest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six tables from CSV sources with text ids: every row's id, parent id and one text."""
+    raw = _ingest_csv(spark, sf_dir, list(DATASETS))
+    parts = [
+        spark.read.parquet(f"{raw}/{n}").select(
+            F.lit(n).alias("dataset"),
+            F.col(DATASETS[n].key).alias("record_id"),
+            (F.col(parent) if parent else F.lit(None).cast("string")).alias("parent_id"),
+            F.col(text).alias("detail"),
+        )
+        for n, parent, text in _INGESTED
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("rejected_blank_ids")
+def rejected_blank_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and order lines from CSV sources with blank ids, rejected with every rule they break."""
+    raw = _ingest_csv(spark, sf_dir, ["customers", "order_items"], blank_ids=True)
+    parts = []
+    for name, column in (("customers", "full_name"), ("order_items", "order_item_id")):
+        _, rejected = quality.split_by_quality(spark.read.parquet(f"{raw}/{name}"), name, with_failed_rules=True)
+        parts.append(
+            rejected.select(
+                F.lit(name).alias("dataset"),
+                F.col(column).alias("record"),
+                F.array_join(quality.FAILED_RULES, ",").alias("failed_rules"),
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
+@query("display_ids")
+def display_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zero-padded text ids of all products."""
+    return read_table(spark, sf_dir, "part").select("p_partkey", display_id("PROD-", "p_partkey", 6).alias("display_id"))
+
+
+@query("batch_ids")
+def batch_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per batch id, the id being made from the event's time."""
+    events_ = read_table(spark, sf_dir, "events")
+    return events_.groupBy(batch_id_of("ts").alias("batch_id")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("parsed_quantities")
+def parsed_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantities exported as text, some of them not numbers, parsed back (NULL where that fails)."""
+    items = raw_table(spark, sf_dir, "order_items")
+    text = F.when(F.col("quantity") <= 0, F.lit("n/a")).otherwise(F.col("quantity").cast("string"))
+    texts = items.select("order_item_id", text.alias("quantity_text"))
+    return texts.withColumn("quantity", F.col("quantity_text").try_cast("int"))
+
 
 @query("strict_ingest_quarantine")
 def strict_ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines whose quantity is not a number are quarantined, the rest loaded."""
+    """Lines whose quantity is not a number are quarantined, the rest loaded: every line and its outcome."""
     root = scratch_path(spark, "strict")
-    items = _source_rows(spark, sf_dir, "order_items")
+    items = adapter.source_rows(spark, sf_dir, "order_items")
     text = items.withColumn(
         "quantity", F.when(F.col("quantity") <= 0, F.lit("n/a")).otherwise(F.col("quantity").cast("string"))
     )
     csv_files.write_csv(text, f"{root}/source/order_items.csv")
     out = f"{root}/raw/order_items"
-    csv_files.strict_ingest(spark, f"{root}/source/order_items.csv", DATASETS["order_items"].schema, out)
-    return (
-        spark.read.parquet(out)
-        .groupBy(F.col("load_status").alias("outcome"))
-        .agg(F.count(F.lit(1)).alias("rows"))
+    csv_files.strict_ingest(
+        spark, f"{root}/source/order_items.csv", DATASETS["order_items"].source_schema, out
+    )
+    return spark.read.parquet(out).select(
+        F.col("load_status").alias("outcome"), "order_item_id", "order_id", "product_id", "quantity"
     )
 
 
@@ -361,7 +454,7 @@ def schema_evolution_read(spark: SparkSession, sf_dir: str) -> DataFrame:
         adapter.order_status(F.col("o_orderstatus"), F.col("o_orderpriority")).alias("order_status"),
         F.col("o_orderpriority").alias("order_priority"),
     )
-    newer = F.col("order_timestamp") >= F.lit(SCHEMA_CHANGE_AT).cast("timestamp_ntz")
+    newer = F.coalesce(F.col("order_timestamp") >= F.lit(SCHEMA_CHANGE_AT).cast("timestamp_ntz"), F.lit(False))
     write_table(orders.where(~newer).drop("order_priority"), f"{root}/orders/load=1")
     write_table(orders.where(newer), f"{root}/orders/load=2")
     return evolution.read_evolving(spark, f"{root}/orders")
@@ -395,21 +488,38 @@ def upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("history_append")
 def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads of the orders appended by batch; the second one is re-run
-    and replaces only its own partition."""
+    """Order status by batch: a first load, and a second one after open orders were shipped,
+    which is re-run and replaces only its own partition."""
     root = scratch_path(spark, "history")
-    orders = _source_rows(spark, sf_dir, "orders")
-    for batch in ("batch-0001", "batch-0002", "batch-0002"):
-        append_partition(orders.withColumn("batch_id", F.lit(batch)), f"{root}/orders", "batch_id")
-    return spark.read.parquet(f"{root}/orders").groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"))
+    first = raw_table(spark, sf_dir, "orders").select("order_id", "order_status")
+    shipped = F.when(F.col("order_status") == "processing", F.lit("shipped")).otherwise(F.col("order_status"))
+    second = first.withColumn("order_status", shipped)
+    for batch, rows in (("batch-0001", first), ("batch-0002", first), ("batch-0002", second)):
+        append_partition(rows.withColumn("batch_id", F.lit(batch)), f"{root}/orders", "batch_id")
+    return spark.read.parquet(f"{root}/orders").select("batch_id", "order_id", "order_status")
+
+
+def _new_table(spark: SparkSession, name: str) -> str:
+    catalog.create_schema(spark, "strata_catalog", f"{scratch_root(spark)}/strata/catalog")
+    return f"strata_catalog.{name}_{uuid.uuid4().hex[:12]}"
 
 
 @query("catalog_roundtrip")
 def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw customers written to a catalog table and read back."""
-    catalog.create_schema(spark, "strata_catalog", f"{scratch_root(spark)}/strata/catalog")
-    table = f"strata_catalog.customers_{uuid.uuid4().hex[:12]}"
-    catalog.save_as_table(raw_table(spark, sf_dir, "customers").drop(*UNSTABLE), table)
+    """Raw customers written over an older version of a catalog table and read back."""
+    table = _new_table(spark, "customers")
+    customers = raw_table(spark, sf_dir, "customers").drop(*UNSTABLE)
+    catalog.save_as_table(customers.withColumn("email", F.lit(None).cast("string")), table)
+    catalog.save_as_table(customers, table)
+    return finalize(catalog.read_table(spark, table))
+
+
+@query("catalog_replace_schema")
+def catalog_replace_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table of customers overwritten by products: rows and columns are the new ones."""
+    table = _new_table(spark, "replaced")
+    for name in ("customers", "products"):
+        catalog.save_as_table(raw_table(spark, sf_dir, name).drop(*UNSTABLE), table)
     return finalize(catalog.read_table(spark, table))
 
 
@@ -445,28 +555,27 @@ def rejected_order_items_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("layer_run_counts")
 def layer_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per layer and dataset after a full on-disk run, counted from the files."""
-    paths = layers.run_all(spark, sf_dir, scratch_path(spark, "layers"))
-    return layers.written_counts(spark, paths)
+    """Rows per layer and dataset of an on-disk run, counted from the files."""
+    return layers.written_counts(spark, _on_disk_run(spark, sf_dir))
 
 
 @query("run_log")
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The metrics table written by the validated layer of an on-disk run."""
-    paths = layers.LayerPaths(scratch_path(spark, "runlog"))
-    raw_counts = layers.run_raw(spark, sf_dir, paths)
-    return layers.run_silver(spark, paths, raw_counts=raw_counts).drop("processed_at")
+    """Rows read and written per layer and dataset, as an on-disk run has logged them."""
+    log = spark.read.parquet(_on_disk_run(spark, sf_dir).run_log)
+    return log.select("layer", "dataset", "batch_id", "rows_in", "rows")
 
 
 # ---------------------------------------------------------------- streaming
 
 
-def _event_source(spark: SparkSession, sf_dir: str, copies: int) -> str:
-    """A landing folder with ``copies`` identical copies of the events table (feeds duplicates)."""
+def _event_source(spark: SparkSession, sf_dir: str, copies: int, files: int) -> str:
+    """A landing folder with ``copies`` identical copies of the events table (feeds duplicates),
+    each in ``files`` files that are not ordered in time."""
     land = scratch_path(spark, "events-landing")
     events = read_table(spark, sf_dir, "events")
     for i in range(copies):
-        events.write.mode("overwrite").parquet(f"{land}/part={i}")
+        events.repartition(files, "event_id").write.mode("overwrite").parquet(f"{land}/part={i}")
     return land
 
 
@@ -474,7 +583,8 @@ def _events_stream_source(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """(folder, file glob) to stream the events table from, whether it is stored
     as one file or as a folder of files."""
     path = table_path(sf_dir, "events")
-    if is_directory(spark, path):
+    first = read_table(spark, sf_dir, "events").select(F.input_file_name()).limit(1).collect()
+    if first and not first[0][0].endswith("/events.parquet"):
         return path, "*.parquet"
     return sf_dir, "events.parquet"
 
@@ -490,11 +600,11 @@ def stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_dedup_events")
 def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events fed twice through a stream, deduplicated within the watermark."""
+    """Events fed twice through a stream of four micro-batches, each kept once."""
     root = scratch_path(spark, "stream-dedup")
-    source = _event_source(spark, sf_dir, copies=2)
-    events.dedup(spark, source, f"{root}/out", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/out").drop("part")
+    source = _event_source(spark, sf_dir, copies=2, files=2)
+    events.dedup(spark, source, f"{root}/out", f"{root}/checkpoint", max_files=1)
+    return events.read_deduplicated(spark, f"{root}/out")
 
 
 @query("stream_daily_counts")
@@ -504,3 +614,12 @@ def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, glob = _events_stream_source(spark, sf_dir)
     events.daily_counts(spark, folder, f"{root}/out", f"{root}/checkpoint", file_glob=glob)
     return spark.read.parquet(f"{root}/out")
+
+
+@query("stream_closed_days")
+def stream_closed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per UTC day and type of the days that the watermark has closed (append mode)."""
+    root = scratch_path(spark, "stream-closed")
+    folder, glob = _events_stream_source(spark, sf_dir)
+    events.daily_counts(spark, folder, f"{root}/out", f"{root}/checkpoint", file_glob=glob, mode="append")
+    return spark.read.parquet(f"{root}/out")

@@ -1,6 +1,7 @@
 """Explicit schemas of the six retail tables, the layer columns and the key map.
 
-Ids are the driver tables' integer keys (``bigint``); ``order_item_id`` is
+Ids are the driver tables' integer keys (``bigint``), or text where the tables
+come from CSV sources (``Dataset.source_schema``); ``order_item_id`` is always
 text because it is composed from two keys. Money that is summed
 (``line_amount``, ``payment_amount``) is ``decimal`` so that every engine
 adds it up exactly; it is cast to ``double`` only in final projections.
@@ -89,6 +90,29 @@ SHIPMENTS = StructType(
     ]
 )
 
+# The CSV sources carry text ids (``CUST-000042``), and their order lines have
+# neither a supplier nor a ship date.
+SOURCE_ID_PREFIX = {
+    "customer_id": "CUST-",
+    "product_id": "PROD-",
+    "order_id": "ORD-",
+    "payment_id": "PAY-",
+    "shipment_id": "SHIP-",
+}
+SOURCE_ID_WIDTH = 6
+
+
+def _source_schema(schema: StructType) -> StructType:
+    absent = {"supplier_id", "ship_date"}
+    return StructType(
+        [
+            StructField(f.name, StringType()) if f.name in SOURCE_ID_PREFIX else f
+            for f in schema.fields
+            if f.name not in absent
+        ]
+    )
+
+
 # Columns every raw-layer row carries.
 LINEAGE = StructType(
     [
@@ -111,6 +135,15 @@ QUALITY_METRICS = StructType(
 )
 
 
+# The output columns of the two item-level marts, in order.
+MART_COLUMNS = {
+    "order_revenue": (
+        "order_id customer_id order_timestamp order_status order_revenue items_sold distinct_products"
+    ).split(),
+    "product_revenue": "product_id product_name category units_sold product_revenue order_count".split(),
+}
+
+
 @dataclass(frozen=True)
 class Dataset:
     """A retail table: schema, business key and the dedup survivor order.
@@ -125,6 +158,11 @@ class Dataset:
     key: str
     survivor_order: tuple[str, ...]
 
+    @property
+    def source_schema(self) -> StructType:
+        """Columns of the table's CSV source."""
+        return _source_schema(self.schema)
+
     @property
     def columns(self) -> list[str]:
         return [f.name for f in self.schema.fields]
@@ -163,7 +201,7 @@ def dataset(name: str) -> Dataset:
     try:
         return DATASETS[name]
     except KeyError:
-        raise ValueError(f"Unsupported dataset: {name}") from None
+        raise ValueError(f"no retail table is called {name!r}") from None
 
 
 def nullable(schema: StructType) -> StructType:

@@ -6,6 +6,7 @@ Nothing here creates a session for library code; the caller passes one in.
 
 from __future__ import annotations
 
+import re
 import uuid
 from contextlib import contextmanager
 
@@ -18,14 +19,17 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables and stream checkpoints.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or a directory already set
-    with ``setCheckpointDir``). Only when neither is set, as in unit tests,
-    a folder under the SQL warehouse is chosen and registered as the
-    checkpoint dir, so that ``DataFrame.checkpoint()`` works as well.
+    with ``setCheckpointDir``). Only a local session, as in tests, may do
+    without: it gets a folder under the SQL warehouse, registered as the
+    checkpoint dir. Anywhere else a missing setting is an error, because a
+    machine-local folder would not be shared.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
         root = warehouse.rstrip("/") + "/_strata_checkpoints"
         spark.sparkContext.setCheckpointDir(root)
@@ -56,10 +60,6 @@ def utc(spark: SparkSession):
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and local benchmarking (UI off, AQE on, UTC).
-
-    AQE partition coalescing is off here: on the small local inputs every
-    shuffle is far below one advisory partition, and coalescing would leave
-    most cores idle. On a cluster keep Spark's default (on).
     """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -68,7 +68,6 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")

@@ -16,7 +16,7 @@ The mapping is fixed so that an independent SQL engine can repeat it:
   amount.
 * payments: one per order that has lines; amount = exact sum of the lines
   before faults; method and time offsets from the order key.
-* shipments: one per non-cancelled order; shipped 4..72 h after the order,
+* shipments: one per order not known to be cancelled; shipped 4..72 h after the order,
   delivered 1..10 days after shipping.
 
 Every raw row also carries the lineage columns of the raw layer.
@@ -27,10 +27,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.ids import DEFAULT_BATCH_ID, composed_key
+from strata.functions.ids import DEFAULT_BATCH_ID, composed_key, display_id
 from strata.functions.money import line_amount
-from strata.operators.joins import broadcast_if_small
-from strata.schemas import DATASETS
+from strata.schemas import DATASETS, SOURCE_ID_PREFIX, SOURCE_ID_WIDTH
 from strata.sources.driver import read_table
 
 # Fixed values of the mapping (must stay equal to the SQL oracle).
@@ -66,9 +65,7 @@ def customers(spark: SparkSession, sf_dir: str, batch_id: str = DEFAULT_BATCH_ID
         .otherwise(F.concat(F.lit("c"), key.cast("string"), F.lit("@example.com")))
     )
     base = c.select("c_custkey", "c_name", "c_nationkey", _file(c).alias("_src"))
-    # nation has one row per country: broadcast behind a size check, never a
-    # shuffle of all customers onto a few nation keys
-    n = broadcast_if_small(n)
+    # nation has one row per country: Spark broadcasts it by its own size check
     out = base.join(n, base.c_nationkey == n.n_nationkey, "left").select(
         key.alias("customer_id"),
         F.col("c_name").alias("full_name"),
@@ -83,7 +80,7 @@ def customers(spark: SparkSession, sf_dir: str, batch_id: str = DEFAULT_BATCH_ID
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """state (nation name) -> region name lookup."""
     n = read_table(spark, sf_dir, "nation")
-    r = broadcast_if_small(read_table(spark, sf_dir, "region"))
+    r = read_table(spark, sf_dir, "region")
     return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
         F.col("n_name").alias("state"), F.col("r_name").alias("region")
     )
@@ -177,7 +174,7 @@ def shipments(spark: SparkSession, sf_dir: str, batch_id: str = DEFAULT_BATCH_ID
     o = read_table(spark, sf_dir, "orders")
     status = order_status(F.col("o_orderstatus"), F.col("o_orderpriority"))
     shipped = F.timestamp_add("HOUR", F.col("o_orderkey") % 69 + 4, F.col("o_orderdate"))
-    out = o.where(status != "cancelled").select(
+    out = o.where(~status.eqNullSafe("cancelled")).select(
         F.col("o_orderkey").alias("shipment_id"),
         F.col("o_orderkey").alias("order_id"),
         shipped.alias("shipped_at"),
@@ -187,15 +184,6 @@ def shipments(spark: SparkSession, sf_dir: str, batch_id: str = DEFAULT_BATCH_ID
     return with_lineage(out, _file(o), batch_id)
 
 
-# raw join keys that are plain copies of a driver column: (dataset, key) -> (table, column);
-# hot-key detection can read them from a sample of the driver table's files
-KEY_SOURCES = {
-    ("orders", "customer_id"): ("orders", "o_custkey"),
-    ("order_items", "order_id"): ("lineitem", "l_orderkey"),
-    ("order_items", "product_id"): ("lineitem", "l_partkey"),
-}
-
-
 READERS = {
     "customers": customers,
     "products": products,
@@ -210,5 +198,55 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str, batch_id: str = DEFAU
     try:
         reader = READERS[name]
     except KeyError:
-        raise ValueError(f"Unsupported dataset: {name}") from None
+        raise ValueError(f"no retail table is called {name!r}") from None
     return reader(spark, sf_dir, batch_id)
+
+
+BLANK_ID_REMAINDER = 37  # rows of this key remainder (by FAULT_MODULUS) lose their id in source_rows(blank_ids=True)
+
+
+def source_rows(spark: SparkSession, sf_dir: str, name: str, blank_ids: bool = False) -> DataFrame:
+    """A raw table as its source system exports it: text ids, source columns only.
+
+    ``blank_ids`` injects a fault: the key becomes three spaces (customers) or the
+    order's id empty (order lines) where the customer or order key says so.
+    """
+    ds = DATASETS[name]
+    raw = raw_table(spark, sf_dir, name)
+
+    def column(c: str) -> Column:
+        if c not in SOURCE_ID_PREFIX:
+            return F.col(c)
+        text = display_id(SOURCE_ID_PREFIX[c], c, SOURCE_ID_WIDTH)
+        fault = {"customers": ("customer_id", "   "), "order_items": ("order_id", "")}.get(name)
+        if blank_ids and fault and c == fault[0]:
+            text = F.when(F.col(c) % FAULT_MODULUS == BLANK_ID_REMAINDER, F.lit(fault[1])).otherwise(text)
+        return F.when(F.col(c).isNotNull(), text).alias(c)
+
+    return raw.select(*[column(f.name) for f in ds.source_schema.fields])
+
+
+ORPHAN_REMAINDER = 3
+CANCELLED_REMAINDER = 9
+NOWHERE = 10**15  # added to a key, it meets no row
+
+
+def with_broken_links(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The raw tables with injected faults for the integrity checks: about one child row in a
+    hundred points nowhere, and about one order in a hundred is cancelled after shipping."""
+
+    def broken(df: DataFrame, key: str, by: str) -> DataFrame:
+        lost = F.col(by) % FAULT_MODULUS == ORPHAN_REMAINDER
+        return df.withColumn(key, F.when(lost, F.col(key) + F.lit(NOWHERE)).otherwise(F.col(key)))
+
+    cancelled = F.col("order_id") % FAULT_MODULUS == CANCELLED_REMAINDER
+    orders = raw["orders"].withColumn(
+        "order_status", F.when(cancelled, F.lit("cancelled")).otherwise(F.col("order_status"))
+    )
+    items = broken(raw["order_items"], "product_id", "product_id")
+    return raw | {
+        "orders": broken(orders, "customer_id", "customer_id"),
+        "order_items": broken(items, "order_id", "order_id"),
+        "payments": broken(raw["payments"], "order_id", "payment_id"),
+        "shipments": broken(raw["shipments"], "order_id", "shipment_id"),
+    }

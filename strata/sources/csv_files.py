@@ -14,13 +14,14 @@ and stored as UTC wall-clock ``timestamp_ntz``, whatever the session zone.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from strata.schemas import dataset as dataset_spec
-from strata.sources.files import exists
 from strata.sources.sinks import write_observed
 
 CORRUPT = "_corrupt_record"
@@ -67,16 +68,19 @@ def read_source_csv(spark: SparkSession, source_path: str, schema: StructType, b
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Header row; values written as they are (no whitespace trimming)."""
-    if df.isEmpty():
-        raise ValueError("refusing to write an empty CSV source")
+    """Header row; values written as they are (no whitespace trimming). An empty source is an
+    error, found by the write's own count."""
+    obs = Observation(f"csv_{uuid.uuid4().hex[:8]}")
     (
-        df.write.mode("overwrite")
+        df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
+    if not obs.get["rows"]:
+        raise ValueError("a CSV source needs at least one row")
 
 
 def ingest_dataset(
@@ -94,12 +98,10 @@ def ingest_dataset(
     """
     spec = dataset_spec(dataset_name)  # ValueError for an unknown name
     source_path = f"{source_dir.rstrip('/')}/{dataset_name}.csv"
-    if not exists(spark, source_path):
-        raise FileNotFoundError(f"Source file not found: {source_path}")
     try:
-        df = read_source_csv(spark, source_path, spec.schema, batch_id)
-    except AnalysisException as exc:  # e.g. removed between the check and the read
-        raise FileNotFoundError(f"Source file not found: {source_path}") from exc
+        df = read_source_csv(spark, source_path, spec.source_schema, batch_id)
+    except AnalysisException as exc:
+        raise FileNotFoundError(f"no CSV source at {source_path}") from exc
     counts = write_observed(df, f"{raw_dir.rstrip('/')}/{dataset_name}", f"ingest_{dataset_name}", fmt=fmt)
     return counts["rows"]
 

@@ -22,23 +22,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"Unknown driver table: {name}")
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-FILE_SAMPLE_EVERY = "strata.skew.fileSampleEvery"  # read every n-th file (default 20)
-FILE_SAMPLE_MIN_FILES = "strata.skew.fileSampleMinFiles"  # only for tables with this many files (default 200)
-
-
-def read_file_sample(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, float] | None:
-    """(the table read from every n-th of its files, share of files read), or
-    ``None`` when the table has too few files for a file sample to pay off.
-
-    The choice of files is deterministic (sorted paths), so a re-run reads
-    the same sample.
-    """
-    every = int(spark.conf.get(FILE_SAMPLE_EVERY, None) or 20)
-    min_files = int(spark.conf.get(FILE_SAMPLE_MIN_FILES, None) or 200)
-    files = sorted(read_table(spark, sf_dir, name).inputFiles())
-    if every <= 1 or len(files) < max(min_files, every):
-        return None
-    chosen = files[::every]
-    return spark.read.parquet(*chosen), len(chosen) / len(files)

@@ -8,11 +8,3 @@ from pyspark.sql import DataFrame, SparkSession
 def read_evolving(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Union of all file schemas; columns missing from older files read as NULL."""
     return spark.read.format(fmt).option("mergeSchema", "true").load(path)
-
-
-def align(frames: list[DataFrame]) -> DataFrame:
-    """Union by name of frames with different columns (missing ones become NULL)."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out

@@ -10,8 +10,11 @@ shared scratch root.
   once, partitioned into valid / rejected rows, overwriting one directory
   per epoch, so a replayed epoch rewrites its own output instead of
   duplicating it.
-* ``dedup``: ``dropDuplicatesWithinWatermark`` on ``event_id``; state is
-  bounded by the watermark.
+* ``dedup``: one row per ``event_id``, whatever the order and number of the
+  micro-batches. Each epoch keeps the first row of an id within the batch and
+  drops ids that an earlier epoch has written, comparing only the UTC days the
+  batch touches (a redelivered event has the event time of the first one). No
+  row is late: input rows = kept rows + duplicates.
 * ``daily_counts``: tumbling one-day windows per event type; either the
   complete result is rewritten each epoch (complete mode through
   ``foreachBatch``), or closed days are appended and late rows dropped.
@@ -19,7 +22,7 @@ shared scratch root.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
@@ -124,6 +127,9 @@ def read_ingested(spark: SparkSession, out_dir: str, status: str = "valid") -> D
     return df.drop("_dq_reason") if status == "valid" else df
 
 
+NO_DAY = "none"  # partition of events without an event time
+
+
 def dedup(
     spark: SparkSession,
     source_dir: str,
@@ -132,23 +138,50 @@ def dedup(
     file_glob: str = "*.parquet",
     max_files: int = MAX_FILES_PER_TRIGGER,
 ) -> None:
+    """Write each event once below ``out_dir``, partitioned by epoch and day.
+
+    A replayed epoch overwrites its own folder and reads only earlier ones, so
+    the result does not depend on failures either.
+    """
     with utc(spark):
-        _dedup(spark, source_dir, out_dir, checkpoint, file_glob, max_files)
+        stream = read_event_stream(spark, source_dir, file_glob, max_files)
+        day = F.coalesce(F.to_date("event_time").cast("string"), F.lit(NO_DAY))
+
+        def write_epoch(batch: DataFrame, epoch_id: int) -> None:
+            columns = EVENTS_SCHEMA.names
+            first = Window.partitionBy("event_id", "day").orderBy(*[F.col(c).asc_nulls_first() for c in columns])
+            new = (
+                batch.withColumn("day", day)
+                .select(*columns, "day")
+                .withColumn("_rn", F.row_number().over(first))
+                .where("_rn = 1")
+                .drop("_rn")
+            )
+            if epoch_id > 0:
+                days = new.select("day").distinct()
+                written = (
+                    _deduplicated(batch.sparkSession, out_dir)
+                    .where(F.col("epoch") < epoch_id)
+                    .join(days, "day", "left_semi")
+                    .select(F.col("event_id").alias("_seen"), F.col("day").alias("_day"))
+                )
+                same = F.col("event_id").eqNullSafe(F.col("_seen")) & (F.col("day") == F.col("_day"))
+                new = new.join(written, same, "left_anti")
+            new.write.mode("overwrite").partitionBy("day").parquet(f"{out_dir}/epoch={epoch_id}")
+
+        _run(stream.writeStream.foreachBatch(write_epoch).option("checkpointLocation", checkpoint))
+
+
+def _deduplicated(spark: SparkSession, out_dir: str) -> DataFrame:
+    schema = StructType(
+        [*EVENTS_SCHEMA.fields, StructField("epoch", LongType()), StructField("day", StringType())]
+    )
+    return spark.read.schema(schema).parquet(out_dir)
 
 
-def _dedup(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, file_glob: str, max_files: int) -> None:
-    stream = (
-        read_event_stream(spark, source_dir, file_glob, max_files)
-        .withWatermark("event_time", WATERMARK)
-        .dropDuplicatesWithinWatermark(["event_id"])
-        .drop("event_time")
-    )
-    _run(
-        stream.writeStream.format("parquet")
-        .option("path", out_dir)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
+def read_deduplicated(spark: SparkSession, out_dir: str) -> DataFrame:
+    """All events written by :func:`dedup`."""
+    return _deduplicated(spark, out_dir).drop("epoch", "day")
 
 
 def daily_counts(

@@ -68,6 +68,19 @@ def test_payments_and_shipments(spark, sf_dir):
     assert ships[2].delivered_at == ships[2].shipped_at + dt.timedelta(days=3)
 
 
+def test_order_of_unknown_status_has_a_shipment(spark, sf_dir):
+    rows = [(9, 5, None, 1.0, D, "1-URGENT"), (8, 5, "P", 1.0, D, "5-LOW")]
+    schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
+    spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{sf_dir}/orders.parquet")
+    assert 9 in {r.order_id for r in adapter.shipments(spark, sf_dir).collect()}
+
+
+def test_source_rows_carry_text_ids(spark, sf_dir):
+    got = sorted(r.customer_id for r in adapter.source_rows(spark, sf_dir, "customers").collect())
+    assert got[0] == "CUST-000005"
+    assert "supplier_id" not in adapter.source_rows(spark, sf_dir, "order_items").columns
+
+
 def test_unknown_dataset(spark, sf_dir):
     with pytest.raises(ValueError):
         adapter.raw_table(spark, sf_dir, "nope")

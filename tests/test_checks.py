@@ -3,13 +3,6 @@ from pyspark.sql import functions as F
 from strata.plans import checks
 
 
-def test_orphans_include_null_keys(spark):
-    child = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
-    parent = spark.createDataFrame([(1,)], "k int")
-    got = checks.orphan_rows(child, parent, "k").agg(F.sum("_rows")).first()[0]
-    assert got == 2
-
-
 def test_reconcile_folds_without_join(spark):
     # sums that agree, counts that do not
     a = spark.createDataFrame([(1.0,), (2.0,)], "x double")
@@ -68,3 +61,14 @@ def test_integrity_report_counts(spark):
     assert got["blank_customer_emails"] == 1 and got["items_non_positive_quantity"] == 1
     assert got["cancelled_orders"] == 1 and got["cancelled_with_shipment"] == 1
     assert got["orders_without_items"] == 1 and got["order_items_rows"] == 4
+
+
+def test_injected_links_break(spark):
+    from strata.sources import adapter
+
+    raw = raw_tables(spark)
+    more = spark.createDataFrame([(i, 1, None, "shipped") for i in range(1000)], raw["orders"].drop("_ingestion_timestamp", "_source_file", "_batch_id").schema)
+    raw["orders"] = more.withColumns({"_ingestion_timestamp": F.current_timestamp(), "_source_file": F.lit("f"), "_batch_id": F.lit("b")})
+    broken = adapter.with_broken_links(raw)
+    assert broken["orders"].count() == 1000 and broken["orders"].columns == raw["orders"].columns
+    assert broken["orders"].where("order_status = 'cancelled'").count() == 10

@@ -31,12 +31,3 @@ def test_batch_id_is_utc_in_any_session_zone(spark):
         assert spark.range(1).select(batch_id_from_time(ts).alias("b")).first().b == "20240101T003000Z"
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
-
-
-def test_align_fills_missing_columns(spark):
-    from strata.sources.evolution import align
-
-    a = spark.createDataFrame([(1, "x")], "id int, a string")
-    b = spark.createDataFrame([(2, 2.5)], "id int, b double")
-    rows = sorted(align([a, b]).collect(), key=lambda r: r.id)
-    assert (rows[0].b, rows[1].a) == (None, None) and rows[1].b == 2.5

@@ -27,7 +27,7 @@ def items(spark, rows):
 
 def test_customer_split_is_exact(spark):
     df = spark.createDataFrame(CUSTOMER_ROWS, CUSTOMERS)
-    valid, rejected = quality.split_customers_by_quality(df)
+    valid, rejected = quality.split_by_quality(df, "customers")
     assert valid.count() + rejected.count() == df.count()
     assert sorted(r.customer_id for r in rejected.collect() if r.customer_id) == [4, 5, 6]
     assert {r._dq_reason for r in rejected.collect()} == {"missing_required_customer_fields"}
@@ -48,7 +48,7 @@ def test_order_item_rules(spark):
         (" ", 1, 1, 1, 1.0, None),  # blank id
         ("i", None, 1, 1, 1.0, None),  # NULL order id
     ]
-    valid, rejected = quality.split_order_items_by_quality(items(spark, rows))
+    valid, rejected = quality.split_by_quality(items(spark, rows), "order_items")
     assert sorted(r.order_item_id for r in valid.collect()) == ["a", "g", "h"]
     assert rejected.count() == 7
 

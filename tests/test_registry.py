@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from strata.queries import REGISTRY  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
@@ -22,11 +23,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(queries()) - set(oracle_sql())
-    assert missing == set()
+    assert set(REGISTRY) <= set(queries())
+    assert set(REGISTRY) - set(oracle_sql()) == set()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_matches_oracle(spark, name):
     from compare import compare
 
@@ -42,17 +43,23 @@ SALTED = ["order_revenue", "product_revenue", "customer_revenue", "fact_order_it
 
 
 @pytest.fixture()
-def force_salting(spark):
-    spark.conf.set("strata.skew.hotKeyRows", "10")
-    spark.conf.set("strata.skew.minFactBytes", "0")
+def force_salting(spark, monkeypatch):
+    """Every key that detection sees three times is hot."""
+    from strata.operators import joins
+
+    monkeypatch.setattr(joins, "MIN_HITS", 3)
+    conf = {"strata.skew.sampleFraction": "1.0", "spark.sql.shuffle.partitions": "400"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     yield
-    spark.conf.unset("strata.skew.hotKeyRows")
-    spark.conf.unset("strata.skew.minFactBytes")
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 @pytest.mark.parametrize("name", SALTED)
 def test_salted_queries_match_oracle(spark, force_salting, name):
-    """With a tiny hot-key threshold the join-heavy queries take the salted path on real data."""
+    """With a tiny hot-key threshold the join-heavy queries salt many keys on real data."""
     from compare import compare
 
     if name != "upsert_customers":  # that one returns a read-back of files it wrote
@@ -72,34 +79,3 @@ def test_salted_layer_run_matches_query(spark, force_salting, tmp_path):
     cols = expected.columns
     got = written.selectExpr(*[f"CAST({c} AS DOUBLE) AS {c}" if c == "order_revenue" else c for c in cols])
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
-
-
-def test_salted_queries_with_file_sampled_hot_keys(spark, tmp_path):
-    """Many-file copies of the tables: hot keys come from a file sample; results unchanged."""
-    from compare import duck, rows_of
-
-    from strata.sources.driver import TABLES
-
-    many = str(tmp_path / "many")
-    for t in TABLES:
-        spark.read.parquet(f"{SF}/{t}.parquet").repartition(24).write.parquet(f"{many}/{t}.parquet")
-    conf = {
-        "strata.skew.hotKeyRows": "10",
-        "strata.skew.minFactBytes": "0",
-        "strata.skew.fileSampleEvery": "3",
-        "strata.skew.fileSampleMinFiles": "6",
-    }
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        from strata.plans.silver import Silver
-
-        assert len(Silver(spark, many).hot("order_items", "order_id")().inputFiles()) == 8  # every 3rd of 24
-        con = duck(SF)
-        for name in ("order_revenue", "product_revenue", "fact_order_items"):
-            df = queries()[name](spark, many)
-            rel = con.sql(oracle_sql()[name])
-            assert rows_of([tuple(r) for r in df.collect()], df.columns) == rows_of(rel.fetchall(), rel.columns), name
-    finally:
-        for k in conf:
-            spark.conf.unset(k)

@@ -81,21 +81,39 @@ def test_session_info(spark):
     assert r.catalog == "spark_catalog" and r.schemas >= 1
 
 
+def source_rows(spark, sf, name):
+    from strata.sources.adapter import source_rows as rows
+
+    return rows(spark, sf, name)
+
+
+def test_text_ids_survive_ingestion(spark, scratch):
+    write(
+        f"{scratch}/src/customers.csv",
+        "customer_id,full_name,email,state,created_at\nCUST-000001,A,a@x,S,\nCUST-000002,B,b@x,S,\n   ,C,c@x,S,\n",
+    )
+    assert csv_files.ingest_dataset(spark, "customers", f"{scratch}/src", f"{scratch}/raw", "b") == 3
+    from strata.plans.silver import validate
+
+    valid, rejected = validate(spark.read.parquet(f"{scratch}/raw/customers"), "customers")
+    assert sorted(r.customer_id for r in valid.collect()) == ["CUST-000001", "CUST-000002"]
+    assert [r.full_name for r in rejected.collect()] == ["C"]
+
+
 def test_ingest_all_in_schema_order(spark, scratch):
-    from strata.queries import _source_rows
     from strata.schemas import DATASETS
 
     sf = "/root/testdata/sf0.001"
     if not os.path.isdir(sf):
         pytest.skip("driver test data not present")
     for name in DATASETS:
-        csv_files.write_csv(_source_rows(spark, sf, name), f"{scratch}/src/{name}.csv")
+        csv_files.write_csv(source_rows(spark, sf, name), f"{scratch}/src/{name}.csv")
     counts = csv_files.ingest_all_datasets(spark, f"{scratch}/src", f"{scratch}/raw", "b1")
     assert list(counts) == list(DATASETS)
     for name, n in counts.items():
-        assert n == _source_rows(spark, sf, name).count()
+        assert n == source_rows(spark, sf, name).count()
     back = spark.read.parquet(f"{scratch}/raw/orders").select("order_id", "order_timestamp")
-    src = _source_rows(spark, sf, "orders").select("order_id", "order_timestamp")
+    src = source_rows(spark, sf, "orders").select("order_id", "order_timestamp")
     assert back.exceptAll(src).count() == 0 and src.exceptAll(back).count() == 0
 
 
@@ -229,23 +247,60 @@ def test_layer_run_quality_gate(spark, scratch):
 
 def test_layer_run_from_csv_sources(spark, scratch):
     from strata.plans import layers
-    from strata.queries import _source_rows
     from strata.schemas import DATASETS
 
     sf = "/root/testdata/sf0.001"
     if not os.path.isdir(sf):
         pytest.skip("driver test data not present")
     for name in DATASETS:
-        csv_files.write_csv(_source_rows(spark, sf, name), f"{scratch}/src/{name}.csv")
+        csv_files.write_csv(source_rows(spark, sf, name), f"{scratch}/src/{name}.csv")
     from_csv = layers.run_all(spark, None, f"{scratch}/csv_run", source_csv_dir=f"{scratch}/src")
     from_tables = layers.run_all(spark, sf, f"{scratch}/table_run")
     got = {(r.layer, r.dataset): r.rows for r in layers.written_counts(spark, from_csv).collect()}
     want = {(r.layer, r.dataset): r.rows for r in layers.written_counts(spark, from_tables).collect()}
     # blank e-mails become NULL through CSV; both are rejected, so every count agrees
     assert got == want
+    ids = spark.read.parquet(from_csv.gold("order_revenue")).select("order_id", "customer_id").first()
+    assert ids.order_id.startswith("ORD-") and ids.customer_id.startswith("CUST-")
     kpi_csv = spark.read.parquet(from_csv.gold("business_kpis")).first()
     kpi_tab = spark.read.parquet(from_tables.gold("business_kpis")).first()
-    assert kpi_csv == kpi_tab
+    assert (kpi_csv.total_orders, kpi_csv.active_customers) == (kpi_tab.total_orders, kpi_tab.active_customers)
+
+
+def test_bucketed_write_spreads_hot_keys_and_keeps_rejects_apart(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from strata.plans import layers
+    from strata.schemas import DATASETS, nullable
+
+    spark.conf.set("strata.skew.sampleFraction", "1.0")
+    try:
+        paths = layers.LayerPaths(f"{scratch}/run", buckets=8)
+        for name, ds in DATASETS.items():
+            rows = []
+            if name == "order_items":  # order 7 has half of the valid lines; a third of all lines has no order
+                rows = [(f"i{i}", None if i % 3 == 0 else (7 if i % 2 else i), 1, 1, 1.0, None, None, None) for i in range(900)]
+            spark.createDataFrame(rows, nullable(ds.schema)).repartition(6).withColumns(
+                {"_ingestion_timestamp": F.current_timestamp(), "_source_file": F.lit("f"), "_batch_id": F.lit("b")}
+            ).write.parquet(paths.raw(name))
+        layers.run_silver(spark, paths, "b")
+        valid = paths.read_silver(spark, "order_items").withColumn("f", F.input_file_name())
+        assert valid.count() == 600
+        assert valid.where("order_id = 7").select("f").distinct().count() > 1  # not one task's file
+        rejected = paths.read_rejected(spark, "order_items").withColumn("f", F.input_file_name())
+        assert rejected.count() == 300 and rejected.select("f").distinct().count() > 1
+    finally:
+        spark.conf.unset("strata.skew.sampleFraction")
+
+
+def test_layer_run_in_another_format(spark, scratch):
+    from strata.plans import layers
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver test data not present")
+    paths = layers.run_all(spark, sf, f"{scratch}/orc", fmt="orc")
+    assert spark.read.orc(paths.gold("business_kpis")).first().total_orders == 944
 
 
 def test_run_log_of_the_on_disk_run(spark, scratch):
@@ -266,6 +321,7 @@ def test_run_log_of_the_on_disk_run(spark, scratch):
 
     for (layer, dataset), n in counts.items():
         assert log[log_key(layer, dataset)].rows == n, (layer, dataset)
+    assert log["validated", "orders"].rows_in == counts["raw", "orders"]
     assert all(r.started_at <= r.finished_at for r in log.values())
     with pytest.raises(layers.QualityGateError):
         layers.run_all(spark, sf, f"{scratch}/gated_log", min_quality_rate=0.99)

@@ -14,13 +14,32 @@ def ev(i, minute, etype="click"):
     return (i, dt.datetime(2024, 1, 1, 0, 0) + dt.timedelta(minutes=minute), 1, etype, 1.0, "{}")
 
 
-def test_dedup_across_files_and_late_rows(spark, scratch):
+def test_dedup_is_exact_with_one_file_per_batch(spark, scratch):
     src = f"{scratch}/landing"
-    land(spark, f"{src}/f=1", [ev(1, 0), ev(2, 1), ev(3, 300)])
-    land(spark, f"{src}/f=2", [ev(2, 1), ev(4, 299)])  # duplicate of 2 (late, too); 4 within watermark
+    day = 60 * 24
+    land(spark, f"{src}/f=1", [ev(1, 0), ev(2, 1), ev(3, 3 * day), ev(3, 3 * day)])
+    land(spark, f"{src}/f=2", [ev(2, 1), ev(4, 299)])  # a redelivery, and a row two days late
+    land(spark, f"{src}/f=3", [ev(5, day), ev(1, 0), (None, None, 1, "click", 1.0, "{}")])
+    land(spark, f"{src}/f=4", [ev(3, 3 * day), ev(6, -day), (None, None, 1, "click", 1.0, "{}")])
     events.dedup(spark, src, f"{scratch}/out", f"{scratch}/ckpt", max_files=1)
-    ids = sorted(r.event_id for r in spark.read.parquet(f"{scratch}/out").collect())
-    assert ids == [1, 2, 3, 4]
+    out = events.read_deduplicated(spark, f"{scratch}/out")
+    everything = spark.read.schema(EVENTS_SCHEMA).parquet(src)
+    want = everything.dropDuplicates(["event_id"])
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+    duplicates = everything.count() - everything.select("event_id").distinct().count()
+    assert everything.count() == out.count() + duplicates  # no late row is lost
+
+
+def test_replayed_dedup_epoch_changes_nothing(spark, scratch):
+    import os
+
+    src = f"{scratch}/landing"
+    land(spark, f"{src}/f=1", [ev(1, 0), ev(2, 1)])
+    land(spark, f"{src}/f=2", [ev(2, 1), ev(3, 2)])
+    events.dedup(spark, src, f"{scratch}/out", f"{scratch}/ckpt", max_files=1)
+    os.remove(f"{scratch}/ckpt/commits/1")  # the second epoch was written but not committed
+    events.dedup(spark, src, f"{scratch}/out", f"{scratch}/ckpt", max_files=1)
+    assert sorted(r.event_id for r in events.read_deduplicated(spark, f"{scratch}/out").collect()) == [1, 2, 3]
 
 
 def test_ingest_split_and_rerun_takes_only_new_files(spark, scratch):

@@ -44,3 +44,14 @@ def test_running_total_spreads_one_huge_partition(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_region_rollup_tells_totals_from_unknown_states(spark):
+    from strata.plans.metrics import revenue_by_region
+
+    customers = spark.createDataFrame(
+        [(1, "BRAZIL", 10.0, 1), (2, None, 5.0, 1)], "customer_id long, state string, customer_revenue double, order_count long"
+    )
+    states = spark.createDataFrame([("BRAZIL", "AMERICA")], "state string, region string")
+    got = {(r.region, r.state, r.level): r.revenue for r in revenue_by_region(customers, states).collect()}
+    assert got[None, None, 3] == 15.0 and got[None, None, 1] == 5.0 and got[None, None, 0] == 5.0
