@@ -6,12 +6,16 @@ smallest hash of its ``GRAM``-byte strings; equal windows have equal anchors at
 equal places. So only suffixes that start at an anchor whose hash occurs twice
 are sorted, each with the bytes of the windows that chose it.
 
+Periodic texts repeat one anchor every few bytes. Such runs of anchors are kept
+as one row each, and of the equal contexts of a text only one leaves it: the
+others are repeats already.
+
 Suffixes of one anchor string meet in one task, which orders the bytes after the
 anchor, and the bytes before it read backwards, by deep-shallow sorting: multikey
 quicksort to a shallow depth, then a blind trie for each group that still shares
 its prefix. From the common prefixes of neighbours in both orders follows, for
 every place of the window, which windows are equal. An anchor string with more
-than ``HOT`` suffixes is taken apart by window: its windows' digests are counted
+than ``HOT`` rows is taken apart by window: its windows' digests are counted
 over all tasks instead, with partial sums before the shuffle.
 
 Texts are shuffled once (both joins use the same exchange).
@@ -97,24 +101,40 @@ def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def anchor_runs(h, place, first, last) -> tuple[np.ndarray, ...]:
+    """Anchors (h, place, first, last) with ``step`` and ``reps``: neighbours of equal hash, shape and
+    distance are one row, the i-th of which lies i * step bytes further."""
+    if not len(h):
+        return h, place, first, last, h, h
+    step = np.concatenate(([0], np.diff(place)))
+    like = np.zeros(len(h), dtype=bool)
+    like[1:] = (h[1:] == h[:-1]) & (np.diff(place - first) == 0) & (np.diff(last - first) == 0)
+    turn = np.zeros(len(h), dtype=bool)
+    turn[2:] = like[2:] & like[1:-1] & (step[2:] != step[1:-1])
+    start = np.flatnonzero(~like | turn)
+    reps = np.diff(np.concatenate((start, [len(h)])))
+    after = np.minimum(start + 1, len(h) - 1)
+    return h[start], place[start], first[start], last[start], np.where(reps > 1, step[after], 0), reps
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    names = ["h", "id", "digest", "place", "first", "last"]
+    names = ["h", "id", "digest", "place", "first", "last", "step", "reps"]
     for b in batches:
         ids, digests = b.column("id").to_numpy(), b.column("digest").to_numpy()
         parts, size = [], 0
 
         def flush() -> pa.RecordBatch:
             cols = [np.concatenate(c) for c in zip(*parts)]
-            types = [pa.int64()] * 3 + [pa.int32()] * 3
+            types = [pa.int64()] * 3 + [pa.int32()] * 5
             return pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(cols, types)], names=names)
 
         for i, t in enumerate(b.column("text")):
             data = np.frombuffer((t.as_py() or "").encode("utf-8", "surrogatepass"), np.uint8)
             if len(data) < length:
                 continue
-            h, place, first, last = anchors(data, length, gram)
+            h, *rest = anchor_runs(*anchors(data, length, gram))
             n = len(h)
-            parts.append((h, np.full(n, ids[i]), np.full(n, digests[i]), place, first, last))
+            parts.append((h, np.full(n, ids[i]), np.full(n, digests[i]), *rest))
             size += n
             if size > 100_000:
                 yield flush()
@@ -254,7 +274,11 @@ _SPAN = "id long, digest long, first int, last int"
 
 
 def _group_spans(members: list[tuple], length: int, gram: int) -> Iterator[tuple]:
-    """Repeated windows (id, digest, first, last) of one anchor string's suffixes."""
+    """Repeated windows (id, digest, first, last) of one anchor string's suffixes.
+
+    A member is (id, digest, place, first, last, bytes, settled); a settled one occurs again
+    in its own text, which has been reported.
+    """
     # equal contexts are one member, repeated
     distinct: dict[tuple[bytes, int], list[tuple]] = {}
     for m in members:
@@ -265,16 +289,17 @@ def _group_spans(members: list[tuple], length: int, gram: int) -> Iterator[tuple
         befores = [c[:a][::-1] for c, a in contexts]
         afters = [c[a:] for c, a in contexts]
         flags = equal_windows(befores, afters, length, gram)
-    for i, (key, group) in enumerate(distinct.items()):
+    for i, group in enumerate(distinct.values()):
         if len(group) > 1:  # the whole context occurs again
             for m in group:
-                yield m[0], m[1], m[3], m[4]
-        elif flags is not None:
-            _, _, place, first, last, _ = group[0]
+                if not m[6]:
+                    yield m[0], m[1], m[3], m[4]
+        elif flags is not None and not group[0][6]:
+            id_, digest, place, first, last, _, _ = group[0]
             mine = flags[place - last : place - first + 1, i][::-1]  # by window start
             edge = np.flatnonzero(np.diff(np.concatenate(([0], mine.astype(np.int8), [0]))))
             for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-                yield group[0][0], group[0][1], first + a, first + b - 1
+                yield id_, digest, first + a, first + b - 1
 
 
 def _spans(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
@@ -289,8 +314,11 @@ def _spans(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterato
 
     now, members, out = None, [], []
     for b in batches:
-        cols = [b.column(c).to_pylist() for c in ("id", "digest", "place", "first", "last", "bytes")]
+        cols = [b.column(c).to_pylist() for c in ("id", "digest", "place", "first", "last", "bytes", "settled")]
         for h, *m in zip(b.column("h").to_pylist(), *cols):
+            if m[5] is None:  # a run of windows that its own text repeats
+                out.append((m[0], m[1], m[3], m[4]))
+                continue
             if h != now:
                 if len(members) > 1:
                     out.extend(_group_spans(members, length, gram))
@@ -304,46 +332,74 @@ def _spans(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterato
     yield rows_to_batch(out)
 
 
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Union of (first, last) runs of window starts."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _text_contexts(data: bytes, found: list[dict], length: int) -> Iterator[tuple]:
+    """(h, place, first, last, bytes, settled) of the candidate anchors of one text: every different
+    context once; then the runs of windows of the contexts that occur again in the text, without bytes."""
+    seen: dict[tuple[int, int, bytes], list[tuple[int, int]]] = {}
+    for x in found:
+        for i in range(x["reps"]):
+            first, last = x["first"] + i * x["step"], x["last"] + i * x["step"]
+            key = (x["h"], x["place"] - x["first"], data[first : last + length])
+            seen.setdefault(key, []).append((first, last))
+    again = []
+    for (h, before, context), places in seen.items():
+        first, last = places[0]
+        yield h, first + before, first, last, context, len(places) > 1
+        if len(places) > 1:
+            again += places
+    for first, last in merged(again):
+        yield first, first, first, last, None, True
+
+
 def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The bytes of the windows of every candidate anchor."""
+    types = [pa.int64()] * 3 + [pa.int32()] * 3 + [pa.binary(), pa.bool_()]
+    names = ["h", "id", "digest", "place", "first", "last", "bytes", "settled"]
     for b in batches:
+        rows, size = [], 0
         for text, id_, digest, found in zip(
             b.column("text"), b.column("id").to_pylist(), b.column("digest").to_pylist(), b.column("found").to_pylist()
         ):
             data = (text.as_py() or "").encode("utf-8", "surrogatepass")
-            n = len(found)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([x["h"] for x in found], pa.int64()),
-                    pa.array([id_] * n, pa.int64()),
-                    pa.array([digest] * n, pa.int64()),
-                    *[pa.array([x[c] for x in found], pa.int32()) for c in ("place", "first", "last")],
-                    pa.array([data[x["first"] : x["last"] + length] for x in found], pa.binary()),
-                ],
-                names=["h", "id", "digest", "place", "first", "last", "bytes"],
-            )
+            for h, place, first, last, context, settled in _text_contexts(data, found, length):
+                rows.append((h, id_, digest, place, first, last, context, settled))
+                size += len(context or b"")
+                if size > 1 << 22:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+                    rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
 def _window_digests(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """One row per window of the suffixes of hot anchor strings: 128-bit digest and place."""
+    """One row per window of the contexts of hot anchor strings: 128-bit digest, place, and how often
+    the context counts (twice if its own text repeats it). Runs without bytes pass, their digest null."""
+    names = ["id", "digest", "first", "last", "low", "high", "times"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
     for b in batches:
         for i in range(0, b.num_rows, 256):
-            part = b.slice(i, 256)
-            ids, digests, at, low, high = [], [], [], [], []
-            for id_, digest, first, data in zip(*(part.column(c).to_pylist() for c in ("id", "digest", "first", "bytes"))):
+            rows = []
+            cols = (b.slice(i, 256).column(c).to_pylist() for c in ("id", "digest", "first", "last", "bytes", "settled"))
+            for id_, digest, first, last, data, settled in zip(*cols):
+                if data is None:
+                    rows.append((id_, digest, first, last, None, None, 0))
+                    continue
                 for s in range(len(data) - length + 1):
                     w = xxhash.xxh3_128_digest(data[s : s + length])
-                    ids.append(id_)
-                    digests.append(digest)
-                    at.append(first + s)
-                    low.append(int.from_bytes(w[:8], "big", signed=True))
-                    high.append(int.from_bytes(w[8:], "big", signed=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in (ids, digests)]
-                + [pa.array(at, pa.int32())]
-                + [pa.array(c, pa.int64()) for c in (low, high)],
-                names=["id", "digest", "at", "low", "high"],
-            )
+                    low, high = (int.from_bytes(x, "big", signed=True) for x in (w[:8], w[8:]))
+                    rows.append((id_, digest, first + s, first + s, low, high, 1 + settled))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
 def _strip(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -380,37 +436,39 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
         map_arrow(
             docs.select("id", "digest", "text"),
             lambda it: _anchor_rows(it, length, gram),
-            "h long, id long, digest long, place int, first int, last int",
+            "h long, id long, digest long, place int, first int, last int, step int, reps int",
         ),
         "anchors",
     )
-    often = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    often = found.groupBy("h").agg(F.sum("reps").alias("n"), F.count(F.lit(1)).alias("rows")).where("n > 1")
 
     def contexts(some: DataFrame) -> DataFrame:
         # a row repeated in the table meets its own anchors once per copy; each copy has them all
         per_doc = (
             found.join(some, "h")
             .groupBy("id", "digest")
-            .agg(F.array_distinct(F.collect_list(F.struct("h", "place", "first", "last"))).alias("found"))
+            .agg(F.array_distinct(F.collect_list(F.struct("h", "place", "first", "last", "step", "reps"))).alias("found"))
         )
         return map_arrow(
             docs.join(per_doc, ["id", "digest"]),
             lambda it: _contexts(it, length),
-            "h long, id long, digest long, place int, first int, last int, bytes binary",
+            "h long, id long, digest long, place int, first int, last int, bytes binary, settled boolean",
         )
 
-    cold = contexts(often.where(F.col("n") <= hot)).repartition("h").sortWithinPartitions("h")
+    cold = contexts(often.where(F.col("rows") <= hot)).repartition("h").sortWithinPartitions("h")
     spans = map_arrow(cold, lambda it: _spans(it, length, gram), _SPAN)
-    if often.where(F.col("n") > hot).isEmpty():
+    if often.where(F.col("rows") > hot).isEmpty():
         return spans
-    windows = contexts(often.where(F.col("n") > hot)).select("id", "digest", "first", "bytes")
     windows = map_arrow(
-        windows, lambda it: _window_digests(it, length), "id long, digest long, at int, low long, high long"
+        contexts(often.where(F.col("rows") > hot)),
+        lambda it: _window_digests(it, length),
+        "id long, digest long, first int, last int, low long, high long, times int",
     )
     windows = stored(windows, "windows")
-    twice = windows.groupBy("low", "high").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    places = windows.join(twice, ["low", "high"])
-    return spans.unionByName(places.select("id", "digest", F.col("at").alias("first"), F.col("at").alias("last")))
+    twice = windows.where("low is not null").groupBy("low", "high").agg(F.sum("times").alias("n")).where("n > 1").drop("n")
+    span = ["id", "digest", "first", "last"]
+    settled = windows.where("low is null").select(*span)
+    return spans.unionByName(windows.join(twice, ["low", "high"]).select(*span)).unionByName(settled)
 
 
 def remove_repeats(

@@ -120,14 +120,29 @@ def test_anchors_cover_every_window_and_agree_on_equal_windows():
 
 
 def test_context_hash_of_the_word_prefix_depends_on_the_prefix_only():
-    a = lm_scoring.contexts(lm_scoring.line_of([b"the", b"theory"]))[-2]
+    a = lm_scoring.context_keys(lm_scoring.line_of([b"the", b"theory"]))[-2]
     assert a[0] == a[4] and a[1] == a[5] and a[2] == a[6] and a[3] != a[1]
 
 
-def test_tree_codes_are_prefix_free_and_complete():
-    tree = lm_scoring.huffman(np.arange(256) ** 2)
-    assert abs(sum(2.0**-n for n in tree.length) - 1) < 1e-9
-    codes = {tuple(tree.sign[b, : tree.length[b]]) for b in range(lm_scoring.SYMBOLS)}
-    assert len(codes) == lm_scoring.SYMBOLS
+def test_trees_are_prefix_free_and_complete():
+    rng = np.random.default_rng(2)
+    tree = lm_scoring.build_tree(rng.integers(0, 50, (256, 256)) ** 2)
+    for p in range(lm_scoring.SYMBOLS):
+        assert abs((2.0 ** -tree.length[p]).sum() - 1) < 1e-9
+        codes = {tuple(tree.code[p, b, : tree.length[p, b]]) for b in range(lm_scoring.SYMBOLS)}
+        assert len(codes) == lm_scoring.SYMBOLS
     escaped = tree.symbol == lm_scoring.SYMBOLS - 1
     assert abs((2.0 ** -tree.extra[escaped]).sum() - 1) < 1e-9 and not tree.extra[~escaped].any()
+
+
+def test_runs_of_anchors_stand_for_the_same_anchors():
+    rng = random.Random(9)
+    text = b"abc " * 200 + bytes(rng.choices(b"abcd", k=500)) + b"z" * 300 + b"xy" * 100
+    found = suffix_dedup.anchors(np.frombuffer(text, np.uint8), 40, 12)
+    h, place, first, last, step, reps = suffix_dedup.anchor_runs(*found)
+    spread = [
+        (h[i], place[i] + k * step[i], first[i] + k * step[i], last[i] + k * step[i])
+        for i in range(len(h))
+        for k in range(reps[i])
+    ]
+    assert spread == list(zip(*found)) and len(h) < len(found[0]) / 2
