@@ -273,7 +273,10 @@ def test_bucketed_write_spreads_hot_keys_and_keeps_rejects_apart(spark, scratch)
     from strata.plans import layers
     from strata.schemas import DATASETS, nullable
 
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"  # the few rows here would all go to one task
+    before = spark.conf.get(coalesce)
     spark.conf.set("strata.skew.sampleFraction", "1.0")
+    spark.conf.set(coalesce, "false")
     try:
         paths = layers.LayerPaths(f"{scratch}/run", buckets=8)
         for name, ds in DATASETS.items():
@@ -291,6 +294,7 @@ def test_bucketed_write_spreads_hot_keys_and_keeps_rejects_apart(spark, scratch)
         assert rejected.count() == 300 and rejected.select("f").distinct().count() > 1
     finally:
         spark.conf.unset("strata.skew.sampleFraction")
+        spark.conf.set(coalesce, before)
 
 
 def test_layer_run_in_another_format(spark, scratch):
