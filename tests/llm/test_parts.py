@@ -66,6 +66,36 @@ def test_encoder_equals_the_tokenizers_library():
         assert np.frombuffer(enc(t), "<u2").tolist() == want, t  # from the cache
 
 
+@pytest.mark.parametrize("space", [" ", "\n", "\u3000"])
+def test_encoder_takes_very_long_runs_of_white_space(space):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "a b" + space * 2_000_000 + "c d"
+    want = whole.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(packing.encoder()(text), "<u2").tolist() == want
+
+
+def test_encoder_leaves_a_panic_of_the_fast_library_to_the_other(monkeypatch):
+    class PanicException(BaseException):
+        pass
+
+    class Fast:
+        def __init__(self, error):
+            self.error = error
+
+        def encode_ordinary(self, text):
+            raise self.error
+
+    enc = packing.encoder()
+    monkeypatch.setattr(enc, "fast", Fast(PanicException()))
+    assert np.frombuffer(enc.encode("some text"), "<u2").tolist() == enc.whole.encode("some text", add_special_tokens=False).ids
+    monkeypatch.setattr(enc, "fast", Fast(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        enc.encode("some text")
+
+
 def _plain_order(strings):
     order = sorted(range(len(strings)), key=lambda i: strings[i])
     lcps = [0]
