@@ -51,6 +51,7 @@ class Encoder:
     ``tokenizers`` and ``tiktoken`` give the same ids with this vocabulary (the tests
     compare them); the second is faster. A single space before a visible character always
     starts a token, so texts are cut there and the ids of frequent chunks are remembered.
+    The string of an added token in a text is that token, which only the first knows.
     """
 
     def __init__(self, json_path: str, ranks_path: str, pattern: str):
@@ -61,10 +62,11 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.whole = Tokenizer.from_file(json_path)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         ids = None
         if len(text) < RUN or not _LONG_RUN.search(text):
             try:
@@ -72,11 +74,14 @@ class Encoder:
             except BaseException as e:  # a limit of the fast library on odd texts can be a panic, which is no Exception
                 if not isinstance(e, Exception) and type(e).__name__ != "PanicException":
                     raise
-        if ids is None:
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u2").tobytes()
+        return self.slow(text) if ids is None else np.array(ids, dtype="<u2").tobytes()
+
+    def slow(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if any(a in text for a in self.added):
+            return self.slow(text)
         chunks = text.split(" ")
         cache, out = self.cache, []
         first = True

@@ -77,6 +77,17 @@ def test_encoder_takes_very_long_runs_of_white_space(space):
     assert np.frombuffer(packing.encoder()(text), "<u2").tolist() == want
 
 
+def test_encoder_gives_the_ids_of_added_tokens():
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    enc = packing.encoder()
+    assert np.frombuffer(enc("a <|endoftext|> b"), "<u2").tolist() == [64, 220, 50256, 275]
+    for t in ["<|endoftext|>", "x<|endoftext|><|endoftext|>y", "a  <|endoftext|>\n\n b <|endoftext", " <|endoftext|> <|endoftext|>"]:
+        assert np.frombuffer(enc(t), "<u2").tolist() == whole.encode(t, add_special_tokens=False).ids, t
+
+
 def test_encoder_leaves_a_panic_of_the_fast_library_to_the_other(monkeypatch):
     class PanicException(BaseException):
         pass
