@@ -11,10 +11,10 @@ shared scratch root.
   per epoch, so a replayed epoch rewrites its own output instead of
   duplicating it.
 * ``dedup``: one row per ``event_id``, whatever the order and number of the
-  micro-batches. Each epoch keeps the first row of an id within the batch and
-  drops ids that an earlier epoch has written, comparing only the UTC days the
-  batch touches (a redelivered event has the event time of the first one). No
-  row is late: input rows = kept rows + duplicates.
+  micro-batches and the event times of its deliveries. Each epoch keeps the
+  first row of an id within the batch and drops ids that an earlier epoch has
+  written, reading only the ids in the buckets the batch touches. No row is
+  late: input rows = kept rows + duplicates.
 * ``daily_counts``: tumbling one-day windows per event type; either the
   complete result is rewritten each epoch (complete mode through
   ``foreachBatch``), or closed days are appended and late rows dropped.
@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from strata.functions.predicates import is_missing, total
 from strata.session import utc
@@ -127,7 +127,7 @@ def read_ingested(spark: SparkSession, out_dir: str, status: str = "valid") -> D
     return df.drop("_dq_reason") if status == "valid" else df
 
 
-NO_DAY = "none"  # partition of events without an event time
+BUCKETS = 64  # of event ids, by hash; one folder each per epoch
 
 
 def dedup(
@@ -138,50 +138,52 @@ def dedup(
     file_glob: str = "*.parquet",
     max_files: int = MAX_FILES_PER_TRIGGER,
 ) -> None:
-    """Write each event once below ``out_dir``, partitioned by epoch and day.
+    """Write each event once below ``out_dir``, partitioned by epoch and id bucket.
 
     A replayed epoch overwrites its own folder and reads only earlier ones, so
     the result does not depend on failures either.
     """
     with utc(spark):
         stream = read_event_stream(spark, source_dir, file_glob, max_files)
-        day = F.coalesce(F.to_date("event_time").cast("string"), F.lit(NO_DAY))
+        bucket = F.pmod(F.xxhash64("event_id"), F.lit(BUCKETS)).cast("int")
 
         def write_epoch(batch: DataFrame, epoch_id: int) -> None:
             columns = EVENTS_SCHEMA.names
-            first = Window.partitionBy("event_id", "day").orderBy(*[F.col(c).asc_nulls_first() for c in columns])
+            # null is an id of its own; one pair of plain keys serves the window and the join
+            keys = {"_id": F.coalesce("event_id", F.lit(0).cast("long")), "_null": F.col("event_id").isNull()}
+            first = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in columns])
             new = (
-                batch.withColumn("day", day)
-                .select(*columns, "day")
+                batch.select(*columns)
+                .withColumns(keys)
                 .withColumn("_rn", F.row_number().over(first))
                 .where("_rn = 1")
                 .drop("_rn")
+                .withColumn("bucket", bucket)
             )
             if epoch_id > 0:
-                days = new.select("day").distinct()
+                touched = batch.agg(F.collect_set(bucket)).first()[0]  # BUCKETS numbers at most
                 written = (
                     _deduplicated(batch.sparkSession, out_dir)
-                    .where(F.col("epoch") < epoch_id)
-                    .join(days, "day", "left_semi")
-                    .select(F.col("event_id").alias("_seen"), F.col("day").alias("_day"))
+                    .where((F.col("epoch") < epoch_id) & F.col("bucket").isin(touched))
+                    .select(*[c.alias(k) for k, c in keys.items()])
                 )
-                same = F.col("event_id").eqNullSafe(F.col("_seen")) & (F.col("day") == F.col("_day"))
-                new = new.join(written, same, "left_anti")
-            new.write.mode("overwrite").partitionBy("day").parquet(f"{out_dir}/epoch={epoch_id}")
+                new = new.join(written, list(keys), "left_anti")
+            new = new.drop(*keys).repartition("bucket")  # one file per bucket
+            new.write.mode("overwrite").partitionBy("bucket").parquet(f"{out_dir}/epoch={epoch_id}")
 
         _run(stream.writeStream.foreachBatch(write_epoch).option("checkpointLocation", checkpoint))
 
 
 def _deduplicated(spark: SparkSession, out_dir: str) -> DataFrame:
     schema = StructType(
-        [*EVENTS_SCHEMA.fields, StructField("epoch", LongType()), StructField("day", StringType())]
+        [*EVENTS_SCHEMA.fields, StructField("epoch", LongType()), StructField("bucket", IntegerType())]
     )
     return spark.read.schema(schema).parquet(out_dir)
 
 
 def read_deduplicated(spark: SparkSession, out_dir: str) -> DataFrame:
     """All events written by :func:`dedup`."""
-    return _deduplicated(spark, out_dir).drop("epoch", "day")
+    return _deduplicated(spark, out_dir).drop("epoch", "bucket")
 
 
 def daily_counts(

@@ -30,6 +30,21 @@ def test_dedup_is_exact_with_one_file_per_batch(spark, scratch):
     assert everything.count() == out.count() + duplicates  # no late row is lost
 
 
+def test_dedup_drops_a_redelivery_on_another_day(spark, scratch):
+    src = f"{scratch}/landing"
+    day = 60 * 24
+    no_time = (4, None, 1, "click", 1.0, "{}")
+    land(spark, f"{src}/f=1", [ev(1, day - 1), ev(1, day), ev(2, 5), ev(4, 7)])  # across midnight within a batch
+    land(spark, f"{src}/f=2", [ev(2, 3 * day), no_time, ev(5, 1)])  # corrected; null against set
+    land(spark, f"{src}/f=3", [ev(2, -day), ev(5, 2 * day), ev(6, 0), (None, None, 1, "click", 1.0, "{}")])
+    land(spark, f"{src}/f=4", [ev(1, 9 * day), (None, dt.datetime(2024, 1, 5), 1, "click", 1.0, "{}")])
+    events.dedup(spark, src, f"{scratch}/out", f"{scratch}/ckpt", max_files=1)
+    out = events.read_deduplicated(spark, f"{scratch}/out").collect()
+    assert sorted(str(r.event_id) for r in out) == ["1", "2", "4", "5", "6", "None"]
+    first = {r.event_id: r.ts for r in out}
+    assert first[1] == ev(1, day - 1)[1]
+
+
 def test_replayed_dedup_epoch_changes_nothing(spark, scratch):
     import os
 
