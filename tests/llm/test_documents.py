@@ -303,6 +303,24 @@ def test_lm_probabilities_sum_to_one_and_beat_the_base(spark):
     assert sum(2.0**-c for c in costs) <= 1 + 1e-6
 
 
+def test_lm_contexts_are_kept_apart_however_many(spark):
+    rng = np.random.default_rng(5)
+    letters = rng.integers(97, 123, (40, 10_000, 5), dtype=np.uint8)
+    texts = [" ".join(bytes(w).decode() for w in doc) for doc in letters]  # about 2,000,000 word pairs and prefixes
+    again = [t[6 * 1000 : 6 * 1300] for t in texts]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *again])], "doc_id long, text string")
+    got = lm_scoring.score(d, F.col("doc_id") < 40).where("doc_id >= 40").agg(F.sum("score"), F.sum("n_bytes")).first()
+    assert -got[0] / math.log10(2) / got[1] < 1.5  # every pair was seen, so the rest of a word follows
+
+
+def test_lm_without_training_documents_costs_a_bit_each(spark):
+    d = spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string")
+    tree = lm_scoring.build_tree(np.zeros((256, 256)))
+    for r in lm_scoring.score(d, F.lit(False)).collect():
+        line = b"\nsome text\n" if r.doc_id == 1 else b"\n\n"
+        assert abs(r.bits_per_byte * r.n_bytes - sum(tree.length[a, b] for a, b in zip(line, line[1:]))) < 1e-6
+
+
 @pytest.mark.parametrize("name", [n for n in queries.REGISTRY if not re.match("op(9|10)_", n)])
 def test_empty_table(spark, empty_dir, name):
     assert queries.REGISTRY[name](spark, empty_dir).collect() == []
