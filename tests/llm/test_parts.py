@@ -176,6 +176,22 @@ def test_trees_are_prefix_free_and_complete():
     assert abs((2.0 ** -tree.extra[escaped]).sum() - 1) < 1e-9 and not tree.extra[~escaped].any()
 
 
+def test_weights_of_every_gate_are_refined_in_short_documents():
+    tree = lm_scoring.build_tree(np.ones((256, 256)))
+    words = [b"ab"] * 40  # 120 bytes, about 960 bits
+    line = lm_scoring.line_of(words)
+    table = np.concatenate((np.zeros(256), np.full(256, -1.0), np.full(256, 1.0))).astype(np.float32)
+    starts = np.zeros((len(lm_scoring.ORDERS), len(line)), np.int64)
+    starts[lm_scoring.GATE[0], ::2] = 256  # one of the gate's contexts is known at every other byte
+    starts[0] = 512
+    cost, size, weights, seen = lm_scoring.Model(tree, [table] * len(lm_scoring.ORDERS)).coded(words, starts)
+    start = np.array(lm_scoring.START, np.float32)
+    assert size == len(line) and seen[0] > 0 and seen[1] > 0 and seen[2] == 0
+    moved = weights - start
+    assert moved[0, 0] != 0 and moved[1, 0] != 0 and moved[1, lm_scoring.GATE[0]] != 0
+    assert abs(moved[0, 0] - moved[1, 0]) > 1e-4 and not moved[2].any()  # each gate learns by itself
+
+
 def test_runs_of_anchors_stand_for_the_same_anchors():
     rng = random.Random(9)
     text = b"abc " * 200 + bytes(rng.choices(b"abcd", k=500)) + b"z" * 300 + b"xy" * 100
