@@ -161,12 +161,24 @@ def cancelled_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.cancelled_with_items(raw_table(spark, sf_dir, "orders"), raw_table(spark, sf_dir, "order_items"))
 
 
-_RUNS: dict[tuple[str, str], layers.LayerPaths] = {}
+_RUNS: dict[tuple, layers.LayerPaths] = {}
+
+
+def _files_below(spark: SparkSession, sf_dir: str) -> tuple[tuple[str, int, int], ...]:
+    """Path, size and modification time of every file of the input."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def _on_disk_run(spark: SparkSession, sf_dir: str) -> layers.LayerPaths:
-    """The tables of a full on-disk run; the queries that read written layers share one per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The tables of a full on-disk run; the queries that read written layers share one per application
+    and state of the input files."""
+    key = (spark.sparkContext.applicationId, sf_dir, _files_below(spark, sf_dir))
     if key not in _RUNS:
         _RUNS[key] = layers.run_all(spark, sf_dir, scratch_path(spark, "layers"))
     return _RUNS[key]

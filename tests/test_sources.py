@@ -360,3 +360,14 @@ def test_command_line_steps(scratch):
     everything = run("all", "--root", f"{scratch}/cli_all", "--sf-dir", sf, "--min-quality-rate", "0.5")
     assert everything["gold/business_kpis"] == 1
     assert everything["raw/order_items"] == raw["order_items"]
+
+
+def test_a_layer_run_is_shared_until_the_input_changes(spark, scratch, monkeypatch):
+    from strata import queries
+
+    runs = []
+    monkeypatch.setattr(queries.layers, "run_all", lambda *a, **k: runs.append(a) or len(runs))
+    spark.range(5).write.parquet(f"{scratch}/orders.parquet")
+    assert [queries._on_disk_run(spark, scratch) for _ in range(2)] == [1, 1]
+    spark.range(6).write.mode("overwrite").parquet(f"{scratch}/orders.parquet")
+    assert [queries._on_disk_run(spark, scratch) for _ in range(2)] == [2, 2]
