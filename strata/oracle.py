@@ -449,6 +449,13 @@ sql(
     """SELECT customer_id, full_name, CAST(customer_revenue AS DOUBLE) AS customer_revenue, order_count
 FROM customer_revenue ORDER BY customer_revenue DESC NULLS LAST, customer_id LIMIT 10""",
 )
+sql(
+    "customer_revenue_rank",
+    """SELECT customer_id, state, CAST(customer_revenue AS DOUBLE) AS customer_revenue,
+       row_number() OVER (ORDER BY customer_revenue DESC NULLS LAST, customer_id) AS revenue_rank,
+       row_number() OVER (PARTITION BY state ORDER BY customer_revenue DESC NULLS LAST, customer_id) AS state_rank
+FROM customer_revenue""",
+)
 sql(
     "fact_order_items",
     """SELECT i.order_item_id, i.order_id, i.product_id, i.quantity, CAST(i.line_amount AS DOUBLE) AS line_amount,

@@ -18,6 +18,7 @@ from pyspark.sql.types import DecimalType
 from strata.functions.ids import DEFAULT_BATCH_ID, batch_id_of, display_id
 from strata.operators import quality
 from strata.operators.dedup import upsert
+from strata.operators.ranking import global_rank
 from strata.plans import checks, gold, layers, metrics
 from strata.plans.silver import Silver, validate
 from strata.schemas import DATASETS
@@ -325,6 +326,16 @@ def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finalize(best.limit(10).select("customer_id", "full_name", "customer_revenue", "order_count"))
 
 
+@query("customer_revenue_rank")
+def customer_revenue_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer's place by revenue, overall and within the state (ties by id)."""
+    s = Silver(spark, sf_dir)
+    order = [F.desc_nulls_last("customer_revenue"), F.asc("customer_id")]
+    mart = gold.customer_revenue(s.customers, _order_revenue(s)).select("customer_id", "state", "customer_revenue")
+    overall = global_rank(mart, order, out="revenue_rank")
+    return finalize(global_rank(overall, order, ["state"], out="state_rank"))
+
+
 @query("fact_order_items")
 def fact_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item-grain fact with order, customer, region and product columns."""
