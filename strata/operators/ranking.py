@@ -22,9 +22,11 @@ _PARTITION_SHIFT = 33
 
 
 def global_rank(
-    df: DataFrame, order: Sequence[Column], group: Sequence[str] = (), out: str = "rank", partitions: int | None = None
-) -> DataFrame:
-    """``df`` with its rank (from 1) along ``order`` within ``group`` (all rows if empty).
+    df: DataFrame, order: Sequence[Column], group: Sequence[str] = (), out: str = "rank", partitions: int | None = None,
+    size: str | None = None,
+) -> DataFrame:
+    """``df`` with its rank (from 1) along ``order`` within ``group`` (all rows if empty),
+    and with the number of rows of the group as ``size``, if named.
 
     ``order`` should be total: rows that tie get different ranks in no fixed order, and
     equal order keys stay in one range partition. NULL group values form one group. The
@@ -41,16 +43,16 @@ def global_rank(
         "_run", F.struct(*group, F.shiftright("_at", _PARTITION_SHIFT).alias("_part"))
     )
     runs = rows.groupBy("_run").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = (
-        Window.partitionBy(*[F.col(f"_run.{c}") for c in group] or [F.lit(0)])
-        .orderBy("_run._part")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    whole = Window.partitionBy(*[F.col(f"_run.{c}") for c in group] or [F.lit(0)])
+    before = whole.orderBy("_run._part").rowsBetween(Window.unboundedPreceding, -1)
     runs_path = scratch_path(spark, "rank-offsets")
     offset = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
-    runs.select("_run", offset.alias("_shift")).write.parquet(runs_path)
+    runs.select("_run", offset.alias("_shift"), F.sum("_n").over(whole).alias("_size")).write.parquet(runs_path)
     shifts = spark.read.parquet(runs_path)
     if shifts.count() <= BROADCAST_RUNS:
         shifts = F.broadcast(shifts)
     ranked = rows.join(shifts, "_run")
-    return ranked.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_at") + F.col("_shift") + 1).alias(out))
+    extra = [F.col("_size").alias(size)] if size else []
+    return ranked.select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_at") + F.col("_shift") + 1).alias(out), *extra
+    )

@@ -32,6 +32,8 @@ def test_rank_within_groups(spark, monkeypatch):
         got = global_rank(df, [F.asc("v"), F.asc("id")], ["g"], "place", partitions=5)
         assert got.columns == ["g", "id", "v", "place"]
         assert {r.id: r.place for r in got.collect()} == want
+    sized = global_rank(df, [F.asc("v"), F.asc("id")], ["g"], size="members").collect()
+    assert {(r.g, r.members) for r in sized} == {(g, sum(x[0] == g for x in data)) for g in ("a", "b", None)}
 
 
 def test_rank_of_no_rows_and_of_equal_rows(spark):
