@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from strata.llm import (
     chat_format,
+    decontaminate,
     language_id,
     lm_scoring,
+    merkle,
     mixing,
     packing,
     pii,
@@ -18,8 +20,9 @@ from strata.llm import (
     simhash,
     suffix_dedup,
     topk_search,
+    whitening,
 )
-from strata.llm.common import id_remainder, table
+from strata.llm.common import id_remainder, lower_ascii, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,6 +103,43 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.read_back(formatted)).drop("valid")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle leaf, roots and proof of every document, and what tampered texts fold to."""
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    seen_text = F.when(tampered, lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    seen = [seen_text if c == "text" else F.col(c) for c in merkle.COLUMNS]
+    proved = merkle.manifest(table(spark, sf_dir, "documents"), seen)
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_hash().alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four leading whitened coordinates of every vector."""
+    vectors = whitening.integer_vectors(table(spark, sf_dir, "embeddings"), vec_id=F.col("vec_id"))
+    distinct = whitening.fit_list(vectors)
+    model = whitening.fit(distinct, whitening.COMPONENTS)
+    rows = whitening.transform(vectors, model, "vec_id")
+    error = whitening.identity_error(distinct, model) if model else 0.0
+    explained = F.array(*[F.lit(x) for x in model.explained]) if model else F.array().cast("array<double>")
+    return rows.select(
+        "vec_id", F.expr("try_cast(deviation AS long)").alias("deviation"), F.posexplode("whitened")
+    ).select(
+        "vec_id", (F.col("pos") + 1).alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"),
+        "deviation", F.col("col").alias("whitened"), F.get(explained, F.col("pos")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark windows, and the items they come from."""
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), F.col("doc_id"))
+    return found.select(
+        F.col("row").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 REGISTRY: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -113,5 +153,8 @@ REGISTRY: dict[str, Query] = {
         op8_lm_scoring,
         op9_topk_search,
         op10_chat_format,
+        op11_merkle_manifest,
+        op12_embedding_whitening,
+        op13_decontamination,
     )
 }
