@@ -653,6 +653,32 @@ sql(
     "SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2",
 )
 
+# four deliveries; a day that ended an hour before the newest event of earlier ones is closed
+_DELIVERED = """WITH delivered AS (
+  SELECT *, date_trunc('day', ts) + INTERVAL 1 DAY AS day_end,
+         CAST(least(3, CASE WHEN ts >= TIMESTAMP '2024-01-22' THEN 3 WHEN ts >= TIMESTAMP '2024-01-15' THEN 2
+                            WHEN ts >= TIMESTAMP '2024-01-08' THEN 1 ELSE 0 END
+                     + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS epoch
+  FROM events
+), marks AS (
+  SELECT epoch, max(newest) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR AS mark,
+         max(newest) OVER (ORDER BY epoch) - INTERVAL 1 HOUR AS next_mark
+  FROM (SELECT epoch, max(ts) AS newest FROM delivered GROUP BY epoch)
+), judged AS (
+  SELECT d.*, coalesce(d.day_end <= m.mark, FALSE) AS is_late FROM delivered d JOIN marks m USING (epoch)
+)
+"""
+SQL["stream_late_rows"] = _DELIVERED + "SELECT epoch, event_id, ts, user_id, event_type, value FROM judged WHERE is_late"
+SQL["stream_run_log"] = (
+    _DELIVERED
+    + """SELECT epoch, count(*) AS rows_in, count(*) FILTER (NOT is_late AND ts IS NOT NULL) AS counted,
+       count(*) FILTER (is_late) AS late, count(*) FILTER (ts IS NULL) AS undated,
+       (SELECT count(DISTINCT j.day_end) FROM judged j, marks m
+        WHERE m.epoch = judged.epoch AND NOT j.is_late AND j.epoch <= m.epoch AND j.day_end <= m.next_mark
+          AND (m.mark IS NULL OR j.day_end > m.mark)) AS days_closed
+FROM judged GROUP BY epoch"""
+)
+
 # the newest event closes the days that ended an hour before it
 SQL["stream_closed_days"] = """SELECT day, event_type, n
 FROM (SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2)

@@ -646,3 +646,44 @@ def stream_closed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, glob = _events_stream_source(spark, sf_dir)
     events.daily_counts(spark, folder, f"{root}/out", f"{root}/checkpoint", file_glob=glob, mode="append")
     return spark.read.parquet(f"{root}/out")
+
+
+#: Last day of each delivery but the last; every seventh event arrives one delivery later.
+DELIVERY_ENDS = ("2024-01-08", "2024-01-15", "2024-01-22")
+FILES_PER_DELIVERY = 2
+
+
+def _event_deliveries(spark: SparkSession, sf_dir: str) -> str:
+    """A landing folder where the events arrive in four deliveries, some of them a delivery late."""
+    land = scratch_path(spark, "events-deliveries")
+    rows = read_table(spark, sf_dir, "events")
+    number = F.lit(0)
+    for end in DELIVERY_ENDS:
+        number = number + F.coalesce(F.col("ts") >= F.lit(end).cast("timestamp_ntz"), F.lit(False)).cast("int")
+    stray = F.coalesce(F.col("event_id") % 7 == 0, F.lit(False)).cast("int")
+    rows = rows.withColumn("_delivery", F.least(number + stray, F.lit(len(DELIVERY_ENDS))))
+    for k in range(len(DELIVERY_ENDS) + 1):  # files are streamed in the order they were written
+        part = rows.where(F.col("_delivery") == k).drop("_delivery").repartition(FILES_PER_DELIVERY)
+        part.write.parquet(f"{land}/delivery={k}")
+    return land
+
+
+def _accounted(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_path(spark, "stream-accounted")
+    source = _event_deliveries(spark, sf_dir)
+    events.accounted_days(spark, source, f"{root}/out", f"{root}/checkpoint", max_files=FILES_PER_DELIVERY)
+    return f"{root}/out"
+
+
+@query("stream_run_log")
+def stream_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per epoch of the accounted stream: rows in = counted + late + undated, and the days it closed."""
+    log = events.read_log(spark, _accounted(spark, sf_dir))
+    return log.select("epoch", "rows_in", "counted", "late", "undated", "days_closed")
+
+
+@query("stream_late_rows")
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that arrived after their day was closed, from the side output."""
+    late = events.read_late(spark, _accounted(spark, sf_dir))
+    return late.select("epoch", "event_id", "ts", "user_id", "event_type", "value")

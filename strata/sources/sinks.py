@@ -39,8 +39,8 @@ def write_observed(
     return {k: int(v) if v is not None else 0 for k, v in obs.get.items()}
 
 
-def append_partition(df: DataFrame, path: str, partition_col: str, fmt: str = "parquet") -> None:
-    """Append one batch to a history table partitioned by ``partition_col``.
+def append_partition(df: DataFrame, path: str, partition_col: str | list[str], fmt: str = "parquet") -> None:
+    """Append one batch to a history table partitioned by ``partition_col`` (one column or several).
 
     Dynamic partition overwrite: a re-run of the same batch replaces only
     its own partition, older batches stay.

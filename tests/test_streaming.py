@@ -144,3 +144,97 @@ def test_replayed_epoch_overwrites_its_output(spark, scratch):
     assert before == after == [1, 2]
     assert files() != first_files  # the epoch really ran again and rewrote its folder
     assert events.read_ingested(spark, f"{scratch}/out", "rejected").count() == 1
+
+
+def test_dedup_reads_no_earlier_rows(spark, scratch):
+    """Twenty epochs: each reads its own file and touches the state of its own ids only."""
+    from strata.streaming.runlog import read_progress
+
+    src = f"{scratch}/landing"
+    for k in range(20):  # five new ids and a redelivery of the first epoch's, on another day
+        land(spark, f"{src}/f={k:02d}", [ev(100 * k + i, 3 * k) for i in range(5)] + [ev(1, 60 * 24 * k)])
+    events.dedup(spark, src, f"{scratch}/out", f"{scratch}/ckpt", max_files=1, log_dir=f"{scratch}/progress")
+    out = events.read_deduplicated(spark, f"{scratch}/out").collect()
+    assert sorted(r.event_id for r in out) == sorted(100 * k + i for k in range(20) for i in range(5))
+    log = {r.epoch: r for r in read_progress(spark, f"{scratch}/progress").collect()}
+    assert [log[k].input_rows for k in range(20)] == [6] * 20
+    assert [log[k].state_rows_updated for k in range(20)] == [5] + [6] * 19
+    assert log[19].state_rows == 100
+
+
+def test_bounded_dedup_frees_state(spark, scratch):
+    from strata.streaming.runlog import read_progress
+
+    src, day = f"{scratch}/landing", 60 * 24
+    for k in range(6):
+        land(spark, f"{src}/f={k}", [ev(k, day * k), ev(k, day * k + 1), ev(max(k - 1, 0), day * k - day + 2)])
+    events.dedup(
+        spark, src, f"{scratch}/out", f"{scratch}/ckpt", max_files=1, horizon="2 days", log_dir=f"{scratch}/progress"
+    )
+    assert sorted(r.event_id for r in events.read_deduplicated(spark, f"{scratch}/out").collect()) == list(range(6))
+    assert max(r.state_rows for r in read_progress(spark, f"{scratch}/progress").collect()) < 6
+
+
+def _accounted(spark, scratch, deliveries):
+    src = f"{scratch}/landing"
+    for k, rows in enumerate(deliveries):
+        land(spark, f"{src}/f={k}", rows)
+    events.accounted_days(spark, src, f"{scratch}/out", f"{scratch}/ckpt", max_files=1)
+    return {r.epoch: r for r in events.read_log(spark, f"{scratch}/out").collect()}
+
+
+def test_every_row_is_counted_late_or_undated(spark, scratch):
+    day = 60 * 24
+    deliveries = [
+        [ev(1, 10), ev(2, 20), ev(3, day + 360)],
+        [ev(4, 30), ev(5, day + 400), (6, None, 1, "click", 1.0, "{}")],  # 4: its day is closed
+        [ev(7, day - 1), ev(8, 3 * day + 120), ev(9, day + 1)],
+        [ev(10, day + 2), ev(11, 3 * day + 30)],
+    ]
+    log = _accounted(spark, scratch, deliveries)
+    assert [(r.rows_in, r.counted, r.late, r.undated) for _, r in sorted(log.items())] == [
+        (3, 3, 0, 0), (3, 1, 1, 1), (3, 2, 1, 0), (2, 1, 1, 0),
+    ]
+    assert all(log[k].batch_millis > 0 for k in range(4))  # as the listener saw them
+    assert sorted((r.epoch, r.event_id) for r in events.read_late(spark, f"{scratch}/out").collect()) == [(1, 4), (2, 7), (3, 10)]
+    closed = sorted((str(r.day), r.n) for r in events.read_closed_days(spark, f"{scratch}/out").collect())
+    assert closed == [("2024-01-01", 2), ("2024-01-02", 3)]
+    assert [log[k].days_closed for k in range(4)] == [1, 0, 1, 0]
+
+
+def test_accounted_days_equal_brute_force(spark, scratch):
+    import random
+
+    rnd, day = random.Random(4), 60 * 24
+    deliveries = [
+        [ev(1000 * k + i, max(0, day * k + rnd.randint(-2 * day, day)), rnd.choice(["click", "view"])) for i in range(40)]
+        for k in range(6)
+    ]
+    log = _accounted(spark, scratch, deliveries)
+    counts, late, mark = {}, [], dt.datetime.min
+    for k, rows in enumerate(deliveries):
+        for i, ts, _, kind, *_ in rows:
+            if dt.datetime.combine(ts.date(), dt.time()) + dt.timedelta(days=1) <= mark:
+                late.append((k, i))
+            else:
+                counts[ts.date(), kind] = counts.get((ts.date(), kind), 0) + 1
+        mark = max([mark, *[r[1] - dt.timedelta(hours=1) for r in rows]])
+    closed = {(d, kind, n) for (d, kind), n in counts.items() if dt.datetime.combine(d, dt.time()) + dt.timedelta(days=1) <= mark}
+    assert len(late) > 10 and all(r.rows_in == r.counted + r.late + r.undated for r in log.values())
+    assert {(r.day, r.event_type, r.n) for r in events.read_closed_days(spark, f"{scratch}/out").collect()} == closed
+    assert sorted((r.epoch, r.event_id) for r in events.read_late(spark, f"{scratch}/out").collect()) == sorted(late)
+
+
+def test_replayed_accounting_changes_nothing(spark, scratch):
+    import os
+
+    day = 60 * 24
+    log = _accounted(spark, scratch, [[ev(1, 10), ev(2, day + 90)], [ev(3, 5), ev(4, 2 * day + 70)]])
+    for name in ("1", ".1.crc"):
+        os.remove(f"{scratch}/ckpt/commits/{name}")
+    events.accounted_days(spark, f"{scratch}/landing", f"{scratch}/out", f"{scratch}/ckpt", max_files=1)
+    again = {r.epoch: r for r in events.read_log(spark, f"{scratch}/out").collect()}
+    assert [(r.rows_in, r.counted, r.late, r.days_closed) for r in again.values()] == [
+        (r.rows_in, r.counted, r.late, r.days_closed) for r in log.values()
+    ]
+    assert [r.event_id for r in events.read_late(spark, f"{scratch}/out").collect()] == [3]
