@@ -540,12 +540,7 @@ sql(
        CASE WHEN o.order_timestamp >= TIMESTAMP '1998-01-01' THEN 2 ELSE 1 END AS load
 FROM raw_orders o JOIN orders d ON d.o_orderkey = o.order_id""",
 )
-sql(
-    "upsert_customers",
-    """SELECT customer_id, full_name, email, state, version FROM all_versions
-QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY version DESC NULLS LAST, src DESC) = 1
-    AND NOT COALESCE(deleted, FALSE)""",
-    """base_customers AS (SELECT customer_id, full_name, email, state, 1 AS version FROM silver_customers),
+_VERSIONS = """base_customers AS (SELECT customer_id, full_name, email, state, 1 AS version FROM silver_customers),
 changes AS (
   SELECT customer_id, full_name, 'c' || CAST(customer_id AS VARCHAR) || '@fixed.example.com' AS email, state,
          2 AS version, FALSE AS deleted
@@ -558,7 +553,51 @@ all_versions AS (
   SELECT *, FALSE AS deleted, 0 AS src FROM base_customers
   UNION ALL
   SELECT *, 1 AS src FROM changes
-)""",
+)"""
+sql(
+    "upsert_customers",
+    """SELECT customer_id, full_name, email, state, version FROM all_versions
+QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY version DESC NULLS LAST, src DESC) = 1
+    AND NOT COALESCE(deleted, FALSE)""",
+    _VERSIONS,
+)
+_SECOND = """(SELECT customer_id, full_name, email, state, version FROM all_versions
+  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY version DESC NULLS LAST, src DESC) = 1
+      AND NOT COALESCE(deleted, FALSE))"""
+sql(
+    "upsert_customer_versions",
+    f"""SELECT *, CAST(1 AS BIGINT) AS table_version FROM base_customers
+UNION ALL SELECT *, CAST(2 AS BIGINT) FROM {_SECOND}""",
+    _VERSIONS,
+)
+sql(
+    "upsert_customer_changes",
+    f"""SELECT *, 1 AS change FROM (SELECT * FROM {_SECOND} EXCEPT ALL SELECT * FROM base_customers)
+UNION ALL SELECT *, -1 FROM (SELECT * FROM base_customers EXCEPT ALL SELECT * FROM {_SECOND})""",
+    _VERSIONS,
+)
+# kept up to date over two batches, the marts equal the ones built at once
+sql("incremental_order_revenue", "SELECT * REPLACE (CAST(order_revenue AS DOUBLE) AS order_revenue) FROM order_revenue")
+sql("incremental_product_revenue", "SELECT * REPLACE (CAST(product_revenue AS DOUBLE) AS product_revenue) FROM product_revenue")
+sql(
+    "active_customers_by_period",
+    """SELECT CAST(date_trunc(p.period, order_timestamp) AS DATE) AS first_day, p.period, count(DISTINCT customer_id) AS customers
+FROM order_revenue, (VALUES ('month'), ('year')) AS p(period) GROUP BY 1, 2""",
+)
+_HISTORY = """customer_history AS (
+  SELECT c_custkey AS customer_id, c_mktsegment || CASE WHEN step > 0 THEN '-' || step ELSE '' END AS segment, CAST(day AS TIMESTAMP) AS valid_from
+  FROM customer, (VALUES ('1995-01-01', 1, 0), ('1997-03-15', 3, 1), ('1998-01-01', 5, 2), ('1999-10-01', 7, 3)) AS b(day, every, step)
+  WHERE c_custkey % every = 0
+), customer_versions AS (
+  SELECT *, lead(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from) AS valid_to FROM customer_history
+)"""
+sql("customer_intervals", "SELECT customer_id, segment, valid_from, valid_to FROM customer_versions", _HISTORY)
+sql(
+    "orders_as_of_customer",
+    """SELECT o.order_id, o.customer_id, o.order_timestamp, CAST(o.order_revenue AS DOUBLE) AS order_revenue, v.segment, v.valid_from
+FROM order_revenue o LEFT JOIN customer_versions v
+  ON v.customer_id = o.customer_id AND v.valid_from <= o.order_timestamp AND (v.valid_to IS NULL OR v.valid_to > o.order_timestamp)""",
+    _HISTORY,
 )
 sql(
     "history_append",

@@ -19,7 +19,8 @@ from strata.functions.ids import DEFAULT_BATCH_ID, batch_id_of, display_id
 from strata.operators import quality
 from strata.operators.dedup import upsert
 from strata.operators.ranking import global_rank
-from strata.plans import checks, gold, layers, metrics
+from strata.operators.asof import asof_join, intervals
+from strata.plans import checks, gold, incremental, layers, metrics
 from strata.plans.silver import Silver, validate
 from strata.schemas import DATASETS
 from strata.session import scratch_path, scratch_root
@@ -27,6 +28,7 @@ from strata.sources import adapter, catalog, csv_files, evolution
 from strata.sources.adapter import raw_table
 from strata.sources.driver import read_table, table_path
 from strata.sources.sinks import append_partition, write_table
+from strata.sources.versioned import VersionedTable
 from strata.streaming import events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -483,11 +485,8 @@ def schema_evolution_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evolution.read_evolving(spark, f"{root}/orders")
 
 
-@query("upsert_customers")
-def upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Version 2 of the customers: repaired e-mails of rejected rows are
-    upserted, customers without any eligible order are deleted."""
-    root = scratch_path(spark, "upsert")
+def _customer_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(version 1 of the customers, changes of version 2)."""
     s = Silver(spark, sf_dir)
     valid, rejected = s.split("customers")
     cols = ["customer_id", "full_name", "email", "state"]
@@ -504,11 +503,124 @@ def upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     inactive = base.join(checks.keys_of(orders_mart, "customer_id"), "customer_id", "left_anti").select(
         *cols, F.lit(2).alias("version"), F.lit(True).alias("deleted")
     )
-    merged = upsert(base, repaired.unionByName(inactive), "customer_id", "version", "deleted")
+    return base, repaired.unionByName(inactive)
+
+
+@query("upsert_customers")
+def upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version 2 of the customers: repaired e-mails of rejected rows are
+    upserted, customers without any eligible order are deleted."""
+    root = scratch_path(spark, "upsert")
+    merged = upsert(*_customer_changes(spark, sf_dir), "customer_id", "version", "deleted")
     write_table(merged, f"{root}/customers/v2")
     return spark.read.parquet(f"{root}/customers/v2")
 
 
+TABLE_BUCKETS = 16  # of the versioned tables below
+
+
+@query("upsert_customer_versions")
+def upsert_customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers before and after the same upsert, from a table that rewrites touched buckets only."""
+    table = VersionedTable(spark, scratch_path(spark, "versioned-customers"), "customer_id", TABLE_BUCKETS)
+    base, changes = _customer_changes(spark, sf_dir)
+    first = table.create(base)
+    second = table.upsert(changes, "version", "deleted")
+    return (
+        table.read(first).withColumn("table_version", F.lit(first).cast("long"))
+        .unionByName(table.read(second).withColumn("table_version", F.lit(second).cast("long")))
+    )
+
+
+@query("upsert_customer_changes")
+def upsert_customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What that upsert changed: rows gone (-1) and rows new (1), read from the buckets that differ."""
+    table = VersionedTable(spark, scratch_path(spark, "versioned-customers"), "customer_id", TABLE_BUCKETS)
+    base, changes = _customer_changes(spark, sf_dir)
+    versions = table.create(base), table.upsert(changes, "version", "deleted")
+    return table.changes(*versions).withColumnRenamed("_sign", "change")
+
+
+def _corrected_load(spark: SparkSession, sf_dir: str) -> tuple[incremental.MartTables, Silver]:
+    """Marts after two batches: a first load with orders missing, with a wrong status or with half
+    their lines, and a second one that brings those orders whole."""
+    s = Silver(spark, sf_dir)
+    part = F.col("order_id") % 10
+    again = part.isin(3, 4, 5)
+    early = s.orders.where(~F.coalesce(part == 3, F.lit(False))).withColumn(
+        "order_status", F.when(part == 4, F.lit("processing")).otherwise(F.col("order_status"))
+    )
+    half = F.coalesce(part == 3, F.lit(False)) | F.coalesce((part == 5) & (F.col("product_id") % 2 == 0), F.lit(False))
+    tables = incremental.MartTables.at(spark, scratch_path(spark, "incremental"), TABLE_BUCKETS)
+    incremental.load(tables, early, s.order_items.where(~half), s.customers)
+    incremental.refresh(tables, s.orders.where(again), s.order_items.where(again), s.customers)
+    return tables, s
+
+
+@query("incremental_order_revenue")
+def incremental_order_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order mart after two batches, kept up to date without a rebuild."""
+    tables, _ = _corrected_load(spark, sf_dir)
+    return finalize(incremental.order_mart(tables))
+
+
+@query("incremental_product_revenue")
+def incremental_product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product mart after two batches, kept up to date from signed deltas."""
+    tables, s = _corrected_load(spark, sf_dir)
+    return finalize(incremental.product_mart(tables, s.products))
+
+
+@query("active_customers_by_period")
+def active_customers_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different customers per month and per year of the order mart, both from the months' bitmaps."""
+    orders = _order_revenue(Silver(spark, sf_dir)).withColumn("month", F.date_trunc("month", "order_timestamp").cast("date"))
+    path = scratch_path(spark, "active-bitmaps")
+    write_table(incremental.active_bitmaps(orders, "customer_id", ["month"]), path)
+    months = spark.read.parquet(path)
+    years = months.withColumn("month", F.trunc("month", "year"))
+    return (
+        incremental.merged_count(months, ["month"], "customers").withColumn("period", F.lit("month"))
+        .unionByName(incremental.merged_count(years, ["month"], "customers").withColumn("period", F.lit("year")))
+        .withColumnRenamed("month", "first_day")
+    )
+
+
+# batches of the customer dimension: (day, customers it changes, the state they move by)
+CUSTOMER_BATCHES = (("1995-01-01", 1, 0), ("1997-03-15", 3, 1), ("1998-01-01", 5, 2), ("1999-10-01", 7, 3))
+
+
+def _customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by batch: each batch brings the customers whose id its number divides, in another segment."""
+    root = scratch_path(spark, "customer-history")
+    customers = read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("segment")
+    )
+    for k, (day, every, step) in enumerate(CUSTOMER_BATCHES):
+        moved = F.when(F.lit(step) == 0, F.col("segment")).otherwise(F.concat("segment", F.lit(f"-{step}")))
+        batch = customers.where(F.col("customer_id") % every == 0).withColumn("segment", moved)
+        batch = batch.withColumn("loaded_at", F.lit(day).cast("timestamp_ntz")).withColumn("batch", F.lit(k))
+        append_partition(batch, root, "batch")
+    return spark.read.parquet(root)
+
+
+@query("customer_intervals")
+def customer_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every version of a customer with the time it was valid, from four batches."""
+    return intervals(_customer_history(spark, sf_dir), "customer_id", "loaded_at", ["segment"])
+
+
+@query("orders_as_of_customer")
+def orders_as_of_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eligible orders with the customer's segment at the time of the order."""
+    versions = intervals(_customer_history(spark, sf_dir), "customer_id", "loaded_at", ["segment"])
+    orders = _order_revenue(Silver(spark, sf_dir)).select("order_id", "customer_id", "order_timestamp", "order_revenue")
+    month = F.date_trunc("month", "_at")
+    return finalize(
+        asof_join(orders, versions, "customer_id", "order_timestamp", "valid_from", ["segment", "valid_from"], month, "valid_to")
+    )
+
+
 @query("history_append")
 def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order status by batch: a first load, and a second one after open orders were shipped,
