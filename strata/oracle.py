@@ -584,6 +584,53 @@ sql(
     """SELECT CAST(date_trunc(p.period, order_timestamp) AS DATE) AS first_day, p.period, count(DISTINCT customer_id) AS customers
 FROM order_revenue, (VALUES ('month'), ('year')) AS p(period) GROUP BY 1, 2""",
 )
+SQL["column_mapping_read"] = """SELECT CAST(o_custkey AS BIGINT) AS customer_id, o_orderkey AS order_id, o_orderstatus AS order_status,
+       CASE WHEN o_orderkey % 3 = 2 THEN o_totalprice END AS total_price, CASE WHEN o_orderkey % 3 = 2 THEN 'third' END AS note
+FROM orders"""
+# exact deciles of a batch, and the share of earlier values up to each
+sql(
+    "drift_gate",
+    """SELECT b.batch, b.col AS column, b.rows, b.nulls, coalesce(max(abs(e.rank - e.share)) <= 0.1, TRUE) AS passed
+FROM (SELECT batch, col, count(*) AS rows, count(*) - count(v) AS nulls FROM drift_values GROUP BY 1, 2) b
+LEFT JOIN (
+  SELECT d.batch, d.col, d.share, avg(CASE WHEN x.v <= d.q THEN 1.0 ELSE 0.0 END) AS rank
+  FROM (SELECT batch, col, share, quantile_disc(v, share) AS q
+        FROM (SELECT batch, col, v FROM drift_values WHERE v IS NOT NULL),
+             (VALUES (0.1), (0.2), (0.3), (0.4), (0.5), (0.6), (0.7), (0.8), (0.9)) AS s(share)
+        GROUP BY batch, col, share) d
+  JOIN drift_values x ON x.col = d.col AND x.batch < d.batch AND x.v IS NOT NULL
+  GROUP BY 1, 2, 3
+) e ON e.batch = b.batch AND e.col = b.col
+GROUP BY 1, 2, 3, 4""".replace("quantile_disc(v, share)", "list_sort(list(v))[CAST(greatest(1, ceil(share * count(v))) AS BIGINT)]"),
+    """drift_lines AS (
+  SELECT CAST(order_id % 4 AS INTEGER) AS batch, CAST(quantity AS DOUBLE) AS quantity,
+         CASE WHEN order_id % 4 = 3 THEN unit_price * 1.5 ELSE unit_price END AS price
+  FROM raw_order_items
+), drift_values AS (
+  SELECT batch, 'quantity' AS col, quantity AS v FROM drift_lines UNION ALL SELECT batch, 'unit_price', price FROM drift_lines
+)""",
+)
+sql(
+    "unique_lines_gate",
+    """SELECT batch, CAST(sum(n) AS BIGINT) AS rows,
+       CAST(sum(CASE WHEN order_item_id IS NULL THEN n ELSE n - 1 END) AS BIGINT) AS repeated,
+       sum(CASE WHEN order_item_id IS NULL THEN n ELSE n - 1 END) = 0 AS passed
+FROM (SELECT CAST(order_id % 4 AS INTEGER) AS batch, order_item_id, count(*) AS n FROM raw_order_items GROUP BY 1, 2)
+GROUP BY batch""",
+)
+sql(
+    "clustered_line_ranges",
+    """SELECT order_item_id, order_id, product_id, ship_date, quantity, CAST(line_amount AS DOUBLE) AS line_amount
+FROM silver_order_items
+WHERE product_id BETWEEN 100 AND 299 AND ship_date >= TIMESTAMP '1996-01-01' AND ship_date < TIMESTAMP '1998-01-01'""",
+)
+sql(
+    "load_times",
+    "\nUNION ALL ".join(
+        f"SELECT '{n}' AS dataset, count(*) AS rows, count(*) AS in_time FROM raw_{n}"
+        for n in ("customers", "products", "orders", "order_items", "payments", "shipments")
+    ),
+)
 _HISTORY = """customer_history AS (
   SELECT c_custkey AS customer_id, c_mktsegment || CASE WHEN step > 0 THEN '-' || step ELSE '' END AS segment, CAST(day AS TIMESTAMP) AS valid_from
   FROM customer, (VALUES ('1995-01-01', 1, 0), ('1997-03-15', 3, 1), ('1998-01-01', 5, 2), ('1999-10-01', 7, 3)) AS b(day, every, step)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from strata.functions.ids import DEFAULT_BATCH_ID, batch_id_of, display_id
-from strata.operators import quality
+from strata.operators import drift, quality
 from strata.operators.dedup import upsert
 from strata.operators.ranking import global_rank
 from strata.operators.asof import asof_join, intervals
@@ -27,7 +27,7 @@ from strata.session import scratch_path, scratch_root
 from strata.sources import adapter, catalog, csv_files, evolution
 from strata.sources.adapter import raw_table
 from strata.sources.driver import read_table, table_path
-from strata.sources.sinks import append_partition, write_table
+from strata.sources.sinks import append_partition, write_clustered, write_table
 from strata.sources.versioned import VersionedTable
 from strata.streaming import events
 
@@ -167,21 +167,24 @@ def cancelled_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 _RUNS: dict[tuple, layers.LayerPaths] = {}
 
 
-def _files_below(spark: SparkSession, sf_dir: str) -> tuple[tuple[str, int, int], ...]:
-    """Path, size and modification time of every file of the input."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
-    found = []
-    while files.hasNext():
-        f = files.next()
-        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
-    return tuple(sorted(found))
+#: Driver tables that an on-disk run reads.
+_RUN_INPUTS = ("customer", "nation", "part", "orders", "lineitem")
+
+
+def _input_state(spark: SparkSession, sf_dir: str) -> tuple[int, ...]:
+    """One number per input table, from the path, size and time of each of its files."""
+    facts = F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    state = []
+    for name in _RUN_INPUTS:
+        files = read_table(spark, sf_dir, name).select(facts.alias("h")).distinct()
+        state.append(files.agg(F.coalesce(F.bit_xor("h"), F.lit(0))).first()[0])
+    return tuple(state)
 
 
 def _on_disk_run(spark: SparkSession, sf_dir: str) -> layers.LayerPaths:
     """The tables of a full on-disk run; the queries that read written layers share one per application
     and state of the input files."""
-    key = (spark.sparkContext.applicationId, sf_dir, _files_below(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir, _input_state(spark, sf_dir))
     if key not in _RUNS:
         _RUNS[key] = layers.run_all(spark, sf_dir, scratch_path(spark, "layers"))
     return _RUNS[key]
@@ -586,6 +589,93 @@ def active_customers_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("column_mapping_read")
+def column_mapping_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of orders between which columns are renamed, widened, moved, dropped and added,
+    read as one table by field id."""
+    from pyspark.sql.types import DoubleType, LongType, StringType
+
+    o = read_table(spark, sf_dir, "orders")
+    table = evolution.MappedTable(spark, scratch_path(spark, "mapped-orders"))
+    first = o.select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").cast("int").alias("customer"),
+        F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("note"),
+    )
+    load = F.pmod(F.col("o_orderkey"), F.lit(3))
+    table.create(first.schema)
+    table.append(first.where(F.pmod("order_id", F.lit(3)) == 0), "1")
+    table.evolve(
+        rename={"customer": "customer_id"}, widen={"customer": LongType()}, order=["customer_id", "order_id", "status", "note"]
+    )
+    second = o.where(load == 1).select(
+        F.col("o_custkey").alias("customer_id"), F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("note"),
+    )
+    table.append(second, "2")
+    # the old note goes, and a new column takes its name
+    table.evolve(rename={"status": "order_status"}, drop=["note"])
+    table.evolve(add={"total_price": DoubleType(), "note": StringType()})
+    third = o.where(load == 2).select(
+        F.col("o_custkey").alias("customer_id"), F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("order_status"),
+        F.col("o_totalprice").alias("total_price"), F.lit("third").alias("note"),
+    )
+    table.append(third, "3")
+    return table.read()
+
+
+@query("drift_gate")
+def drift_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches of lines, the last with raised prices, gated on each batch's distance from those before."""
+    batch = F.pmod(F.col("order_id"), F.lit(4)).cast("int")
+    lines = Silver(spark, sf_dir).raw("order_items").select(batch.alias("batch"), "quantity", F.col("unit_price"))
+    raised = F.when(F.col("batch") == 3, F.col("unit_price") * 1.5).otherwise(F.col("unit_price"))
+    path = scratch_path(spark, "profiles")
+    write_table(drift.profile(lines.withColumn("unit_price", raised), "batch", ["quantity", "unit_price"]), path)
+    gated = drift.drift_gate(spark.read.parquet(path), "batch", MAX_DRIFT)
+    return gated.select("batch", "column", "rows", "nulls", "passed")
+
+
+MAX_DRIFT = 0.1  # fixed gate: no decile may move by more than a tenth of the rows
+
+
+@query("unique_lines_gate")
+def unique_lines_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uniqueness of the line id, per batch of lines."""
+    lines = Silver(spark, sf_dir).raw("order_items").withColumn("batch", F.pmod(F.col("order_id"), F.lit(4)).cast("int"))
+    return drift.repeated_keys(lines, "batch", "order_item_id")
+
+
+@query("clustered_line_ranges")
+def clustered_line_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a range of products and ship dates, from a table clustered over both."""
+    path = scratch_path(spark, "clustered-lines")
+    lines = Silver(spark, sf_dir).order_items
+    by = {"product_id": F.col("product_id"), "ship_date": F.unix_date(F.col("ship_date").cast("date"))}
+    write_clustered(lines, path, by, bloom=["order_id"])
+    found = spark.read.parquet(path).where(
+        "product_id between 100 and 299 and ship_date >= timestamp_ntz'1996-01-01' and ship_date < timestamp_ntz'1998-01-01'"
+    )
+    return finalize(found.select("order_item_id", "order_id", "product_id", "ship_date", "quantity", "line_amount"))
+
+
+@query("load_times")
+def load_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every raw table, and how many carry a load time between the start and the end of their load."""
+    root = scratch_path(spark, "load-times")
+    out = None
+    for name in DATASETS:
+        started = spark.range(1).select(F.current_timestamp()).first()[0]
+        write_table(raw_table(spark, sf_dir, name).select("_ingestion_timestamp"), f"{root}/{name}")
+        ended = spark.range(1).select(F.current_timestamp()).first()[0]
+        rows = spark.read.parquet(f"{root}/{name}").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("_ingestion_timestamp").between(F.lit(started), F.lit(ended))).alias("in_time"),
+        )
+        rows = rows.select(F.lit(name).alias("dataset"), "rows", "in_time")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # batches of the customer dimension: (day, customers it changes, the state they move by)
 CUSTOMER_BATCHES = (("1995-01-01", 1, 0), ("1997-03-15", 3, 1), ("1998-01-01", 5, 2), ("1999-10-01", 7, 3))
 
