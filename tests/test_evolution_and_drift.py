@@ -81,7 +81,7 @@ def test_clustered_files_are_skipped_in_both_columns(spark, scratch):
     assert sorted(clustered.collect()) == sorted(df.collect())
     some = df.first()["k"]
     for condition, share in (("a between 1000 and 1300", 0.4), ("b between 1000 and 1300", 0.4),
-                             ("a between 1000 and 1300 and b between 3000 and 3300", 0.1), (f"k = {some}", 0.5)):
+                             ("a between 1000 and 1300 and b between 3000 and 3300", 0.2), (f"k = {some}", 0.5)):
         found, reference = clustered.where(condition), plain.where(condition)
         assert sorted(found.collect()) == sorted(reference.collect()) != []
         assert scanned_rows(found) <= share * scanned_rows(reference), condition
