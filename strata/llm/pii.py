@@ -1,14 +1,18 @@
 """Personal data in texts by weak supervision, in native expressions only.
 
 Four base kinds are found by fixed patterns with a validity test each. Further
-kinds start as generous candidates; three kinds of labelers vote on every one (a
-strict pattern, a gazetteer of words in or before the span, the context around
-it, its shape). Expectation-maximisation over the counts of the vote patterns
-estimates the labelers' reliabilities without any label, and its posteriors
-train a logistic span classifier, whose weights become one column expression.
-
-The tables that reach the driver hold one row per (kind, vote pattern): at most
-kinds * 2**labelers rows, whatever the corpus. Everything else is row-local.
+kinds start as generous candidates; four labelers vote on every one (a strict
+pattern, a gazetteer of words in or before the span, the context around it, its
+shape). Expectation-maximisation over the counts of the vote patterns estimates,
+kind by kind and without any label, how often each labeler votes on true and on
+false spans. Its posteriors are the targets of a logistic span classifier, which
+sees the votes and features of the span itself (its length, its share of digits,
+its letter cases) and so can trust, or drop, spans that the votes alone leave
+open. Its weights become one column expression.
+
+The tables that reach the driver hold one row per (kind, vote pattern, feature
+code): at most kinds * 2**labelers * ``CODES`` rows, whatever the corpus.
+Everything else is row-local.
 
 The patterns are written so that no text makes them slow or deep: runs start
 only where a run can start, and nothing repeats a group without a bound.
@@ -20,9 +24,7 @@ other columns pass through ``redact_documents`` whatever their names.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
-from itertools import product
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -59,6 +61,8 @@ class Kind:
     strict: str
     gazetteer: str
     shape: str
+    #: Gazetteer words at the start of the span itself.
+    inside: str = r"^\b$"
 
 
 #: Candidate patterns, strict patterns and gazetteers.
@@ -70,6 +74,7 @@ KINDS = (
         r"^(?:[0-9a-f]{32,}|[0-9A-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_\w{30,}|sk-[\w-]{20,}|xox[abp]-[\w-]{10,}|eyJ[\w-]{17,})$",
         r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_ -]?key|access[_ -]?key|key|bearer|credential)\W{0,4}$",
         r"^(?=.*[0-9].*[0-9])(?=.*[A-Za-z].*[A-Za-z])",
+        r"(?i)^(?:\w+[_-])?(?:token|secret|passw(?:or)?d|pwd|key|bearer|credential)=",
     ),
     Kind(
         "ssn",
@@ -106,6 +111,9 @@ KINDS = (
     ),
 )
 LABELERS = ("strict", "gazetteer", "context", "shape")
+#: Feature codes of a span: four values each of length, share of digits and letter cases.
+FEATURES, CODES = 3, 64
+LENGTHS = (24, 32, 48)
 KIND_NAMES = (*BASE_KINDS, *(k.name for k in KINDS))
 BEFORE = 24
 
@@ -192,110 +200,146 @@ def candidates(text: Column, kind: Kind) -> Column:
         closed = (after == "") | after.rlike(r"^[^\p{L}\p{N}]")
         votes = (
             x["m"].rlike(kind.strict),
-            before.rlike(kind.gazetteer) | before.rlike(r"(?:=|:)\s?[\"']?$"),
+            before.rlike(kind.gazetteer) | before.rlike(r"(?:=|:)\s?[\"']?$") | x["m"].rlike(kind.inside),
             whole & closed,
             x["m"].rlike(kind.shape),
         )
         bits = sum((v.cast("int") * (1 << i) for i, v in enumerate(votes)), F.lit(0))
         return F.struct(
-            x["s"].alias("s"), F.lit(KIND_NAMES.index(kind.name)).alias("rank"), x["e"].alias("e"), bits.alias("votes")
+            x["s"].alias("s"),
+            F.lit(KIND_NAMES.index(kind.name)).alias("rank"),
+            x["e"].alias("e"),
+            bits.alias("votes"),
+            _features(x["m"]).alias("code"),
         )
 
     spans = F.transform(find_all(text, kind.candidate), judged)
     return F.when(text.rlike(kind.needs), spans).otherwise(
-        F.array().cast("array<struct<s:int,rank:int,e:int,votes:int>>")
+        F.array().cast("array<struct<s:int,rank:int,e:int,votes:int,code:int>>")
     )
 
 
+def _features(m: Column) -> Column:
+    """The feature code of a span: base 4 digits for length, share of digits, letter cases."""
+    size, digits = F.length(m), F.length(F.regexp_replace(m, "[^0-9]", ""))
+    length = sum(((size >= n).cast("int") for n in LENGTHS), F.lit(0))
+    share = (digits > 0).cast("int") + (digits * 4 >= size).cast("int") + (digits * 8 >= size * 5).cast("int")
+    cases = m.rlike(r"\p{Ll}").cast("int") + m.rlike(r"\p{Lu}").cast("int") * 2
+    return length + share * 4 + cases * 16
+
+
 @dataclass(frozen=True)
 class SpanModel:
-    """Logistic weights: one per kind (bias) and one per labeler; ``reliability`` from the EM."""
+    """Per kind: the logistic weights (bias, labelers, feature values) and the labelers' (hit, false) rates."""
+
+    weights: dict[str, tuple[float, ...]]
+    rates: dict[str, tuple[tuple[float, float], ...]]
+
+    @property
+    def reliability(self) -> tuple[tuple[float, float], ...]:
+        return tuple(r for k in self.rates.values() for r in k)
 
-    bias: dict[str, float]
-    weight: tuple[float, ...]
-    reliability: tuple[tuple[float, float], ...]
+    def score(self, kind: str, votes: int, code: int = 0) -> float:
+        """Log odds that a candidate is a span of its kind."""
+        return float(_inputs([votes], [code])[0] @ np.array(self.weights[kind]))
 
-    def score(self, kind: str, votes: int) -> float:
-        return self.bias[kind] + sum(w * (votes >> j & 1) for j, w in enumerate(self.weight))
+    def score_column(self, kind: str, votes: Column, code: Column) -> Column:
+        """The same as a column expression."""
+        w = self.weights[kind]
+        total = F.lit(w[0])
+        for i in range(len(LABELERS)):
+            total = total + F.lit(w[1 + i]) * F.shiftright(votes, i).bitwiseAND(F.lit(1))
+        for i in range(FEATURES):
+            at = 1 + len(LABELERS) + 4 * i
+            value = F.shiftright(code, 2 * i).bitwiseAND(F.lit(3))
+            total = total + F.get(F.array(*[F.lit(x) for x in w[at : at + 4]]), value)
+        return total
 
-    def accepted(self) -> list[tuple[int, int]]:
-        """(kind rank, votes) patterns the classifier accepts."""
-        return [
-            (KIND_NAMES.index(k.name), v)
-            for k, v in product(KINDS, range(1 << len(LABELERS)))
-            if self.score(k.name, v) > 0
-        ]
 
+def _inputs(votes, codes) -> np.ndarray:
+    """A row per candidate pattern: 1, the votes, and each feature as four indicators."""
+    votes, codes = np.asarray(votes, dtype=int), np.asarray(codes, dtype=int)
+    bits = [(votes >> i & 1) for i in range(len(LABELERS))]
+    values = [np.eye(4)[codes >> 2 * i & 3] for i in range(FEATURES)]
+    return np.column_stack([np.ones(len(votes)), *bits, *values])
 
-def estimate(counts: dict[tuple[str, int], int], rounds: int = 200) -> SpanModel:
-    """EM for the labelers' reliabilities, then a logistic classifier on its posteriors.
 
-    ``counts`` has the number of candidates per (kind, vote pattern). A labeler has a rate of
-    votes on true spans and one on false spans; pseudo-counts keep both away from 0 and 1.
+#: Rates of votes on true and on false spans that each labeler is believed to have before anything is
+#: counted (a strict pattern hardly ever fires by chance), and what that belief is worth: some spans
+#: and a share of those counted, so the corpus decides and no rate becomes 0 or 1.
+HIT, FALSE, BELIEF, BELIEF_SHARE = (0.7, 0.7, 0.9, 0.9), (0.005, 0.1, 0.6, 0.4), 10.0, 0.1
+#: Candidates that a kind's classifier weighs at most, and the width of the normal prior of a weight.
+WEIGHED, WIDTH = 1000.0, 2.0
+
+
+def estimate(counts: dict[tuple, int], rounds: int = 100) -> SpanModel:
+    """EM for the labelers' rates, kind by kind, and a logistic classifier on its posteriors.
+
+    ``counts`` has the number of candidates per (kind, votes) or (kind, votes, feature code).
+    """
+    weights, rates = {}, {}
+    for kind in (k.name for k in KINDS):
+        keys = sorted((k[1], k[2] if len(k) > 2 else 0) for k in counts if k[0] == kind)
+        n = np.array([float(counts.get((kind, *k), counts.get((kind, k[0]), 0))) for k in keys])
+        x = _inputs([k[0] for k in keys], [k[1] for k in keys])
+        weights[kind], rates[kind] = _trained(x, n, rounds)
+    return SpanModel(weights, rates)
+
+
+def _trained(x: np.ndarray, n: np.ndarray, rounds: int):
+    """The classifier's weights and the labelers' rates of one kind.
+
+    A span is true with the odds that its features give, and each labeler votes by its rates.
+    Expectation: the posterior of each pattern. Maximisation: the rates, and the features' odds.
     """
     j = len(LABELERS)
-    names = [k.name for k in KINDS]
-    keys = sorted(counts)
-    n = np.array([float(counts[k]) for k in keys])
-    votes = np.array([[v >> i & 1 for i in range(j)] for _, v in keys], dtype=float).reshape(-1, j)
-    kind = np.array([names.index(k) for k, _ in keys], dtype=int)
-    hit, false = np.full(j, 0.8), np.full(j, 0.3)
-    prior = np.full(len(names), 0.5)
-    strength = 20.0
-    post = np.zeros(len(keys))
+    bits, spans = x[:, 1 : 1 + j], x[:, [0, *range(1 + j, x.shape[1])]]
+    hit, false = np.array(HIT), np.array(FALSE)
+    belief = BELIEF + BELIEF_SHARE * n.sum()
+    odds = np.zeros(spans.shape[1])
     for _ in range(rounds):
-        yes = np.log(prior[kind]) + votes @ np.log(hit) + (1 - votes) @ np.log(1 - hit)
-        no = np.log(1 - prior[kind]) + votes @ np.log(false) + (1 - votes) @ np.log(1 - false)
-        post = 1 / (1 + np.exp(np.clip(no - yes, -500, 500)))
-        true_n, false_n = (n * post).sum(), (n * (1 - post)).sum()
-        hit = (votes.T @ (n * post) + 0.8 * strength) / (true_n + strength)
-        false = (votes.T @ (n * (1 - post)) + 0.3 * strength) / (false_n + strength)
+        weight = np.log(hit / (1 - hit)) - np.log(false / (1 - false))
+        bias = float(np.log((1 - hit) / (1 - false)).sum())
+        post = 1 / (1 + np.exp(-np.clip(bits @ weight + bias + spans @ odds, -500, 500)))
+        true_n, false_n = float((n * post).sum()), float((n * (1 - post)).sum())
+        hit = (bits.T @ (n * post) + np.array(HIT) * belief) / (true_n + belief)
+        false = (bits.T @ (n * (1 - post)) + np.array(FALSE) * belief) / (false_n + belief)
         hit = np.maximum(hit, false)  # a vote never speaks against a span
-        for k in range(len(names)):
-            at = kind == k
-            prior[k] = ((n * post)[at].sum() + 1) / (n[at].sum() + 2)
-        prior = np.clip(prior, 0.02, 0.98)
-    reliability = tuple((float(h), float(f)) for h, f in zip(hit, false))
-    return SpanModel(*_logistic(kind, votes, n, post, names), reliability)
-
-
-def _logistic(kind, votes, n, post, names) -> tuple[dict[str, float], tuple[float, ...]]:
-    """Weighted logistic regression by Newton steps, with a normal prior around plain voting."""
-    j = votes.shape[1]
-    x = np.concatenate([np.eye(len(names))[kind].reshape(-1, len(names)), votes], axis=1)
-    centre = np.concatenate([np.full(len(names), -5.0), np.full(j, 2.0)])
-    w = centre.copy()
-    scale = n / max(1.0, n.sum()) * min(n.sum(), 1000.0)  # the prior keeps its say on few candidates
-    for _ in range(50):
+        odds = _logistic(spans, n, post, np.zeros(len(odds)))
+    rates = tuple((float(h), float(f)) for h, f in zip(hit, false))
+    middle = np.concatenate([[bias + odds[0]], weight, odds[1:]])
+    return tuple(float(v) for v in _logistic(x, n, post, middle)), rates
+
+
+def _logistic(x: np.ndarray, n: np.ndarray, post: np.ndarray, middle: np.ndarray) -> np.ndarray:
+    """Weighted logistic regression by Newton steps on soft targets, with a normal prior around ``middle``."""
+    w = middle.copy()
+    scale = n * min(1.0, WEIGHED / max(1.0, n.sum()))
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (scale * (post - p)) - (w - centre)
-        hess = (x.T * (scale * p * (1 - p))) @ x + np.eye(len(w))
-        step = np.linalg.solve(hess, grad)
+        grad = x.T @ (scale * (post - p)) - (w - middle) / WIDTH**2
+        hess = (x.T * (scale * p * (1 - p))) @ x + np.eye(len(w)) / WIDTH**2
+        step = np.clip(np.linalg.solve(hess, grad), -2, 2)
         w = w + step
         if np.abs(step).max() < 1e-9:
             break
-    return {k: float(b) for k, b in zip(names, w)}, tuple(float(v) for v in w[len(names) :])
+    return w
 
 
 def fit(df: DataFrame, text: str = "text") -> SpanModel:
-    """Count the vote patterns of all candidates of ``df`` and estimate the model."""
+    """Count the vote and feature patterns of all candidates of ``df`` and estimate the model."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     spans = df.select(t.alias("t")).select(F.explode(F.concat(*[candidates(F.col("t"), k) for k in KINDS])).alias("c"))
-    rows = spans.groupBy("c.rank", "c.votes").agg(F.count(F.lit(1)).alias("n")).collect()
-    return estimate({(KIND_NAMES[r["rank"]], r["votes"]): r["n"] for r in rows})
+    rows = spans.groupBy("c.rank", "c.votes", "c.code").agg(F.count(F.lit(1)).alias("n")).collect()
+    return estimate({(KIND_NAMES[r["rank"]], r["votes"], r["code"]): r["n"] for r in rows})
 
 
 def annotate(df: DataFrame, model: SpanModel, keep: list[Column], text: str = "text") -> DataFrame:
     """``keep``, the text ``_t``, base spans per kind, and all spans sorted by start, then kind."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    accepted = model.accepted()
-    codes = [r * (1 << len(LABELERS)) + v for r, v in accepted]
 
     def extra(k: Kind) -> Column:
-        good = F.filter(
-            candidates(F.col("_t"), k),
-            lambda c: (c["rank"] * (1 << len(LABELERS)) + c["votes"]).isin(codes) if codes else F.lit(False),
-        )
+        good = F.filter(candidates(F.col("_t"), k), lambda c: model.score_column(k.name, c["votes"], c["code"]) > 0)
         return F.transform(good, lambda c: F.struct(c["s"].alias("s"), c["rank"].alias("rank"), c["e"].alias("e")))
 
     names = [f"_n{i}" for i in range(len(keep))]
@@ -379,7 +423,3 @@ def find(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame
         F.sha2(listing(F.col("_base")), 256).alias("base_sha256"),
         listing(F.col("_spans")).alias("spans"),
     )
-
-
-def plain_score(model: SpanModel, kind: str, votes: int) -> float:
-    return 1 / (1 + math.exp(-model.score(kind, votes)))
