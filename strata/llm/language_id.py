@@ -6,8 +6,8 @@ is known decides, from 5 down to 1.
 
 The model is fitted on a bounded sample: about ``SAMPLE`` labelled documents per
 language, chosen by a hash of the id (all of them where there are fewer), whole
-texts; it keeps the ``WORDS`` most frequent words and ``GRAMS`` most frequent
-n-grams. Those parameters bound what is broadcast. Prediction reads the text only.
+texts; it keeps every word and n-gram of them. The sample bounds what is broadcast.
+Prediction reads the text only, of any length.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, and
 so is every text if nothing was learned; a text of unknown letters gets the most
@@ -27,11 +27,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_arrow
+from strata.llm.common import map_arrow, stored
 
 SAMPLE = 2000
-WORDS = 100_000
-GRAMS = 200_000
 LONGEST = 5
 UNKNOWN = "und"
 #: Unknown words whose fallback a worker remembers.
@@ -140,9 +138,9 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "do
     chosen = rows.where(place * in_lang[F.col("lang")] < sample).select("lang", "text")
     counted = map_arrow(chosen, _count, "lang string, n int, token string, c long")
     counted = counted.groupBy("lang", "n", "token").agg(F.sum("c").alias("c"))
-    total = counted.groupBy("n", "token").agg(F.sum("c").alias("total"), F.collect_list(F.struct("lang", "c")).alias("by"))
-    word_rows = total.where("n = 0").orderBy(F.desc("total"), "token").limit(WORDS).toArrow()
-    gram_rows = total.where("n > 0").orderBy(F.desc("total"), "token").limit(GRAMS).toArrow()
+    total = stored(counted.groupBy("n", "token").agg(F.collect_list(F.struct("lang", "c")).alias("by")), "language_counts")
+    # rows of the bounded sample; in one order, so that sums do not depend on the partitions
+    word_rows, gram_rows = (total.where(c).toArrow().sort_by([("n", "ascending"), ("token", "ascending")]) for c in ("n = 0", "n > 0"))
     prior = np.log(np.array([docs[x] for x in languages], dtype=float) / sum(docs.values()))
     words, word_table = _table(word_rows, languages, [0])
     known, gram_table = _table(gram_rows, languages, range(1, LONGEST + 1))
@@ -153,10 +151,12 @@ def _table(rows: pa.Table, languages: list[str], lengths) -> tuple[dict[str, int
     """Smoothed log frequency of every token per language, within its n-gram length."""
     at = {x: i for i, x in enumerate(languages)}
     counts = np.zeros((rows.num_rows, len(languages)))
-    tokens, n = rows.column("token").to_pylist(), np.array(rows.column("n").to_pylist(), dtype=int)
-    for i, by in enumerate(rows.column("by").to_pylist()):
-        for x in by:
-            counts[i, at[x["lang"]]] = x["c"]
+    tokens, n = rows.column("token").to_pylist(), rows.column("n").to_numpy()
+    by = rows.column("by").combine_chunks()
+    row = np.repeat(np.arange(rows.num_rows), np.diff(by.offsets.to_numpy()))
+    one = by.flatten()
+    column = np.array([at[x] for x in one.field("lang").to_pylist()], dtype=int)
+    counts[row, column] = one.field("c").to_numpy()
     logs = np.zeros_like(counts)
     for k in lengths:
         mine = n == k
