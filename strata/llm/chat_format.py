@@ -2,8 +2,11 @@
 
 ``format_conversations`` turns one row per turn into one row per conversation:
 the formatted text, its segments with a loss flag each, and whether the order
-of the roles is valid. ``read_back`` parses the formatted text again, which the
-escaping makes possible for any text.
+of the roles is valid. The machine reads the roles in order; the state that a turn
+leads to says whether its text carries loss, and the last state whether the
+conversation may end there. Out of order, it goes on in error states, which keep
+the roles apart but never lead back. ``read_back`` parses the formatted text again,
+which the escaping makes possible for any text.
 
 Defined cases: a null or empty text is an empty turn; a null role is the empty
 role (never valid); turns come by number, null numbers last, equal numbers by
@@ -27,7 +30,7 @@ ESCAPE = "\\"
 
 @dataclass(frozen=True)
 class ChatTemplate:
-    """A turn is ``open + role + head_end + text + close``; texts of ``loss_roles`` carry loss.
+    """A turn is ``open + role + head_end + text + close``; its text carries loss if it leads to a state of ``loss_states``.
 
     The three markers start with "<" and hold no backslash. Inside roles and
     texts a backslash is doubled, and a marker gets one after its "<"; so no
@@ -37,8 +40,8 @@ class ChatTemplate:
     open: str = "<turn>"
     head_end: str = "<says>"
     close: str = "</turn>"
-    loss_roles: tuple[str, ...] = ("assistant",)
-    #: Role automaton: (state, role) -> state. Anything else is an error.
+    loss_states: tuple[str, ...] = ("assistant", "error assistant")
+    #: Role automaton: (state, role) -> state. Any other role leads to the state "error" + role.
     transitions: dict[tuple[str, str], str] = field(
         default_factory=lambda: {
             ("start", "system"): "system",
@@ -70,13 +73,15 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def role_order_valid(roles: Column, template: ChatTemplate = TEMPLATE) -> Column:
-    """Run the automaton over an array of roles."""
+def states(roles: Column, template: ChatTemplate = TEMPLATE) -> Column:
+    """Run the automaton over an array of roles: the state after each turn."""
     table = F.create_map(*[F.lit(x) for x in chain(*((f"{s} {r}", t) for (s, r), t in template.transitions.items()))])
-    end = F.aggregate(
-        roles, F.lit("start"), lambda state, role: F.coalesce(table[F.concat(state, F.lit(" "), role)], F.lit("error"))
-    )
-    return end.isin(*template.accepting)
+
+    def step(seen: Column, role: Column) -> Column:
+        state = F.coalesce(F.try_element_at(seen, F.lit(-1)), F.lit("start"))
+        return F.concat(seen, F.array(F.coalesce(table[F.concat(state, F.lit(" "), role)], F.concat(F.lit("error "), role))))
+
+    return F.aggregate(roles, F.array().cast("array<string>"), step)
 
 
 def format_conversations(
@@ -89,27 +94,27 @@ def format_conversations(
         F.col("turn").isNull().alias("late"), F.col("turn").alias("turn"), role.alias("role"), text.alias("text")
     )
     convs = turns.groupBy(F.col(key)).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    convs = convs.withColumn("states", states(F.col("turns.role"), template))
     parts = F.flatten(
-        F.transform(
+        F.zip_with(
             "turns",
-            lambda t: F.array(
+            "states",
+            lambda t, state: F.array(
                 F.struct(
                     F.concat(F.lit(template.open), escape(t["role"], template), F.lit(template.head_end)).alias("text"),
                     F.lit(False).alias("loss"),
                 ),
-                F.struct(
-                    escape(t["text"], template).alias("text"), t["role"].isin(*template.loss_roles).alias("loss")
-                ),
+                F.struct(escape(t["text"], template).alias("text"), state.isin(*template.loss_states).alias("loss")),
                 F.struct(F.lit(template.close).alias("text"), F.lit(False).alias("loss")),
             ),
         )
     )
-    out = convs.select(key, F.col("turns.role").alias("roles"), parts.alias("segments"))
+    out = convs.select(key, F.element_at("states", -1).alias("end"), parts.alias("segments"))
     return out.select(
         key,
         F.array_join(F.col("segments.text"), "").alias("formatted"),
         "segments",
-        role_order_valid(F.col("roles"), template).alias("valid"),
+        F.col("end").isin(*template.accepting).alias("valid"),
     )
 
 

@@ -72,7 +72,10 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum({sum(map(len, TEMPLATE.controls))} + length({_escaped("role")}) + length({_escaped("text")})) AS BIGINT)
-         AS formatted_chars
+         AS formatted_chars,
+       list_reduce(list_prepend('start', list(role ORDER BY turn, role, text)), lambda state, role:
+         CASE state || ' ' || role {" ".join(f"WHEN '{s} {r}' THEN '{t}'" for (s, r), t in TEMPLATE.transitions.items())}
+         ELSE 'error ' || role END) IN {TEMPLATE.accepting} AS valid
 FROM turns GROUP BY conv_id
 """
 

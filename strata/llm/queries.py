@@ -97,10 +97,10 @@ FROM VALUES (0, 'user'), (1, 'assistant') AS rows(turn, role)
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations formatted, read back from the formatted text and digested."""
+    """All conversations formatted, read back from the formatted text and digested; ``valid`` by the role automaton."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     formatted = chat_format.format_conversations(turns.unionByName(spark.sql(CONTROL_CONVERSATION)))
-    return chat_format.digest(chat_format.read_back(formatted)).drop("valid")
+    return chat_format.digest(chat_format.read_back(formatted))
 
 
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
