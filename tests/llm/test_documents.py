@@ -162,6 +162,52 @@ def test_language_id_held_out_accuracy(spark):
     assert got.where("lang_pred = lang").count() >= 0.97 * got.count() > 100
 
 
+def plain_language(docs, longest=5):
+    """Word and n-gram log frequencies of labelled texts, and the judgement of any text by them."""
+    learned = [(t, lang) for d, t, lang, *_ in docs
+               if t is not None and lang is not None and zlib.crc32(str("" if d is None else d).encode()) % 5]
+    langs = sorted({lang for _, lang in learned})
+    tables = {n: {lang: Counter() for lang in langs} for n in range(longest + 1)}
+    split = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    pieces = lambda w, n: [f"_{w}_"[i : i + n] for i in range(len(w) + 3 - n)]
+    for t, lang in learned:
+        for w in split(t):
+            tables[0][lang][w] += 1
+            for n in range(1, longest + 1):
+                tables[n][lang].update(pieces(w, n))
+    seen = {n: set().union(*[set(c) for c in t.values()]) for n, t in tables.items()}
+
+    def log(n, token, lang):
+        c = tables[n][lang]
+        return math.log((c[token] + 0.5) / (sum(c.values()) + 0.5 * len(seen[n])))
+
+    def judge(text):
+        if text is None or not any(map(str.isalpha, text)):
+            return "und", 0.0
+        total = {lang: math.log(sum(x == lang for _, x in learned) / len(learned)) for lang in langs}
+        toks = split(text)
+        for w in toks:
+            for n, parts in [(0, [w])] + [(n, pieces(w, n)) for n in range(longest, 0, -1)]:
+                known = [p for p in parts if p in seen[n]]
+                if known:
+                    for lang in langs:
+                        total[lang] += sum(log(n, p, lang) for p in known) / len(known)
+                    break
+        best = max(langs, key=lambda x: (total[x], -langs.index(x)))
+        shares = {x: math.exp((total[x] - total[best]) / max(1, len(toks)) ** 0.5) for x in langs}
+        return best, shares[best] / sum(shares.values())
+
+    return judge
+
+
+def test_language_id_equals_brute_force(spark, docs, odd_dir):
+    judge = plain_language(docs)
+    want = sorted((str(d), *judge(t)) for d, t in pairs(docs))
+    got = sorted((str(r.doc_id), r.lang_pred, r.score) for r in queries.op5_language_id(spark, odd_dir).collect())
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert all(abs(a[2] - b[2]) < 1e-6 for a, b in zip(got, want))
+
+
 def test_language_id_backs_off_to_shorter_grams():
     words = {"the": 0}
     table = np.array([[-1.0, -5.0]])
@@ -210,6 +256,46 @@ def test_personal_data_learns_who_to_trust():
     assert all(hit >= false for hit, false in m.reliability)
 
 
+def voting(votes):
+    return bin(votes).count("1") >= 3
+
+
+def span_code(length, share, cases):
+    return length + 4 * share + 16 * cases
+
+
+def test_personal_data_training_overturns_voting_both_ways():
+    # keys of one shape: few digits vote against it, but they look like the many that all labelers know
+    key, words, hexes = span_code(0, 1, 2), span_code(0, 0, 1), span_code(2, 2, 1)
+    counts = {("secret", 0b0100, words): 200, ("secret", 0b1101, key): 300, ("secret", 0b0101, key): 16, ("secret", 0b0101, words): 20,
+              ("secret", 0b1110, span_code(1, 2, 1)): 400, ("secret", 0b1111, hexes): 370}
+    m = pii.estimate(counts)
+    assert m.score("secret", 0b0101, key) > 0 and not voting(0b0101)
+    assert m.score("secret", 0b0101, words) < 0
+    # three labelers that vote on everything say nothing; the strict one tells the spans apart
+    counts = {("secret", 0b1110, words): 900, ("secret", 0b0110, words): 800, ("secret", 0b0101, hexes): 300, ("secret", 0b1111, hexes): 100}
+    m = pii.estimate(counts)
+    assert m.score("secret", 0b1110, words) < 0 and voting(0b1110)
+    assert m.score("secret", 0b0101, hexes) > 0 and not voting(0b0101)
+    # what one kind teaches leaves the others alone
+    assert m.weights["iban"] == pii.estimate({}).weights["iban"] and m.rates["iban"] != m.rates["secret"]
+
+
+def test_personal_data_score_column_equals_score(spark):
+    m = pii.estimate({("secret", v, c): 1 + (v * c) % 7 for v in range(16) for c in range(0, 64, 5)})
+    rows = [(v, c) for v in range(16) for c in range(64)]
+    df = spark.createDataFrame(rows, "v int, c int")
+    for r in df.select("v", "c", m.score_column("secret", F.col("v"), F.col("c")).alias("x")).collect():
+        assert abs(r.x - m.score("secret", r.v, r.c)) < 1e-9
+
+
+def test_personal_data_features(spark):
+    texts = ["a" * 20, "A1" * 12, "0" * 40, "aB" * 24, "a" * 31 + "1"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(pii._features(F.col("t"))).collect()]
+    assert got == [span_code(0, 0, 1), span_code(1, 2, 2), span_code(2, 3, 0), span_code(3, 0, 3), span_code(2, 1, 1)]
+
+
 def test_personal_data_redaction(odd_documents):
     out = pii.redact_documents(odd_documents)
     assert out.columns == odd_documents.columns and out.count() == odd_documents.count()
@@ -330,3 +416,16 @@ def test_stages_on_an_empty_table(no_documents):
     for stage in (quality_rules.filter_documents, simhash.keep_one, pii.redact_documents, mixing.apply_mix):
         out = stage(no_documents)
         assert out.columns == no_documents.columns and out.count() == 0
+
+
+def test_lm_weight_sample_is_bounded_and_never_empty(spark):
+    rows = [(i, None if i % 2 else f"text {i}") for i in range(3000)] + [(7, "a copy")] * 2000 + [(None, None)] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = lm_scoring.weight_sample(df, 5050, most=100).collect()
+    assert len(got) == 100 and all(r.text is not None for r in got)
+    assert [r.text for r in got] == [r.text for r in lm_scoring.weight_sample(df.repartition(2), 5050, most=100).collect()]
+    few = lm_scoring.weight_sample(df.where("doc_id < 20 and text <> 'a copy'"), 10, most=100)
+    assert few.count() == 10  # all rows with a text
+    # the share of rows is a fraction of all hashes, not of 2**20 steps: some are left beyond 600 million documents
+    many = spark.range(40_000_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    assert lm_scoring.weight_sample(many, 700_000_000, most=500).count() > 50

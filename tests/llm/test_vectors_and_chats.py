@@ -92,6 +92,23 @@ def test_chat_segments_make_the_text_and_roles_are_checked(spark):
     assert {c for c, r in out.items() if r.valid} == {1, 3, 7, None}
 
 
+def test_chat_automaton_decides_loss(spark):
+    df = spark.createDataFrame(CONVERSATIONS, "conv_id long, turn long, role string, text string")
+    plan = queries.chat_format.digest(queries.chat_format.read_back(chat_format.format_conversations(df)))
+    assert "system user" in plan._jdf.queryExecution().optimizedPlan().toString()  # the automaton is in the plan
+    roles = [["user", "assistant", "user"], ["assistant", "user", "assistant"], ["system", "system", "assistant"], ["", "user"], []]
+    rows = spark.createDataFrame([(r,) for r in roles], "roles array<string>")
+    got = [r[0] for r in rows.select(chat_format.states(F.col("roles"))).collect()]
+    assert got == [
+        ["user", "assistant", "user"], ["error assistant", "error user", "error assistant"],
+        ["system", "error system", "error assistant"], ["error ", "error user"], [],
+    ]
+    # loss follows the machine: a template in which only answers in order carry loss
+    strict = chat_format.ChatTemplate(loss_states=("assistant",))
+    out = {r.conv_id: r for r in chat_format.read_back(chat_format.format_conversations(df, strict), strict).collect()}
+    assert out[2].loss_text == "" and out[1].loss_text == "</turn><turn>\\<says> \\\\"
+
+
 def test_chat_without_turns_has_only_the_control_conversation(spark, as_table):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     got = queries.op10_chat_format(spark, as_table(df, "conversations")).collect()
