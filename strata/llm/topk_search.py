@@ -3,14 +3,18 @@
 Vectors become integers, are range-sorted by descending length and packed into
 blocks. A chunk of queries first meets the block of longest vectors, which gives
 each query a lower bound of its k-th score; by Cauchy-Schwarz only the leading
-blocks whose longest vector can still reach it are sent to the chunk at all. A
-task takes its blocks in descending length, and inside a block adds the first
-coordinates after an SVD rotation (which gathers most of the length there) and
-bounds the rest by the residual lengths; the vectors that remain are scored
-exactly, on integers.
-
-Only one block, one row per block or chunk, and the d x d moment matrix are ever
-gathered. A task holds one chunk, one block and k rows a query.
+blocks whose longest vector can still reach it are sent to the chunk at all. Chunks
+and groups of ``GROUP`` blocks form a grid: each cell is a unit of work of its own,
+which starts from its chunk's bounds, takes its blocks in descending length and gives
+the k best of every query among them; the cells' results are merged by a ranking window.
+Inside a block the first coordinates after an SVD rotation (which gathers most of the
+length there) are added up and the rest is bounded by the residual lengths; the vectors
+that remain are scored exactly, on integers.
+
+Only one block and the d x d moment matrix are ever gathered; blocks and chunks are
+numbered across tasks. A task holds one chunk, one block and k rows a query. Where all
+vectors have one length and no common direction, nothing can be pruned, and the work is
+that of all (query, vector) pairs, spread evenly over the grid.
 
 Defined cases: vectors that are null or hold a null or non-finite component take
 no part; shorter vectors count as padded with zeros; rows sharing the query's id
@@ -29,10 +33,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import map_arrow, stored
+from strata.operators.ranking import global_rank
 
 K = 20
 #: Vectors in a block and queries in a chunk.
 BLOCK, CHUNK = 2048, 512
+#: Blocks in a cell of the grid.
+GROUP = 4
 #: Share of the squared length that the leading rotated coordinates should hold.
 LEADING = 0.5
 SCALE = 64
@@ -97,8 +104,9 @@ def packed(vectors: DataFrame, dims: int, size: int, label: str) -> DataFrame:
         label,
     )
     # ranges may come back in any task order, so blocks are numbered by their longest vector
-    number = F.row_number().over(Window.orderBy(F.desc("longest"), "part", "seq")) - 1
-    return blocks.join(F.broadcast(blocks.select("part", "seq", "longest").withColumn("block", number).drop("longest")), ["part", "seq"])
+    numbered = global_rank(blocks.select("part", "seq", "longest"), [F.desc("longest"), F.asc("part"), F.asc("seq")], out="place")
+    numbered = numbered.select("part", "seq", (F.col("place") - 1).cast("int").alias("block"))
+    return stored(blocks.join(numbered, ["part", "seq"]), label)
 
 
 def _moment(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[pa.RecordBatch]:
@@ -133,15 +141,15 @@ def inner(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 class Best:
-    """The k best (score, id) per query so far, and the score a newcomer must reach."""
+    """The k best (score, id) per query so far, and the score a newcomer must reach (at first ``floor``)."""
 
-    def __init__(self, ids: np.ndarray, k: int):
+    def __init__(self, ids: np.ndarray, k: int, floor: np.ndarray | None = None):
         self.ids, self.k = ids, k
         self.q = np.empty(0, np.int64)
         self.score = np.empty(0, np.int64)
         self.cand = np.empty(0, np.int64)
         self.rank = np.empty(0, np.int64)
-        self.floor = np.full(len(ids), -np.inf)
+        self.floor = np.full(len(ids), -np.inf) if floor is None else floor.copy()
 
     def add(self, q: np.ndarray, score: np.ndarray, cand: np.ndarray) -> None:
         fit = (score >= self.floor[q]) & (cand != self.ids[q])
@@ -154,19 +162,19 @@ class Best:
         rank = np.arange(len(self.q)) - start[self.q]
         keep = rank < self.k
         last = rank == self.k - 1
-        self.floor[self.q[last]] = self.score[last]
+        self.floor[self.q[last]] = np.maximum(self.floor[self.q[last]], self.score[last])
         self.q, self.score, self.cand, self.rank = self.q[keep], self.score[keep], self.cand[keep], rank[keep]
 
 
 class Chunk:
     """One chunk of queries meeting blocks of candidates."""
 
-    def __init__(self, ids: np.ndarray, q: np.ndarray, turn: np.ndarray, lead: int, k: int):
+    def __init__(self, ids: np.ndarray, q: np.ndarray, turn: np.ndarray, lead: int, k: int, floor: np.ndarray | None = None):
         self.q, self.turn, self.lead = q, turn, lead
         rotated = q @ turn
         self.head, self.length = rotated[:, :lead], np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))
         self.rest = np.sqrt((rotated[:, lead:] ** 2).sum(axis=1))
-        self.best = Best(ids, k)
+        self.best = Best(ids, k, floor)
 
     def meet(self, ids: np.ndarray, c: np.ndarray, longest: float) -> None:
         slack = 1e-9 * (1 + self.length * longest)  # rounding of the bounds; scores are exact
@@ -211,53 +219,61 @@ def search(
     longest = top.column("longest")[0].as_py()
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The vector length below which no block can change any query of the chunk."""
+        """Each query's score to reach, and the vector length below which no block can change any of them."""
         for b in batches:
-            need = []
+            need, floors = [], []
             for ids, q in zip(b.column("ids"), b.column("vectors")):
                 c = Chunk(*_unpack(ids, q, dims), turn, lead, k)
                 c.meet(top_ids, top_vectors, longest)
                 with np.errstate(divide="ignore", invalid="ignore"):
                     least = np.where(c.length > 0, c.best.floor / c.length, -np.inf) * (1 - 1e-9)
                 need.append(float(least.min()))
-            yield pa.RecordBatch.from_arrays([b.column("chunk"), pa.array(need, pa.float64())], names=["chunk", "need"])
+                floors.append(c.best.floor.tobytes())
+            columns = [b.column("chunk"), pa.array(need, pa.float64()), pa.array(floors, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["chunk", "need", "floors"])
 
     chunks = queries.withColumnRenamed("block", "chunk")
-    needs = map_arrow(chunks.select("chunk", "ids", "vectors"), bounded, "chunk int, need double")
+    needs = stored(map_arrow(chunks.select("chunk", "ids", "vectors"), bounded, "chunk int, need double, floors binary"), "needs")
     # blocks before a chunk in the joint descending order are those it needs
-    steps = blocks.select(F.lit(1).alias("is_block"), F.col("longest").alias("at"), F.lit(-1).alias("chunk")).union(
-        needs.select(F.lit(0), "need", "chunk")
-    )
-    upto = Window.orderBy(F.desc("at"), F.desc("is_block")).rowsBetween(Window.unboundedPreceding, 0)
-    wanted = steps.withColumn("blocks", F.sum("is_block").over(upto)).where("is_block = 0 and blocks > 0")
-    pairs = wanted.select("chunk", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("block"))
-    sent = pairs.join(blocks.select("block", "longest", "ids", "vectors"), "block").select(
-        "chunk", "block", "longest", "ids", "vectors"
-    )
-    heads = chunks.select("chunk", F.lit(-1).alias("block"), "longest", "ids", "vectors")
-    stream = heads.unionByName(sent).repartition("chunk").sortWithinPartitions("chunk", "block")
+    steps = blocks.select(F.col("longest").alias("at"), F.lit(-1).alias("chunk")).union(needs.select("need", "chunk"))
+    order = [F.desc("at"), F.asc("chunk")]
+    ranked = global_rank(steps, order, out="place").where("chunk >= 0")
+    ranked = global_rank(ranked, order, out="chunks_before")  # itself included, as in its place
+    wanted = ranked.select("chunk", (F.col("place") - F.col("chunks_before")).alias("blocks")).where("blocks > 0")
+    cell = F.explode(F.sequence(F.lit(0), ((F.col("blocks") - 1) / GROUP).cast("int"))).alias("cell")
+    cells = wanted.select("chunk", "blocks", cell)
+    heads = chunks.select("chunk", "ids", "vectors").join(needs.select("chunk", "floors"), "chunk").join(cells, "chunk")
+    heads = heads.select("chunk", "cell", F.lit(-1).alias("block"), F.lit(0.0).alias("longest"), "ids", "vectors", "floors")
+    of_cell = blocks.withColumn("cell", F.expr(f"block div {GROUP}").cast("int"))
+    sent = cells.join(of_cell, "cell").where("block < blocks")
+    sent = sent.select("chunk", "cell", "block", "longest", "ids", "vectors", F.lit(None).cast("binary").alias("floors"))
+    stream = heads.unionByName(sent).repartition("chunk", "cell").sortWithinPartitions("chunk", "cell", "block")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: Chunk | None = None
+        chunk = -1
 
         def result() -> pa.RecordBatch:
             b = now.best
-            return pa.RecordBatch.from_arrays(
-                [pa.array(b.ids[b.q]), pa.array((b.rank + 1).astype(np.int32)), pa.array(b.cand), pa.array(b.score)],
-                names=["query_id", "rank", "vec_id", "score"],
-            )
+            columns = [np.full(len(b.q), chunk, np.int32), b.q.astype(np.int32), b.ids[b.q], b.cand, b.score]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["chunk", "place", "query_id", "vec_id", "score"])
 
         for b in batches:
-            for number, size, ids, v in zip(
-                b.column("block").to_pylist(), b.column("longest").to_pylist(), b.column("ids"), b.column("vectors")
+            for of, number, size, ids, v, floors in zip(
+                *[b.column(c).to_pylist() for c in ("chunk", "block", "longest")], *[b.column(c) for c in ("ids", "vectors", "floors")]
             ):
                 if number < 0:
                     if now is not None:
                         yield result()
-                    now = Chunk(*_unpack(ids, v, dims), turn, lead, k)
+                    chunk = of
+                    now = Chunk(*_unpack(ids, v, dims), turn, lead, k, np.frombuffer(floors.as_buffer()))
                 else:
                     now.meet(*_unpack(ids, v, dims), size)
         if now is not None:
             yield result()
 
-    return map_arrow(stream, scan, out)
+    # queries that share an id are apart in the grid: a query is a place in a chunk
+    best = Window.partitionBy("chunk", "place").orderBy(F.desc("score"), "vec_id")
+    merged = map_arrow(stream, scan, "chunk int, place int, query_id long, vec_id long, score long")
+    merged = merged.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return merged.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
