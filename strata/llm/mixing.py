@@ -5,13 +5,16 @@ subject to one token constraint per source, sum r(i) * size(i) = target, and to
 r <= 2. The solution is an exponential tilt, r = min(2, exp(lambda * size)),
 with one dual variable per source; Newton steps on the convex dual find it.
 
-Documents of one source and size share a rate, so the solver reads a histogram
-(source, size, count) and not the documents. A source has at most
-sqrt(2 * words) different sizes, which bounds a solver group; the documents of a
-hot source are never brought together. Copies are first settled per class
+Documents of one source and size share a rate, so the solver reads a stored histogram
+(source, size, count) and not the documents. A Newton iteration is a distributed sum: the
+tokens and their slope at every source's dual variable, over all rows of the histogram,
+added up exactly (as decimals) and so alike in every run; the dual variables are a table
+of one row per source. Copies are then settled per class
 (source, size), carrying the rounding error from long to short documents, then
-dealt out inside the class over hashed buckets, by exact quotas. The result
-depends on the documents alone, so reruns agree.
+dealt out inside the class over hashed buckets, by exact quotas. A source has at most
+sqrt(2 * words) different sizes, which bounds the group that settles them; the documents of
+a hot source are never brought together. The result depends on the documents alone, so
+reruns agree.
 
 Defined cases: null text has size 0; a document of size 0 keeps its one copy
 and takes no words; a null source is a source of its own, last in the order;
@@ -26,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import fresh, ship, word_count
+from strata.llm.common import fresh, ship, stored, word_count
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -69,7 +72,10 @@ def source_targets(
 
 
 def solve_dual(size: np.ndarray, n: np.ndarray, target: float, most: float = MOST) -> np.ndarray:
-    """Rates min(most, exp(lambda * size)) whose tokens meet ``target``; Newton steps, kept inside a bracket."""
+    """Rates min(most, exp(lambda * size)) whose tokens meet ``target``; Newton steps, kept inside a bracket.
+
+    One source in memory; :func:`solve_duals` takes the same steps for all sources at once.
+    """
     total = float((size * n).sum())
     if total == 0:
         return np.ones(len(size))
@@ -116,11 +122,75 @@ def settle_copies(size: np.ndarray, n: np.ndarray, rate: np.ndarray, most: float
     return copies
 
 
-def _solve(group: pd.DataFrame) -> pd.DataFrame:
-    size, n = group["size"].to_numpy(np.float64), group["n"].to_numpy(np.float64)
-    rate = solve_dual(size, n, float(group["target"].iloc[0]))
-    out = group[[*KEYS, "size", "n", "source_size", "target"]].copy()
-    out["rate"], out["copies"] = rate, settle_copies(size, n, rate)
+#: Iterations at most, and when a source's tokens are close enough to its target (as a share).
+ITERATIONS, CLOSE = 100, 1e-12
+
+
+def _rate(lam: Column, x: Column, most: float) -> Column:
+    return F.when(x == 0, 1.0).otherwise(F.exp(F.least(lam * x, F.lit(float(np.log(most))))))
+
+
+def solve_duals(goals: DataFrame, most: float = MOST) -> DataFrame:
+    """``goals`` (source, size, n, source_size, target; one row per class) with the ``rate`` of each class."""
+    goals = stored(goals, "mix_histogram")
+    inf = F.lit(float("inf"))
+    settled = (F.col("total") == 0) | (F.col("target") >= F.lit(most * (1 - 1e-12)) * F.col("total"))
+    duals = goals.groupBy(*KEYS).agg(
+        F.max("target").alias("target"), F.max("source_size").cast("double").alias("total"), F.sum("n").alias("docs")
+    )
+    duals = duals.select(
+        *KEYS,
+        F.coalesce(F.try_divide("target", "total"), F.lit(0.0)).alias("goal"),
+        "total",
+        F.coalesce(F.try_divide("total", "docs"), F.lit(0.0)).alias("mean"),
+        F.when(settled, inf).otherwise(0.0).alias("lam"),  # without a bound to meet, as many copies as there may be
+        (-inf).alias("low"),
+        inf.alias("high"),
+        settled.alias("done"),
+    )
+    duals = stored(duals, "mix_duals")
+    exact = "decimal(38,20)"
+    for _ in range(ITERATIONS):
+        active = duals.where(~F.col("done"))
+        if active.isEmpty():
+            break
+        x, mass = F.col("size") / F.col("mean"), F.col("size") * F.col("n") / F.col("total")
+        tokens = mass * _rate(F.col("lam"), x, most)
+        free = (F.col("lam") * x < float(np.log(most))).cast("double")
+        state = ["goal", "total", "mean", "lam", "low", "high"]
+        sums = goals.drop("target").join(active, KEYS).groupBy(*KEYS, *state).agg(
+            F.sum(tokens.cast(exact)).cast("double").alias("got"), F.sum((tokens * x * free).cast(exact)).cast("double").alias("slope")
+        )
+        gap = F.col("got") - F.col("goal")
+        moved = sums.select(
+            *KEYS, "goal", "total", "mean", "lam", "slope", gap.alias("gap"),
+            F.when(gap > 0, F.col("low")).otherwise(F.col("lam")).alias("low"),
+            F.when(gap > 0, F.col("lam")).otherwise(F.col("high")).alias("high"),
+        )
+        newton = F.col("lam") - F.try_divide(F.col("gap"), F.col("slope"))
+        halved = (F.col("low") + F.col("high")) / 2
+        outside = (
+            F.when(F.col("low") == -inf, F.when(F.col("high") <= 0, F.col("high") * 2 - 1).otherwise(-1.0))
+            .when(F.col("high") == inf, F.when(F.col("low") >= 0, F.col("low") * 2 + 1).otherwise(1.0))
+            .otherwise(halved)
+        )
+        step = F.when((newton > F.col("low")) & (newton < F.col("high")), newton).otherwise(outside)
+        met = F.abs("gap") <= F.greatest(F.col("goal"), F.lit(1e-3)) * CLOSE
+        stuck = (step == F.col("low")) | (step == F.col("high"))
+        moved = moved.select(
+            *KEYS, "goal", "total", "mean", F.when(met | stuck, F.col("lam")).otherwise(step).alias("lam"), "low", "high",
+            (met | stuck).alias("done"),
+        )
+        duals = stored(moved.unionByName(duals.where("done")), "mix_duals")
+    found = goals.join(duals.select(*KEYS, "mean", "lam"), KEYS)
+    x = F.coalesce(F.try_divide(F.col("size"), F.col("mean")), F.lit(0.0))
+    return found.withColumn("rate", _rate(F.col("lam"), x, most)).drop("mean", "lam")
+
+
+def _settle(group: pd.DataFrame) -> pd.DataFrame:
+    out = group[[*KEYS, "size", "n", "source_size", "target", "rate"]].copy()
+    size, n = out["size"].to_numpy(np.float64), out["n"].to_numpy(np.float64)
+    out["copies"] = settle_copies(size, n, out["rate"].to_numpy(np.float64))
     return out
 
 
@@ -143,8 +213,8 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", doc_id: str =
     histogram = cells.groupBy(*KEYS, "size").agg(F.sum("in_bucket").alias("n"))
     goals = histogram.join(source_targets(histogram), KEYS)
     ship(df.sparkSession)
-    solved = goals.groupBy(*KEYS).applyInPandas(
-        _solve,
+    solved = solve_duals(goals).groupBy(*KEYS).applyInPandas(
+        _settle,
         "no_source boolean, source_key string, size long, n long, source_size long, target double, rate double, copies long",
     )
     in_class = Window.partitionBy(*KEYS, "size").orderBy("bucket")

@@ -418,6 +418,22 @@ def test_stages_on_an_empty_table(no_documents):
         assert out.columns == no_documents.columns and out.count() == 0
 
 
+def test_distributed_newton_equals_the_solver_in_memory(spark):
+    rng = np.random.default_rng(6)
+    rows, want = [], {}
+    for k, share in enumerate([0.01, 0.4, 1.0, 1.3, 1.9, 1.999999, 2.0, 2.5, 0.7]):
+        size = np.unique(rng.integers(0, 5000, 60)) if k < 8 else np.zeros(1, dtype=int)
+        n = rng.integers(1, 90, len(size))
+        target = float(share * (size * n).sum())
+        want[f"s{k}"] = dict(zip(size.tolist(), mixing.solve_dual(size.astype(float), n.astype(float), target)))
+        rows += [(False, f"s{k}", int(s), int(c), int((size * n).sum()), target) for s, c in zip(size, n)]
+    goals = spark.createDataFrame(rows, "no_source boolean, source_key string, size long, n long, source_size long, target double")
+    got = mixing.solve_duals(goals.repartition(5)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert abs(r.rate - want[r.source_key][r["size"]]) < 1e-8 * max(1.0, want[r.source_key][r["size"]])
+
+
 def test_lm_weight_sample_is_bounded_and_never_empty(spark):
     rows = [(i, None if i % 2 else f"text {i}") for i in range(3000)] + [(7, "a copy")] * 2000 + [(None, None)] * 50
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
