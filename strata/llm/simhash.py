@@ -1,10 +1,11 @@
 """SimHash near-duplicates: bit-sliced comparison of 64-bit fingerprints.
 
 Fingerprints are computed per text, collapsed to the distinct ones, and compared
-inside cells. Two fingerprints within ``radius`` bits agree on at least one of
-``radius + 1`` blocks of bits (pigeonhole), so a cell is a block's number and
-value; a cell with more than ``CELL`` fingerprints is cut into parts and each
-pair of parts is compared on its own, so no link is lost and no task grows.
+inside cells. Two fingerprints within ``radius`` bits agree on at least ``agree`` of
+``radius + agree`` blocks of bits (pigeonhole), so a cell is a choice of ``agree`` blocks and
+their values. ``agree`` grows with the number of fingerprints (``blocks_that_agree``), so that
+cells stay near ``CELL`` where fingerprints spread evenly; a cell with more than that is cut
+into parts and each pair of parts is compared on its own, so no link is lost and no task grows.
 Inside a task the fingerprints are stored as vertical bit planes, 64 lanes to a
 word; distances of 64 lanes grow together in carry-save counters, and a block of
 lanes is abandoned once all of them exceed the radius. A task returns a forest
@@ -12,7 +13,8 @@ over the fingerprints it linked, never all pairs. Components over all forests
 come from rounds of hooking and pointer jumping on stored tables.
 
 Defined cases: a null or wordless text has fingerprint zero, linked like any
-other; repeated rows share a fingerprint; ``component_id`` is the smallest id
+other; a text of any length is one fingerprint, its words and shingle hashes held by one
+task (about 200 bytes a word); repeated rows share a fingerprint; ``component_id`` is the smallest id
 reachable (null ids are ignored, null if there is no other); an empty table
 gives an empty result; other columns are not read by ``near_duplicates`` and
 pass unchanged through ``keep_one``, whatever their names.
@@ -21,6 +23,7 @@ pass unchanged through ``keep_one``, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import fresh, map_arrow, stored
+from strata.operators.joins import hot_keys, skew_join
 
 SHINGLE = 4
 RADIUS = 4
@@ -81,10 +85,24 @@ def fingerprints(df: DataFrame, row: Column, text: str = "text", shingle: int =
     return map_arrow(src, lambda it: _fingerprints(it, shingle), schema)
 
 
-def blocks(radius: int) -> list[tuple[int, int]]:
-    """(shift, width) of ``radius + 1`` blocks that split the 64 bits."""
-    edges = [64 * i // (radius + 1) for i in range(radius + 2)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:])]
+def blocks_that_agree(n: int, radius: int = RADIUS, cell: int = CELL) -> int:
+    """Fewest blocks whose values split ``n`` evenly spread fingerprints into cells of ``cell`` or fewer."""
+    agree = 1
+    while n > cell << agree * (64 // (radius + agree)) and radius + agree < 64:
+        agree += 1
+    return agree
+
+
+def cell_masks(radius: int, agree: int) -> list[int]:
+    """Masks (signed longs) of every choice of ``agree`` out of ``radius + agree`` blocks that split the 64 bits.
+
+    Up to ``radius`` differing bits touch at most ``radius`` blocks, so one choice is left untouched.
+    """
+    of = radius + agree
+    edges = [64 * i // of for i in range(of + 1)]
+    parts = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
+    masks = [sum(some) for some in combinations(parts, agree)]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
 def _roots(parent: np.ndarray) -> np.ndarray:
@@ -199,12 +217,13 @@ def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Reco
     yield forest(cells, fps)
 
 
-def forest_links(distinct: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
-    """Links (a, b) that connect every two of the distinct ``fp`` within ``radius`` bits."""
-    keys = [
-        F.shiftrightunsigned(F.shiftleft("fp", 64 - s - w), 64 - w).bitwiseOR(F.lit(i << 58))
-        for i, (s, w) in enumerate(blocks(radius))
-    ]
+def forest_links(distinct: DataFrame, radius: int = RADIUS, cell: int = CELL, agree: int | None = None) -> DataFrame:
+    """Links (a, b) that connect every two of the distinct ``fp`` within ``radius`` bits.
+
+    ``distinct`` is a stored table: its rows are counted, unless ``agree`` is given.
+    """
+    agree = agree or blocks_that_agree(distinct.count(), radius, cell)
+    keys = [F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(cell_masks(radius, agree))]
     rows = distinct.select("fp", F.explode(F.array(*keys)).alias("key"))
     hot = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell)
     # parts of a hot cell: every pair of parts meets in one cell of its own
@@ -274,13 +293,15 @@ def near_duplicates(
     row = F.struct(F.col(f"`{doc_id}`").alias("id"), text_digest(text).alias("digest"))
     prints = stored(fingerprints(df, row, text, shingle).select("_row.id", "_row.digest", "fp"), "fingerprints")
     smallest = stored(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
-    roots = components(forest_links(smallest.select("fp"), radius, cell))
-    labelled = smallest.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+    trees = components(forest_links(smallest.select("fp"), radius, cell))
+    labelled = smallest.join(trees.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
     per_root = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = labelled.join(per_root, "root").select("fp", "root", "component_id")
-    return prints.join(of_fp, "fp").select("id", "digest", "fp", "root", "component_id")
+    # a component may hold a third of the fingerprints, and a fingerprint a third of the rows
+    labelled = labelled.select("fp", "root")
+    of_fp = skew_join(labelled, per_root, "root", hot=lambda: hot_keys(trees, ["root"]))
+    return skew_join(prints, of_fp, "fp").select("id", "digest", "fp", "root", "component_id")
 
 
 def text_digest(text: str) -> Column:

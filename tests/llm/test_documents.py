@@ -72,6 +72,37 @@ def test_simhash_hot_cells_lose_no_link(odd_documents, docs):
     assert sorted(got, key=str) == sorted(brute.simhash(pairs(docs)), key=str)
 
 
+@pytest.mark.parametrize("agree", [1, 2, 3, 4])
+def test_simhash_wider_cells_lose_no_link(spark, agree):
+    rng = np.random.default_rng(agree)
+    base = [int(x) for x in rng.integers(0, 1 << 63, 12)]
+    near = {f ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(1, 6), replace=False)) for f in base for _ in range(10)}
+    fps = sorted(set(base) | near)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    distinct = spark.createDataFrame([(f,) for f in signed], "fp long")
+    got = simhash.components(simhash.forest_links(distinct, cell=8, agree=agree))
+    label = {f: f for f in signed}
+    label.update({r.node: r.root for r in got.collect()})
+    want = simhash.components(
+        spark.createDataFrame(
+            [(a, b) for i, a in enumerate(signed) for b in signed[:i] if bin((a ^ b) & (1 << 64) - 1).count("1") <= 4],
+            "a long, b long",
+        )
+    )
+    expected = {f: f for f in signed}
+    expected.update({r.node: r.root for r in want.collect()})
+    assert label == expected
+
+
+def test_simhash_one_hot_fingerprint_and_one_hot_component(spark):
+    far = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, "the same four words again and again") for i in range(6000)]
+    rows += [(10_000 + i, far + f" end{i}") for i in range(300)] + [(20_000 + i, None) for i in range(50)]
+    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    got = rows_of(found.select("id", simhash.hex64(F.col("fp")), "component_id"))
+    assert sorted(got, key=str) == sorted(brute.simhash(rows), key=str)
+
+
 def test_simhash_keeps_one_row_of_each_component(odd_documents, docs):
     kept = simhash.keep_one(odd_documents)
     assert kept.columns == odd_documents.columns

@@ -44,6 +44,17 @@ def test_bit_sliced_links_equal_plain_distances(radius, n):
     assert len(i) < max(n, 1)
 
 
+def test_cells_widen_with_the_number_of_fingerprints():
+    assert [simhash.blocks_that_agree(n) for n in (0, 10**6, 2**24, 2**24 + 1, 10**9, 10**12)] == [1, 1, 1, 2, 2, 4]
+    for radius in (1, 4, 7):
+        for agree in (1, 2, 3):
+            masks = [m & (1 << 64) - 1 for m in simhash.cell_masks(radius, agree)]
+            rng = random.Random(radius * agree)
+            for _ in range(50):
+                flips = sum(1 << b for b in rng.sample(range(64), radius))
+                assert any(not flips & m for m in masks)  # a pair within the radius shares a cell
+
+
 def test_hilbert_key_visits_every_cell_by_neighbour_steps():
     for dims, bits in ((2, 3), (3, 2)):
         side = 1 << bits
