@@ -57,13 +57,14 @@ def skew_join(
     other: DataFrame,
     keys: str | Sequence[str],
     how: str = "inner",
-    hot: DataFrame | Callable[[], DataFrame] | None = None,
+    hot: DataFrame | Callable[[], DataFrame | None] | None = None,
 ) -> DataFrame:
     """``fact.join(other, keys, how)`` with hot keys of ``fact`` salted.
 
     ``how`` is one that keeps the fact side's rows as the driving side:
     inner, left, left_semi or left_anti. ``hot`` is the output of
-    :func:`hot_keys` (or a function building it); pass one computed from the
+    :func:`hot_keys` (or a function building it, which gives None where it has
+    found that there are none: rows are then joined as they are); pass one computed from the
     *raw* source of ``fact`` (a sampled scan of one column) when ``fact`` is an
     expensive derived plan, so that detection does not recompute it.
     """
@@ -72,6 +73,8 @@ def skew_join(
         raise ValueError(f"skew_join does not support how={how!r}")
     if callable(hot):
         hot = hot()
+        if hot is None:  # looked for, and there are none
+            return fact.join(other, keys, how)
     hot = F.broadcast(hot if hot is not None else hot_keys(fact, keys))  # at most one row per shuffle partition
     # any deterministic spread works; maps cannot be hashed, so they are left out
     row_hash = F.xxhash64(*[F.col(f.name) for f in fact.schema.fields if not isinstance(f.dataType, MapType)])

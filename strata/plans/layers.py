@@ -5,9 +5,10 @@ the lineage and a lost executor only recomputes from the last table. Row
 counts come from ``Observation`` during the writes (no extra scans).
 
 * raw: the adapter tables, stamped with lineage, one table per dataset;
-* validated: valid rows deduplicated (``row_number`` with a partial
-  ``WindowGroupLimit``, skew-safe), and beside them the rejected rows with
-  their reasons, written as they are scanned, without a shuffle;
+* validated: valid rows deduplicated where they are stored (``dedup_placed``: one
+  shuffle of whole rows, no sort before it; rows of hot keys are cut down in
+  their tasks), and beside them the rejected rows with their reasons, written as
+  they are scanned, without a shuffle;
 * marts: the order mart and the product mart are written first and read
   back, so the customer mart, the KPIs and the category mart reuse them
   instead of recomputing them.
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.ids import DEFAULT_BATCH_ID
 from strata.operators import quality
-from strata.operators.dedup import dedup_dataset
+from strata.operators.dedup import dedup_placed, spread_keys
 from strata.operators.joins import hot_keys
 from strata.plans import gold
 from strata.schemas import DATASETS, QUALITY_METRICS
@@ -161,23 +162,41 @@ def _validate_one(
     """(input, valid, rejected) rows of one dataset, after writing its validated and rejected tables.
 
     Rejected rows go straight from the scan to their table; valid rows are
-    deduplicated and, for ``BUCKET_KEYS``, bucketed on the marts' key.
+    deduplicated and, for ``BUCKET_KEYS``, bucketed on the marts' key, with one
+    shuffle for both.
     """
     raw = spark.read.format(fmt).load(paths.raw(name))
     valid, rejected = quality.split_by_quality(raw, name, with_failed_rules=True)
-    valid = dedup_dataset(valid, name)
     rejected_rows = write_observed(rejected, paths.rejected(name), f"rejected_{name}", fmt)["rows"]
-    if paths.buckets and name in BUCKET_KEYS:
-        key = BUCKET_KEYS[name]
-        hot = hot_keys(raw.select(key), [key]) if key != DATASETS[name].key else None  # a business key is unique
+    bucketed = paths.buckets and name in BUCKET_KEYS
+    by = BUCKET_KEYS[name] if bucketed else DATASETS[name].key
+    valid = dedup_stored(valid, raw, name, by, f"{paths.root}/hot", paths.buckets if bucketed else None)
+    if bucketed:
         valid_rows = write_bucketed_observed(
-            valid, paths.validated(name), paths.validated_table(name), key, paths.buckets, f"validated_{name}", fmt, hot=hot
+            valid, paths.validated(name), paths.validated_table(name), by, paths.buckets, f"validated_{name}", fmt
         )["rows"]
     else:
         valid_rows = write_observed(valid, paths.validated(name), f"validated_{name}", fmt)["rows"]
     return _input_rows(spark, raw, name, raw_counts), valid_rows, rejected_rows
 
 
+def dedup_stored(
+    valid: DataFrame, raw: DataFrame, name: str, by: str, root: str, partitions: int | None = None
+) -> DataFrame:
+    """``dedup_placed`` of the ``valid`` rows of ``raw``; the keys that it treats apart are stored below ``root``."""
+    key = DATASETS[name].key
+    hot = _any_rows(hot_keys(raw.select(by), [by]), f"{root}/raw_{name}")
+    spread = _any_rows(spread_keys(valid, key, by), f"{root}/spread_{name}") if by != key else None
+    return dedup_placed(valid, name, by, partitions, hot, spread)
+
+
+def _any_rows(df: DataFrame, path: str) -> DataFrame | None:
+    """``df`` written and read back, so that its size is known to whoever joins it; None if it is empty."""
+    write_table(df, path)
+    written = df.sparkSession.read.parquet(path)
+    return None if written.isEmpty() else written
+
+
 def _input_rows(spark: SparkSession, raw: DataFrame, name: str, raw_counts: dict[str, int] | None) -> int:
     if raw_counts and name in raw_counts:
         return raw_counts[name]
@@ -194,10 +213,10 @@ def run_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet") -> di
     s = {n: paths.read_silver(spark, n, fmt) for n in ("customers", "products", "orders", "order_items")}
     hot = {
         "customer_id": _written_once(
-            spark, f"{paths.root}/hot/customer_id", lambda: hot_keys(s["orders"].select("customer_id"), ["customer_id"])
+            f"{paths.root}/hot/customer_id", lambda: hot_keys(s["orders"].select("customer_id"), ["customer_id"])
         ),
         "order_id": _written_once(
-            spark, f"{paths.root}/hot/order_id", lambda: hot_keys(s["order_items"].select("order_id"), ["order_id"])
+            f"{paths.root}/hot/order_id", lambda: hot_keys(s["order_items"].select("order_id"), ["order_id"])
         ),
     }
 
@@ -226,24 +245,23 @@ def run_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet") -> di
     return {m: counts[m] for m in MARTS}
 
 
-def _written_once(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+def _written_once(path: str, build: Callable[[], DataFrame]) -> Callable[[], DataFrame | None]:
     """A hot-key table built on first use, written to ``path`` (it is small:
     at most one row per shuffle partition) and read back by every later
-    use, so concurrent marts share one detection pass."""
+    use, so concurrent marts share one detection pass. None if no key is hot."""
     lock = threading.Lock()
-    done: list[DataFrame] = []
+    done: list[DataFrame | None] = []
 
-    def get() -> DataFrame:
+    def get() -> DataFrame | None:
         with lock:
             if not done:
-                write_table(build(), path)
-                done.append(spark.read.parquet(path))
+                done.append(_any_rows(build(), path))
         return done[0]
 
     return get
 
 
-ROW_BYTES = 100  # of a stored order line, about
+ROW_BYTES = 250  # of an order line in the memory of the task that sorts its bucket, about
 BUCKET_BYTES = 128 << 20
 
 

@@ -63,24 +63,17 @@ def write_bucketed_observed(
     label: str,
     fmt: str = "parquet",
     extra: dict[str, Column] | None = None,
-    hot: DataFrame | None = None,
 ) -> dict[str, int]:
     """Overwrite a catalog table at ``path``, hash-bucketed and sorted on ``key``.
 
-    The data is repartitioned on ``key`` first, one file per bucket; rows of the
-    ``hot`` keys (at most one per shuffle partition, see ``hot_keys``) stay with
-    the tasks that hold them, which add files to those buckets. Later joins and
-    aggregations on ``key`` with the same number of partitions read the table
+    A task adds a file to every bucket that it has rows of, so the rows should already lie
+    in ``buckets`` partitions on ``key`` (``dedup_placed``), but for those of hot
+    keys, which many tasks hold. Later joins and aggregations on ``key`` with the same number of partitions read the table
     without another shuffle. Returns ``rows``, observed in the write's result stage.
     """
     obs = Observation(f"{label}_{uuid.uuid4().hex[:8]}")
     metrics = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in (extra or {}).items()]
-    if hot is None:
-        placed = df.repartition(buckets, key)
-    else:
-        few = F.broadcast(hot.select(key))
-        placed = df.join(few, key, "left_anti").repartition(buckets, key).unionByName(df.join(few, key, "left_semi"))
-    writer = placed.observe(obs, *metrics).write.mode("overwrite").format(fmt)
+    writer = df.observe(obs, *metrics).write.mode("overwrite").format(fmt)
     writer.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
     return {k: int(v) if v is not None else 0 for k, v in obs.get.items()}
 
