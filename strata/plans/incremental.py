@@ -1,7 +1,7 @@
 """Marts kept up to date from batches, without building them again.
 
-The state is four versioned tables: validated orders and order lines, the order mart, and
-the product mart's sums. A batch brings whole orders (new ones,
+The state is four versioned tables: validated orders and order lines (the columns that
+the marts read), the order mart, and the product mart's sums. A batch brings whole orders (new ones,
 and corrected ones that replace what was loaded before). Its signed delta goes through
 the marts' own plan: the lines of the batch's orders before (-1) and after (+1) it are
 joined with their eligible orders and summed per product. Orders and products that the
@@ -20,10 +20,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.joins import hot_keys
 from strata.plans import gold
 from strata.schemas import MART_COLUMNS
 from strata.sources.versioned import VersionedTable, staged
 
+ORDER_COLUMNS = ("order_id", "customer_id", "order_timestamp", "order_status")
+LINE_COLUMNS = ("order_id", "product_id", "quantity", "line_amount")
 SUMS = ("units_sold", "product_revenue", "order_count")
 
 
@@ -55,11 +58,17 @@ def _product_parts(orders: DataFrame, lines: DataFrame, customers: DataFrame) ->
     )
 
 
+def _by_order(lines: DataFrame) -> DataFrame:
+    """Lines placed by order, so that totals per order and (product, order) pairs need no further shuffle;
+    where an order is hot they stay where they are, and partial sums cut it down."""
+    return lines.repartition("order_id") if hot_keys(lines, ["order_id"]).isEmpty() else lines
+
+
 def load(tables: MartTables, orders: DataFrame, lines: DataFrame, customers: DataFrame) -> None:
     """First batch: the state as it is after ``orders`` and their ``lines`` (both validated)."""
-    tables.orders.create(orders)
-    tables.lines.create(lines)
-    stored_orders, stored_lines = tables.orders.read(), tables.lines.read()
+    tables.orders.create(orders.select(*ORDER_COLUMNS))
+    tables.lines.create(lines.select(*LINE_COLUMNS))
+    stored_orders, stored_lines = tables.orders.read(), _by_order(tables.lines.read())
     tables.order_mart.create(gold.order_revenue(stored_orders, stored_lines, customers))
     tables.product_sums.create(_product_parts(stored_orders, stored_lines, customers))
 
@@ -69,13 +78,17 @@ def refresh(tables: MartTables, orders: DataFrame, lines: DataFrame, customers:
 
     The keys of the batch are the ids in ``orders``; a key without lines loses those it had.
     Customers are the current dimension; they must not have changed since the load.
+    The tables' rows of the keys are read once, as they were before; afterwards they are the
+    batch's own.
     """
+    orders, lines = orders.select(*ORDER_COLUMNS), lines.select(*LINE_COLUMNS)
     keys = staged(orders.select("order_id").distinct())
     state = (tables.orders, tables.lines)
     old = [t.lookup(keys) for t in state]
+    new = [staged(rows.join(keys, "order_id", "left_semi")) for rows in (orders, lines)]
     tables.orders.replace(orders, keys)
     tables.lines.replace(lines, keys)
-    new = [t.lookup(keys) for t in state]
+    new[1] = _by_order(new[1])
     tables.order_mart.replace(gold.order_revenue(*new, customers), keys)
 
     signed = None

@@ -130,10 +130,13 @@ class VersionedTable:
         return version
 
     def _write(self, df: DataFrame) -> list[tuple]:
-        """Write rows into a new folder, one or more files per bucket; (bucket, folder, rows)."""
+        """Write rows into a new folder, one or more files per bucket; (bucket, folder, rows).
+
+        Rows are placed by bucket; a bucket that is large for one task is dealt to several.
+        """
         folder = uuid.uuid4().hex[:16]
         out = f"{self.path}/data/{folder}"
-        placed = df.withColumn(_BUCKET, self._bucket()).repartition(_BUCKET)
+        placed = df.withColumn(_BUCKET, self._bucket()).hint("rebalance", F.col(_BUCKET))
         placed.write.partitionBy(_BUCKET).parquet(out)
         schema = StructType.fromDDL(f"{_BUCKET} int")
         counts = self.spark.read.schema(schema).parquet(out).groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()

@@ -77,3 +77,34 @@ def test_bitmaps_merge_over_batches_and_groups(spark):
     assert got == {g: len({i for h, i in rows if h == g and i is not None}) for g in "ab"}
     total = incremental.merged_count(both.withColumn("g", F.lit("all")), ["g"], "n").first().n
     assert total == len({i for _, i in rows if i is not None})
+
+
+def test_validated_rows_are_deduplicated_once_for_all_batches(spark, scratch, monkeypatch):
+    from strata import queries
+    from strata.operators import dedup
+
+    placed, seen = queries.layers.dedup_placed, []
+    monkeypatch.setattr(queries.layers, "dedup_placed", lambda df, name, *a: seen.append(name) or placed(df, name, *a))
+    monkeypatch.setattr(dedup, "dedup_dataset", None)
+    tables, s = queries._corrected_load(spark, "/root/testdata/sf0.001")
+    assert seen == ["orders", "order_items"]
+    assert tables.lines.read().columns == list(incremental.LINE_COLUMNS)  # no column that no mart reads
+    want = gold.order_revenue(s.orders, s.order_items, s.customers).collect()
+    assert sorted(map(str, incremental.order_mart(tables).collect())) == sorted(map(str, want))
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, scratch):
+    from strata.sources.versioned import VersionedTable
+
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "4"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        table = VersionedTable(spark, scratch, "id", buckets=2)
+        table.create(spark.range(0, 200_000, 1, 8).withColumn("x", F.rand(3)))
+        assert all(len(files) > 1 for files in bucket_files(table, 1).values())
+        assert table.read().count() == 200_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
