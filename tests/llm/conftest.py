@@ -46,5 +46,8 @@ def odd_dir(as_table, odd_documents):
 
 
 @pytest.fixture(scope="session")
-def empty_dir(as_table, no_documents):
-    return as_table(no_documents, "documents")
+def empty_dir(spark, as_table, no_documents):
+    root = as_table(no_documents, "documents")
+    for name in ("embeddings", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{root}/{name}.parquet")
+    return root
